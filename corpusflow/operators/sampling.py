@@ -67,15 +67,11 @@ def length_buckets(
 ) -> DataFrame:
     """Number rows by length and place rows of like length side by side.
 
-    Range partitioning with the source partition as a tie-break spreads a bucket that
-    holds most of the rows over several partitions.
+    Rebalancing lets the engine split a bucket that holds most of the rows and merge small
+    ones by their measured size; unlike range partitioning it needs no sampling pass, which
+    would compute the lengths twice.
     """
     bucketed = df.withColumn(name, F.floor(F.col(length) / width).cast("long"))
     if not arrange:
         return bucketed
-    return (
-        bucketed.withColumn("__origin", F.spark_partition_id())
-        .repartitionByRange(name, length, "__origin")
-        .sortWithinPartitions(name, length)
-        .drop("__origin")
-    )
+    return bucketed.hint("rebalance", name).sortWithinPartitions(name, length)

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,8 +34,12 @@ def table_exists(spark: SparkSession, name: str) -> bool:
 
 
 def with_processing_ts(df: DataFrame, ts: datetime | None = None) -> DataFrame:
-    """One audit timestamp, the same on every row of the call."""
-    return df.withColumn(TIMESTAMP_COLUMN, F.lit(ts or datetime.now()).cast("timestamp"))
+    """One audit timestamp, the same on every row of the call.
+
+    A ``ts`` without a time zone is wall-clock time in the session's zone.
+    """
+    moment = ts or datetime.now(timezone.utc)
+    return df.withColumn(TIMESTAMP_COLUMN, F.lit(moment.isoformat(" ")).cast("timestamp"))
 
 
 def _partition_list(partition_by: str | Sequence[str] | None) -> list[str]:
@@ -89,12 +93,14 @@ def replace_table(
     name: str,
     fmt: str = "parquet",
     partition_by: str | Sequence[str] | None = None,
+    check: Callable[[DataFrame], None] | None = None,
 ) -> None:
     """Put new contents under a name; ``df`` may read the table it replaces.
 
     The rows go to a folder of their own under a staging name, and the names are swapped
     at the end. Readers never meet a half-written table, a failed write changes nothing,
-    and no file is moved or copied. The replaced version is deleted last.
+    and no file is moved or copied. The replaced version is deleted last. ``check`` may
+    look at the staged rows and raise to call the swap off.
     """
     spark = df.sparkSession
     tag = uuid.uuid4().hex[:12]
@@ -104,6 +110,8 @@ def replace_table(
     writer = df.write.format(fmt).mode("errorifexists").option("path", version)
     try:
         writer.saveAsTable(staging, partitionBy=parts or None)
+        if check is not None:
+            check(spark.table(staging))
     except Exception:
         spark.sql(f"DROP TABLE IF EXISTS {staging}")
         _delete(spark, version)
@@ -129,11 +137,12 @@ def upsert_table(
     config: UpsertConfig,
     fmt: str = "parquet",
     partition_by: str | Sequence[str] | None = None,
+    check: Callable[[DataFrame], None] | None = None,
 ) -> None:
     """Merge into an existing table; the first call creates it."""
     spark = source.sparkSession
     if not table_exists(spark, name):
-        save_table(source, name, fmt, "errorifexists", partition_by=partition_by)
+        replace_table(source, name, fmt, partition_by, check)
         return
     merged = upsert(
         spark.table(name),
@@ -142,7 +151,7 @@ def upsert_table(
         config.exclusion_list,
         config.null_safe,
     )
-    replace_table(merged, name, fmt, partition_by)
+    replace_table(merged, name, fmt, partition_by, check)
 
 
 def key_violations(df: DataFrame, primary_keys: str | Sequence[str]) -> DataFrame:
@@ -161,19 +170,27 @@ def write_keyed_table(
     partition_by: str | Sequence[str] | None = None,
     fmt: str = "parquet",
 ) -> None:
-    """Write a table whose keys are unique and not null; ``merge`` upserts on them."""
+    """Write a table whose keys are unique and not null; ``merge`` upserts on them.
+
+    The keys are checked on the staged table, which reads only the key columns back
+    instead of computing the rows a second time.
+    """
     if mode not in ("overwrite", "merge"):
         raise ValueError(f"a keyed table is written with overwrite or merge, not {mode!r}")
     keys = _partition_list(primary_keys)
     if not keys:
         raise ValueError("a keyed table needs primary keys")
-    examples = key_violations(df, keys).take(5)
-    if examples:
-        raise KeyViolation(f"{name}: null or repeated keys {keys}, such as {examples}")
+
+    def check(staged: DataFrame) -> None:
+        examples = key_violations(staged, keys).take(5)
+        if examples:
+            raise KeyViolation(f"{name}: null or repeated keys {keys}, such as {examples}")
+
     if mode == "merge":
-        upsert_table(df, name, UpsertConfig(keys, null_safe=True), fmt, partition_by)
+        config = UpsertConfig(keys, null_safe=True)
+        upsert_table(df, name, config, fmt, partition_by, check)
     else:
-        replace_table(df, name, fmt, partition_by)
+        replace_table(df, name, fmt, partition_by, check)
 
 
 def compact_table(spark: SparkSession, name: str, target_files: int | None = None) -> None:

@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 MEMBER_SCHEMA = "archive string, member string, content binary"
+_MEMBER_COLUMNS = ["archive", "member", "content"]
+_BATCH_BYTES = 16 << 20
 
 
 def read_json_docs(
@@ -30,28 +32,34 @@ def read_json_docs(
 def expand_archives(archives: DataFrame) -> DataFrame:
     """``(path, content)`` of zip files to one row per file member.
 
-    Members are handed on one at a time, so a task holds one archive and one member.
-    Folder entries are dropped and the archives stay as they are.
+    Members are handed on in batches of a few megabytes, so a task never holds all that an
+    archive unpacks to. Folder entries are dropped and the archives stay as they are.
     """
 
     def members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows: list[tuple[str, str, bytes]] = []
+        size = 0
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"]):
                 with zipfile.ZipFile(io.BytesIO(content)) as archive:
                     for entry in archive.infolist():
-                        if not entry.is_dir():
-                            yield pd.DataFrame(
-                                {
-                                    "archive": [path],
-                                    "member": [entry.filename],
-                                    "content": [archive.read(entry)],
-                                }
-                            )
+                        if entry.is_dir():
+                            continue
+                        rows.append((path, entry.filename, archive.read(entry)))
+                        size += entry.file_size
+                        if size >= _BATCH_BYTES:
+                            yield pd.DataFrame(rows, columns=_MEMBER_COLUMNS)
+                            rows, size = [], 0
+        if rows:
+            yield pd.DataFrame(rows, columns=_MEMBER_COLUMNS)
 
     return archives.select("path", "content").mapInPandas(members, MEMBER_SCHEMA)
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """Members of every ``.zip`` file in a folder; other files are ignored."""
+    """Members of every ``.zip`` file in a folder; other files are ignored.
+
+    The reader packs archives into tasks by size (``spark.sql.files.maxPartitionBytes``).
+    """
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path)
     return expand_archives(files)

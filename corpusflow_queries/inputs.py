@@ -6,15 +6,21 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusflow.functions.text import WHITESPACE, clean_text, long_sentences
+from corpusflow.sources.tables import spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``doc_id, text`` of every document, spread for work on the text."""
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``doc_id, article`` of every document."""
-    return table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("article"))
+    return documents(spark, sf_dir).withColumnRenamed("text", "article")
 
 
 def first_long_sentence(c: str) -> Column:
@@ -32,7 +38,7 @@ def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The join key holds the turn number, so the turns of one long conversation spread.
     """
-    turns = table(spark, sf_dir, "conversations")
+    turns = spread(table(spark, sf_dir, "conversations"))
     asked = turns.where("role = 'user'").select(
         "conv_id", "turn", F.col("text").alias("reference")
     )

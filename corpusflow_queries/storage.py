@@ -171,9 +171,8 @@ def _landed_splits(spark: SparkSession, sf_dir: str) -> str:
         {"summary": I.first_long_sentence("article"), "split": I.split_name("doc_id")}
     )
     base = staging_path(spark, "landing")
-    docs.write.partitionBy("split").parquet(f"{base}/by_split")
     for name in SPLITS:
-        part = spark.read.parquet(f"{base}/by_split/split={name}")
+        part = docs.where(F.col("split") == name)
         export_training_text(part, ["doc_id", "article", "summary"], f"{base}/{name}")
     return base
 

@@ -82,7 +82,7 @@ _TOKENS = r"regexp_extract_all(text, '[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s]')"
         FROM (SELECT len({_TOKENS}) AS n FROM documents)""",
 )
 def token_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stats = sampling.token_length_stats(I.table(spark, sf_dir, "documents"), "text")
+    stats = sampling.token_length_stats(I.documents(spark, sf_dir), "text")
     return stats.withColumn("mean_tokens", F.round("mean_tokens", 6))
 
 
@@ -92,7 +92,7 @@ def token_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
         FROM (SELECT doc_id, list_slice({_TOKENS}, 1, 64) AS t FROM documents)""",
 )
 def truncated_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cut = sampling.truncate_tokens(I.table(spark, sf_dir, "documents"), "text", 64)
+    cut = sampling.truncate_tokens(I.documents(spark, sf_dir), "text", 64)
     return cut.select(
         "doc_id",
         F.size("tokens").cast("long").alias("n_tokens"),
@@ -106,7 +106,7 @@ def truncated_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
         FROM (SELECT doc_id, len({_TOKENS}) AS n_tokens FROM documents)""",
 )
 def length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counted = sampling.with_token_count(I.table(spark, sf_dir, "documents"), "text")
+    counted = sampling.with_token_count(I.documents(spark, sf_dir), "text")
     return sampling.length_buckets(counted.select("doc_id", "n_tokens"), "n_tokens", 128)
 
 
