@@ -80,11 +80,27 @@ def _parts(left: DataFrame, right: DataFrame, kind: str) -> list[DataFrame]:
     return parts
 
 
+def half(*keys: str) -> Column:
+    """A bit that depends on the key alone, to be grouped by along with it.
+
+    The groups stay the same, but the result is not partitioned by the key itself, so a
+    join on the key takes its input straight from a shuffle. Only then can the engine split
+    the other side's hot keys; a side that keeps the partitioning of its aggregate would
+    rule that out.
+    """
+    return F.pmod(F.xxhash64(*keys), F.lit(2)).alias("__half")
+
+
+def distinct_keys(df: DataFrame, *keys: str) -> DataFrame:
+    """Distinct key values, ready to be joined with a skewed table."""
+    return df.select(*keys, half(*keys)).distinct().drop("__half")
+
+
 def _against_keys(
     table: DataFrame, key: str, other: DataFrame, other_key: str, kind: str
 ) -> DataFrame:
     """Semi or anti join with the other side's distinct keys (null keys match nothing)."""
-    keys = other.select(other_key).where(F.col(other_key).isNotNull()).distinct()
+    keys = distinct_keys(other.where(F.col(other_key).isNotNull()), other_key)
     if kind == "semi":
         return table.join(keys, F.col(key) == F.col(other_key), "left_semi")
     without_key = table.where(F.col(key).isNull())

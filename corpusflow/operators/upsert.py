@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from corpusflow.errors import ColumnException
 from corpusflow.functions.conditions import changed_condition, merge_condition, update_map
+from corpusflow.operators.joins import distinct_keys, half
 
 
 def upsert(
@@ -44,7 +45,7 @@ def upsert(
 
     keys_known = reduce(and_, [F.col(f"`{c}`").isNotNull() for c in on])
     source_keyed = source.where(keys_known)
-    one_per_key = source_keyed.groupBy(*on).agg(
+    one_per_key = source_keyed.groupBy(*on, half(*on)).agg(
         F.first(F.struct(*source.columns)).alias("row"), F.count("*").alias("rows")
     )
     src = one_per_key.select("row.*", F.col("rows").alias("__rows")).alias("src")
@@ -71,7 +72,7 @@ def upsert(
         ]
     )
 
-    known = target.where(keys_known).select(*on).distinct().alias("tgt")
+    known = distinct_keys(target.where(keys_known), *on).alias("tgt")
     new_rows = source_keyed.alias("src").join(known, condition, "left_anti")
     untouched = target.where(~keys_known)
     inserts = new_rows.unionByName(source.where(~keys_known))

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -131,6 +134,20 @@ def replace_table(
         _delete(spark, replaced)
 
 
+@contextmanager
+def _setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    before = spark.conf.get(key)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def _partition_columns(spark: SparkSession, name: str) -> list[str]:
+    return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+
+
 def upsert_table(
     source: DataFrame,
     name: str,
@@ -139,19 +156,31 @@ def upsert_table(
     partition_by: str | Sequence[str] | None = None,
     check: Callable[[DataFrame], None] | None = None,
 ) -> None:
-    """Merge into an existing table; the first call creates it."""
+    """Merge into an existing table; the first call creates it.
+
+    When the table is partitioned by some of the match columns, rows can only match inside
+    the partitions the source has, so only those are read and rewritten. A ``check`` wants
+    to see the whole table, which is then staged as a whole.
+    """
     spark = source.sparkSession
     if not table_exists(spark, name):
         replace_table(source, name, fmt, partition_by, check)
         return
+    target = spark.table(name)
+    parts = _partition_columns(spark, name)
+    by_partition = bool(parts) and set(parts) <= set(config.on_match_cols) and check is None
+    if by_partition:
+        found = source.select(*[F.col(p).alias(f"__{p}") for p in parts]).distinct()
+        same = reduce(and_, [F.col(p).eqNullSafe(F.col(f"__{p}")) for p in parts])
+        target = target.join(found, same, "left_semi")
     merged = upsert(
-        spark.table(name),
-        source,
-        config.on_match_cols,
-        config.exclusion_list,
-        config.null_safe,
+        target, source, config.on_match_cols, config.exclusion_list, config.null_safe
     )
-    replace_table(merged, name, fmt, partition_by, check)
+    if by_partition:
+        with _setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+            merged.write.mode("overwrite").insertInto(name)
+    else:
+        replace_table(merged, name, fmt, parts or partition_by, check)
 
 
 def key_violations(df: DataFrame, primary_keys: str | Sequence[str]) -> DataFrame:
@@ -199,8 +228,7 @@ def compact_table(spark: SparkSession, name: str, target_files: int | None = Non
     Without a target the engine sizes the files (``rebalance`` splits large partitions and
     merges small ones up to the advisory size), which also holds for skewed partitions.
     """
-    columns = spark.catalog.listColumns(name)
-    parts = [c.name for c in columns if c.isPartition]
+    parts = _partition_columns(spark, name)
     details = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Provider'")
     fmt = details.first()["data_type"].lower()
     table = spark.table(name)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusflow.functions.text import WHITESPACE, clean_text, long_sentences
+from corpusflow.operators.joins import half
 from corpusflow.sources.tables import spread
 
 
@@ -51,7 +52,8 @@ def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def contexts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first system turn of each conversation that has one."""
     turns = table(spark, sf_dir, "conversations").where("role = 'system'")
-    return turns.groupBy("conv_id").agg(F.min_by("text", "turn").alias("context"))
+    first = F.min_by("text", "turn").alias("context")
+    return turns.groupBy("conv_id", half("conv_id")).agg(first).drop("__half")
 
 
 # --- the same in SQL -------------------------------------------------------------------

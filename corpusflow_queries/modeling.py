@@ -9,6 +9,7 @@ from corpusflow.operators.inference import echo_with, extractive_generator
 from corpusflow.plans import modeling
 from corpusflow.sinks import tables as sinks
 from corpusflow.sinks.files import write_predictions
+from corpusflow.sources.tables import spread
 from corpusflow.storage import staging_path
 from corpusflow_queries import inputs as I
 from corpusflow_queries.prompts import _ANSWER, _BATCH
@@ -49,7 +50,7 @@ FROM conversations, (SELECT unnest([1, 2]) AS n) WHERE role = 'user'
 
 @query("batch_predict", _PREDICTED)
 def batch_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    asked = I.table(spark, sf_dir, "conversations").where("role = 'user'")
+    asked = spread(I.table(spark, sf_dir, "conversations").where("role = 'user'"))
     return modeling.predict(
         asked, _load, "text", keep=["conv_id", "turn"], params={"num_return_sequences": 2}
     ).drop("articles")
@@ -61,7 +62,7 @@ def batch_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
         FROM conversations WHERE role = 'user'""",
 )
 def written_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    asked = I.table(spark, sf_dir, "conversations").where("role = 'user'")
+    asked = spread(I.table(spark, sf_dir, "conversations").where("role = 'user'"))
     path = staging_path(spark, "predictions")
     write_predictions(modeling.predict(asked, _load, "text"), path)
     return spark.read.schema("articles string, predicted_summary string").json(path)

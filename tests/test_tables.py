@@ -244,3 +244,29 @@ def test_feature_stage(spark, schema):
         "<s>[INS] Create a Plain Language Summary of the following article:\nARTICLE:\n"
         f"{sentence}\nPlain Language Summary:[INST]\nS</s>"
     )
+
+
+def test_upsert_rewrites_only_touched_partitions(spark, schema):
+    name = f"{schema}.t"
+    first = spark.createDataFrame(
+        [(1, "a", 0), (2, "b", 1), (3, "c", None), (4, "d", 2)], "k int, v string, p int"
+    )
+    second = spark.createDataFrame([(2, "B", 1), (9, "n", None), (5, "e", 3)], "k int, v string, p int")
+    config = tables.UpsertConfig(["p", "k"])
+    tables.save_table(first, name, partition_by="p")
+
+    def files_of(p):
+        return {f for f in spark.table(name).inputFiles() if f"p={p}/" in f}
+
+    before = {p: files_of(p) for p in (0, 1, 2)}
+    tables.upsert_table(second, name, config)
+    spark.catalog.refreshTable(name)
+    assert rows(spark, name, "k", "v", "p") == sorted(
+        [(1, "a", 0), (2, "B", 1), (3, "c", None), (9, "n", None), (4, "d", 2), (5, "e", 3)],
+        key=repr,
+    )
+    assert files_of(0) == before[0] and files_of(2) == before[2] and files_of(1) != before[1]
+    tables.compact_table(spark, name)
+    tables.upsert_table(second.withColumn("v", F.lit("z")), name, config)
+    assert spark.table(name).where("v = 'z'").count() == 3  # the null partition never matches
+    assert spark.table(name).count() == 7
