@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
+from itertools import chain
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -20,8 +21,7 @@ METRICS = ("rouge1", "rouge2", "rougeL", "rougeLsum")  # fixed values
 
 def rouge_tokens(c: Column | str) -> Column:
     c = F.col(c) if isinstance(c, str) else c
-    words = F.split(F.regexp_replace(F.lower(c), "[^a-z0-9]+", " "), " ")
-    return F.array_remove(words, "")
+    return F.array_remove(F.split(_plain(c), " "), "")
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -37,9 +37,10 @@ def ngrams(tokens: Column, n: int) -> Column:
     def runs(row: Column) -> Column:
         starts = F.sequence(F.lit(1), F.greatest(F.size(row) - F.lit(n - 1), F.lit(1)))
         joined = F.transform(starts, lambda i: F.array_join(F.slice(row, i, n), " "))
-        return F.when(F.size(row) >= n, joined).otherwise(F.array().cast("array<string>"))
+        none = F.array().cast("array<string>")
+        return F.when(F.size(row) >= n, joined).when(row.isNotNull(), none)
 
-    return F.when(tokens.isNotNull(), _let(tokens, runs))
+    return _let(tokens, runs)
 
 
 def _numbered(grams: Column) -> Column:
@@ -75,78 +76,98 @@ def _numbered(grams: Column) -> Column:
 
 def _scores(hits: Column, n_pred: Column, n_ref: Column) -> Column:
     """Struct of precision, recall and F1, all 0 when there is nothing to compare."""
-    p = F.when(n_pred > 0, hits / n_pred).otherwise(0.0)
-    r = F.when(n_ref > 0, hits / n_ref).otherwise(0.0)
-    f1 = F.when(hits > 0, 2 * p * r / (p + r)).otherwise(0.0)
-    scores = F.struct(p.alias("precision"), r.alias("recall"), f1.alias("f1"))
-    return F.when(hits.isNotNull(), scores)
+
+    def share(n: Column, of: Column) -> Column:
+        return F.when(of > 0, n / of).otherwise(0.0)
+
+    def with_f1(s: Column) -> Column:
+        p, r = s["precision"], s["recall"]
+        f1 = F.when(p + r > 0, 2 * p * r / (p + r)).otherwise(0.0)
+        return F.struct(p.alias("precision"), r.alias("recall"), f1.alias("f1"))
+
+    def from_counts(c: Column) -> Column:
+        p, r = share(c["hits"], c["n_pred"]), share(c["hits"], c["n_ref"])
+        both = _let(F.struct(p.alias("precision"), r.alias("recall")), with_f1)
+        return F.when(c["hits"].isNotNull(), both)
+
+    counts = F.struct(hits.alias("hits"), n_pred.alias("n_pred"), n_ref.alias("n_ref"))
+    return _let(counts, from_counts)
 
 
 def rouge_n(
     df: DataFrame, pred: str = "prediction", ref: str = "reference", n: int = 1
 ) -> DataFrame:
     """Add struct ``rouge{n}``: clipped n-gram overlap of two texts."""
-    name = f"rouge{n}"
-    staged = df.withColumns(
-        {"__p": ngrams(rouge_tokens(pred), n), "__r": ngrams(rouge_tokens(ref), n)}
-    )
-    hits = F.size(F.array_intersect(_numbered(F.col("__p")), _numbered(F.col("__r"))))
-    scored = staged.withColumn(
-        "__hits", F.when(F.col("__p").isNotNull() & F.col("__r").isNotNull(), hits)
+
+    def from_grams(g: Column) -> Column:
+        p, r = g["pred"], g["ref"]
+        hits = F.size(F.array_intersect(_numbered(p), _numbered(r)))
+        both = p.isNotNull() & r.isNotNull()
+        return _scores(F.when(both, hits), F.size(p), F.size(r))
+
+    grams = F.struct(
+        ngrams(rouge_tokens(pred), n).alias("pred"), ngrams(rouge_tokens(ref), n).alias("ref")
     )
-    score = _scores(F.col("__hits"), F.size("__p"), F.size("__r"))
-    return scored.withColumn(name, score).drop("__p", "__r", "__hits")
+    return df.withColumn(f"rouge{n}", _let(grams, from_grams))
 
 
-def lcs_length(a: Sequence[str], b: Sequence[str]) -> int:
-    """Length of the longest common subsequence.
+def _token_bits(tokens: Sequence[str]) -> dict[str, int]:
+    """Per token a whole number with a bit for each place it stands at."""
+    bits: dict[str, int] = {}
+    for place, token in enumerate(tokens):
+        bits[token] = bits.get(token, 0) | (1 << place)
+    return bits
 
-    One whole-number bit row stands for a row of the usual table: a zero bit marks the
-    places where the length grows. Memory is one bit per token.
-    """
-    rows = _bit_rows(a, b, keep=False)
-    return len(b) - rows[-1].bit_count() if rows else 0
-
-
-def _bit_rows(a: Sequence[str], b: Sequence[str], keep: bool) -> list[int]:
-    if not a or not b:
-        return []
-    full = (1 << len(b)) - 1
-    places: dict[str, int] = {}
-    for j, token in enumerate(b):
-        places[token] = places.get(token, 0) | (1 << j)
-    row, rows = full, []
+
+def _bit_rows(a: Sequence[str], bits: dict[str, int], width: int) -> list[int]:
+    """The rows of the subsequence table, one whole number each: a zero bit marks a place
+    where the length grows. Memory is one bit per token instead of a number."""
+    row = full = (1 << width) - 1
+    rows = [row]
     for token in a:
-        hit = places.get(token, 0)
+        hit = bits.get(token)
         if hit:
             meet = row & hit
             row = ((row + meet) | (row - meet)) & full
-        if keep:
-            rows.append(row)
-    return rows if keep else [row]
+        rows.append(row)
+    return rows
 
 
-def lcs_places(ref: Sequence[str], cand: Sequence[str]) -> list[int]:
+def lcs_length(a: Sequence[str], b: Sequence[str]) -> int:
+    """Length of the longest common subsequence."""
+    bits = _token_bits(b)
+    row = full = (1 << len(b)) - 1
+    for hit in filter(None, map(bits.get, a)):
+        meet = row & hit
+        row = ((row + meet) | (row - meet)) & full
+    return len(b) - row.bit_count()
+
+
+def lcs_places(
+    ref: Sequence[str], cand: Sequence[str], bits: dict[str, int] | None = None
+) -> list[int]:
     """Indices into ``ref`` of one longest common subsequence.
 
     Walks back from the end; on a mismatch it drops the last candidate token only when
-    that keeps a strictly longer subsequence than dropping the last reference token.
+    that keeps a strictly longer subsequence than dropping the last reference token. A
+    reference token the candidate lacks is always dropped, so it is left out at once.
     """
-    rows = _bit_rows(ref, cand, keep=True)
-    if not rows:
-        return []
-
-    def grown(i: int, j: int) -> int:
-        """Length of the best subsequence of the first i and j tokens."""
-        return j - (rows[i - 1] & ((1 << j) - 1)).bit_count() if i and j else 0
-
+    bits = _token_bits(cand) if bits is None else bits
+    kept = [place for place, token in enumerate(ref) if token in bits]
+    rows = _bit_rows([ref[place] for place in kept], bits, len(cand))
     places = []
-    i, j = len(ref), len(cand)
-    while i > 0 and j > 0:
-        if ref[i - 1] == cand[j - 1]:
-            places.append(i - 1)
-            i, j = i - 1, j - 1
-        elif grown(i, j - 1) > grown(i - 1, j):
+    i, j = len(kept), len(cand)
+    best = j - rows[i].bit_count()
+    while best:
+        place = kept[i - 1]
+        if ref[place] == cand[j - 1]:
+            places.append(place)
+            i, j, best = i - 1, j - 1, best - 1
+            continue
+        last = 1 << (j - 1)
+        grows_here = not rows[i] & last
+        # Without growth at j the candidate token can go; it does if the row above is shorter.
+        if not grows_here and j - (rows[i - 1] & (2 * last - 1)).bit_count() < best:
             j -= 1
         else:
             i -= 1
@@ -157,17 +178,19 @@ def union_lcs_hits(ref_lines: list[list[str]], cand_lines: list[list[str]]) -> i
     """Summary-level hits: per reference line, the union over candidate lines of the
     common subsequences, each token counted at most as often as both texts hold it.
     """
-    left_ref = Counter(t for line in ref_lines for t in line)
-    left_cand = Counter(t for line in cand_lines for t in line)
+    left_ref, left_cand = (Counter(chain.from_iterable(x)) for x in (ref_lines, cand_lines))
+    line_bits = [_token_bits(line) for line in cand_lines]
     holders: dict[str, set[int]] = {}
-    for number, line in enumerate(cand_lines):
-        for token in line:
+    for number, bits in enumerate(line_bits):
+        for token in bits:
             holders.setdefault(token, set()).add(number)
     hits = 0
     for line in ref_lines:
         sharing = set().union(*[holders.get(token, ()) for token in line])
-        covered = sorted({p for number in sharing for p in lcs_places(line, cand_lines[number])})
-        for token in (line[p] for p in covered):
+        covered: set[int] = set()
+        for number in sharing:
+            covered.update(lcs_places(line, cand_lines[number], line_bits[number]))
+        for token in (line[p] for p in sorted(covered)):
             if left_ref[token] > 0 and left_cand[token] > 0:
                 left_ref[token] -= 1
                 left_cand[token] -= 1
@@ -202,20 +225,26 @@ def _union_hits(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Ser
         )
 
 
-def _plain(c: str, keep: str = "") -> Column:
-    return F.regexp_replace(F.lower(F.col(c)), f"[^a-z0-9{keep}]+", " ")
+def _plain(c: Column) -> Column:
+    """Tokens separated by blanks."""
+    return F.regexp_replace(F.lower(c), "[^a-z0-9]+", " ")
+
+
+def _plain_lines(c: Column) -> Column:
+    """The same line by line."""
+    return F.array_join(F.transform(F.split(c, "\n"), _plain), "\n")
 
 
 def rouge_l(df: DataFrame, pred: str = "prediction", ref: str = "reference") -> DataFrame:
     """Add struct ``rougeL``: longest common subsequence of the whole texts."""
-    scored = df.withColumn("__hits", _lcs_hits(_plain(pred), _plain(ref)))
+    scored = df.withColumn("__hits", _lcs_hits(_plain(F.col(pred)), _plain(F.col(ref))))
     score = _scores(F.col("__hits"), F.size(rouge_tokens(pred)), F.size(rouge_tokens(ref)))
     return scored.withColumn("rougeL", score).drop("__hits")
 
 
 def rouge_lsum(df: DataFrame, pred: str = "prediction", ref: str = "reference") -> DataFrame:
     """Add struct ``rougeLsum``: line by line, union of common subsequences."""
-    scored = df.withColumn("__hits", _union_hits(_plain(pred, r"\n"), _plain(ref, r"\n")))
+    scored = df.withColumn("__hits", _union_hits(_plain_lines(F.col(pred)), _plain_lines(F.col(ref))))
     score = _scores(F.col("__hits"), F.size(rouge_tokens(pred)), F.size(rouge_tokens(ref)))
     return scored.withColumn("rougeLsum", score).drop("__hits")
 
