@@ -24,54 +24,61 @@ def rouge_tokens(c: Column | str) -> Column:
     return F.array_remove(F.split(_plain(c), " "), "")
 
 
+def _plain(c: Column) -> Column:
+    """Tokens separated by blanks."""
+    return F.regexp_replace(F.lower(c), "[^a-z0-9]+", " ")
+
+
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     """Bind a value to a lambda variable, so that it is computed once per row."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def ngrams(tokens: Column, n: int) -> Column:
-    """Runs of ``n`` tokens joined by a blank; empty when there are fewer."""
-    if n == 1:
-        return tokens
+def ngrams(c: Column | str, n: int, mark: str = "") -> Column:
+    """Runs of ``n`` tokens joined by a blank, each with a mark at its end."""
+    c = F.col(c) if isinstance(c, str) else c
+    if n == 1 and mark:
+        marked = F.regexp_replace(F.concat(F.lower(c), F.lit(" ")), "[^a-z0-9]+", f"{mark} ")
+        return F.array_remove(F.array_remove(F.split(marked, " "), mark), "")
 
     def runs(row: Column) -> Column:
         starts = F.sequence(F.lit(1), F.greatest(F.size(row) - F.lit(n - 1), F.lit(1)))
-        joined = F.transform(starts, lambda i: F.array_join(F.slice(row, i, n), " "))
+        joined = F.transform(
+            starts, lambda i: F.concat(F.array_join(F.slice(row, i, n), " "), F.lit(mark))
+        )
         none = F.array().cast("array<string>")
         return F.when(F.size(row) >= n, joined).when(row.isNotNull(), none)
 
-    return _let(tokens, runs)
+    return _let(rouge_tokens(c), runs)
 
 
-def _numbered(grams: Column) -> Column:
-    """Each gram with its occurrence number, so that set operations count copies.
+def _overlap(pred: Column, ref: Column) -> Column:
+    """How many grams two lists share, copies counted; one list is marked A, the other B.
 
-    After sorting, copies stand together; a gram's number is its distance from the start
-    of its run.
+    Sorted together, the copies of a gram form one run marked A and right after it one
+    marked B (tokens hold no capitals). The shorter of two such neighbours is the overlap.
     """
 
     def from_sorted(row: Column) -> Column:
         ends = F.filter(
-            F.sequence(F.lit(1), F.size(row)),
-            lambda i: (i == F.size(row)) | (F.get(row, i - 1) != F.get(row, i)),
+            F.sequence(F.lit(1), F.greatest(F.size(row), F.lit(1))),
+            lambda i: (i >= F.size(row)) | (F.get(row, i - 1) != F.get(row, i)),
         )
         return _let(ends, lambda found: from_runs(row, found))
 
     def from_runs(row: Column, ends: Column) -> Column:
-        starts = F.concat(F.array(F.lit(0)), F.slice(ends, 1, F.size(ends) - 1))
-        return F.flatten(
-            F.zip_with(
-                starts,
-                ends,
-                lambda start, end: F.transform(
-                    F.sequence(F.lit(1), end - start),
-                    lambda k: F.concat_ws(" ", F.get(row, start), k),
-                ),
-            )
-        )
+        def shared(k: Column) -> Column:
+            end, middle = F.get(ends, k), F.get(ends, k - 1)
+            start = F.coalesce(F.get(ends, k - 2), F.lit(0))
+            ours, theirs = F.get(row, middle - 1), F.get(row, end - 1)
+            same = F.concat(F.substring(ours, 1, F.length(ours) - 1), F.lit("B")) == theirs
+            return F.when(same, F.least(middle - start, end - middle)).otherwise(0)
 
-    numbered = _let(F.array_sort(grams), from_sorted)
-    return F.when(F.size(grams) > 0, numbered).otherwise(F.array().cast("array<string>"))
+        neighbours = F.sequence(F.lit(1), F.greatest(F.size(ends) - 1, F.lit(1)))
+        total = F.aggregate(neighbours, F.lit(0), lambda acc, k: acc + shared(k))
+        return F.when(F.size(ends) > 1, total).otherwise(0)
+
+    return _let(F.sort_array(F.concat(pred, ref)), from_sorted)
 
 
 def _scores(hits: Column, n_pred: Column, n_ref: Column) -> Column:
@@ -101,13 +108,10 @@ def rouge_n(
 
     def from_grams(g: Column) -> Column:
         p, r = g["pred"], g["ref"]
-        hits = F.size(F.array_intersect(_numbered(p), _numbered(r)))
-        both = p.isNotNull() & r.isNotNull()
-        return _scores(F.when(both, hits), F.size(p), F.size(r))
+        hits = F.when(p.isNotNull() & r.isNotNull(), _overlap(p, r))
+        return _scores(hits, F.size(p), F.size(r))
 
-    grams = F.struct(
-        ngrams(rouge_tokens(pred), n).alias("pred"), ngrams(rouge_tokens(ref), n).alias("ref")
-    )
+    grams = F.struct(ngrams(pred, n, "A").alias("pred"), ngrams(ref, n, "B").alias("ref"))
     return df.withColumn(f"rouge{n}", _let(grams, from_grams))
 
 
@@ -225,11 +229,6 @@ def _union_hits(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Ser
         )
 
 
-def _plain(c: Column) -> Column:
-    """Tokens separated by blanks."""
-    return F.regexp_replace(F.lower(c), "[^a-z0-9]+", " ")
-
-
 def _plain_lines(c: Column) -> Column:
     """The same line by line."""
     return F.array_join(F.transform(F.split(c, "\n"), _plain), "\n")
