@@ -93,7 +93,53 @@ def rouge_l(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _per_pair(R.rouge_l(I.pairs(spark, sf_dir)), "rougeL")
 
 
-@query("rouge_lsum")
+# The same table for every two lines, walked back from its end; then per pair the tokens of
+# the reference that any walk meets, as far as the prediction holds them.
+_ROUGE_LSUM_SQL = f"""
+SELECT conv_id, turn, round(p, 6) AS precision, round(r, 6) AS recall, round(f, 6) AS f1 FROM (
+WITH RECURSIVE texts AS ({I.PAIRS}),
+ref_lines AS (SELECT conv_id, turn, unnest(l) AS line, unnest(range(len(l))) AS ref_no
+              FROM (SELECT *, string_split(reference, chr(10)) AS l FROM texts)),
+cand_lines AS (SELECT conv_id, turn, unnest(l) AS line, unnest(range(len(l))) AS cand_no
+               FROM (SELECT *, string_split(prediction, chr(10)) AS l FROM texts)),
+two AS (SELECT conv_id, turn, ref_no, cand_no, {_tokens("x.line")} AS a, {_tokens("y.line")} AS b
+        FROM ref_lines x JOIN cand_lines y USING (conv_id, turn)),
+dp AS (
+  SELECT conv_id, turn, ref_no, cand_no, a, b, 0 AS i,
+         [list_transform(range(len(b) + 1), lambda x: 0::BIGINT)] AS rows FROM two
+  UNION ALL
+  SELECT conv_id, turn, ref_no, cand_no, a, b, i + 1,
+         list_append(rows, list_transform(cand, lambda x, k: list_max(list_slice(cand, 1, k))))
+  FROM (SELECT *, list_transform(rows[-1], lambda x, k: CASE WHEN k > 1 AND b[k - 1] = a[i + 1]
+               THEN rows[-1][k - 1] + 1 ELSE x END) AS cand FROM dp WHERE i < len(a))
+),
+walk AS (
+  SELECT conv_id, turn, ref_no, cand_no, a, b, rows, len(a) AS i, len(b) AS j, NULL::BIGINT AS met
+  FROM dp WHERE i = len(a)
+  UNION ALL
+  SELECT conv_id, turn, ref_no, cand_no, a, b, rows,
+         CASE WHEN a[i] = b[j] OR rows[i + 1][j] <= rows[i][j + 1] THEN i - 1 ELSE i END,
+         CASE WHEN a[i] = b[j] OR rows[i + 1][j] > rows[i][j + 1] THEN j - 1 ELSE j END,
+         CASE WHEN a[i] = b[j] THEN i END
+  FROM walk WHERE i > 0 AND j > 0
+),
+covered AS (SELECT conv_id, turn, token, count(*) AS n FROM (
+              SELECT DISTINCT conv_id, turn, ref_no, met, a[met] AS token
+              FROM walk WHERE met IS NOT NULL)
+            GROUP BY ALL),
+held AS (SELECT conv_id, turn, token, count(*) AS n FROM (
+           SELECT conv_id, turn, unnest({_tokens("prediction")}) AS token FROM texts)
+         GROUP BY ALL),
+found AS (SELECT conv_id, turn, sum(least(c.n, h.n)) AS hits
+          FROM covered c JOIN held h USING (conv_id, turn, token) GROUP BY ALL)
+SELECT conv_id, turn, {_scores_sql("hits", "n_pred", "n_ref")} FROM (
+  SELECT conv_id, turn, coalesce(hits, 0) AS hits, len({_tokens("prediction")}) AS n_pred,
+         len({_tokens("reference")}) AS n_ref
+  FROM texts LEFT JOIN found USING (conv_id, turn)))
+"""
+
+
+@query("rouge_lsum", _ROUGE_LSUM_SQL)
 def rouge_lsum(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _per_pair(R.rouge_lsum(I.pairs(spark, sf_dir)), "rougeLsum")
 
