@@ -5,11 +5,15 @@ Everything here stays on the JVM side: no UDF, no shuffle, one row in and one ro
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from corpusflow.functions.binding import let
+
 # Every character Python's str.strip() and str.split() treat as whitespace.
 WHITESPACE = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
@@ -27,18 +31,31 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _where(c: Column | str, test: Callable[[Column], Column], change: Callable) -> Column:
+    """Change the texts that pass a cheap test; a rewrite copies a text twice."""
+    return let(_col(c), lambda x: F.when(test(x), change(x)).otherwise(x))
+
+
 def strip_text(c: Column | str) -> Column:
     """Remove whitespace (Unicode included) from both ends.
 
-    ``btrim`` walks in from each end, so a long run of blanks inside the text costs
-    nothing; a ``\\s+$`` pattern would rescan it from every position.
+    Only texts with a loose end are trimmed: ``btrim`` indexes every character first.
     """
-    return F.btrim(_col(c), F.lit(WHITESPACE))
+
+    def loose(x: Column) -> Column:
+        edges = [test(x, F.lit(e)) for e in WHITESPACE for test in (F.startswith, F.endswith)]
+        return reduce(or_, edges)
+
+    return _where(c, loose, lambda x: F.btrim(x, F.lit(WHITESPACE)))
 
 
 def drop_parentheticals(c: Column | str) -> Column:
     """Remove ``( ... )`` up to the first closing bracket; an unclosed one stays."""
-    return F.regexp_replace(_col(c), r"\([^)]*\)", "")
+    return _where(
+        c,
+        lambda x: F.contains(x, F.lit("(")),
+        lambda x: F.regexp_replace(x, r"\([^)]*\)", ""),
+    )
 
 
 def tighten_punctuation(c: Column | str) -> Column:
@@ -48,8 +65,21 @@ def tighten_punctuation(c: Column | str) -> Column:
 
 def clean_whitespace(c: Column | str) -> Column:
     """Strip blanks and tabs from each line and squeeze runs of empty lines to one."""
-    lines = F.transform(F.split(_col(c), "\n"), lambda line: F.btrim(line, F.lit(" \t")))
-    return F.regexp_replace(F.array_join(lines, "\n"), r"\n{3,}", "\n\n")
+
+    def ragged(x: Column) -> Column:
+        edges = [F.contains(x, F.lit(e)) for e in (" \n", "\n ", "\t\n", "\n\t")]
+        edges += [test(x, F.lit(e)) for e in " \t" for test in (F.startswith, F.endswith)]
+        return reduce(or_, edges)
+
+    def strip_lines(x: Column) -> Column:
+        lines = F.transform(F.split(x, "\n"), lambda line: F.btrim(line, F.lit(" \t")))
+        return F.array_join(lines, "\n")
+
+    return _where(
+        _where(c, ragged, strip_lines),
+        lambda x: F.contains(x, F.lit("\n\n\n")),
+        lambda x: F.regexp_replace(x, r"\n{3,}", "\n\n"),
+    )
 
 
 def clean_text(c: Column | str) -> Column:
@@ -60,15 +90,15 @@ def clean_text(c: Column | str) -> Column:
 def sentence_array(c: Column | str, abbreviations: Sequence[str] = ()) -> Column:
     """Split after ``.``, ``!`` or ``?`` followed by whitespace; pieces are stripped.
 
-    Empty pieces are kept as ``''`` so that positions stay the sentence numbers.
+    A cut takes all whitespace between two pieces, so stripping the text strips them all.
+    The pattern tries the whitespace before it looks back, which passes over letters fast.
     ``abbreviations`` (such as ``"Dr."``) never end a sentence.
     """
     guard = ""
     if abbreviations:
         words = "|".join(r"\Q" + a.rstrip(".") + r"\E" for a in abbreviations)
-        guard = rf"(?<!\b(?:{words})\.)"
-    pieces = F.split(_col(c), rf"(?<=[.!?]){guard}{SPACE}+")
-    return F.transform(pieces, strip_text)
+        guard = rf"(?<!\b(?:{words})\.{SPACE})"
+    return F.split(strip_text(c), rf"{SPACE}(?<=[.!?]{SPACE}){guard}{SPACE}*+")
 
 
 def word_count(c: Column | str) -> Column:
@@ -76,7 +106,7 @@ def word_count(c: Column | str) -> Column:
 
     Counts the gaps of the stripped text: one scan, and no array of words is built.
     """
-    stripped = strip_text(c)
+    stripped = F.btrim(_col(c), F.lit(WHITESPACE))
     gaps = F.regexp_count(stripped, F.lit(SPACE + "++"))
     return F.when(stripped == "", F.lit(0)).otherwise(gaps + 1).cast("long")
 
@@ -85,9 +115,14 @@ def long_sentences(
     c: Column | str, min_words: int = 8, abbreviations: Sequence[str] = ()
 ) -> Column:
     """Sentences of more than ``min_words`` words, in order."""
-    sentences = F.array_remove(sentence_array(c, abbreviations), "")
-    gaps = F.lit(SPACE + "++")
-    return F.filter(sentences, lambda s: F.regexp_count(s, gaps) >= min_words)
+    gap = SPACE + "++"
+
+    def is_long(sentence: Column) -> Column:
+        if 0 < min_words <= 64:  # stops reading at the last gap that matters
+            return sentence.rlike(rf"^(?:[^{gap[1:-3]}]++{gap}){{{min_words}}}")
+        return F.regexp_count(sentence, F.lit(gap)) >= min_words
+
+    return F.filter(F.array_remove(sentence_array(c, abbreviations), ""), is_long)
 
 
 def clean_article(

@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpusflow.functions.binding import let
+
 METRICS = ("rouge1", "rouge2", "rougeL", "rougeLsum")  # fixed values
 
 
@@ -29,11 +31,6 @@ def _plain(c: Column) -> Column:
     return F.regexp_replace(F.lower(c), "[^a-z0-9]+", " ")
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Bind a value to a lambda variable, so that it is computed once per row."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def ngrams(c: Column | str, n: int, mark: str = "") -> Column:
     """Runs of ``n`` tokens joined by a blank, each with a mark at its end."""
     c = F.col(c) if isinstance(c, str) else c
@@ -49,7 +46,7 @@ def ngrams(c: Column | str, n: int, mark: str = "") -> Column:
         none = F.array().cast("array<string>")
         return F.when(F.size(row) >= n, joined).when(row.isNotNull(), none)
 
-    return _let(rouge_tokens(c), runs)
+    return let(rouge_tokens(c), runs)
 
 
 def _overlap(pred: Column, ref: Column) -> Column:
@@ -64,7 +61,7 @@ def _overlap(pred: Column, ref: Column) -> Column:
             F.sequence(F.lit(1), F.greatest(F.size(row), F.lit(1))),
             lambda i: (i >= F.size(row)) | (F.get(row, i - 1) != F.get(row, i)),
         )
-        return _let(ends, lambda found: from_runs(row, found))
+        return let(ends, lambda found: from_runs(row, found))
 
     def from_runs(row: Column, ends: Column) -> Column:
         def shared(k: Column) -> Column:
@@ -78,7 +75,7 @@ def _overlap(pred: Column, ref: Column) -> Column:
         total = F.aggregate(neighbours, F.lit(0), lambda acc, k: acc + shared(k))
         return F.when(F.size(ends) > 1, total).otherwise(0)
 
-    return _let(F.sort_array(F.concat(pred, ref)), from_sorted)
+    return let(F.sort_array(F.concat(pred, ref)), from_sorted)
 
 
 def _scores(hits: Column, n_pred: Column, n_ref: Column) -> Column:
@@ -94,11 +91,11 @@ def _scores(hits: Column, n_pred: Column, n_ref: Column) -> Column:
 
     def from_counts(c: Column) -> Column:
         p, r = share(c["hits"], c["n_pred"]), share(c["hits"], c["n_ref"])
-        both = _let(F.struct(p.alias("precision"), r.alias("recall")), with_f1)
+        both = let(F.struct(p.alias("precision"), r.alias("recall")), with_f1)
         return F.when(c["hits"].isNotNull(), both)
 
     counts = F.struct(hits.alias("hits"), n_pred.alias("n_pred"), n_ref.alias("n_ref"))
-    return _let(counts, from_counts)
+    return let(counts, from_counts)
 
 
 def rouge_n(
@@ -112,7 +109,7 @@ def rouge_n(
         return _scores(hits, F.size(p), F.size(r))
 
     grams = F.struct(ngrams(pred, n, "A").alias("pred"), ngrams(ref, n, "B").alias("ref"))
-    return df.withColumn(f"rouge{n}", _let(grams, from_grams))
+    return df.withColumn(f"rouge{n}", let(grams, from_grams))
 
 
 def _token_bits(tokens: Sequence[str]) -> dict[str, int]:

@@ -26,8 +26,7 @@ def split_sentences(
 ) -> DataFrame:
     """One row per sentence: ``doc_split_id, article_snippet, doc_id, snippet_len, split_id``.
 
-    Only the id and the text are carried along. Empty pieces are dropped but keep their
-    number, so ``split_id`` may have gaps.
+    Only the id and the text are carried along; a text without words gives no row.
     """
     text = clean_text(text_col) if clean else F.col(text_col)
     pieces = df.select(

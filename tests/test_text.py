@@ -63,8 +63,13 @@ def test_cleaning_and_counting_follow_python(spark, texts):
     chain = T.tighten_punctuation(T.drop_parentheticals(T.strip_text("c")))
     assert values(spark, chain, texts) == tight
     assert values(spark, T.word_count("c"), texts) == [len(t.split()) for t in texts]
-    pieces = [[p.strip() for p in re.split(r"(?<=[.!?])\s+", t)] for t in texts]
+    pieces = [[p.strip() for p in re.split(r"(?<=[.!?])\s+", t.strip())] for t in texts]
     assert values(spark, T.sentence_array("c"), texts) == pieces
+    for least in (1, 2):
+        long = [[p for p in ps if len(p.split()) > least] for ps in pieces]
+        assert values(spark, T.long_sentences("c", least), texts) == long
+    lines = [re.sub("\n{3,}", "\n\n", "\n".join(x.strip(" \t") for x in t.split("\n"))) for t in texts]
+    assert values(spark, T.clean_whitespace("c"), texts) == lines
 
 
 def docs(spark):
@@ -95,14 +100,21 @@ def test_snippets(spark):
     }
 
 
-def test_empty_pieces_leave_gaps(spark):
+def test_split_positions(spark):
     df = spark.createDataFrame([(1, "A. (x)\n. B.")], "doc_id long, article string")
     rows = S.split_sentences(df, clean=False).collect()
     assert [(r.split_id, r.article_snippet) for r in rows] == [(0, "A."), (1, "(x)\n."), (2, "B.")]
-    blank = spark.createDataFrame([(1, " . A. ")], "doc_id long, article string")
+    blank = spark.createDataFrame([(1, " . A. "), (2, " ")], "doc_id long, article string")
     assert [r.split_id for r in S.split_sentences(blank, clean=False).collect()] == [0, 1]
 
 
+def test_long_sentences_of_any_limit(spark):
+    text = " ".join(["w"] * 70) + ". " + " ".join(["w"] * 71) + ". One."
+    for least, kept in ((0, 3), (1, 2), (64, 2), (65, 2), (70, 1), (71, 0)):
+        [found] = values(spark, T.long_sentences("c", least), [text])
+        assert len(found) == kept
+
+
 def test_abbreviations_do_not_end_a_sentence(spark):
     text = "Dr. Who met e.g. Ann. She left."
     plain, guarded = T.sentence_array("c"), T.sentence_array("c", ["Dr.", "e.g."])
