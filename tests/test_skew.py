@@ -1,6 +1,7 @@
 """A third of all rows under one key: the engine must be able to split them."""
 
 import pytest
+from conftest import plan_of
 from pyspark.sql import functions as F
 
 from corpusflow.operators.joins import join_table
@@ -36,11 +37,8 @@ def skewed(spark, key, value):
 
 def final_plan(df):
     """Run the query and give the plan as it was adapted."""
-    df.write.format("noop").mode("overwrite").save()
-    rows = df._jdf.queryExecution()
-    df.count()
-    df._jdf.collectToPython()
-    return rows.executedPlan().toString()
+    df.collect()
+    return plan_of(df)
 
 
 def keys(spark, key, value):
