@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusflow.llm.bpe import encode
 from corpusflow.llm.mixing import mix
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,3 +28,18 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mix(docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@_query
+def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    coded = encode(
+        docs, path, public_tokenizers.PATTERN, outputs=("n_tokens", "ids_text", "decoded")
+    )
+    return coded.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids_text", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
