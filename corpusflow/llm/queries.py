@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusflow.llm.bpe import encode
+from corpusflow.llm.fingerprints import edited, fingerprint, with_likeness, with_next
 from corpusflow.llm.mixing import mix
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,3 +44,29 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("ids_text", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@_query
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select(
+        "doc_id", F.coalesce("text", F.lit("")).alias("text")
+    )
+    pairs = with_next(fingerprint(docs), "doc_id", ["text", "fingerprint"]).select(
+        F.col("id").alias("doc_id"),
+        F.char_length("text").cast("long").alias("n_chars"),
+        edited("text", "next_text").alias("text"),
+        "fingerprint",
+        "next_fingerprint",
+    )
+    digested = pairs.withColumn("edited_sha256", F.sha2("text", 256))
+    both = fingerprint(digested, "text", "edited_fingerprint").drop("text")
+    near = with_likeness(both, "fingerprint", "edited_fingerprint", "near_edited")
+    return with_likeness(near, "fingerprint", "next_fingerprint", "near_next").select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
+        "fingerprint",
+        "edited_fingerprint",
+        "near_edited",
+        "near_next",
+    )
