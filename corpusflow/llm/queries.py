@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from corpusflow.llm.bpe import encode
 from corpusflow.llm.fingerprints import edited, fingerprint, with_likeness, with_next
+from corpusflow.llm.lang_id import held_out, identify, train
 from corpusflow.llm.mixing import mix
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,3 +71,11 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
         "near_edited",
         "near_next",
     )
+
+
+@_query
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = train(docs, ~held_out("doc_id"))
+    texts = docs.select("doc_id", held_out("doc_id").alias("held_out"), "text")
+    return identify(texts, model).select("doc_id", "held_out", "lang_pred", "score")

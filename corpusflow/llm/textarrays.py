@@ -72,17 +72,21 @@ def lowered(data: np.ndarray) -> np.ndarray:
     return table[data]
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def words(
+    data: np.ndarray, offsets: np.ndarray, letters: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end of each word, and for each text the index of its first word.
 
-    Words are runs of bytes other than ``SPACES`` and never cross two texts.
+    Words are runs of bytes that ``letters``, a table of 256 marks, allows: by default all but
+    ``SPACES``. They never cross two texts.
     """
     if not len(data):
         none = np.zeros(0, np.int64)
         return none, none, np.zeros(len(offsets), np.int64)
-    inside = np.ones(256, bool)
-    inside[list(SPACES)] = False
-    inside = inside[data]
+    if letters is None:
+        letters = np.ones(256, bool)
+        letters[list(SPACES)] = False
+    inside = letters[data]
     edge = np.zeros(len(data) + 1, bool)
     edge[offsets] = True
     before = np.empty(len(data), bool)
