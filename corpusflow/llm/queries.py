@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusflow.llm import toxicity
 from corpusflow.llm.bpe import encode
 from corpusflow.llm.fingerprints import edited, fingerprint, with_likeness, with_next
 from corpusflow.llm.lang_id import held_out, identify, train
@@ -79,3 +80,12 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = train(docs, ~held_out("doc_id"))
     texts = docs.select("doc_id", held_out("doc_id").alias("held_out"), "text")
     return identify(texts, model).select("doc_id", "held_out", "lang_pred", "score")
+
+
+@_query
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = _table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    model = toxicity.train(docs.where(~held_out("doc_id")), labels)
+    texts = docs.select("doc_id", held_out("doc_id").alias("held_out"), "text")
+    return toxicity.score(texts, model).select("doc_id", "held_out", "score", "predicted")
