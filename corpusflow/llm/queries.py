@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusflow.llm import toxicity
+from corpusflow.llm import graph_search, toxicity
 from corpusflow.llm.bpe import encode
 from corpusflow.llm.fingerprints import edited, fingerprint, with_likeness, with_next
 from corpusflow.llm.lang_id import held_out, identify, train
@@ -89,3 +89,12 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.train(docs.where(~held_out("doc_id")), labels)
     texts = docs.select("doc_id", held_out("doc_id").alias("held_out"), "text")
     return toxicity.score(texts, model).select("doc_id", "held_out", "score", "predicted")
+
+
+@_query
+def op3_graph_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    shards = graph_search.shards_for(vectors)
+    graphs = graph_search.index(vectors, k=10, shards=shards)
+    queries = vectors.where("vec_id % 100 = 0")
+    return graph_search.search(graphs, queries, k=10, shards=shards)
