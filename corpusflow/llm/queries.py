@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 
 from corpusflow.llm import graph_search, toxicity
 from corpusflow.llm.bpe import encode
-from corpusflow.llm.fingerprints import edited, fingerprint, with_likeness, with_next
+from corpusflow.llm.fingerprints import with_edits
 from corpusflow.llm.lang_id import held_out, identify, train
 from corpusflow.llm.mixing import mix
+from corpusflow.llm.substrings import deduplicate
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -50,28 +51,8 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _table(spark, sf_dir, "documents").select(
-        "doc_id", F.coalesce("text", F.lit("")).alias("text")
-    )
-    pairs = with_next(fingerprint(docs), "doc_id", ["text", "fingerprint"]).select(
-        F.col("id").alias("doc_id"),
-        F.char_length("text").cast("long").alias("n_chars"),
-        edited("text", "next_text").alias("text"),
-        "fingerprint",
-        "next_fingerprint",
-    )
-    digested = pairs.withColumn("edited_sha256", F.sha2("text", 256))
-    both = fingerprint(digested, "text", "edited_fingerprint").drop("text")
-    near = with_likeness(both, "fingerprint", "edited_fingerprint", "near_edited")
-    return with_likeness(near, "fingerprint", "next_fingerprint", "near_next").select(
-        "doc_id",
-        "n_chars",
-        "edited_sha256",
-        "fingerprint",
-        "edited_fingerprint",
-        "near_edited",
-        "near_next",
-    )
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return with_edits(docs).withColumnRenamed("id", "doc_id")
 
 
 @_query
@@ -98,3 +79,11 @@ def op3_graph_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     graphs = graph_search.index(vectors, k=10, shards=shards)
     queries = vectors.where("vec_id % 100 = 0")
     return graph_search.search(graphs, queries, k=10, shards=shards)
+
+
+@_query
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return deduplicate(docs, size=13).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256")
+    )
