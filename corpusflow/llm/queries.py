@@ -13,6 +13,7 @@ from corpusflow.llm.bpe import encode
 from corpusflow.llm.fingerprints import with_edits
 from corpusflow.llm.lang_id import held_out, identify, train
 from corpusflow.llm.mixing import mix
+from corpusflow.llm.set_join import link_classes
 from corpusflow.llm.substrings import deduplicate
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,3 +88,9 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return deduplicate(docs, size=13).select(
         "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256")
     )
+
+
+@_query
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return link_classes(docs).select("doc_id", "n_shingles", "component_id")
