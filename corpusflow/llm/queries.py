@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from corpusflow.llm import graph_search, toxicity
 from corpusflow.llm.bpe import encode
+from corpusflow.llm.byte_spans import remove_repeats
 from corpusflow.llm.fingerprints import with_edits
 from corpusflow.llm.lang_id import held_out, identify, train
 from corpusflow.llm.mixing import mix
@@ -94,3 +95,11 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return link_classes(docs).select("doc_id", "n_shingles", "component_id")
+
+
+@_query
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return remove_repeats(docs, length=200).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )

@@ -89,6 +89,7 @@ def reply(messages: DataFrame, answer: Answer) -> DataFrame:
     """Answers ``slice, chunk, payload``: one for each message, worked out slice by slice."""
 
     def respond(slice_: pa.Table) -> pa.Table:
+        slice_ = slice_.sort_by("chunk")  # a repeated task must decide alike
         found = answer(slice_.column("payload").to_pylist())
         return pa.Table.from_arrays(
             [slice_.column("slice"), slice_.column("chunk"), pa.array(found, pa.binary())],

@@ -6,6 +6,8 @@ over the whole batch at once. A null text counts as an empty one. Nothing here k
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -109,6 +111,22 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mixed((total[ends] - total[starts]) * down[starts] + length)
 
 
+def span_hashes(data: np.ndarray) -> Callable[[np.ndarray, np.ndarray, int], np.ndarray]:
+    """A function that hashes any spans of the bytes in constant time each; two lanes."""
+    up, down = _Powers.to(len(data) + 1)
+    totals = []
+    for keys in (_BYTE_KEYS, mixed(_BYTE_KEYS)):
+        total = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(keys[data] * up[:-1], dtype=np.uint64, out=total[1:])
+        totals.append(total)
+
+    def spans(begin: np.ndarray, end: np.ndarray, lane: int) -> np.ndarray:
+        length = (end - begin).astype(np.uint64)
+        return mixed((totals[lane][end] - totals[lane][begin]) * down[begin] + length)
+
+    return spans
+
+
 def run_hashes(hashes: np.ndarray, size: int, lane: int = 0) -> np.ndarray:
     """A hash of every ``size`` neighbouring values; two lanes make a 128-bit one."""
     n = len(hashes) - size + 1
