@@ -38,6 +38,8 @@ from corpusflow.llm.textarrays import lowered, utf8, word_hashes, words
 WORD_BITS = 16
 STRETCHES = (4, 32)
 SAMPLE = 3000
+# Up to so many labels (some 100 MB as a hash table) go to the texts; beyond, both are shuffled.
+BROADCAST_LABELS = 2_000_000
 _EMPTY_WORD = 2**WORD_BITS  # stands before a text's first word
 
 # Letters, digits and every byte of a character beyond ASCII make words; the rest separates.
@@ -134,12 +136,14 @@ class ToxicityModel:
 
 
 def _labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str) -> DataFrame:
+    few = labels.limit(BROADCAST_LABELS + 1).count() <= BROADCAST_LABELS
     marks = (
         labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
         .groupBy(F.col(id_col).alias("id"))
         .agg(F.max((F.col(label_col) == 1).cast("int")).alias("label"))
     )
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(marks, "id")
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    return texts.join(F.broadcast(marks) if few else marks, "id")
 
 
 def count_words(labelled: DataFrame) -> DataFrame:
@@ -203,7 +207,9 @@ def train(
             np.zeros(size, np.float32), np.array([0.0] * (2 + len(STRETCHES)) + [bias])
         )
     picked = ids.withColumn("place", F.row_number().over(order)).where(F.col("place") <= SAMPLE)
-    sample = labelled.join(picked.select("id", "label").distinct(), ["id", "label"])
+    # At most 2 * SAMPLE rows are broadcast.
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    sample = texts.join(F.broadcast(picked.select("id", "label").distinct()), "id")
     table = model.table()
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
