@@ -13,6 +13,7 @@ from corpusflow.llm.bpe import encode
 from corpusflow.llm.byte_spans import remove_repeats
 from corpusflow.llm.fingerprints import with_edits
 from corpusflow.llm.lang_id import held_out, identify, train
+from corpusflow.llm.line_join import remove_lines
 from corpusflow.llm.mixing import mix
 from corpusflow.llm.set_join import link_classes
 from corpusflow.llm.substrings import deduplicate
@@ -103,3 +104,11 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(docs, length=200).select(
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
     )
+
+
+@_query
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return remove_lines(docs).select(
+        "doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")
+    )
