@@ -15,7 +15,8 @@ Other columns pass through; a result column replaces one of the same name.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import hashlib
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +29,8 @@ from corpusflow.llm.textarrays import lowered, mixed, shingles, utf8
 BINS = 256
 BITS = 4
 WORDS = 5
+# Texts worked on at a time in a task; bounds its arrays.
+BLOCK = 128
 
 
 def sketches(texts: pa.Array, bins: int = BINS, words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
@@ -99,8 +102,8 @@ def fingerprint(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
+            for at in range(0, batch.num_rows, BLOCK):
+                part = batch.slice(at, BLOCK)
                 made = packed(*sketches(part.column(text_col), bins, words), bits)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(n) for n in names] + [pa.array(made, pa.string())],
@@ -130,25 +133,41 @@ def with_likeness(
     return df.mapInArrow(run, schema)
 
 
+def _key(id_col: str) -> Column:
+    return F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63)))
+
+
+def range_heads(docs: DataFrame, id_col: str = "doc_id") -> list[int]:
+    """Ids that cut a table into ranges of about equal size: three per shuffle partition."""
+    ranges = 3 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    share = F.array(*[F.lit(i / ranges) for i in range(1, ranges)])
+    key = _key(id_col)
+    found = docs.agg(F.percentile_approx(key, share, 10_000), F.max(key)).first()
+    return sorted({*(found[0] or []), *([] if found[1] is None else [found[1]])})
+
+
 def with_next(
-    docs: DataFrame, id_col: str = "doc_id", carried: Sequence[str] = ("text",)
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    carried: Sequence[str] = ("text",),
+    act: Callable[[pa.Table], pa.Table] | None = None,
+    schema: T.StructType | None = None,
+    heads: Sequence[int] | None = None,
 ) -> DataFrame:
     """Each row's ``id``, its ``carried`` columns, and ``next_*``: those of the next row.
 
+    ``act`` may turn each small block of such rows (ids as ``key``) into other columns, which
+    ``schema`` names; it runs in the task that pairs them, so texts need not travel further.
+
     The order is by descending id (null last), ties by the carried columns; after the last row
     comes the first. Ids are cut into ranges at approximate quantiles, which are ids that
     occur, so a range's first row is known beforehand: it also goes to the range before it as
-    the closing row there. Each row moves once, and a range streams through its task. Only the
-    quantiles, three per shuffle partition, reach the driver.
+    the closing row there. Each row moves once, and a range streams through its task.
+    ``heads`` are the ranges' first ids, if known already.
     """
-    spark = docs.sparkSession
     least = -(2**63)
-    key = F.coalesce(F.col(id_col).cast("long"), F.lit(least))
-    rows = docs.select(key.alias("key"), *carried)
-    ranges = 3 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    share = F.array(*[F.lit(i / ranges) for i in range(1, ranges)])
-    found = rows.agg(F.percentile_approx("key", share, 10_000), F.max("key")).first()
-    heads = sorted({*(found[0] or []), *([] if found[1] is None else [found[1]])})
+    rows = docs.select(_key(id_col).alias("key"), *carried)
+    heads = range_heads(docs, id_col) if heads is None else heads
     ascending = F.array(*[F.lit(h) for h in heads]).cast("array<bigint>")
     count = F.lit(max(1, len(heads)))
     part = F.size(F.filter(ascending, lambda h: h < F.col("key")))
@@ -170,32 +189,74 @@ def with_next(
     columns = ["key", *carried]
     fields = [placed.schema[c] for c in columns]
     following = [T.StructField(f"next_{c}", placed.schema[c].dataType) for c in carried]
-    schema = T.StructType([*fields, *following])
+    paired = T.StructType([*fields, *following])
 
     def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: tuple | None = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            made: list[tuple] = []
-            for row in zip(*(batch.column(c).to_pylist() for c in ("part", "closing", *columns))):
-                if held is not None and held[0] == row[0] and not held[1]:
-                    made.append((*held[2:], *row[3:]))
-                held = row
-            kinds = [batch.schema.field(c).type for c in (*columns, *carried)]
-            values = list(zip(*made)) if made else [()] * len(kinds)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(v, k) for v, k in zip(values, kinds)], names=schema.names
-            )
+        for whole in batches:
+            for at in range(0, whole.num_rows, BLOCK):
+                batch = whole.slice(at, BLOCK)
+                made: list[tuple] = []
+                for row in zip(
+                    *(batch.column(c).to_pylist() for c in ("part", "closing", *columns))
+                ):
+                    if held is not None and held[0] == row[0] and not held[1]:
+                        made.append((*held[2:], *row[3:]))
+                    held = row
+                kinds = [batch.schema.field(c).type for c in (*columns, *carried)]
+                values = list(zip(*made)) if made else [()] * len(kinds)
+                table = pa.table(
+                    [pa.array(v, k) for v, k in zip(values, kinds)], names=paired.names
+                )
+                yield from (act(table) if act else table).to_batches()
 
+    if act is not None:
+        return placed.mapInArrow(pair, schema)
     known = F.when(F.col("key") != least, F.col("key")).alias("id")
-    return placed.mapInArrow(pair, schema).select(known, *schema.names[1:])
+    return placed.mapInArrow(pair, paired).select(known, *paired.names[1:])
 
 
-def edited(text: str, follow: str, share: int = 2) -> Column:
-    """The text with its last ``1/share`` of characters replaced by the first of ``follow``."""
-    cut = F.floor(F.char_length(text) / share).cast("int")
-    return F.concat(
-        F.substr(F.col(text), F.lit(1), F.char_length(text) - cut),
-        F.substr(F.col(follow), F.lit(1), cut),
-    )
+def with_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Fingerprints of every text and of its edited text, with their likenesses.
+
+    The edited text has its last half (rounded down) replaced by as many first characters of
+    the next document's text, or all it has. Columns: ``id, n_chars, edited_sha256,
+    fingerprint, edited_fingerprint, near_edited, near_next``.
+    """
+    texts = docs.select(id_col, F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+
+    def compare(rows: pa.Table) -> pa.Table:
+        own, follow = rows.column("text").to_pylist(), rows.column("next_text").to_pylist()
+        edit = [t[: len(t) - len(t) // 2] + f[: len(t) // 2] for t, f in zip(own, follow)]
+        prints, after = rows.column("fingerprint").to_pylist(), packed(*sketches(pa.array(edit, pa.string())))
+        near = likeness(prints, after), likeness(prints, rows.column("next_fingerprint").to_pylist())
+        return pa.table(
+            {
+                "id": rows.column("key"),
+                "n_chars": pa.array([len(t) for t in own], pa.int64()),
+                "edited_sha256": pa.array(
+                    [hashlib.sha256(e.encode()).hexdigest() for e in edit], pa.string()
+                ),
+                "fingerprint": rows.column("fingerprint"),
+                "edited_fingerprint": pa.array(after, pa.string()),
+                "near_edited": pa.array(near[0], pa.float64()),
+                "near_next": pa.array(near[1], pa.float64()),
+            }
+        )
+
+    schema = T.StructType()
+    for name, kind in (
+        ("id", T.LongType()),
+        ("n_chars", T.LongType()),
+        ("edited_sha256", T.StringType()),
+        ("fingerprint", T.StringType()),
+        ("edited_fingerprint", T.StringType()),
+        ("near_edited", T.DoubleType()),
+        ("near_next", T.DoubleType()),
+    ):
+        schema = schema.add(name, kind)
+    carried = ["text", "fingerprint"]
+    heads = range_heads(docs, id_col)
+    found = with_next(fingerprint(texts), id_col, carried, compare, schema, heads)
+    known = F.when(F.col("id") != -(2**63), F.col("id")).alias("id")
+    return found.select(known, *schema.names[1:])
