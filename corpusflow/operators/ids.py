@@ -58,8 +58,8 @@ def with_doc_id(
 
     An id column that is there already is kept. Without ``key_cols`` the ids are unique
     and increasing but not dense, and cost no shuffle. With ``key_cols`` they are the
-    positions in the order of the keys' digest: the same rows get the same ids whatever
-    the layout of the table.
+    positions in the order of the keys' digest, ties in the order of the whole row's digest:
+    the same rows get the same ids whatever the layout of the table.
     """
     if id_col in df.columns:
         return df
@@ -68,7 +68,8 @@ def with_doc_id(
     if not key_cols:
         raise ColumnException("key_cols must name at least one column")
     parts = [F.coalesce(F.col(c).cast("string"), F.lit("\x1e")) for c in key_cols]
-    return with_position(df, [F.md5(F.concat_ws("\x1f", *parts))], id_col)
+    whole = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    return with_position(df, [F.md5(F.concat_ws("\x1f", *parts)), whole], id_col)
 
 
 def assign_batches(

@@ -61,9 +61,12 @@ def generate_batches(
 def expand_sequences(
     df: DataFrame, sequences: str = "sequences", text: str = "prediction"
 ) -> DataFrame:
-    """One row per generated sequence with its number; the link to the row is kept."""
+    """One row per generated sequence with its number; the link to the row is kept.
+
+    A row without sequences (it had no prompt) stays as one row, number and text null.
+    """
     others = [c for c in df.columns if c != sequences]
-    return df.select(*others, F.posexplode(sequences).alias("seq_no", text))
+    return df.select(*others, F.posexplode_outer(sequences).alias("seq_no", text))
 
 
 def extractive_generator(

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from corpusflow.functions.tokens import regex_tokens
 
 TRAINING_FRACTION = 0.1  # fixed value
-_STEPS = 1_000_000
+_DIGITS = 15  # hex digits of a digest that are compared: 60 bits
 
 
 def sample(df: DataFrame, fraction: float = TRAINING_FRACTION, seed: int = 0) -> DataFrame:
@@ -19,10 +19,15 @@ def sample(df: DataFrame, fraction: float = TRAINING_FRACTION, seed: int = 0) ->
 def hash_sample(
     df: DataFrame, key: str, fraction: float = TRAINING_FRACTION, salt: str = ""
 ) -> DataFrame:
-    """Keep a fixed share of keys, the same rows on any layout."""
-    digest = F.md5(F.concat(F.col(key).cast("string"), F.lit(salt)))
-    slot = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % _STEPS
-    return df.where(slot < round(fraction * _STEPS))
+    """Keep a fixed share of keys, the same rows on any layout.
+
+    The digest's first 60 bits are compared with the fraction, so tiny fractions work too. A
+    null key has a digest of its own: such rows are kept or left out together.
+    """
+    named = F.coalesce(F.col(key).cast("string"), F.lit("\x00null"))
+    digest = F.md5(F.concat(named, F.lit(salt)))
+    slot = F.conv(F.substring(digest, 1, _DIGITS), 16, 10).cast("long")
+    return df.where(slot < int(fraction * 16**_DIGITS))
 
 
 def with_token_count(

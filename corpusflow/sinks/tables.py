@@ -10,13 +10,14 @@ from datetime import datetime, timezone
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from corpusflow.errors import KeyViolation
 from corpusflow.operators.upsert import upsert
 
 TIMESTAMP_COLUMN = "processing_ts"  # fixed value
+MOST_PARTITIONS = 10_000
 _VERSION = "__version_"  # marks the folders of replaced tables
 
 
@@ -148,6 +149,23 @@ def _partition_columns(spark: SparkSession, name: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
 
 
+def _in_partitions(target: DataFrame, parts: Sequence[str], values: Sequence[Row]) -> Column:
+    """Whether a row lies in one of the partitions, told column by column so that it prunes.
+
+    With several partition columns this allows every combination of their values, which is
+    more than the source has but never less; the merge leaves rows it does not match alone.
+    """
+    tests = []
+    for i, part in enumerate(parts):
+        kind = target.schema[part].dataType
+        known = {row[i] for row in values if row[i] is not None}
+        test = F.col(part).isin([F.lit(v).cast(kind) for v in known]) if known else F.lit(False)
+        if any(row[i] is None for row in values):
+            test = test | F.col(part).isNull()
+        tests.append(test)
+    return reduce(and_, tests)
+
+
 def upsert_table(
     source: DataFrame,
     name: str,
@@ -159,7 +177,8 @@ def upsert_table(
     """Merge into an existing table; the first call creates it.
 
     When the table is partitioned by some of the match columns, rows can only match inside
-    the partitions the source has, so only those are read and rewritten. A ``check`` wants
+    the partitions the source has, so only those are read and rewritten. The scan is pruned by
+    literal values, of which up to ``MOST_PARTITIONS`` are fetched; beyond, a semi join filters. A ``check`` wants
     to see the whole table, which is then staged as a whole.
     """
     spark = source.sparkSession
@@ -171,8 +190,12 @@ def upsert_table(
     by_partition = bool(parts) and set(parts) <= set(config.on_match_cols) and check is None
     if by_partition:
         found = source.select(*[F.col(p).alias(f"__{p}") for p in parts]).distinct()
-        same = reduce(and_, [F.col(p).eqNullSafe(F.col(f"__{p}")) for p in parts])
-        target = target.join(found, same, "left_semi")
+        values = found.limit(MOST_PARTITIONS + 1).collect()
+        if len(values) <= MOST_PARTITIONS:
+            target = target.where(_in_partitions(target, parts, values))
+        else:
+            same = reduce(and_, [F.col(p).eqNullSafe(F.col(f"__{p}")) for p in parts])
+            target = target.join(found, same, "left_semi")
     merged = upsert(
         target, source, config.on_match_cols, config.exclusion_list, config.null_safe
     )

@@ -20,13 +20,15 @@ def read_json_docs(
     path: str | list[str],
     schema: T.StructType | str | None = None,
     multi_line: bool = True,
+    mode: str = "FAILFAST",
 ) -> DataFrame:
     """Many JSON files in parallel: one document, or an array of rows, per file.
 
-    Pass the schema on large inputs; inferring it reads every file once more.
+    Pass the schema on large inputs; inferring it reads every file once more. A broken file is
+    an error; other modes of the reader keep it as nulls or drop it.
     """
     reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.json(path, multiLine=multi_line)
+    return reader.json(path, multiLine=multi_line, mode=mode)
 
 
 def expand_archives(archives: DataFrame) -> DataFrame:

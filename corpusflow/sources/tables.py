@@ -38,13 +38,3 @@ def read_tables(
             continue
         tables[name] = spark.table(full_name)
     return tables
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Give a scan of few, large row groups to all cores.
-
-    A row group is read by one task, however many cores wait for work on its text. A table
-    with enough splits is left as it is, so large inputs are never shuffled for this.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() * 2 <= cores else df

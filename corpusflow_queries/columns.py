@@ -123,12 +123,11 @@ def _defaults_sql() -> str:
 
 @query(
     "request_signature",
-    f"SELECT text AS articles, {_defaults_sql()} FROM conversations WHERE role = 'user'",
+    f"SELECT text AS articles, {_defaults_sql()} FROM documents",
 )
 def request_signature(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Defaults filled in, one overridden, then checked against the signature."""
-    turns = I.table(spark, sf_dir, "conversations").where("role = 'user'")
-    asked = turns.select(F.col("text").alias("articles"))
+    asked = I.documents(spark, sf_dir).select(F.col("text").alias("articles"))
     return columns.enforce_signature(columns.with_default_params(asked, {"temperature": 0.5}))
 
 

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from corpusflow.functions.text import WHITESPACE, clean_text, long_sentences
 from corpusflow.operators.joins import half
-from corpusflow.sources.tables import spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,8 +14,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``doc_id, text`` of every document, spread for work on the text."""
-    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    """``doc_id, text`` of every document."""
+    return table(spark, sf_dir, "documents").select("doc_id", "text")
 
 
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,7 +38,7 @@ def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The join key holds the turn number, so the turns of one long conversation spread.
     """
-    turns = spread(table(spark, sf_dir, "conversations"))
+    turns = table(spark, sf_dir, "conversations")
     asked = turns.where("role = 'user'").select(
         "conv_id", "turn", F.col("text").alias("reference")
     )

@@ -9,7 +9,6 @@ from corpusflow.operators.inference import echo_with, extractive_generator
 from corpusflow.plans import modeling
 from corpusflow.sinks import tables as sinks
 from corpusflow.sinks.files import write_predictions
-from corpusflow.sources.tables import spread
 from corpusflow.storage import staging_path
 from corpusflow_queries import inputs as I
 from corpusflow_queries.prompts import _ANSWER, _BATCH
@@ -42,27 +41,27 @@ def _load():
 
 
 _PREDICTED = f"""
-SELECT conv_id, turn, n - 1 AS seq_no, CASE n WHEN 1 THEN {I.sql_leading("text", 1)}
+SELECT doc_id, n - 1 AS seq_no, CASE n WHEN 1 THEN {I.sql_leading("text", 1)}
        ELSE {I.sql_leading("text", 2)} END AS predicted_summary
-FROM conversations, (SELECT unnest([1, 2]) AS n) WHERE role = 'user'
+FROM documents, (SELECT unnest([1, 2]) AS n)
 """
 
 
 @query("batch_predict", _PREDICTED)
 def batch_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    asked = spread(I.table(spark, sf_dir, "conversations").where("role = 'user'"))
+    asked = I.documents(spark, sf_dir)
     return modeling.predict(
-        asked, _load, "text", keep=["conv_id", "turn"], params={"num_return_sequences": 2}
+        asked, _load, "text", keep=["doc_id"], params={"num_return_sequences": 2}
     ).drop("articles")
 
 
 @query(
     "written_predictions",
     f"""SELECT text AS articles, {I.sql_leading("text", 1)} AS predicted_summary
-        FROM conversations WHERE role = 'user'""",
+        FROM documents""",
 )
 def written_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    asked = spread(I.table(spark, sf_dir, "conversations").where("role = 'user'"))
+    asked = I.documents(spark, sf_dir)
     path = staging_path(spark, "predictions")
     write_predictions(modeling.predict(asked, _load, "text"), path)
     return spark.read.schema("articles string, predicted_summary string").json(path)

@@ -108,15 +108,13 @@ _ASK = _sql(f"`{P.INTRO}\n### Instruction:\n`", "reference", "`\n\n### Response:
 
 @query(
     "inference_prompts",
-    f"""SELECT conv_id, turn, {_TAGGED} AS tagged, {_PLAIN} AS plain, {_BATCH} AS batch,
+    f"""SELECT doc_id, {_TAGGED} AS tagged, {_PLAIN} AS plain, {_BATCH} AS batch,
         {_ASK_SUMMARY} AS summary, {_ASK} AS instruction
-        FROM (SELECT conv_id, turn, text AS reference FROM conversations WHERE role = 'user')""",
+        FROM (SELECT doc_id, text AS reference FROM documents)""",
 )
 def inference_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    asked = I.table(spark, sf_dir, "conversations").where("role = 'user'")
-    return asked.select(
-        "conv_id",
-        "turn",
+    return I.documents(spark, sf_dir).select(
+        "doc_id",
         P.system_tag_inference_prompt("text").alias("tagged"),
         P.plain_inference_prompt("text").alias("plain"),
         P.inference_prompt("text").alias("batch"),

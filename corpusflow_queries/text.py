@@ -112,7 +112,8 @@ def length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "hash_sample",
-    f"SELECT doc_id, lang, n_chars FROM documents WHERE {I.sql_slot('doc_id', 1000000)} < 100000",
+    """SELECT doc_id, lang, n_chars FROM documents
+       WHERE ('0x' || substr(md5(doc_id::VARCHAR), 1, 15))::BIGINT < 0.1 * 1152921504606846976""",
 )
 def hash_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = I.table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars")

@@ -97,6 +97,24 @@ def test_samples(spark):
     assert sampling.sample(df, 0.1, 3).collect() == sampling.sample(df, 0.1, 3).collect()
 
 
+def test_samples_of_null_keys_and_tiny_fractions(spark):
+    df = spark.range(3).select(F.when(F.col("id") > 0, F.col("id")).alias("id"))
+    assert sampling.hash_sample(df, "id", 1.0).count() == 3
+    assert sampling.hash_sample(df, "id", 0.0).count() == 0
+    few = sampling.hash_sample(spark.range(3_000_000), "id", 4e-6).count()
+    assert 1 <= few <= 40
+    assert sampling.hash_sample(spark.range(1000), "id", 1e-9).count() == 0
+
+
+def test_ids_of_equal_keys_do_not_depend_on_the_layout(spark):
+    df = spark.range(60).select(F.lit("same").alias("text"), F.col("id").alias("other"))
+    made = [
+        {(r.other, r.doc_id) for r in ids.with_doc_id(d, ["text"]).collect()}
+        for d in (df, df.repartition(7))
+    ]
+    assert made[0] == made[1] and len({i for _, i in made[0]}) == 60
+
+
 def test_tokens(spark):
     from corpusflow.functions.tokens import custom_tokens
 

@@ -56,7 +56,7 @@ def test_only_needed_columns_are_read(spark):
 
 
 def test_filters_reach_the_scan(spark):
-    plan = plan_of(entry.queries()["batch_predict"](spark, SF_DIR))
+    plan = plan_of(entry.queries()["chat_prompts"](spark, SF_DIR))
     assert "EqualTo(role,user)" in plan
 
 

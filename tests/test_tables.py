@@ -10,7 +10,7 @@ from corpusflow.errors import KeyViolation
 from corpusflow.plans import stages
 from corpusflow.sinks import files, tables
 from corpusflow.sources.files import read_archives, read_json_docs
-from corpusflow.sources.tables import read_splits, read_tables, spread
+from corpusflow.sources.tables import read_splits, read_tables
 
 TS = datetime(2024, 5, 1, 12)
 
@@ -155,12 +155,6 @@ def test_read_splits(spark, tmp_path):
     assert {k: v.count() for k, v in splits.items()} == {"train": 2, "test": 2}
 
 
-def test_spread(spark):
-    assert spread(spark.range(100).coalesce(1)).rdd.getNumPartitions() == 8
-    many = spark.range(100).repartition(5)
-    assert spread(many) is many
-
-
 def test_json_docs(spark, tmp_path):
     for i in range(3):
         (tmp_path / f"{i}.json").write_text(json.dumps({"id": i, "text": f"a\nb{i}"}, indent=2))
@@ -270,3 +264,32 @@ def test_upsert_rewrites_only_touched_partitions(spark, schema):
     tables.upsert_table(second.withColumn("v", F.lit("z")), name, config)
     assert spark.table(name).where("v = 'z'").count() == 3  # the null partition never matches
     assert spark.table(name).count() == 7
+
+
+def test_broken_json_is_an_error(spark, tmp_path):
+    (tmp_path / "good.json").write_text('{"id": 1, "text": "a"}')
+    (tmp_path / "bad.json").write_text('{"id": 2, "te')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_json_docs(spark, str(tmp_path), "id int, text string").collect()
+    kept = read_json_docs(spark, str(tmp_path), "id int, text string", mode="DROPMALFORMED")
+    assert [tuple(r) for r in kept.where("id is not null").collect()] == [(1, "a")]
+
+
+def test_upsert_reads_only_the_partitions_of_the_source(spark, schema, monkeypatch):
+    name = f"{schema}.parted"
+    rows = [(i, i % 4 if i % 5 else None, "old") for i in range(40)]
+    tables.save_table(spark.createDataFrame(rows, "k int, p int, v string"), name, partition_by="p")
+    plans = []
+
+    def watched(target, *rest):
+        plans.append(target._jdf.queryExecution().executedPlan().toString())
+        return upsert(target, *rest)
+
+    upsert = tables.upsert
+    monkeypatch.setattr(tables, "upsert", watched)
+    source = spark.createDataFrame([(1, 1, "new"), (5, None, "new"), (99, 1, "new")], "k int, p int, v string")
+    tables.upsert_table(source, name, tables.UpsertConfig(["k", "p"], null_safe=True))
+    assert "PartitionFilters: [(" in plans[0] and "PartitionFilters: []" not in plans[0]
+    found = {(r.k, r.p): r.v for r in spark.table(name).collect()}
+    expected = {(k, p): v for k, p, v in rows} | {(1, 1): "new", (5, None): "new", (99, 1): "new"}
+    assert found == expected
