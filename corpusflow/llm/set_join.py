@@ -9,12 +9,14 @@ Two documents link when the Jaccard likeness of their sets of word shingles is a
 2. Documents with equal sets become one class. Each class is posted under the smallest hashes of
    its set, so many that two linked sets must meet under one of them (prefix filter), once for
    its size band and once for the next: sets that link lie in the same or neighbouring bands.
-3. In a few rounds each class is compared with the class that leads most of its posts, a seeded
-   choice in each. These links join large groups of near copies without looking at all pairs.
-4. Posts that still hold several components become tiles, cut into blocks of ``BLOCK`` sets. In a
-   tile, the bits in which two hashed bitmaps differ bound the overlap from above; a pair is
-   looked at only under the smallest hash it shares and if it joins two components. The pairs
-   that remain are settled by intersecting their sorted arrays.
+3. In a few rounds each class is compared with the ``LEADERS`` classes, seeded choices of each
+   post, that it meets in most posts. These links join large groups of near copies without
+   looking at all pairs.
+4. Posts that still hold several components become tiles, one for all posts of the same members,
+   cut into blocks of ``BLOCK`` sets. In a tile, the bits in which two hashed bitmaps differ
+   bound the overlap from above; pairs inside a component are passed over, and a pair is
+   given out only under the least post it shares. The pairs that remain are settled by
+   intersecting their sorted arrays.
 5. Components come from alternating stars.
 
 No link between different components is skipped, so the classes are exact; links inside a
@@ -45,7 +47,9 @@ from corpusflow.llm.textarrays import lowered, mixed, shingles, utf8
 WORDS = 5
 PERCENT = 75
 BLOCK = 512
-ROUNDS = 2
+TILE_ROWS = 20_000
+ROUNDS = 3
+LEADERS = 4
 # On average a word and the blank after it take at least this many bytes.
 _BYTES_A_WORD = 4
 
@@ -118,7 +122,7 @@ def link_classes(
 
     answers = reply(ask(chunks, count), sketch.answer)
     found = written(finish(chunks, answers, describe, "id long, n long, set binary"), "sets")
-    found = found.withColumn("key", F.when(F.col("set").isNotNull(), F.sha2("set", 256)))
+    found = found.withColumn("key", F.unhex(F.md5("set")))
     # One row of each distinct set; its text-sized array is picked up once, by its least id.
     least = found.where("key IS NOT NULL").groupBy("key").agg(F.min("id").alias("class_id"))
     classes = written(
@@ -158,7 +162,7 @@ def _link(classes: DataFrame, percent: int) -> DataFrame:
                 names=["key", "id", "n", "heads"],
             )
 
-    posted = classes.mapInArrow(posts_of, "key string, id long, n long, heads array<long>")
+    posted = classes.mapInArrow(posts_of, "key binary, id long, n long, heads array<long>")
     own = band(F.col("n"), percent)
     posts = posted.select("key", "n", F.explode("heads").alias("head")).withColumn(
         "tile", F.explode(F.array(own, own + 1))
@@ -171,18 +175,26 @@ def _link(classes: DataFrame, percent: int) -> DataFrame:
     labels: DataFrame | None = None
     for seed in range(ROUNDS):
         members = _labelled(posts, labels)
-        leaders = members.groupBy("head", "tile").agg(
-            F.min_by(F.struct("key", "label"), F.xxhash64(F.lit(seed), "key")).alias("leader")
-        )
+        chosen = [
+            F.min_by(F.struct("key", "label"), F.xxhash64(F.lit(seed * LEADERS + k), "key"))
+            for k in range(LEADERS)
+        ]
+        leaders = members.groupBy("head", "tile").agg(F.array_distinct(F.array(*chosen)).alias("led"))
+        # Sets that link share most of their posts; the tiles see to the few that do not.
+        posted_n = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
+        best = Window.partitionBy("key").orderBy(F.desc("posts"), "leader")
         led = (
             members.join(leaders, ["head", "tile"])
-            .where(F.col("leader.label") != F.col("label"))
-            .groupBy("key", F.col("leader.key").alias("leader"))
+            .withColumn("led", F.explode("led"))
+            .where(F.col("led.label") != F.col("label"))
+            .groupBy("key", "n", F.col("led.key").alias("leader"))
             .agg(F.count(F.lit(1)).alias("posts"))
-            .groupBy("key")
-            .agg(F.max_by("leader", F.struct("posts", "leader")).alias("leader"))
+            .where(3 * F.col("posts") >= posted_n)
+            .withColumn("place", F.row_number().over(best))
+            .where(F.col("place") <= LEADERS)
         )
-        new = written(_settled(led.select(F.col("key").alias("x"), F.col("leader").alias("y")), classes, percent), "links")
+        pairs = led.select(F.col("key").alias("x"), F.col("leader").alias("y"))
+        new = written(_settled(pairs, classes, percent), "links")
         if new.isEmpty():
             break
         edges = new if edges is None else edges.unionByName(new)
@@ -223,84 +235,107 @@ def _settled(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
                 [batch.column("x"), batch.column("y")], names=["x", "y"]
             ).filter(pa.array(keep, pa.bool_()))
 
-    return both.mapInArrow(check, "x string, y string")
+    return both.mapInArrow(check, "x binary, y binary")
 
 
 def _tiles(members: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs ``x, y`` of different components that no bound rules out."""
+    """Pairs ``x, y`` of different components that no bound rules out.
+
+    Posts with the same members are one; what is left is cut into blocks, and tiles of two
+    blocks go to tasks in buckets of about ``TILE_ROWS`` rows.
+    """
     post = ["head", "tile"]
     sizes = members.groupBy(*post).agg(
-        F.count(F.lit(1)).alias("m"), F.min("label").alias("low"), F.max("label").alias("high")
+        F.count(F.lit(1)).alias("m"),
+        F.min("label").alias("low"),
+        F.max("label").alias("high"),
+        F.sum(F.xxhash64("key").cast("decimal(38,0)")).alias("s1"),
+        F.bit_xor(F.xxhash64(F.lit(1), "key")).alias("s2"),
     )
     blocks = F.ceil(F.col("m") / BLOCK).cast("int")
-    open_ = sizes.where("low <> high").select(*post, blocks.alias("blocks"))
+    same = ["tile", "m", "s1", "s2"]
+    open_ = written(
+        sizes.where("low <> high")
+        .groupBy(*same)
+        .agg(F.min("head").alias("head"))
+        .select(*post, blocks.alias("blocks")),
+        "open-posts",
+    )
+    rows = open_.agg(F.sum(F.col("blocks") * F.col("blocks"))).first()[0] or 0
+    buckets = max(1, -(-rows * BLOCK // (8 * TILE_ROWS)))
     block = F.pmod(F.xxhash64(F.lit(9), "key"), F.col("blocks")).cast("int")
     # A member of block b meets every block: it goes to the tiles (min, max) of b and each.
     meets = F.transform(
         F.sequence(F.lit(0), F.col("blocks") - 1),
         lambda o: F.struct(F.least(o, F.col("block")).alias("i"), F.greatest(o, F.col("block")).alias("j")),
     )
-    spread = (
-        members.join(open_, post)
-        .withColumn("block", block)
-        .withColumn("at", F.explode(meets))
-        .select(*post, "at.i", "at.j", "block", "key", "label", "n")
-        .join(classes.select("key", "set"), "key")
-    )
+    own = band(F.col("n"), percent)
+    drawn = classes.select("key", "set", F.explode(F.array(own, own + 1)).alias("tile"))
 
-    def carried(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Bitmaps and prefixes in place of whole sets."""
+    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [np.frombuffer(s, np.uint64) for s in batch.column("set").to_pylist()]
-            tiles = batch.column("tile").to_pylist()
-            maps = [bitmap(s, _bitmap_bits(t, percent)) for s, t in zip(sets, tiles)]
-            heads = [s[: _prefix(len(s), percent)].tobytes() for s in sets]
-            names = [n for n in batch.schema.names if n != "set"]
+            maps = [
+                bitmap(np.frombuffer(s, np.uint64), _bitmap_bits(t, percent))
+                for s, t in zip(batch.column("set").to_pylist(), batch.column("tile").to_pylist())
+            ]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(n) for n in names]
-                + [pa.array(maps, pa.binary()), pa.array(heads, pa.binary())],
-                names=[*names, "map", "heads"],
+                [batch.column("key"), batch.column("tile"), pa.array(maps, pa.binary())],
+                names=["key", "tile", "map"],
             )
 
-    schema = (
-        "head long, tile int, i int, j int, block int, key string, label string, n long,"
-        " map binary, heads binary"
+    # Each member knows all its posts, so that a pair is looked at under the least it shares.
+    number = F.xxhash64(*post).alias("post")
+    kept = members.join(open_, post)
+    shared = kept.groupBy("key").agg(F.sort_array(F.collect_set(number)).alias("posts"))
+    spread = (
+        kept.join(shared, "key")
+        .withColumn("block", block)
+        .withColumn("at", F.explode(meets))
+        .select(*post, number, "posts", "at.i", "at.j", "block", "key", "label", "n")
+        .join(drawn.mapInArrow(draw, "key binary, tile int, map binary"), ["key", "tile"])
+        .withColumn("bucket", F.pmod(F.xxhash64(*post, "i", "j"), F.lit(buckets)))
     )
-    ready = spread.select(*post, "i", "j", "block", "key", "label", "n", "set").mapInArrow(carried, schema)
     return (
-        ready.groupBy("head", "tile", "i", "j")
-        .applyInArrow(lambda t: compare_tile(t, percent), "x string, y string")
+        spread.groupBy("bucket")
+        .applyInArrow(lambda t: compare_tiles(t, percent), "x binary, y binary")
         .distinct()
     )
 
 
-def compare_tile(tile: pa.Table, percent: int) -> pa.Table:
-    """Pairs of a tile whose bitmaps allow a link; each pair only under its least shared hash."""
-    keys, labels = tile.column("key").to_pylist(), tile.column("label").to_pylist()
-    number = {x: i for i, x in enumerate(set(labels))}
-    label = np.array([number[x] for x in labels])
-    block = tile.column("block").to_numpy()
-    across = tile.column("i")[0].as_py() != tile.column("j")[0].as_py()
-    n = tile.column("n").to_numpy()
-    maps = np.stack([np.frombuffer(m, np.uint64) for m in tile.column("map").to_pylist()])
-    head = np.int64(tile.column("head")[0].as_py()).view(np.uint64)
-    before = [np.frombuffer(h, np.uint64) for h in tile.column("heads").to_pylist()]
-    before = [h[h < head] for h in before]
+def compare_tiles(tiles: pa.Table, percent: int) -> pa.Table:
+    """Pairs of each tile whose bitmaps allow a link, if they join two components."""
+    tiles = tiles.sort_by([(c, "ascending") for c in ("head", "tile", "i", "j", "key")])
+    keys, maps = tiles.column("key").to_pylist(), tiles.column("map").to_pylist()
+    label = tiles.column("label").combine_chunks().dictionary_encode()
+    if isinstance(label, pa.ChunkedArray):
+        label = label.combine_chunks()
+    label = label.indices.to_numpy()
+    block, n = tiles.column("block").to_numpy(), tiles.column("n").to_numpy()
+    post, posts = tiles.column("post").to_numpy(), tiles.column("posts").to_pylist()
+    ids = np.stack([tiles.column(c).to_numpy() for c in ("head", "tile", "i", "j")])
+    at = np.flatnonzero(np.append(True, (np.diff(ids) != 0).any(axis=0)))
     xs, ys = [], []
-    for a in range(len(keys)):
-        other = np.arange(a + 1, len(keys))
-        other = other[label[other] != label[a]]
-        if across:
-            other = other[block[other] != block[a]]
-        # 100 |x & y| >= percent |x or y| means |x & y| >= percent (|x| + |y|) / (100 + percent)
-        other = other[(100 * np.minimum(n[other], n[a]) >= percent * np.maximum(n[other], n[a]))]
-        if not len(other):
-            continue
-        differ = np.bitwise_count(maps[other] ^ maps[a]).sum(axis=1).astype(np.int64)
-        both = n[other] + n[a]
-        other = other[(100 + percent) * (both - differ) >= 2 * percent * both]
-        for b in other:
-            if not len(np.intersect1d(before[a], before[b], assume_unique=True)):
+    for begin, end in zip(at, np.append(at[1:], len(keys))):
+        across = ids[2, begin] != ids[3, begin]
+        bits = np.stack([np.frombuffer(m, np.uint64) for m in maps[begin:end]])
+        earlier = [[p for p in x if p < post[begin]] for x in posts[begin:end]]
+        place = {p: i for i, p in enumerate({p for x in earlier for p in x})}
+        met = np.zeros((end - begin, len(place) + 1), bool)
+        for a, x in enumerate(earlier):
+            met[a, [place[p] for p in x]] = True
+        for a in range(begin, end - 1):
+            other = np.arange(a + 1, end)
+            other = other[label[other] != label[a]]
+            if across:
+                other = other[block[other] != block[a]]
+            less, more = np.minimum(n[other], n[a]), np.maximum(n[other], n[a])
+            other = other[100 * less >= percent * more]
+            # 100 |x & y| >= percent |x or y| is |x & y| >= percent (|x| + |y|) / (100 + percent),
+            # and every bit that differs takes half a shingle off (|x| + |y|) / 2.
+            differ = np.bitwise_count(bits[other - begin] ^ bits[a - begin]).sum(axis=1, dtype=np.int64)
+            both = n[other] + n[a]
+            other = other[(100 + percent) * (both - differ) >= 2 * percent * both]
+            for b in other[~(met[other - begin] & met[a - begin]).any(axis=1)]:
                 xs.append(keys[a])
                 ys.append(keys[b])
-    return pa.table({"x": pa.array(xs, pa.string()), "y": pa.array(ys, pa.string())})
+    return pa.table({"x": pa.array(xs, pa.binary()), "y": pa.array(ys, pa.binary())})
