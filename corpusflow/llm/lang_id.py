@@ -144,7 +144,8 @@ def train(
         .select("id", "label", "place")
     )
     texts = known.select(F.col(id_col).alias("id"), F.col(lang_col).alias("label"), F.col(text_col).alias("text"))
-    sample = texts.join(picked, ["id", "label"]).select("label", "id", "place", "text")
+    # At most ``per_label`` rows a language are broadcast.
+    sample = texts.join(F.broadcast(picked), ["id", "label"]).select("label", "id", "place", "text")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
