@@ -15,7 +15,8 @@ documents, so no task sees more than that.
 
 Defined results: a null or empty text has size 0 and is taken 0 times; a null source is a source
 of its own, last in order; repeated rows count each; an empty table gives an empty result.
-Other columns pass through; they must not begin with ``_mix_``.
+Other columns pass through, but one named like a result column is replaced; none may begin with
+``_mix_``.
 """
 
 from __future__ import annotations
@@ -128,7 +129,13 @@ def mix(
             for r, t, c, b in zip(found, wants, copies, blocks)
         ],
         "absent boolean, name string, source_size long, target double, copies long, blocks long",
-    ).select(F.struct("absent", "name").alias("_mix_source"), "source_size", "target", "copies", "blocks")
+    ).select(
+        F.struct("absent", "name").alias("_mix_source"),
+        F.col("source_size").alias("_mix_total"),
+        F.col("target").alias("_mix_target"),
+        F.col("copies").alias("_mix_copies"),
+        "blocks",
+    )
 
     shards = max(1, math.ceil(sum(r.docs for r in found) / shard_docs))
     place = F.xxhash64(F.lit(seed), F.col(id_col))
@@ -189,13 +196,15 @@ def mix(
     )
     none = F.array().cast("array<struct<begin:bigint,end:bigint>>")
     partly = F.when((F.col("_mix_size") > 0) & (F.col("_mix_quota") > 0), ranges).otherwise(none)
-    taken = F.aggregate("ranges", F.lit(0).cast("long"), lambda n, r: n + r["end"] - r["begin"])
-    return placed.withColumn("ranges", partly).select(
-        *docs.columns,
+    taken = F.aggregate("_mix_ranges", F.lit(0).cast("long"), lambda n, r: n + r["end"] - r["begin"])
+    made = {"size", "source_size", "target", "copies", "ranges", "taken"}
+    placed = placed.withColumn("_mix_ranges", partly)
+    return placed.select(
+        *[c for c in docs.columns if c not in made],
         F.col("_mix_size").alias("size"),
-        "source_size",
-        "target",
-        "copies",
-        "ranges",
-        (F.col("copies") * F.col("_mix_size") + taken).alias("taken"),
+        F.col("_mix_total").alias("source_size"),
+        F.col("_mix_target").alias("target"),
+        F.col("_mix_copies").alias("copies"),
+        F.col("_mix_ranges").alias("ranges"),
+        (F.col("_mix_copies") * F.col("_mix_size") + taken).alias("taken"),
     )
