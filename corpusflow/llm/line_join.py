@@ -5,16 +5,16 @@ one of a smaller id, has a Jaccard likeness of at least ``percent`` / 100; all l
 on the input.
 
 1. Lines with equal sets: every one after the first is removed. Only digests are shuffled.
-2. The first lines order their words by rarity. Rarity is the number of lines that hold any word
-   of the same one of ``BUCKETS`` hash buckets, a table of fixed size made from all lines. Each
+2. The first lines order their words by rarity. Rarity is the number of occurrences of the
+   words in the same one of ``BUCKETS`` hash buckets, a table of fixed size made from all texts. Each
    line is posted under its rarest words, so many that two matching lines must share one.
 3. In each word's posts, in line order, a line is first compared with the first line and the
    ``NEAR`` lines before it. Length, and a 64-bit map of the set (bits that differ bound the
    overlap from above), rule out most; the rest is verified on whole sets. That settles lines
    of large groups of near copies without looking at all their pairs.
-4. Lines not settled join all lines before them under the same words, with the same filters
-   and the positional one (how many words can still be shared behind this one), and are
-   verified. So no match is lost.
+4. Posts without such a candidate, and lines none of whose candidates matched, join all lines
+   before them under the same words, with the same filters and the positional one (how many
+   words can still be shared behind this one), and are verified. So no match is lost.
 5. Documents are rebuilt without the removed lines.
 
 Defined results: lines end at ``\\n``; a null text has no lines and stays null; lines without
@@ -35,10 +35,14 @@ from pyspark.sql.window import Window
 from corpusflow.llm.storage import written
 
 PERCENT = 75
-BUCKETS = 2**16
+BUCKETS = 2**14
+# Up to so many lines (ids and places, some 100 MB) go to the texts instead of the texts to them.
+BROADCAST_LINES = 2_000_000
 NEAR = 4
 _LAST = 2**63 - 1
 
+# Fixed value: what a word is made of.
+_WORD = r"[^\x20\x09-\x0D]"
 # Hashes of the distinct words of a line.
 _WORDS = (
     r"array_distinct(transform(filter(split(line, '[\\x20\\x09-\\x0D]+'), w -> w <> ''),"
@@ -51,34 +55,47 @@ def _key(id_col: str) -> Column:
     return F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST)).alias("doc")
 
 
-def _lines(texts: DataFrame) -> DataFrame:
-    """``doc, place, words``: the lines of ``doc, text`` that have words."""
-    each = texts.select("doc", F.posexplode(F.split("text", "\n")).alias("place", "line"))
-    return each.select("doc", "place", F.expr(_WORDS).alias("words")).where(F.size("words") > 0)
+def _sent(small: DataFrame, rows: int) -> DataFrame:
+    """To be sent to every task if it is known to be small; shuffled otherwise."""
+    return F.broadcast(small) if rows <= BROADCAST_LINES else small
 
 
-def _some_lines(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+def _lines(texts: DataFrame, but: tuple[DataFrame, int] | None = None) -> DataFrame:
+    """``doc, place, words``: the lines of ``doc, text`` that have words, without some."""
+    columns = ["doc", F.posexplode(F.split("text", "\n")).alias("place", "line")]
+    if but is not None:
+        places = but[0].groupBy("doc").agg(F.collect_set("place").alias("but"))
+        texts = texts.join(_sent(places, but[1]), "doc", "left")
+        kept = F.coalesce(F.array_contains("but", F.col("place")), F.lit(False))
+        each = texts.select("but", *columns).where(~kept)
+    else:
+        each = texts.select(*columns)
+    return each.where(F.col("line").rlike(_WORD)).select("doc", "place", F.expr(_WORDS).alias("words"))
+
+
+def _some_lines(texts: DataFrame, wanted: DataFrame, rows: int) -> DataFrame:
     """``doc, place, words`` of the lines that ``wanted`` (``doc, place``) names."""
     places = wanted.groupBy("doc").agg(F.collect_set("place").alias("places"))
-    each = texts.join(places, "doc").select(
+    each = texts.join(_sent(places, rows), "doc").select(
         "doc", "places", F.posexplode(F.split("text", "\n")).alias("place", "line")
     )
     named = each.where(F.array_contains("places", F.col("place")))
-    return named.select("doc", "place", F.expr(_WORDS).alias("words")).where(F.size("words") > 0)
+    return named.where(F.col("line").rlike(_WORD)).select("doc", "place", F.expr(_WORDS).alias("words"))
 
 
-def rarity(lines: DataFrame) -> bytes:
-    """For each bucket a byte that grows with the lines its words are in (eight steps a doubling)."""
+def rarity(texts: DataFrame) -> list[int]:
+    """For each bucket a number below 128 that grows with the occurrences of its words."""
+    word = F.explode(F.split("text", r"[\x20\x09-\x0D]+"))
     counts = (
-        lines.select(F.explode("words").alias("w"))
-        .groupBy(F.pmod("w", F.lit(BUCKETS)).alias("bucket"))
+        texts.select(word.alias("w"))
+        .groupBy(F.pmod(F.xxhash64("w"), F.lit(BUCKETS)).alias("bucket"))
         .count()
         .collect()
     )
-    table = bytearray(BUCKETS)
+    table = [0] * BUCKETS
     for row in counts:
-        table[row.bucket] = min(255, int(8 * math.log2(1 + row["count"])))
-    return bytes(table)
+        table[row.bucket] = min(127, int(3 * math.log2(1 + row["count"])))
+    return table
 
 
 def _may_match(n: str, other: str, differ: str, percent: int) -> str:
@@ -90,29 +107,31 @@ def _may_match(n: str, other: str, differ: str, percent: int) -> str:
     )
 
 
-def _posts(lines: DataFrame, table: bytes, percent: int) -> DataFrame:
-    """``word, at, doc, place, n, map``: each line under its rarest words."""
-    ranked = F.sort_array(
-        F.transform(
-            "words",
-            lambda w: F.struct(
-                F.substring(F.lit(table), F.pmod(w, F.lit(BUCKETS)).cast("int") + 1, 1).alias("r"),
-                w.alias("w"),
-            ),
-        )
-    )
+def _posts(lines: DataFrame, table: list[int], percent: int) -> DataFrame:
+    """``word, at, doc, place, n, map``: each line under its rarest words.
+
+    A word's number begins with its rarity, so that sorted numbers are in order of rarity.
+    """
+    # Eight numbers in each constant, so that the table stays a short one.
+    eights = [table[i : i + 8] for i in range(0, BUCKETS, 8)]
+    packed = (sum(r << 8 * i for i, r in enumerate(some)) for some in eights)
+    rare = F.expr(f"array({', '.join(f'{p}L' for p in packed)})")
+
+    def number(w: Column) -> Column:
+        bucket = F.pmod(w, F.lit(BUCKETS)).cast("int")
+        held = F.get(rare, F.shiftright(bucket, 3))
+        first = F.call_function("shiftright", held, bucket.bitwiseAND(F.lit(7)) * 8)
+        first = first.bitwiseAND(F.lit(127).cast("long"))
+        return F.shiftleft(first, 56).bitwiseOR(w.bitwiseAND(F.lit(2**56 - 1)))
+
     n = F.size("words")
     prefix = n - F.ceil(n * percent / 100).cast("int") + 1
-    return (
-        lines.select(
-            "doc",
-            "place",
-            n.alias("n"),
-            F.expr(_MAP).alias("map"),
-            F.posexplode(F.slice(ranked, F.lit(1), prefix)).alias("at", "ranked"),
-        )
-        .select(F.col("ranked.w").alias("word"), "at", "doc", "place", "n", "map")
+    ranked = F.slice(F.sort_array(F.transform("words", number)), F.lit(1), prefix)
+    # In two steps: what is selected along with an explode is worked out for every row it makes.
+    each = lines.select(
+        "doc", "place", n.alias("n"), F.expr(_MAP).alias("map"), ranked.alias("ranked")
     )
+    return each.select("doc", "place", "n", "map", F.posexplode("ranked").alias("at", "word"))
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
@@ -120,7 +139,8 @@ def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     first = pairs.select("doc", "place")
     second = pairs.select(F.col("doc2").alias("doc"), F.col("place2").alias("place"))
     named = first.unionByName(second).distinct()
-    sets = written(_some_lines(texts, named).dropDuplicates(["doc", "place"]), "line-sets")
+    found = _some_lines(texts, named, named.count())
+    sets = written(found.dropDuplicates(["doc", "place"]), "line-sets")
     other = sets.select(
         F.col("doc").alias("doc2"), F.col("place").alias("place2"), F.col("words").alias("words2")
     )
@@ -130,91 +150,107 @@ def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return both.where(alike).select("doc", "place").distinct()
 
 
+def _joined(left: DataFrame, right: DataFrame, percent: int) -> DataFrame:
+    """``doc, place, doc2, place2``: posts of one word with those of earlier lines."""
+    one = left.select(
+        "word", "doc", "place", F.col("at").alias("at1"), F.col("n").alias("n1"), F.col("map").alias("map1")
+    )
+    two = right.select(
+        "word",
+        F.col("doc").alias("doc2"),
+        F.col("place").alias("place2"),
+        F.col("at").alias("at2"),
+        F.col("n").alias("n2"),
+        F.col("map").alias("map2"),
+    )
+    earlier = "(doc2 < doc or (doc2 = doc and place2 < place))"
+    behind = (
+        f"{100 + percent} * (least(n1 - at1, n2 - at2) + least(at1, at2)) >= {percent} * (n1 + n2)"
+    )
+    fits = f"{earlier} and {_may_match('n1', 'n2', 'map1 ^ map2', percent)} and {behind}"
+    return one.join(two, "word").where(fits).select("doc", "place", "doc2", "place2")
+
+
 def repeated_lines(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT
 ) -> DataFrame:
     """``doc, place`` (from 0) of every line to remove; null ids are given as the largest."""
     texts = docs.select(_key(id_col), F.col(text_col).alias("text"))
-    lines = _lines(texts)
     sorted_words = F.sort_array("words")
-    keyed = lines.select(
-        "doc",
-        "place",
-        F.xxhash64(sorted_words).alias("k1"),
-        F.xxhash64(F.lit(1), sorted_words).alias("k2"),
+    keyed = written(
+        _lines(texts).select(
+            "doc",
+            "place",
+            F.xxhash64(sorted_words).alias("k1"),
+            F.xxhash64(F.lit(1), sorted_words).alias("k2"),
+        ),
+        "line-keys",
     )
     line = F.struct("doc", "place")
-    sets = keyed.groupBy("k1", "k2").agg(F.min(line).alias("first"))
-    equal = written(
-        keyed.join(sets, ["k1", "k2"]).select(
-            "doc", "place", (F.col("first") < line).alias("later")
-        ),
+    sets = keyed.groupBy("k1", "k2").agg(F.min(line).alias("first"), F.count(F.lit(1)).alias("lines"))
+    later = written(
+        keyed.join(sets.where("lines > 1"), ["k1", "k2"])
+        .where(F.col("first") < line)
+        .select("doc", "place")
+        .distinct(),
         "equal-lines",
     )
-    first = equal.where("NOT later").select("doc", "place").distinct()
-    posts = written(
-        _posts(_some_lines(texts, first), rarity(lines), percent).where("word IS NOT NULL"),
-        "line-posts",
-    )
+    first_lines = _lines(texts, (later, later.count()))
+    table = rarity(texts)
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Two uses of one exchange: the window, and the join of what it leaves open.
+    posts = _posts(first_lines, table, percent).repartition(parts, "word")
 
     order = Window.partitionBy("word").orderBy("doc", "place")
     post = F.struct("doc", "place", "n", "map")
     near = [F.lag(post, i).over(order) for i in range(1, NEAR + 1)]
     near.append(F.first(post).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    filters = _may_match("n", "o.n", "map ^ o.map", percent)
+    fits = _may_match("n", "o.n", "map ^ o.map", percent)
+    told = F.expr(
+        f"filter(near, o -> o is not null and (o.doc <> doc or o.place <> place) and {fits})"
+    )
+    seen = posts.withColumn("near", F.array(*near)).where("near[0] is not null").withColumn("near", told)
     close = (
-        posts.withColumn("near", F.array(*near))
-        .withColumn(
-            "near",
-            F.expr(
-                "filter(near, o -> o is not null and (o.doc <> doc or o.place <> place)"
-                f" and {filters})"
-            ),
-        )
-        .select("doc", "place", F.explode("near").alias("o"))
+        seen.select("doc", "place", F.explode("near").alias("o"))
         .select("doc", "place", F.col("o.doc").alias("doc2"), F.col("o.place").alias("place2"))
-        .distinct()
     )
-    settled = written(_verified(written(close, "close-lines"), texts, percent), "settled-lines")
-    open_ = posts.join(settled, ["doc", "place"], "left_anti")
-    left = open_.select(
-        "word", "doc", "place", F.col("at").alias("at1"), F.col("n").alias("n1"), F.col("map").alias("map1")
+    rest = _joined(seen.where(F.size("near") == 0), posts, percent)
+    pairs = written(
+        close.withColumn("near", F.lit(True))
+        .unionByName(rest.withColumn("near", F.lit(False)))
+        .groupBy("doc", "place", "doc2", "place2")
+        .agg(F.max("near").alias("near")),
+        "line-pairs",
     )
-    right = posts.select(
-        "word",
-        F.col("doc").alias("doc2"),
-        F.col("place").alias("place2"),
-        F.col("at").alias("at2"),
-        F.col("n").alias("n2"),
-        F.col("map").alias("map2"),
-    )
-    earlier = "(doc2 < doc or (doc2 = doc and place2 < place))"
-    behind = (
-        f"{100 + percent} * (1 + least(n1 - at1, n2 - at2) - 1 + least(at1, at2))"
-        f" >= {percent} * (n1 + n2)"
-    )
-    pairs = (
-        left.join(right, "word")
-        .where(f"{earlier} and {_may_match('n1', 'n2', 'map1 ^ map2', percent)} and {behind}")
-        .select("doc", "place", "doc2", "place2")
-        .distinct()
-    )
-    rest = _verified(written(pairs, "line-pairs"), texts, percent)
-    return (
-        equal.where("later").select("doc", "place").unionByName(settled).unionByName(rest).distinct()
+    settled = written(_verified(pairs.drop("near"), texts, percent), "settled-lines")
+    gone = later.unionByName(settled)
+
+    # Lines that have near candidates, none of which matched, still meet all lines before.
+    open_ = written(
+        pairs.where("near").select("doc", "place").distinct().join(settled, ["doc", "place"], "left_anti"),
+        "open-lines",
     )
+    if (rows := open_.count()) > 0:
+        asking = written(_posts(_some_lines(texts, open_, rows), table, percent), "open-posts")
+        words = asking.select("word").distinct()
+        asked = _posts(first_lines, table, percent).join(_sent(words, words.count()), "word", "left_semi")
+        tried = pairs.drop("near")
+        new = _joined(asking, asked, percent).distinct().join(tried, tried.columns, "left_anti")
+        new = written(new, "line-pairs")
+        gone = gone.unionByName(_verified(new, texts, percent))
+    return gone.distinct()
 
 
 def remove_lines(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT
 ) -> DataFrame:
     """The documents with repeated lines cut out of the text, and ``n_lines, n_removed``."""
-    gone = repeated_lines(docs, id_col, text_col, percent)
-    places = gone.groupBy("doc").agg(F.collect_set("place").alias("_line_gone"))
+    gone = written(repeated_lines(docs, id_col, text_col, percent), "gone-lines")
+    places = gone.groupBy(F.col("doc").alias("_line_doc")).agg(F.collect_set("place").alias("_line_gone"))
     lines = F.split(text_col, "\n")
     kept = F.filter(lines, lambda line, i: ~F.array_contains("_line_gone", i))
     marked = docs.withColumn("_line_doc", _key(id_col)).join(
-        places.withColumnRenamed("doc", "_line_doc"), "_line_doc", "left"
+        _sent(places, gone.count()), "_line_doc", "left"
     )
     cut = F.col("_line_gone").isNotNull()
     return marked.withColumns(
