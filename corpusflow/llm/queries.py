@@ -112,3 +112,66 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_lines(docs).select(
         "doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")
     )
+
+
+# --- the same in SQL, where SQL can express it ---------------------------------------------
+
+_SPLIT = r"list_filter(regexp_split_to_array({}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
+_LOWERED = (
+    "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+)
+
+ORACLE["op1_substring_dedup"] = f"""
+WITH d AS (SELECT doc_id, {_SPLIT.format("coalesce(text, '')")} AS ws FROM documents),
+     runs AS (SELECT doc_id, i, md5(array_to_string(list_slice(ws, i, i + 12), ' ')) AS k
+              FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS i FROM d)),
+     firsts AS (SELECT k, min(doc_id) AS first FROM runs GROUP BY k),
+     gone AS (SELECT doc_id, list(DISTINCT place) AS places
+              FROM (SELECT doc_id, unnest(range(i, i + 13)) AS place
+                    FROM runs JOIN firsts USING (k) WHERE first < doc_id)
+              GROUP BY doc_id)
+SELECT doc_id, len(ws) AS n_words, coalesce(len(places), 0) AS n_removed,
+       sha256(array_to_string(list_filter(ws, lambda x, i: places IS NULL
+              OR NOT list_contains(places, i)), ' ')) AS kept_sha256
+FROM d LEFT JOIN gone USING (doc_id)
+"""
+
+ORACLE["op6_jaccard_join"] = f"""
+WITH RECURSIVE d AS (SELECT doc_id, {_SPLIT.format(_LOWERED)} AS ws FROM documents),
+     s AS (SELECT DISTINCT doc_id, md5(array_to_string(list_slice(ws, i, i + 4), ' ')) AS k
+           FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 2))) AS i
+                 FROM d WHERE len(ws) > 0)),
+     n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+     links AS (SELECT c.a, c.b
+               FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y USING (k)
+                     WHERE x.doc_id <> y.doc_id GROUP BY ALL) c
+               JOIN n na ON na.doc_id = c.a JOIN n nb ON nb.doc_id = c.b
+               WHERE 100 * c.c >= 75 * (na.n + nb.n - c.c)),
+     reach AS (SELECT doc_id AS a, doc_id AS b FROM documents
+               UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id
+FROM (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) LEFT JOIN n USING (doc_id)
+"""
+
+ORACLE["op2_suffix_dedup"] = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+     starts AS (SELECT doc_id, i, md5(substr(h, 2 * i - 1, 400)) AS k
+                FROM (SELECT doc_id, h, unnest(range(1, len(h) // 2 - 198)) AS i FROM d)),
+     often AS (SELECT k FROM starts GROUP BY k HAVING count(*) > 1),
+     hits AS (SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS prior
+              FROM starts SEMI JOIN often USING (k)),
+     spans AS (SELECT doc_id, min(i) AS a, max(i) + 200 AS b
+               FROM (SELECT doc_id, i, sum(CASE WHEN prior IS NULL OR i > prior + 200 THEN 1 ELSE 0 END)
+                            OVER (PARTITION BY doc_id ORDER BY i) AS run FROM hits)
+               GROUP BY doc_id, run),
+     cut AS (SELECT doc_id, count(*) AS n_spans, sum(b - a) AS n_removed, list(a ORDER BY a) AS a,
+                    list(b ORDER BY b) AS b FROM spans GROUP BY doc_id)
+SELECT doc_id, len(h) // 2 AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(CASE WHEN a IS NULL THEN h ELSE array_to_string(
+              list_transform(range(0, len(a) + 1), lambda j: substr(h,
+                  CASE WHEN j = 0 THEN 1 ELSE 2 * b[j] - 1 END,
+                  CASE WHEN j = len(a) THEN len(h) ELSE 2 * a[j + 1] - 2 END
+                  - CASE WHEN j = 0 THEN 0 ELSE 2 * b[j] - 2 END)), '') END)) AS kept_sha256
+FROM d LEFT JOIN cut USING (doc_id)
+"""
