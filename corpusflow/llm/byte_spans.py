@@ -51,7 +51,9 @@ from corpusflow.llm.textarrays import span_hashes, utf8
 
 ANCHOR = 100
 MOST_CONTEXTS = 4096
-BATCH_BYTES = 1_500_000
+# Hashes of every byte position and suffix arrays take far more memory than the bytes.
+BATCH_BYTES = 1_000_000
+CHUNK_BYTES = 2_000_000
 SLICE_BYTES = 4_000_000
 
 # What a chunk learns of a context.
@@ -226,7 +228,7 @@ def remove_repeats(
 ) -> DataFrame:
     """``id_col, n_bytes, n_removed, n_spans, kept`` (binary) of every document."""
     total = text_bytes(docs, text_col)
-    chunks = chunked(docs, total, id_col, text_col)
+    chunks = chunked(docs, total, id_col, text_col, CHUNK_BYTES)
     sketch = Sketch(2 * total // (length - anchor + 2))
     bits = max(0, (total // SLICE_BYTES).bit_length())
     spread = 2**bits  # spread strings go to slices after those of the anchors

@@ -38,10 +38,14 @@ def text_bytes(docs: DataFrame, text_col: str = "text") -> int:
 
 
 def chunked(
-    docs: DataFrame, total: int, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    total: int,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    chunk_bytes: int = CHUNK_BYTES,
 ) -> DataFrame:
     """``chunk, id, text``: documents by chunk; null texts are empty, null ids ``LAST_ID``."""
-    chunks = max(1, -(-total // CHUNK_BYTES))
+    chunks = max(1, -(-total // chunk_bytes))
     return docs.select(
         F.pmod(F.xxhash64(F.col(id_col).cast("long")), F.lit(chunks)).cast("int").alias("chunk"),
         F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("id"),
