@@ -9,10 +9,10 @@ stretch of ``STRETCH`` words counts as well. A logistic curve over the two turns
 a score.
 
 The counts come from every labelled training row. They are summed by Spark over pairs of
-neighbouring words; words are numbered by hashing to ``2**WORD_BITS`` numbers, a fixed size, so
-the two model tables that travel to the tasks never grow. The curve is fitted on a bounded
-sample, at most ``SAMPLE`` training rows of each class (lowest id digests), each judged with its
-own words taken out of the counts.
+neighbouring words; a word's key is a 64-bit hash, and the grown model is a table of one row a
+word, of which a chunk of texts gets the rows that it asks for (``lookups.py``). Only its totals
+reach the driver. The curve is fitted on a bounded sample, at most ``SAMPLE`` training rows of
+each class (lowest id digests), each judged with its own words taken out of the counts.
 
 Defined results: a text without words (null, empty) has no evidence and gets the score of no
 evidence; without labels of both classes every score is the share of label 1 among them (0.0 if
@@ -23,7 +23,7 @@ columns pass through; a result column replaces one of the same name.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -33,50 +33,79 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from corpusflow.llm.lookups import with_values
+from corpusflow.llm.storage import written
 from corpusflow.llm.textarrays import lowered, utf8, word_hashes, words
 
-WORD_BITS = 16
 STRETCHES = (4, 32)
 SAMPLE = 3000
 # Up to so many labels (some 100 MB as a hash table) go to the texts; beyond, both are shuffled.
 BROADCAST_LABELS = 2_000_000
-_EMPTY_WORD = 2**WORD_BITS  # stands before a text's first word
+_EMPTY_WORD = np.uint64(0)  # stands before a text's first word
+_ROWS = 512  # texts hashed at once
 
 # Letters, digits and every byte of a character beyond ASCII make words; the rest separates.
 _LETTERS = np.zeros(256, bool)
 _LETTERS[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 
 
-def numbered(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Word numbers of all texts in a row, and the index of each text's first."""
-    data, offsets = utf8(texts)
-    data = lowered(data)
-    starts, ends, first = words(data, offsets, _LETTERS)
-    hashes = word_hashes(data, starts, ends)
-    return (hashes >> np.uint64(64 - WORD_BITS)).astype(np.int64), first
+def numbered(texts: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of the words of all texts in a row, and the index of each text's first."""
+    keys, counts = [np.zeros(0, np.uint64)], [np.zeros(1, np.int64)]
+    for at in range(0, len(texts), _ROWS):
+        data, offsets = utf8(texts.slice(at, _ROWS))
+        data = lowered(data)
+        starts, ends, first = words(data, offsets, _LETTERS)
+        keys.append(word_hashes(data, starts, ends))
+        counts.append(np.diff(first))
+    return np.concatenate(keys), np.cumsum(np.concatenate(counts))
+
+
+@dataclass
+class Tally:
+    """Of one count over all words: its sum, and how many words have it, at 1 and at 2."""
+
+    total: float
+    kinds: int
+    once: int
+    twice: int
+
+    @classmethod
+    def of(cls, c: np.ndarray) -> Tally:
+        return cls(float(c.sum()), *(int(np.count_nonzero(x)) for x in (c, c == 1, c == 2)))
+
+    @property
+    def cut(self) -> float:
+        return min(0.95, max(0.1, self.once / (self.once + 2 * self.twice))) if self.once else 0.5
+
+
+@dataclass
+class Totals:
+    """What the whole table says about itself: all that the model needs besides a word's row."""
+
+    size: int
+    counts: list[Tally]  # ordinary, toxic
+    before: Tally
 
 
 @dataclass
 class KneserNey:
-    """Counts by word number: of each class, and of distinct words before (both classes)."""
+    """Counts by word: of each class, and of distinct words before (both classes)."""
 
     counts: np.ndarray  # 2 x words: ordinary, toxic
     before: np.ndarray
 
-    def discount(self, c: np.ndarray) -> float:
-        once, twice = np.count_nonzero(c == 1), np.count_nonzero(c == 2)
-        return min(0.95, max(0.1, once / (once + 2 * twice))) if once else 0.5
-
-    def prepare(self) -> KneserNey:
-        size = len(self.before)
-        d = self.discount(self.before)
-        total = max(1.0, self.before.sum())
-        freed = d * np.count_nonzero(self.before) / total
-        even = (1.0 - (np.maximum(self.before - d, 0).sum() / total)) if freed else 1.0
-        self.shared = np.maximum(self.before - d, 0) / total + even / size
-        self.cuts = [self.discount(c) for c in self.counts]
-        self.totals = [max(1.0, float(c.sum())) for c in self.counts]
-        self.kinds = [int(np.count_nonzero(c)) for c in self.counts]
+    def prepare(self, totals: Totals | None = None) -> KneserNey:
+        """Set up for these words, which are all there are unless ``totals`` are given."""
+        if totals is None:
+            totals = Totals(len(self.before), [Tally.of(c) for c in self.counts], Tally.of(self.before))
+        before = totals.before
+        total = max(1.0, before.total)
+        even = before.cut * before.kinds / total if before.kinds else 1.0
+        self.shared = np.maximum(self.before - before.cut, 0) / total + even / totals.size
+        self.cuts = [t.cut for t in totals.counts]
+        self.totals = [max(1.0, t.total) for t in totals.counts]
+        self.kinds = [t.kinds for t in totals.counts]
         return self
 
     def log_probability(self, kind: int, word: np.ndarray, less: np.ndarray | int = 0) -> np.ndarray:
@@ -86,9 +115,9 @@ class KneserNey:
         return np.log(own + cut * self.kinds[kind] / total * self.shared[word] + 1e-300)
 
     def table(self) -> np.ndarray:
-        """Toxic minus ordinary log-probability of every word number."""
+        """Toxic minus ordinary log-probability of every word."""
         every = np.arange(len(self.before))
-        return (self.log_probability(1, every) - self.log_probability(0, every)).astype(np.float32)
+        return self.log_probability(1, every) - self.log_probability(0, every)
 
 
 def evidence(difference: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -126,12 +155,11 @@ def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e
 
 @dataclass
 class ToxicityModel:
-    table: np.ndarray
+    words: DataFrame | None  # a row a word; without both classes there is none
+    totals: Totals | None
     curve: np.ndarray
 
-    def score(self, texts: pa.Array) -> np.ndarray:
-        word, first = numbered(texts)
-        x = evidence(self.table[word], first)
+    def score(self, x: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(x @ self.curve[:-1] + self.curve[-1], -30, 30)))
 
 
@@ -147,39 +175,54 @@ def _labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, la
 
 
 def count_words(labelled: DataFrame) -> DataFrame:
-    """``word``, its ordinary and toxic count, and its number of distinct words before.
+    """``key`` of a word, its ordinary and toxic count, and its number of distinct words before.
 
-    Tasks sum pairs within each batch before the shuffle; a pair's key holds two word numbers.
+    Tasks sum pairs within each batch before the shuffle.
     """
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            label = batch.column("label").to_numpy(zero_copy_only=False)
+            label = batch.column("label").to_numpy(zero_copy_only=False).astype(bool)
             word, first = numbered(batch.column("text"))
             length = np.diff(first)
             prior = np.concatenate([[_EMPTY_WORD], word[:-1]]) if len(word) else word
             prior[first[:-1][length > 0]] = _EMPTY_WORD
-            key = (word << (WORD_BITS + 1) | prior) << 1 | np.repeat(label, length)
-            found, n = np.unique(key, return_counts=True)
+            toxic = np.repeat(label, length)
+            order = np.lexsort((prior, word))
+            word, prior, toxic = word[order], prior[order], toxic[order]
+            new = (np.diff(word) != 0) | (np.diff(prior) != 0)
+            at = np.flatnonzero(np.append(True, new)) if len(word) else np.zeros(0, np.int64)
+            n = np.diff(np.append(at, len(word)))
+            bad = np.add.reduceat(toxic, at, dtype=np.int64) if len(at) else n
             yield pa.RecordBatch.from_arrays(
-                [pa.array(found >> 1), pa.array((found & 1).astype(np.int32)), pa.array(n)],
-                names=["pair", "label", "n"],
+                [pa.array(x) for x in (word[at].view(np.int64), prior[at].view(np.int64), n - bad, bad)],
+                names=["word", "prior", "ordinary", "toxic"],
             )
 
-    of = F.col("label") == 1
     return (
         labelled.select("label", "text")
-        .mapInArrow(pairs, "pair long, label int, n long")
-        .groupBy("pair")
-        .agg(
-            F.sum(F.when(~of, F.col("n")).otherwise(0)).alias("ordinary"),
-            F.sum(F.when(of, F.col("n")).otherwise(0)).alias("toxic"),
-        )
-        .groupBy(F.shiftright("pair", WORD_BITS + 1).alias("word"))
+        .mapInArrow(pairs, "word long, prior long, ordinary long, toxic long")
+        .groupBy("word", "prior")
+        .agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic"))
+        .groupBy(F.col("word").alias("key"))
         .agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic"), F.count(F.lit(1)).alias("before"))
     )
 
 
+def _tallies(table: DataFrame, columns: list[str]) -> tuple[int, list[Tally]]:
+    """Rows of a table and the tally of each column, as one row."""
+    sums = []
+    for c in columns:
+        marks = [F.col(c) > 0, F.col(c) == 1, F.col(c) == 2]
+        sums += [F.coalesce(F.sum(c), F.lit(0)), *(F.count_if(m) for m in marks)]
+    found = table.agg(F.count(F.lit(1)), *sums).first()
+    return found[0], [Tally(*found[i : i + 4]) for i in range(1, len(found), 4)]
+
+
+def _keys(text_col: str) -> Callable[[pa.Table], np.ndarray]:
+    return lambda rows: np.unique(numbered(rows.column(text_col))[0])
+
+
 def train(
     docs: DataFrame,
     labels: DataFrame,
@@ -189,13 +232,6 @@ def train(
 ) -> ToxicityModel:
     """Learn from the documents that have a label; the caller leaves out held-out rows."""
     labelled = _labelled(docs, labels, id_col, text_col, label_col)
-    size = 2**WORD_BITS
-    counts, before = np.zeros((2, size)), np.zeros(size)
-    found = count_words(labelled).toPandas()  # at most 2**WORD_BITS rows
-    at = found["word"].to_numpy()
-    counts[0, at], counts[1, at], before[at] = found["ordinary"], found["toxic"], found["before"]
-    model = KneserNey(counts, before).prepare()
-
     order = Window.partitionBy("label").orderBy(F.xxhash64("id"), "id")
     ids = labelled.select("id", "label")
     share = {r.label: r["count"] for r in ids.groupBy("label").count().collect()}
@@ -203,55 +239,56 @@ def train(
     if len(share) < 2:
         rate = share.get(1, 0) / total if total else 0.0
         bias = np.log(max(rate, 1e-13) / max(1 - rate, 1e-13))
-        return ToxicityModel(
-            np.zeros(size, np.float32), np.array([0.0] * (2 + len(STRETCHES)) + [bias])
-        )
+        return ToxicityModel(None, None, np.array([bias]))
+    table = written(count_words(labelled), "toxicity-words")
+    size, (ordinary, toxic, before) = _tallies(table, ["ordinary", "toxic", "before"])
+    totals = Totals(size + 1, [ordinary, toxic], before)  # and a word never seen
     picked = ids.withColumn("place", F.row_number().over(order)).where(F.col("place") <= SAMPLE)
     # At most 2 * SAMPLE rows are broadcast.
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     sample = texts.join(F.broadcast(picked.select("id", "label").distinct()), "id")
-    table = model.table()
 
-    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            word, first = numbered(batch.column("text"))
-            label = batch.column("label").to_pylist()
-            difference = table[word].astype(np.float64)
-            for i, kind in enumerate(label):  # without the row's own words
-                own = word[first[i] : first[i + 1]]
-                kinds, back, n = np.unique(own, return_inverse=True, return_counts=True)
-                other = model.log_probability(1 - kind, kinds)
-                mine = model.log_probability(kind, kinds, n)
-                away = mine - other if kind else other - mine
-                difference[first[i] : first[i + 1]] = away[back]
-            x = evidence(difference, first)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(label, pa.int32()), pa.array(list(x), pa.list_(pa.float64()))],
-                names=["label", "x"],
-            )
-
-    seen = sample.select("label", "text").mapInArrow(judge, "label int, x array<double>").collect()
+    def judge(rows: pa.Table, values: np.ndarray) -> pa.Table:
+        word, first = numbered(rows.column("text"))
+        at = np.unique(word, return_inverse=True)[1]
+        model = KneserNey(values[:, :2].T, values[:, 2]).prepare(totals)
+        label = rows.column("label").to_pylist()
+        difference = np.zeros(len(word))
+        for i, kind in enumerate(label):  # without the row's own words
+            own = at[first[i] : first[i + 1]]
+            kinds, back, n = np.unique(own, return_inverse=True, return_counts=True)
+            other = model.log_probability(1 - kind, kinds)
+            mine = model.log_probability(kind, kinds, n)
+            away = mine - other if kind else other - mine
+            difference[first[i] : first[i + 1]] = away[back]
+        x = evidence(difference, first)
+        return pa.table({"label": pa.array(label, pa.int32()), "x": pa.array(list(x), pa.list_(pa.float64()))})
+
+    seen = with_values(
+        sample.select("label", "text"), "text", table, _keys("text"), judge, "label int, x array<double>"
+    ).collect()
     seen.sort(key=lambda r: (r.label, r.x))
     y = np.array([r.label for r in seen], float)
     weight = np.where(y == 1, share[1] / total / y.sum(), share[0] / total / (1 - y).sum()) * len(y)
-    return ToxicityModel(table, logistic(np.array([r.x for r in seen]), y, weight))
+    return ToxicityModel(table, totals, logistic(np.array([r.x for r in seen]), y, weight))
 
 
 def score(docs: DataFrame, model: ToxicityModel, text_col: str = "text", threshold: float = 0.3) -> DataFrame:
-    """Add ``score`` and ``predicted`` to every row; whole texts, no shuffle."""
-    add = {"score": T.DoubleType()}
-    kept = [f for f in docs.schema.fields if f.name not in {*add, "predicted"}]
+    """Add ``score`` and ``predicted`` to every row; whole texts, shuffled once in packed chunks."""
+    kept = [f for f in docs.schema.fields if f.name not in {"score", "predicted"}]
     names = [f.name for f in kept]
     schema = T.StructType([*kept, T.StructField("score", T.DoubleType())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                made = pa.array(model.score(part.column(text_col)))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(n) for n in names] + [made], names=[*names, "score"]
-                )
-
-    found = docs.select(*names).mapInArrow(run, schema)
+    if model.words is None:
+        found = docs.select(*names).withColumn("score", F.lit(float(model.score(np.zeros((1, 0)))[0])))
+        return found.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+    totals, curve = model.totals, ToxicityModel(None, None, model.curve)  # no table goes to the tasks
+
+    def run(rows: pa.Table, values: np.ndarray) -> pa.Table:
+        word, first = numbered(rows.column(text_col))
+        at = np.unique(word, return_inverse=True)[1]
+        difference = KneserNey(values[:, :2].T, values[:, 2]).prepare(totals).table()
+        made = curve.score(evidence(difference[at], first))
+        return rows.append_column("score", pa.array(made, pa.float64()))
+
+    found = with_values(docs.select(*names), text_col, model.words, _keys(text_col), run, schema)
     return found.withColumn("predicted", (F.col("score") >= threshold).cast("int"))

@@ -141,6 +141,16 @@ def test_shared_backoff_is_a_distribution():
     assert model.log_probability(1, np.array([0])) > model.log_probability(1, np.array([4]))
 
 
+def test_toxicity_counts_are_those_of_words(spark):
+    # 100,000 words, more than any fixed small number of buckets could keep apart.
+    words = [f"v{i}" for i in range(100_000)]
+    rows = [(i, " ".join(words[i * 500 : i * 500 + 500])) for i in range(200)]
+    labelled = spark.createDataFrame(rows, "id long, text string").withColumn("label", (F.col("id") % 2).cast("int"))
+    counts = toxicity.count_words(labelled)
+    assert counts.count() == len(words)
+    assert counts.where("ordinary + toxic <> 1 or before <> 1").count() == 0
+
+
 @pytest.fixture(scope="module")
 def printed(spark):
     r = random.Random(7)
