@@ -1,17 +1,18 @@
 """Toxicity by class-conditional Kneser-Ney models.
 
-Two word models, one of toxic and one of ordinary rows, share their backoff. Each discounts its
-own word counts and gives the mass it frees to one shared distribution: in how many distinct
-neighbourhoods (words before) a word was seen, over both classes. So a word that is rare in a
-class is judged by what both classes know of it. A text's evidence is the difference of its two
-log-likelihoods divided by its length; as a long text may be toxic in one passage only, the best
-stretch of ``STRETCH`` words counts as well. A logistic curve over the two turns evidence into
-a score.
+Two models, one of toxic and one of ordinary rows, share their backoff. Each gives a word's
+probability after the word before it: it discounts its own counts of pairs and gives the mass
+that frees to its word model, which discounts its own word counts and gives the mass it frees to
+one shared distribution: in how many distinct neighbourhoods (words before) a word was seen, over
+both classes. So what is rare in a class is judged by what both classes know of it. A text's
+evidence is the difference of its two log-likelihoods divided by its length, by pairs and by
+words alone; as a long text may be toxic in one passage only, its best stretches of
+``STRETCHES`` words count as well. A logistic curve over all of them turns evidence into a score.
 
 The counts come from every labelled training row. They are summed by Spark over pairs of
-neighbouring words; a word's key is a 64-bit hash, and the grown model is a table of one row a
-word, of which a chunk of texts gets the rows that it asks for (``lookups.py``). Only its totals
-reach the driver. The curve is fitted on a bounded sample, at most ``SAMPLE`` training rows of
+neighbouring words; keys are 64-bit hashes, and the grown model is a table of one row a word and
+one a pair, of which a chunk of texts gets the rows that it asks for (``lookups.py``). Only its
+totals reach the driver. The curve is fitted on a bounded sample, at most ``SAMPLE`` training rows of
 each class (lowest id digests), each judged with its own words taken out of the counts.
 
 Defined results: a text without words (null, empty) has no evidence and gets the score of no
@@ -24,7 +25,7 @@ columns pass through; a result column replaces one of the same name.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -37,11 +38,13 @@ from corpusflow.llm.lookups import with_values
 from corpusflow.llm.storage import written
 from corpusflow.llm.textarrays import lowered, utf8, word_hashes, words
 
+COLUMNS = ["ordinary", "toxic", "before", "next_ordinary", "next_toxic", "kinds_ordinary", "kinds_toxic"]
 STRETCHES = (4, 32)
 SAMPLE = 3000
 # Up to so many labels (some 100 MB as a hash table) go to the texts; beyond, both are shuffled.
 BROADCAST_LABELS = 2_000_000
-_EMPTY_WORD = np.uint64(0)  # stands before a text's first word
+_EMPTY_WORD = np.uint64(0x9E3779B97F4A7C15)  # stands before a text's first word
+_TURN = 23  # bits by which the word before is turned in a pair's key
 _ROWS = 512  # texts hashed at once
 
 # Letters, digits and every byte of a character beyond ASCII make words; the rest separates.
@@ -61,6 +64,24 @@ def numbered(texts: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]
     return np.concatenate(keys), np.cumsum(np.concatenate(counts))
 
 
+def before_each(word: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The word before each word of its text."""
+    prior = np.concatenate([[_EMPTY_WORD], word[:-1]]) if len(word) else word
+    prior[first[:-1][np.diff(first) > 0]] = _EMPTY_WORD
+    return prior
+
+
+class Words:
+    """Words, words before and pairs of all texts in a row, as indices of their distinct keys."""
+
+    def __init__(self, texts: pa.Array | pa.ChunkedArray) -> None:
+        word, self.first = numbered(texts)
+        prior = before_each(word, self.first)
+        pair = word ^ (prior << np.uint64(_TURN) | prior >> np.uint64(64 - _TURN))
+        self.keys, at = np.unique(np.concatenate([word, prior, pair]), return_inverse=True)
+        self.word, self.prior, self.pair = at.reshape(3, -1)
+
+
 @dataclass
 class Tally:
     """Of one count over all words: its sum, and how many words have it, at 1 and at 2."""
@@ -81,11 +102,12 @@ class Tally:
 
 @dataclass
 class Totals:
-    """What the whole table says about itself: all that the model needs besides a word's row."""
+    """What the whole table says about itself: all that the models need besides its rows."""
 
     size: int
     counts: list[Tally]  # ordinary, toxic
     before: Tally
+    pairs: list[Tally] = field(default_factory=list)  # ordinary, toxic
 
 
 @dataclass
@@ -114,10 +136,53 @@ class KneserNey:
         own = np.maximum(self.counts[kind][word] - less - cut, 0) / total
         return np.log(own + cut * self.kinds[kind] / total * self.shared[word] + 1e-300)
 
-    def table(self) -> np.ndarray:
-        """Toxic minus ordinary log-probability of every word."""
-        every = np.arange(len(self.before))
-        return self.log_probability(1, every) - self.log_probability(0, every)
+
+def after(n: np.ndarray, total: np.ndarray, kinds: np.ndarray, cut: float, alone: np.ndarray) -> np.ndarray:
+    """Probability of words after a word that ``total`` words follow, of ``kinds`` kinds.
+
+    ``n`` counts the pairs; what the discount ``cut`` frees goes out by the words' own probability.
+    """
+    found = (np.maximum(n - cut, 0) + cut * kinds * alone) / np.maximum(total, 1)
+    return np.where(total > 0, found, alone)
+
+
+def differences(
+    text: Words, values: np.ndarray, totals: Totals, label: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """Toxic minus ordinary log-probability of every word, alone and after the word before it.
+
+    ``values`` are the model's rows of the texts' keys. With the texts' labels given, each is
+    judged with its own words and pairs taken out of its class's counts.
+    """
+    of = dict(zip(COLUMNS, values.T))
+    counts = np.stack([of["ordinary"], of["toxic"]])
+    follow = [(of["next_ordinary"], of["kinds_ordinary"]), (of["next_toxic"], of["kinds_toxic"])]
+    model = KneserNey(counts, of["before"]).prepare(totals)
+    alone, paired = [], []
+    if label is not None:
+        row = np.repeat(np.arange(len(label)), np.diff(text.first))
+        mine, size = np.asarray(label, np.int64)[row], max(1, len(text.keys))
+        own = {}
+        for name in ("word", "prior", "pair"):
+            _, at, back, n = np.unique(
+                row * size + getattr(text, name), return_index=True, return_inverse=True, return_counts=True
+            )
+            own[name] = at, back, n
+        at, _, n = own["pair"]
+        gone = counts[mine[at], text.pair[at]] <= n  # pairs that only this text has in its class
+        _, back, priors = own["prior"]
+        lost = np.bincount(back[at], gone, len(priors))[back]
+    for kind in (0, 1):
+        less = [0, 0, 0, 0]
+        if label is not None:
+            less = [np.where(mine == kind, n[back], 0) for _, back, n in own.values()]
+            less.append(np.where(mine == kind, lost, 0))
+        log = model.log_probability(kind, text.word, less[0])
+        total, kinds = (x[text.prior] - y for x, y in zip(follow[kind], (less[1], less[3])))
+        n = counts[kind][text.pair] - less[2]
+        alone.append(log)
+        paired.append(np.log(after(n, total, kinds, totals.pairs[kind].cut, np.exp(log)) + 1e-300))
+    return alone[1] - alone[0], paired[1] - paired[0]
 
 
 def evidence(difference: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -135,7 +200,13 @@ def evidence(difference: np.ndarray, first: np.ndarray) -> np.ndarray:
             edges = np.column_stack([first[longer], first[longer + 1] - stretch + 1]).ravel()
             best[longer] = np.maximum.reduceat(np.append(runs, -np.inf), edges)[::2]
         found.append(best)
-    return np.column_stack([*found, np.log1p(length)])  # longer texts have better best stretches
+    return np.column_stack(found)
+
+
+def features(text: Words, values: np.ndarray, totals: Totals, label: np.ndarray | None = None) -> np.ndarray:
+    """Each text's evidence, and its length: longer texts have better best stretches."""
+    found = [evidence(d, text.first) for d in differences(text, values, totals, label)]
+    return np.column_stack([*found, np.log1p(np.diff(text.first))])
 
 
 def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-3) -> np.ndarray:
@@ -155,7 +226,7 @@ def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e
 
 @dataclass
 class ToxicityModel:
-    words: DataFrame | None  # a row a word; without both classes there is none
+    table: DataFrame | None  # a row a word or pair; without both classes there is none
     totals: Totals | None
     curve: np.ndarray
 
@@ -175,8 +246,10 @@ def _labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, la
 
 
 def count_words(labelled: DataFrame) -> DataFrame:
-    """``key`` of a word, its ordinary and toxic count, and its number of distinct words before.
+    """``key`` of a word or pair and its ``COLUMNS``, which are numbers of
 
+    its ordinary and toxic occurrences, the distinct words before it, the words after it in
+    ordinary and in toxic rows, and the distinct ones among them. A pair has the first two only.
     Tasks sum pairs within each batch before the shuffle.
     """
 
@@ -185,8 +258,7 @@ def count_words(labelled: DataFrame) -> DataFrame:
             label = batch.column("label").to_numpy(zero_copy_only=False).astype(bool)
             word, first = numbered(batch.column("text"))
             length = np.diff(first)
-            prior = np.concatenate([[_EMPTY_WORD], word[:-1]]) if len(word) else word
-            prior[first[:-1][length > 0]] = _EMPTY_WORD
+            prior = before_each(word, first)
             toxic = np.repeat(label, length)
             order = np.lexsort((prior, word))
             word, prior, toxic = word[order], prior[order], toxic[order]
@@ -199,14 +271,23 @@ def count_words(labelled: DataFrame) -> DataFrame:
                 names=["word", "prior", "ordinary", "toxic"],
             )
 
-    return (
+    counts = (
         labelled.select("label", "text")
         .mapInArrow(pairs, "word long, prior long, ordinary long, toxic long")
         .groupBy("word", "prior")
         .agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic"))
-        .groupBy(F.col("word").alias("key"))
-        .agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic"), F.count(F.lit(1)).alias("before"))
     )
+    none = F.lit(0).cast("long")
+    turned = F.shiftleft("prior", _TURN).bitwiseOR(F.shiftrightunsigned("prior", 64 - _TURN))
+    both = counts.select(F.col("word").bitwiseXOR(turned).alias("key"), "ordinary", "toxic")
+    seen = [(F.col(c) > 0).cast("long") for c in ("ordinary", "toxic")]
+    as_word = [F.col("word"), F.col("ordinary"), F.col("toxic"), F.lit(1).cast("long"), *[none] * 4]
+    as_prior = [F.col("prior"), *[none] * 3, F.col("ordinary"), F.col("toxic"), *seen]
+    rows = [
+        F.struct(*[x.alias(c) for x, c in zip(values, ["key", *COLUMNS])]) for values in (as_word, as_prior)
+    ]
+    alone = counts.select(F.inline(F.array(*rows))).groupBy("key").agg(*[F.sum(c).alias(c) for c in COLUMNS])
+    return both.select("key", "ordinary", "toxic", *[none.alias(c) for c in COLUMNS[2:]]).unionByName(alone)
 
 
 def _tallies(table: DataFrame, columns: list[str]) -> tuple[int, list[Tally]]:
@@ -220,7 +301,7 @@ def _tallies(table: DataFrame, columns: list[str]) -> tuple[int, list[Tally]]:
 
 
 def _keys(text_col: str) -> Callable[[pa.Table], np.ndarray]:
-    return lambda rows: np.unique(numbered(rows.column(text_col))[0])
+    return lambda rows: Words(rows.column(text_col)).keys
 
 
 def train(
@@ -240,28 +321,18 @@ def train(
         rate = share.get(1, 0) / total if total else 0.0
         bias = np.log(max(rate, 1e-13) / max(1 - rate, 1e-13))
         return ToxicityModel(None, None, np.array([bias]))
-    table = written(count_words(labelled), "toxicity-words")
-    size, (ordinary, toxic, before) = _tallies(table, ["ordinary", "toxic", "before"])
-    totals = Totals(size + 1, [ordinary, toxic], before)  # and a word never seen
+    table = written(count_words(labelled), "toxicity-counts")
+    size, (ordinary, toxic, before) = _tallies(table.where("before > 0"), COLUMNS[:3])
+    _, pairs = _tallies(table.where("before = 0 AND next_ordinary + next_toxic = 0"), COLUMNS[:2])
+    totals = Totals(size + 1, [ordinary, toxic], before, pairs)  # and a word never seen
     picked = ids.withColumn("place", F.row_number().over(order)).where(F.col("place") <= SAMPLE)
     # At most 2 * SAMPLE rows are broadcast.
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     sample = texts.join(F.broadcast(picked.select("id", "label").distinct()), "id")
 
     def judge(rows: pa.Table, values: np.ndarray) -> pa.Table:
-        word, first = numbered(rows.column("text"))
-        at = np.unique(word, return_inverse=True)[1]
-        model = KneserNey(values[:, :2].T, values[:, 2]).prepare(totals)
-        label = rows.column("label").to_pylist()
-        difference = np.zeros(len(word))
-        for i, kind in enumerate(label):  # without the row's own words
-            own = at[first[i] : first[i + 1]]
-            kinds, back, n = np.unique(own, return_inverse=True, return_counts=True)
-            other = model.log_probability(1 - kind, kinds)
-            mine = model.log_probability(kind, kinds, n)
-            away = mine - other if kind else other - mine
-            difference[first[i] : first[i + 1]] = away[back]
-        x = evidence(difference, first)
+        label = rows.column("label").to_numpy()
+        x = features(Words(rows.column("text")), values, totals, label)
         return pa.table({"label": pa.array(label, pa.int32()), "x": pa.array(list(x), pa.list_(pa.float64()))})
 
     seen = with_values(
@@ -278,17 +349,14 @@ def score(docs: DataFrame, model: ToxicityModel, text_col: str = "text", thresho
     kept = [f for f in docs.schema.fields if f.name not in {"score", "predicted"}]
     names = [f.name for f in kept]
     schema = T.StructType([*kept, T.StructField("score", T.DoubleType())])
-    if model.words is None:
+    if model.table is None:
         found = docs.select(*names).withColumn("score", F.lit(float(model.score(np.zeros((1, 0)))[0])))
         return found.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
     totals, curve = model.totals, ToxicityModel(None, None, model.curve)  # no table goes to the tasks
 
     def run(rows: pa.Table, values: np.ndarray) -> pa.Table:
-        word, first = numbered(rows.column(text_col))
-        at = np.unique(word, return_inverse=True)[1]
-        difference = KneserNey(values[:, :2].T, values[:, 2]).prepare(totals).table()
-        made = curve.score(evidence(difference[at], first))
+        made = curve.score(features(Words(rows.column(text_col)), values, totals))
         return rows.append_column("score", pa.array(made, pa.float64()))
 
-    found = with_values(docs.select(*names), text_col, model.words, _keys(text_col), run, schema)
+    found = with_values(docs.select(*names), text_col, model.table, _keys(text_col), run, schema)
     return found.withColumn("predicted", (F.col("score") >= threshold).cast("int"))

@@ -146,11 +146,35 @@ def test_toxicity_counts_are_those_of_words(spark):
     words = [f"v{i}" for i in range(100_000)]
     rows = [(i, " ".join(words[i * 500 : i * 500 + 500])) for i in range(200)]
     labelled = spark.createDataFrame(rows, "id long, text string").withColumn("label", (F.col("id") % 2).cast("int"))
-    counts = toxicity.count_words(labelled)
+    counts = toxicity.count_words(labelled).where("before > 0")  # pairs have no word before
     assert counts.count() == len(words)
     assert counts.where("ordinary + toxic <> 1 or before <> 1").count() == 0
 
 
+def test_toxicity_of_ordinary_words_in_a_toxic_order(spark):
+    r = random.Random(4)
+    rows = []
+    for i in range(1200):
+        words = [f"w{r.randrange(60)}" for _ in range(60)]
+        for k in r.sample(range(0, 58, 2), 3):  # both words in every row, in order only if toxic
+            words[k : k + 2] = ["burn", "down"] if i % 3 == 0 else ["down", "burn"]
+        rows.append((i, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = docs.select("doc_id", (F.col("doc_id") % 3 == 0).cast("int").alias("toxic"))
+    model = toxicity.train(docs.where(~lang_id.held_out("doc_id")), labels)
+    got = toxicity.score(docs.where(lang_id.held_out("doc_id")), model).collect()
+    wrong = [x for x in got if x.predicted != (x.doc_id % 3 == 0)]
+    assert len(got) > 200 and len(wrong) <= 0.05 * len(got)
+
+
+def test_words_after_a_word_are_a_distribution():
+    alone = np.array([0.5, 0.25, 0.125, 0.125])
+    n = np.array([3, 1, 0, 0])
+    some = toxicity.after(n, np.full(4, 4), np.full(4, 2), 0.7, alone)
+    assert some.sum() == pytest.approx(1) and some[1] > some[2] * 2
+    assert toxicity.after(n * 0, np.zeros(4), np.zeros(4), 0.7, alone) == pytest.approx(alone)
+
+
 @pytest.fixture(scope="module")
 def printed(spark):
     r = random.Random(7)
