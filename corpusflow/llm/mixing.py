@@ -10,8 +10,9 @@
    each row works out its own blocks and none is exploded.
 
 Only source totals (a row per source) reach the driver, and quotas are worked out on a row per
-source and shard. A source that holds most rows is spread over shards of about ``shard_docs``
-documents, so no task sees more than that.
+source and shard. Each source has shards of its own, one for every ``shard_docs`` of its texts
+with words, so no task sees more than that and every shard of several holds many full blocks,
+however large the other sources are. Texts without words lie in shards apart.
 
 Defined results: a null or empty text has size 0 and is taken 0 times; a null source is a source
 of its own, last in order; repeated rows count each; an empty table gives an empty result.
@@ -111,7 +112,11 @@ def mix(
     sized = docs.withColumn("_mix_source", source).withColumn("_mix_size", word_count(text_col))
     found = (
         sized.groupBy("_mix_source")
-        .agg(F.sum("_mix_size").alias("size"), F.count(F.lit(1)).alias("docs"))
+        .agg(
+            F.sum("_mix_size").alias("size"),
+            F.count_if(F.col("_mix_size") > 0).alias("docs"),
+            F.count_if(F.col("_mix_size") == 0).alias("blanks"),
+        )
         .collect()
     )
     found.sort(key=lambda r: (r[0].absent, r[0].name))
@@ -125,35 +130,42 @@ def mix(
     )
     plan = spark.createDataFrame(
         [
-            (r[0].absent, r[0].name, r.size, t, c, int(b))
+            (r[0].absent, r[0].name, r.size, t, c, int(b), -(-r.docs // shard_docs), -(-r.blanks // shard_docs))
             for r, t, c, b in zip(found, wants, copies, blocks)
         ],
-        "absent boolean, name string, source_size long, target double, copies long, blocks long",
+        "absent boolean, name string, source_size long, target double, copies long, blocks long,"
+        " shards long, blank_shards long",
     ).select(
         F.struct("absent", "name").alias("_mix_source"),
         F.col("source_size").alias("_mix_total"),
         F.col("target").alias("_mix_target"),
         F.col("copies").alias("_mix_copies"),
         "blocks",
+        F.col("shards").alias("_mix_shards"),
+        F.col("blank_shards").alias("_mix_blank_shards"),
     )
 
-    shards = max(1, math.ceil(sum(r.docs for r in found) / shard_docs))
     place = F.xxhash64(F.lit(seed), F.col(id_col))
-    sized = sized.withColumn("_mix_shard", F.pmod(place, F.lit(shards)))
+    sized = sized.join(F.broadcast(plan.drop("blocks")), "_mix_source").withColumn(
+        "_mix_shard",
+        F.when(F.col("_mix_size") > 0, F.pmod(place, "_mix_shards")).otherwise(
+            -1 - F.pmod(place, "_mix_blank_shards")
+        ),
+    )
 
     def share_out(shard_sizes: pd.DataFrame) -> pd.DataFrame:
         shard_sizes = shard_sizes.sort_values("shard")
         sizes = shard_sizes["shard_size"].to_numpy()
         blocks = -(-sizes // block_words)
         quota = sainte_lague(sizes, int(shard_sizes["blocks"].iloc[0]), blocks)
-        return shard_sizes.assign(quota=quota, blocks=blocks)[
+        return shard_sizes.assign(quota=quota, blocks=np.maximum(blocks, 1))[
             ["absent", "name", "shard", "quota", "blocks"]
         ]
 
     quotas = (
         sized.groupBy("_mix_source", "_mix_shard")
         .agg(F.sum("_mix_size").alias("shard_size"))
-        .join(plan, "_mix_source")
+        .join(plan.select("_mix_source", "blocks"), "_mix_source")
         .select("_mix_source.*", F.col("_mix_shard").alias("shard"), "shard_size", "blocks")
         .groupBy("absent", "name")
         .applyInPandas(
@@ -173,7 +185,6 @@ def mix(
     )
     placed = (
         sized.join(quotas, ["_mix_source", "_mix_shard"])
-        .join(F.broadcast(plan.drop("blocks")), "_mix_source")
         .withColumn("_mix_end", F.sum("_mix_size").over(stream.rowsBetween(Window.unboundedPreceding, 0)))
         .withColumn("_mix_begin", F.col("_mix_end") - F.col("_mix_size"))
         .withColumn("_mix_start", F.pmod(F.xxhash64(F.lit(seed + 2), "_mix_source", "_mix_shard"), "_mix_blocks"))

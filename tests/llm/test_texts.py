@@ -335,3 +335,16 @@ def test_digests_agree_with_the_query(spark):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
     for r in QUERIES["op7_byte_bpe"](spark, sf_dir).collect():
         assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
+
+
+def test_small_source_of_a_large_table_meets_its_target(spark):
+    rows = [(i, "w " * 40, "big") for i in range(9900)] + [(i, "w " * 30, "small") for i in range(9900, 10_000)]
+    rows += [(i, None, "small") for i in range(10_000, 10_200)] + [(10_200, "", "none")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    mixed = mixing.mix(docs, weights=(99, 0.5, 0.75), shard_docs=100)
+    found = mixed.groupBy("source").agg(F.count("*"), F.sum("taken"), F.max("target")).collect()
+    assert {r[0]: r[1] for r in found} == {"big": 9900, "none": 1, "small": 300}
+    for source, _, taken, target in found:
+        # Every shard of "big" may end in a partial block; "small" has one shard with words.
+        assert abs(taken - target) <= (64 if source != "big" else 0.01 * target)
+    assert {r[0]: r[3] for r in found}["small"] == pytest.approx(1.5 * 3000, rel=0.05)
