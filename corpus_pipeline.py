@@ -42,13 +42,21 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by their shingles, the one with the smallest id stays.
 
-    Of rows that share an id one stays; rows without an id all stay, as nothing names them.
+    Rows with one id and different texts are documents of their own; of rows with one id and
+    one text, the least stays. Rows without an id all stay, as nothing names them.
     """
     named = docs.where("doc_id IS NOT NULL")
-    classes = link_classes(named).select("doc_id", "component_id")
-    first = classes.where("component_id = doc_id").select("doc_id").distinct()
-    kept = named.dropDuplicates(["doc_id"]).join(first, "doc_id", "left_semi")
-    return kept.select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
+    row = ["doc_id", "text_key"]
+    classes = link_classes(named, row_keys=True)
+    alone = classes.where("group_key IS NULL").select(*row)
+    first = classes.where("group_key IS NOT NULL").groupBy("group_key").agg(F.min(F.struct(*row)).alias("row"))
+    kept = (
+        named.withColumn("text_key", F.unhex(F.md5(F.coalesce("text", F.lit("")))))
+        .join(alone.unionByName(first.select("row.*")).distinct(), row, "left_semi")
+        .groupBy(*row)
+        .agg(F.min(F.struct(*docs.columns)).alias("least"))
+    )
+    return kept.select("least.*").unionByName(docs.where("doc_id IS NULL"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

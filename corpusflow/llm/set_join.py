@@ -31,6 +31,7 @@ empty table gives an empty result. Only the id and text column are read.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -66,6 +67,10 @@ def _sets(chunk: pa.Table, words: int) -> tuple[np.ndarray, np.ndarray, np.ndarr
     return owner, value, np.searchsorted(owner, np.arange(chunk.num_rows + 1))
 
 
+def _digests(chunk: pa.Table) -> list[bytes]:
+    return [hashlib.md5(t.as_buffer()).digest() for t in chunk.column("text").cast(pa.binary())]
+
+
 def _prefix(n: np.ndarray | int, percent: int) -> np.ndarray | int:
     """How many of a set's smallest hashes must be posted."""
     return n - -(-n * percent // 100) + 1
@@ -94,10 +99,13 @@ def link_classes(
     text_col: str = "text",
     words: int = WORDS,
     percent: int = PERCENT,
+    row_keys: bool = False,
 ) -> DataFrame:
     """``id_col, n_shingles, class_id, component_id`` of every document.
 
     ``class_id`` is the smallest id with the same set, ``component_id`` the smallest reachable.
+    ``row_keys`` adds ``text_key``, the MD5 of the text, which with the id names a row, and
+    ``group_key``, which names a component also where ids repeat; null for what links with nothing.
     """
     total = text_bytes(docs, text_col)
     chunks = chunked(docs, total, id_col, text_col)
@@ -117,11 +125,12 @@ def link_classes(
                 "id": chunk.column("id"),
                 "n": pa.array(n, pa.int64()),
                 "set": pa.array(sets, pa.binary()),
+                "text_key": pa.array(_digests(chunk) if row_keys else [None] * len(n), pa.binary()),
             }
         )
 
     answers = reply(ask(chunks, count), sketch.answer)
-    found = written(finish(chunks, answers, describe, "id long, n long, set binary"), "sets")
+    found = written(finish(chunks, answers, describe, "id long, n long, set binary, text_key binary"), "sets")
     found = found.withColumn("key", F.unhex(F.md5("set")))
     # One row of each distinct set; its text-sized array is picked up once, by its least id.
     least = found.where("key IS NOT NULL").groupBy("key").agg(F.min("id").alias("class_id"))
@@ -134,10 +143,13 @@ def link_classes(
     )
     labels = _link(classes, percent)
     answer = least.join(labels, "key", "left").select(
-        "key", "class_id", F.coalesce("component_id", "class_id").alias("component_id")
+        "key",
+        "class_id",
+        F.coalesce("component_id", "class_id").alias("component_id"),
+        F.coalesce("component", "key").alias("group_key"),
     )
     alone = F.when(F.col("id") != LAST_ID, F.col("id"))
-    rows = found.select("id", "n", "key").join(answer, "key", "left")
+    rows = found.select("id", "n", "key", "text_key").join(answer, "key", "left")
     named = [
         F.when(F.coalesce(c, F.col("id")) != LAST_ID, F.coalesce(c, F.col("id")))
         for c in (F.col("class_id"), F.col("component_id"))
@@ -147,11 +159,12 @@ def link_classes(
         F.col("n").alias("n_shingles"),
         named[0].alias("class_id"),
         named[1].alias("component_id"),
+        *(["text_key", "group_key"] if row_keys else []),
     )
 
 
 def _link(classes: DataFrame, percent: int) -> DataFrame:
-    """``key, component_id`` of the classes that link with another one."""
+    """``key, component_id, component`` of the classes that link with another one."""
 
     def posts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -206,7 +219,9 @@ def _link(classes: DataFrame, percent: int) -> DataFrame:
         labels = components(edges, "x", "y")
     named = labels.join(ids.withColumnRenamed("key", "node"), "node")
     smallest = named.groupBy("component").agg(F.min("id").alias("component_id"))
-    return named.join(smallest, "component").select(F.col("node").alias("key"), "component_id")
+    return named.join(smallest, "component").select(
+        F.col("node").alias("key"), "component_id", "component"
+    )
 
 
 def _labelled(posts: DataFrame, labels: DataFrame | None) -> DataFrame:

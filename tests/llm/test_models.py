@@ -263,3 +263,15 @@ def test_pipeline_stages_on_nothing(spark, name):
 
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where("false")
     assert dict(corpus_pipeline.STAGES)[name](spark, docs, "/root/testdata/sf0.001").count() == 0
+
+
+def test_pipeline_keeps_different_texts_of_one_id(spark):
+    import corpus_pipeline
+
+    texts = [" ".join(f"{name}{i}" for i in range(40)) for name in "abc"]
+    rows = [(5, texts[0]), (5, texts[1]), (5, texts[1]), (6, texts[1]), (4, texts[2]), (7, texts[2]), (8, None), (8, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr(
+        "doc_id", "text", "'en' AS lang", "'s' AS source", "length(text) AS n_chars"
+    )
+    got = corpus_pipeline.one_of_each_group(spark, docs, "").collect()
+    assert sorted((r.doc_id, r.text or "") for r in got) == [(4, texts[2]), (5, texts[0]), (5, texts[1]), (8, "")]
