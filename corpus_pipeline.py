@@ -20,15 +20,13 @@ from corpusflow.llm.set_join import link_classes
 from corpusflow.llm.storage import fresh_folder
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-# Below the even share of four languages' scores nothing was recognised.
-LEAST_SCORE = 0.26
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects texts without letters and texts that are like no language learned."""
     model = lang_id.train(docs, ~lang_id.held_out("doc_id"))
-    scored = lang_id.identify(docs, model)
-    known = (F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE)
+    scored = lang_id.identify(docs, model, recognised=True)
+    known = (F.col("lang_pred") != "und") & F.col("recognised")
     return scored.where(known).select(*docs.columns)
 
 

@@ -34,6 +34,9 @@ ORDERS = 3
 # Codes of the n-grams of each length lie one range after another.
 _FIRST = [sum(256**k for k in range(1, p)) for p in range(1, ORDERS + 2)]
 _SHARPNESS = 4.0
+# A text is like its language if that language's landmarks know so much of its n-grams as this
+# part of what they know of all but the lowest ``_LOW`` of the language's own sample.
+_LENIENCE, _LOW = 0.75, 0.05
 
 
 def held_out(id_col: str = "doc_id") -> Column:
@@ -81,6 +84,8 @@ class KernelModel:
     sizes: np.ndarray  # distinct n-grams of each landmark
     weights: np.ndarray  # landmarks x languages
     bias: np.ndarray
+    known: np.ndarray  # vocabulary x languages, whether the language's landmarks have it
+    least: np.ndarray  # share of a text's n-grams that its language must know
 
 
 def _presences(sets: list[np.ndarray], vocabulary: np.ndarray) -> np.ndarray:
@@ -107,11 +112,26 @@ def fit(
     gram = centred.T @ centred + ridge * len(labels) * np.eye(centred.shape[1]) / 10
     solved = np.linalg.solve(gram, centred.T @ (y - y.mean(axis=0)))
     bias = y.mean(axis=0) - middle @ solved
-    return KernelModel(languages, vocabulary, marks.astype(np.uint8), sizes[chosen], root @ solved, bias)
+    # A sample's n-grams that its language's landmarks, but for the text itself, know.
+    named = np.array(labels)
+    known, least = np.zeros((len(vocabulary), len(languages)), np.uint8), np.zeros(len(languages))
+    is_mark = np.isin(np.arange(len(labels)), chosen)
+    for k, name in enumerate(languages):
+        own = x[named == name]
+        others = own[is_mark[named == name]].sum(axis=0)
+        known[:, k] = others > 0
+        itself = own * is_mark[named == name][:, None]
+        share = (own * (others - itself > 0)).sum(axis=1) / sizes[named == name]
+        least[k] = _LENIENCE * np.quantile(share, _LOW) if len(share) > 1 else 0.0
+    return KernelModel(
+        languages, vocabulary, marks.astype(np.uint8), sizes[chosen], root @ solved, bias, known, least
+    )
 
 
-def scores(model: KernelModel, texts: pa.Array, presence: Presence) -> tuple[np.ndarray, np.ndarray]:
-    """Index of the best language of each text and its score between 0 and 1."""
+def scores(
+    model: KernelModel, texts: pa.Array, presence: Presence
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Index of the best language of each text, its score between 0 and 1, and if it is like it."""
     data, offsets = utf8(texts)
     data, n = lowered(data), len(offsets) - 1
     has, sizes = np.zeros((n, len(model.vocabulary)), np.float32), np.ones(n)
@@ -122,7 +142,9 @@ def scores(model: KernelModel, texts: pa.Array, presence: Presence) -> tuple[np.
     kernel = (has @ model.landmarks.T.astype(np.float32)) / np.sqrt(np.outer(sizes, model.sizes))
     found = kernel @ model.weights + model.bias
     share = np.exp(_SHARPNESS * (found - found.max(axis=1, keepdims=True)))
-    return found.argmax(axis=1), share.max(axis=1) / share.sum(axis=1)
+    best = found.argmax(axis=1)
+    shared = (has @ model.known.astype(np.float32))[np.arange(n), best] / sizes
+    return best, share.max(axis=1) / share.sum(axis=1), shared >= model.least[best]
 
 
 def train(
@@ -168,12 +190,20 @@ def train(
 
 
 def identify(
-    docs: DataFrame, model: KernelModel | None, text_col: str = "text"
+    docs: DataFrame, model: KernelModel | None, text_col: str = "text", recognised: bool = False
 ) -> DataFrame:
-    """Add ``lang_pred`` and ``score`` to every row; whole texts, no shuffle."""
+    """Add ``lang_pred`` and ``score`` to every row; whole texts, no shuffle.
+
+    ``recognised`` adds a column of that name: whether the text is like the language's sample,
+    by the share of its n-grams that the language's landmarks know, which depends on no other
+    language.
+    """
     add = {"lang_pred": T.StringType(), "score": T.DoubleType()}
+    if recognised:
+        add["recognised"] = T.BooleanType()
     if model is None:
-        return docs.withColumns({"lang_pred": F.lit("und"), "score": F.lit(0.0)})
+        none = {"lang_pred": F.lit("und"), "score": F.lit(0.0), "recognised": F.lit(False)}
+        return docs.withColumns({c: none[c] for c in add})
     kept = [f for f in docs.schema.fields if f.name not in add]
     names = [f.name for f in kept]
     schema = T.StructType(
@@ -186,8 +216,9 @@ def identify(
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                best, score = scores(model, part.column(text_col), presence)
-                made = [pa.array([model.languages[b] for b in best]), pa.array(score)]
+                best, score, like = scores(model, part.column(text_col), presence)
+                made = [pa.array([model.languages[b] for b in best], pa.string()), pa.array(score)]
+                made += [pa.array(like)] if recognised else []
                 yield pa.RecordBatch.from_arrays(
                     [part.column(n) for n in names] + made + [part.column("_letters")],
                     names=schema.names,
@@ -198,4 +229,5 @@ def identify(
         *names,
         F.when(F.col("_letters"), F.col("lang_pred")).otherwise("und").alias("lang_pred"),
         F.when(F.col("_letters"), F.col("score")).otherwise(0.0).alias("score"),
+        *([(F.col("_letters") & F.col("recognised")).alias("recognised")] if recognised else []),
     )

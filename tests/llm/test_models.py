@@ -275,3 +275,25 @@ def test_pipeline_keeps_different_texts_of_one_id(spark):
     )
     got = corpus_pipeline.one_of_each_group(spark, docs, "").collect()
     assert sorted((r.doc_id, r.text or "") for r in got) == [(4, texts[2]), (5, texts[0]), (5, texts[1]), (8, "")]
+
+
+@pytest.mark.parametrize("learned", [["en"], ["en", "fr"], ["de", "en", "es", "fr"]])
+def test_pipeline_rejects_languages_not_learned(spark, learned):
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").where(F.length("text") > 200)
+    odd = [(-1, "Быстрая коричневая лиса прыгает через ленивую собаку"), (-2, "Ο γρήγορος σκύλος τρέχει")]
+    other = spark.createDataFrame(odd, "doc_id long, text string").selectExpr(
+        "doc_id", "text", "CAST(NULL AS STRING) AS lang", "CAST(NULL AS STRING) AS source", "length(text) AS n_chars"
+    )
+    kept, strange = docs.where(F.col("lang").isin(learned)), docs.where(~F.col("lang").isin(learned))
+    # The others are there to be judged, not to be learned from.
+    strange = strange.withColumn("true", F.col("lang")).withColumn("lang", F.lit(None).cast("string"))
+    table = kept.withColumn("true", F.col("lang")).unionByName(strange).unionByName(
+        other.withColumn("true", F.lit("xx"))
+    )
+    got = corpus_pipeline.identify_language(spark, table, "")
+    n = {r.true: r["count"] for r in table.groupBy("true").count().collect()}
+    left = {r.true: r["count"] for r in got.groupBy("true").count().collect()}
+    assert all(left[x] >= 0.98 * n[x] for x in learned)
+    assert all(left.get(x, 0) <= 0.25 * n[x] for x in n if x not in learned) and "xx" not in left
