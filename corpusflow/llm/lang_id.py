@@ -7,7 +7,7 @@ language against the rest, is solved on that map. A batch of whole texts is scor
 products: presences with the landmarks' presences, then with the coefficients.
 
 The classifier is fitted on a bounded sample, ``per_label`` training rows of each language (those
-with the lowest digests of their ids), ``landmarks`` of which are landmarks; every row is scored.
+with the lowest digests of their ids, a second text of an id only where ids run out), ``landmarks`` of which are landmarks; every row is scored.
 What reaches the driver are the sample's sets of n-grams.
 
 Defined results: a null text, or one without any letter, is ``und`` with score 0; so is every
@@ -147,6 +147,33 @@ def scores(
     return best, share.max(axis=1) / share.sum(axis=1), shared >= model.least[best]
 
 
+def sampled(known: DataFrame, most: int) -> DataFrame:
+    """At most ``most`` rows of each label, as ``label, id, place, text``, from ``id, label, text``.
+
+    Ids come by their digests, each with one text before any has a second; equal texts of an id
+    count once. So a repeated id neither exceeds the bound nor outweighs the others.
+    """
+    of_id = Window.partitionBy("label", "id").orderBy("digest")
+    order = Window.partitionBy("label").orderBy("nth", F.xxhash64("id"), "id")
+    named = known.withColumn("digest", F.xxhash64("text"))
+    picked = (
+        named.select("id", "label", "digest")
+        .distinct()
+        .withColumn("nth", F.row_number().over(of_id))
+        .where(F.col("nth") <= most)
+        .withColumn("place", F.row_number().over(order))
+        .where(F.col("place") <= most)
+        .drop("nth")
+    )
+    # At most ``most`` rows a label are broadcast; a digest is never null.
+    return (
+        named.join(F.broadcast(picked), ["id", "label", "digest"])
+        .groupBy("label", "place")
+        .agg(F.min(F.struct("id", "text")).alias("row"))
+        .select("label", "row.id", "place", "row.text")
+    )
+
+
 def train(
     docs: DataFrame,
     learn: Column,
@@ -157,17 +184,11 @@ def train(
     landmarks: int = 32,
 ) -> KernelModel | None:
     """Fit on ``per_label`` rows of each language for which ``learn`` holds; None if none do."""
-    order = Window.partitionBy("label").orderBy(F.xxhash64("id"), "id")
     known = docs.where(learn & F.col(lang_col).isNotNull() & (F.length(text_col) > 0))
-    picked = (
-        known.select(F.col(id_col).alias("id"), F.col(lang_col).alias("label"))
-        .withColumn("place", F.row_number().over(order))
-        .where(F.col("place") <= per_label)
-        .select("id", "label", "place")
+    sample = sampled(
+        known.select(F.col(id_col).alias("id"), F.col(lang_col).alias("label"), F.col(text_col).alias("text")),
+        per_label,
     )
-    texts = known.select(F.col(id_col).alias("id"), F.col(lang_col).alias("label"), F.col(text_col).alias("text"))
-    # At most ``per_label`` rows a language are broadcast.
-    sample = texts.join(F.broadcast(picked), ["id", "label"]).select("label", "id", "place", "text")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

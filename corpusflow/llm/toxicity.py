@@ -32,8 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
+from corpusflow.llm.lang_id import sampled
 from corpusflow.llm.lookups import with_values
 from corpusflow.llm.storage import written
 from corpusflow.llm.textarrays import lowered, utf8, word_hashes, words
@@ -313,9 +313,7 @@ def train(
 ) -> ToxicityModel:
     """Learn from the documents that have a label; the caller leaves out held-out rows."""
     labelled = _labelled(docs, labels, id_col, text_col, label_col)
-    order = Window.partitionBy("label").orderBy(F.xxhash64("id"), "id")
-    ids = labelled.select("id", "label")
-    share = {r.label: r["count"] for r in ids.groupBy("label").count().collect()}
+    share = {r.label: r["count"] for r in labelled.groupBy("label").count().collect()}
     total = sum(share.values())
     if len(share) < 2:
         rate = share.get(1, 0) / total if total else 0.0
@@ -325,10 +323,7 @@ def train(
     size, (ordinary, toxic, before) = _tallies(table.where("before > 0"), COLUMNS[:3])
     _, pairs = _tallies(table.where("before = 0 AND next_ordinary + next_toxic = 0"), COLUMNS[:2])
     totals = Totals(size + 1, [ordinary, toxic], before, pairs)  # and a word never seen
-    picked = ids.withColumn("place", F.row_number().over(order)).where(F.col("place") <= SAMPLE)
-    # At most 2 * SAMPLE rows are broadcast.
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    sample = texts.join(F.broadcast(picked.select("id", "label").distinct()), "id")
+    sample = sampled(labelled, SAMPLE)
 
     def judge(rows: pa.Table, values: np.ndarray) -> pa.Table:
         label = rows.column("label").to_numpy()

@@ -297,3 +297,13 @@ def test_pipeline_rejects_languages_not_learned(spark, learned):
     left = {r.true: r["count"] for r in got.groupBy("true").count().collect()}
     assert all(left[x] >= 0.98 * n[x] for x in learned)
     assert all(left.get(x, 0) <= 0.25 * n[x] for x in n if x not in learned) and "xx" not in left
+
+
+def test_samples_are_bounded_where_ids_repeat(spark):
+    rows = [(1, f"text {i % 400}", "a") for i in range(800)] + [(i, "x", "a") for i in range(2, 7)]
+    rows += [(1, f"other {i}", "b") for i in range(40)] + [(9, None, "b")]
+    known = spark.createDataFrame(rows, "id long, text string, label string")
+    got = lang_id.sampled(known, 8).collect()
+    of = {x: [r.id for r in got if r.label == x] for x in "ab"}
+    assert sorted(of["a"]) == [1, 1, 1, 2, 3, 4, 5, 6] and sorted(of["b"]) == [1] * 7 + [9]
+    assert len({(r.label, r.id, r.text) for r in got}) == len(got) == 16
