@@ -3,7 +3,7 @@
 Some operators need to know, of each of the billions of keys in a corpus (hashes of windows,
 shingles, anchors), something about the same key elsewhere. One row a key would cost far more
 than the texts themselves, so keys travel in bulk: documents lie in chunks of a few megabytes by
-digest of their id; a chunk sends each slice of the key space one message with its distinct
+digest of their id and text, so that no repeated or missing id fills one; a chunk sends each slice of the key space one message with its distinct
 keys, packed; a slice, met by all chunks' messages, answers each with a few bits a key. So a key
 that a third of all rows share counts once a chunk, chunks and slices stay at a fixed size and
 only their number grows, and Spark moves, spreads and repeats the work.
@@ -44,11 +44,16 @@ def chunked(
     text_col: str = "text",
     chunk_bytes: int = CHUNK_BYTES,
 ) -> DataFrame:
-    """``chunk, id, text``: documents by chunk; null texts are empty, null ids ``LAST_ID``."""
+    """``chunk, id, text``: documents by chunk; null texts are empty, null ids ``LAST_ID``.
+
+    Equal texts without an id are dealt by the partition they were read in as well.
+    """
     chunks = max(1, -(-total // chunk_bytes))
+    key = F.col(id_col).cast("long")
+    salt = F.when(key.isNull(), F.spark_partition_id())
     return docs.select(
-        F.pmod(F.xxhash64(F.col(id_col).cast("long")), F.lit(chunks)).cast("int").alias("chunk"),
-        F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("id"),
+        F.pmod(F.xxhash64(key, F.col(text_col), salt), F.lit(chunks)).cast("int").alias("chunk"),
+        F.coalesce(key, F.lit(LAST_ID)).alias("id"),
         F.coalesce(F.col(text_col), F.lit("")).alias("text"),
     )
 

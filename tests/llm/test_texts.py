@@ -15,6 +15,7 @@ from corpusflow.llm import bpe, byte_spans, mixing, suffixes
 from corpusflow.llm.byte_spans import remove_repeats
 from corpusflow.llm.components import components
 from corpusflow.llm.line_join import remove_lines
+from corpusflow.llm.rounds import chunked
 from corpusflow.llm.set_join import link_classes
 from corpusflow.llm.substrings import deduplicate
 
@@ -348,3 +349,14 @@ def test_small_source_of_a_large_table_meets_its_target(spark):
         # Every shard of "big" may end in a partial block; "small" has one shard with words.
         assert abs(taken - target) <= (64 if source != "big" else 0.01 * target)
     assert {r[0]: r[3] for r in found}["small"] == pytest.approx(1.5 * 3000, rel=0.05)
+
+
+def test_chunks_spread_rows_without_or_with_one_id(spark):
+    rows = [(None, f"text {i}") for i in range(300)] + [(7, f"more {i}") for i in range(300)]
+    rows += [(None, "same")] * 400
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    got = chunked(df, 100_000, chunk_bytes=1_000).collect()
+    most = lambda f: max(Counter(r.chunk for r in got if f(r)).values())
+    assert len(got) == 1000
+    assert most(lambda r: r.text.startswith("text")) < 20 and most(lambda r: r.id == 7) < 20
+    assert most(lambda r: r.text == "same") < 200
