@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusflow.llm import graph_search, toxicity
+from corpusflow.llm import graph_search, secret_scan, toxicity
 from corpusflow.llm.bpe import encode
 from corpusflow.llm.byte_spans import remove_repeats
 from corpusflow.llm.fingerprints import with_edits
@@ -114,6 +114,18 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secret_scan.scan(docs)
+    return found.select(
+        "doc_id",
+        *[secret_scan.of_kind(k).alias(f"n_{k}") for k in secret_scan.BASE],
+        F.sha2(secret_scan.listed(kinds=secret_scan.BASE), 256).alias("base_sha256"),
+        secret_scan.listed().alias("spans"),
+    )
+
+
 # --- the same in SQL, where SQL can express it ---------------------------------------------
 
 _SPLIT = r"list_filter(regexp_split_to_array({}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
