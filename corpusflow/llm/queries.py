@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusflow.llm import graph_search, secret_scan, toxicity
+from corpusflow.llm import graph_search, phrases, secret_scan, toxicity
 from corpusflow.llm.bpe import encode
 from corpusflow.llm.byte_spans import remove_repeats
 from corpusflow.llm.fingerprints import with_edits
@@ -114,6 +114,11 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.mine(_table(spark, sf_dir, "documents").select("text", "lang"))
+
+
 @_query
 def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -187,3 +192,30 @@ SELECT doc_id, len(h) // 2 AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_remov
                   - CASE WHEN j = 0 THEN 0 ELSE 2 * b[j] - 2 END)), '') END)) AS kept_sha256
 FROM d LEFT JOIN cut USING (doc_id)
 """
+
+ORACLE["op12_collocations"] = r"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang,
+                  translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+     pieces AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS p FROM d WHERE t IS NOT NULL),
+     w AS (SELECT lang, list_filter(regexp_split_to_array(p, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM pieces),
+     f AS (SELECT lang, k, array_to_string(list_slice(ws, i, i + k - 1), ' ') AS phrase, count(*) AS n
+           FROM (SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i
+                 FROM w, (VALUES (1), (2), (3)) sizes(k) WHERE len(ws) >= k)
+           GROUP BY ALL),
+     c AS (SELECT lang, k, phrase, n, string_split(phrase, ' ') AS ws FROM f WHERE k > 1 AND n >= 10),
+     cuts AS (SELECT c.lang, c.phrase, c.k, c.n AS a, cut, lf.n AS l, rf.n AS r,
+                     ((1000000::HUGEINT * c.n * c.n) // (lf.n::HUGEINT * rf.n))::BIGINT AS score
+              FROM (SELECT *, unnest(range(1, k)) AS cut FROM c) c
+              JOIN f lf ON lf.lang = c.lang AND lf.phrase = array_to_string(list_slice(c.ws, 1, cut), ' ')
+              JOIN f rf ON rf.lang = c.lang AND rf.phrase = array_to_string(list_slice(c.ws, cut + 1, c.k), ' ')),
+     scored AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+     longer AS (SELECT lang, part AS phrase, max(n) AS most
+                FROM (SELECT lang, n, unnest([array_to_string(list_slice(ws, 1, 2), ' '),
+                                              array_to_string(list_slice(ws, 2, 3), ' ')]) AS part FROM c WHERE k = 3)
+                GROUP BY ALL),
+     left_over AS (SELECT scored.* FROM scored LEFT JOIN longer ON scored.k = 2 AND longer.lang = scored.lang
+                   AND longer.phrase = scored.phrase WHERE most IS NULL OR 100 * most < 50 * a),
+     ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM left_over)
+SELECT lang, rank, phrase, a, l, r, (SELECT sum(n)::BIGINT FROM f WHERE f.lang = ranked.lang AND f.k = 1) AS n, score
+FROM ranked WHERE rank <= 2000
+"""
