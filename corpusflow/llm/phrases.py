@@ -39,7 +39,7 @@ FRONTIER = 500_000
 #: Rows up to which a table with a row for each language is broadcast.
 LANGUAGES = 10_000
 #: Bytes of text that are counted at once, if no single text is longer.
-PART_BYTES = 32_000_000
+PART_BYTES = 16_000_000
 
 # The bytes that end a piece, and those that part words in one.
 _ENDS = (*b".,;:!?", 0x0A, 0x0B, 0x0C, 0x0D)
@@ -71,7 +71,7 @@ class Words:
         self.langs = coded.dictionary
         per_text = np.diff(first)
         self.lang = np.repeat(coded.indices.to_numpy().astype(np.int64), per_text)
-        piece = np.cumsum(_END[data], dtype=np.int64)[starts] if len(starts) else starts
+        piece = np.searchsorted(np.flatnonzero(_END[data]), starts)
         text = np.repeat(np.arange(len(per_text)), per_text)
         self.next = (piece[1:] == piece[:-1]) & (text[1:] == text[:-1])
 
