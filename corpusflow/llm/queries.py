@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusflow.llm import graph_search, phrases, secret_scan, toxicity
+from corpusflow.llm import graph_search, phrases, prefix_trie, secret_scan, toxicity
 from corpusflow.llm.bpe import encode
 from corpusflow.llm.byte_spans import remove_repeats
 from corpusflow.llm.fingerprints import with_edits
@@ -114,6 +114,12 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefix_trie.turns_of(_table(spark, sf_dir, "conversations"))
+    return prefix_trie.trie(prefix_trie.with_borrowed_heads(turns))
+
+
 @_query
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.mine(_table(spark, sf_dir, "documents").select("text", "lang"))
@@ -219,3 +225,35 @@ WITH d AS (SELECT coalesce(lang, 'und') AS lang,
 SELECT lang, rank, phrase, a, l, r, (SELECT sum(n)::BIGINT FROM f WHERE f.lang = ranked.lang AND f.k = 1) AS n, score
 FROM ranked WHERE rank <= 2000
 """
+
+# Unsigned crc32 of a decimal text, bit by bit; SQL has no function for it.
+_CRC32 = """xor(4294967295::BIGINT, list_reduce(list_transform(string_split({}, ''), lambda x: ord(x)::BIGINT),
+    lambda crc, byte: list_reduce(range(8), lambda c, i: xor(c >> 1, 3988292384::BIGINT * (c & 1)), xor(crc, byte)),
+    4294967295::BIGINT))"""
+
+ORACLE["op11_conversation_trie"] = rf"""
+WITH t AS (SELECT conv_id, coalesce(text, '') AS text, turn,
+                  md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS token
+           FROM conversations WHERE conv_id IS NOT NULL),
+     own AS (SELECT conv_id, list({{'token': token, 'words': len(regexp_extract_all(text, '[^ 	-]+'))}}
+                                  ORDER BY turn NULLS FIRST, token) AS ts FROM t GROUP BY conv_id),
+     h AS (SELECT conv_id, ts, {_CRC32.format("conv_id::VARCHAR")} % 4 AS h FROM own),
+     c AS (SELECT h.conv_id AS c, list_concat(coalesce(list_slice(b.ts, 1, h.h), []), list_slice(h.ts, h.h + 1, len(h.ts))) AS ts
+           FROM h LEFT JOIN own b ON b.conv_id = h.conv_id - h.conv_id % 20),
+     p AS (SELECT c, len(ts) AS n, d, CASE WHEN d > 0 THEN ts[d].words ELSE 0 END AS words,
+                  md5(array_to_string(list_transform(list_slice(ts, 1, d), lambda x: x.token), '')) AS k
+           FROM (SELECT c, ts, unnest(range(0, len(ts) + 1)) AS d FROM c)),
+     nodes AS (SELECT k, d, min(c) AS conv_id, count(*) AS n_convs, max(words) AS words,
+                      sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (n = d), '')) AS ends_sha256
+               FROM p GROUP BY k, d),
+     up AS (SELECT nodes.*, pn.conv_id AS parent_conv_id, pn.k AS parent FROM nodes
+            LEFT JOIN p ON p.c = nodes.conv_id AND p.d = nodes.d - 1
+            LEFT JOIN nodes pn ON pn.k = p.k AND pn.d = p.d),
+     kids AS (SELECT parent AS k, d - 1 AS d, count(*) AS n_children FROM up WHERE parent IS NOT NULL GROUP BY ALL),
+     full_nodes AS (SELECT up.*, coalesce(n_children, 0) AS n_children FROM up LEFT JOIN kids USING (k, d)),
+     sums AS (SELECT a.k, a.d, sum((f.n_convs - 1) * f.words)::BIGINT AS saved_tokens,
+                     count(*) FILTER (f.n_children = 0) AS n_leaves
+              FROM full_nodes f JOIN p a ON a.c = f.conv_id AND a.d <= f.d GROUP BY ALL)
+SELECT conv_id, d::BIGINT AS depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256
+FROM full_nodes JOIN sums USING (k, d)
+"""
