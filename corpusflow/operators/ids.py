@@ -1,19 +1,26 @@
 """Row numbers and document ids that stay put.
 
-Generated ids are recomputed with every action, so they are always checkpointed before
-anyone sees them.
+An id must be the same whenever a row is worked out again. Ids therefore come from where a row
+lies in its file, or from its contents; only rows that have neither are checkpointed.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusflow.errors import ColumnException
 from corpusflow.storage import checkpointed
 
+ROW_BITS = 33  # of an id that is made of a file's number and a row's place in it
+#: Files up to which their numbers are broadcast.
+FILES = 50_000
+#: Copies of one row that a task writes out at a time.
+COPIES = 10_000
+
 
 def with_position(
     df: DataFrame, order_by: Sequence[Column | str], name: str = "position"
@@ -57,19 +64,75 @@ def with_doc_id(
     """Give every row a unique long id.
 
     An id column that is there already is kept. Without ``key_cols`` the ids are unique
-    and increasing but not dense, and cost no shuffle. With ``key_cols`` they are the
+    and increasing but not dense: rows read from Parquet files get the file's number and their
+    place in it, other rows a running number, checkpointed. With ``key_cols`` they are the
     positions in the order of the keys' digest, ties in the order of the whole row's digest:
-    the same rows get the same ids whatever the layout of the table.
+    the same rows get the same ids whatever the layout of the table. Then only digests are
+    checkpointed; the rows are read again and must be the same, else the job fails.
     """
     if id_col in df.columns:
         return df
     if key_cols is None:
-        return checkpointed(df.withColumn(id_col, F.monotonically_increasing_id()))
+        placed = _by_place(df, id_col)
+        return checkpointed(df.withColumn(id_col, F.monotonically_increasing_id())) if placed is None else placed
     if not key_cols:
         raise ColumnException("key_cols must name at least one column")
+    return _by_rank(df, key_cols, id_col)
+
+
+def _by_place(df: DataFrame, id_col: str) -> DataFrame | None:
+    """Ids from file and row number, or None where rows do not come straight from Parquet files."""
+    place = [F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row")]
+    try:
+        rows = df.select("*", *place)
+        files = df.select(place[0]).distinct()
+    except AnalysisException:
+        return None
+    numbers = with_position(files, ["__file"], "__number")
+    if numbers.limit(FILES + 1).count() <= FILES:
+        numbers = F.broadcast(numbers)
+    number = F.shiftleft("__number", ROW_BITS)
+    return rows.join(numbers, "__file").select(*[rows[c] for c in df.columns], (number + F.col("__row")).alias(id_col))
+
+
+def _by_rank(df: DataFrame, key_cols: Sequence[str], id_col: str) -> DataFrame:
+    """Ids from the rank of each row's digests in a table of digests alone.
+
+    Rows that are alike in every column are as many neighbouring ranks; which of them gets which
+    makes no difference. One of them is kept and written out as often as there are ranks, in
+    packets, so that no task meets a large group of copies.
+    """
     parts = [F.coalesce(F.col(c).cast("string"), F.lit("\x1e")) for c in key_cols]
-    whole = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
-    return with_position(df, [F.md5(F.concat_ws("\x1f", *parts)), whole], id_col)
+    digests = {
+        "__key": F.unhex(F.md5(F.concat_ws("\x1f", *parts))),
+        "__whole": F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]),
+    }
+    keyed = df.withColumns(digests)
+    ranks = (
+        with_position(keyed.select(*digests), [*digests], "__rank")
+        .groupBy(*digests)
+        .agg(F.min("__rank").alias("__first"), F.count(F.lit(1)).alias("__n"))
+    )
+    ranks = checkpointed(ranks)
+    found = keyed.join(ranks, [*digests], "left")
+    changed = F.raise_error(F.lit("the rows changed between two readings; no stable id exists"))
+    single = found.where("__n IS NULL OR __n = 1").select(
+        *[found[c] for c in df.columns], F.coalesce("__first", changed.cast("long")).alias(id_col)
+    )
+    if not ranks.where("__n > 1").limit(1).count():
+        return single
+    copies = keyed.join(ranks.where("__n > 1"), [*digests])
+    packet = F.explode(F.sequence(F.lit(0), F.col("__n") - 1, F.lit(COPIES).cast("long"))).alias("__packet")
+    last = F.least(F.col("__packet") + COPIES, F.col("__n")) - 1
+    repeated = (
+        copies.groupBy(*digests, "__first", "__n")
+        .agg(F.first(F.struct(*[F.col(f"`{c}`") for c in df.columns])).alias("__row"))
+        .select("__row", "__first", "__n", packet)
+        .repartition("__first", "__packet")
+        .select("__row", "__first", F.explode(F.sequence(F.col("__packet"), last)).alias("__copy"))
+        .select("__row.*", (F.col("__first") + F.col("__copy")).alias(id_col))
+    )
+    return single.unionByName(repeated)
 
 
 def assign_batches(

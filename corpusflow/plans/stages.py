@@ -95,10 +95,15 @@ def run_pipeline(
 
 
 def source_to_bronze(
-    spark: SparkSession, base: str, splits: Sequence[str] = SPLITS, fmt: str = "parquet"
+    spark: SparkSession,
+    base: str,
+    splits: Sequence[str] = SPLITS,
+    fmt: str = "parquet",
+    folder: str = "{split}",
 ) -> list[TableOutput]:
     """Landed split files as they are."""
-    return [TableOutput(name, df) for name, df in read_splits(spark, base, splits, fmt).items()]
+    found = read_splits(spark, base, splits, fmt, folder)
+    return [TableOutput(name, df) for name, df in found.items()]
 
 
 def bronze_to_gold(

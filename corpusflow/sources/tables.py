@@ -11,10 +11,16 @@ SPLITS = ("train", "validation", "test")  # fixed values
 
 
 def read_splits(
-    spark: SparkSession, base: str, splits: Sequence[str] = SPLITS, fmt: str = "parquet"
+    spark: SparkSession,
+    base: str,
+    splits: Sequence[str] = SPLITS,
+    fmt: str = "parquet",
+    folder: str = "{split}",
 ) -> dict[str, DataFrame]:
-    """Landed files, one folder per split."""
-    return {split: spark.read.format(fmt).load(f"{base.rstrip('/')}/{split}") for split in splits}
+    """Landed files, one folder per split; ``folder`` says how a split's folder is named, such
+    as ``split={split}`` where one write landed them all."""
+    places = {split: f"{base.rstrip('/')}/{folder.format(split=split)}" for split in splits}
+    return {split: spark.read.format(fmt).load(place) for split, place in places.items()}
 
 
 def read_tables(

@@ -9,7 +9,7 @@ import io
 import json
 import uuid
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from datetime import datetime
 from functools import reduce
 
@@ -22,7 +22,6 @@ from corpusflow.functions.prompts import GOLD_PROMPT
 from corpusflow.operators.upsert import upsert
 from corpusflow.plans import stages
 from corpusflow.sinks import tables as sinks
-from corpusflow.sinks.files import export_training_text
 from corpusflow.sources.files import expand_archives, read_json_docs
 from corpusflow.sources.tables import SPLITS, read_splits, read_tables
 from corpusflow.storage import staging_path
@@ -100,6 +99,29 @@ def upsert_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(name).drop(sinks.TIMESTAMP_COLUMN)
 
 
+@query(
+    "upsert_partitioned",
+    """SELECT d.doc_id, d.lang,
+              CASE WHEN d.doc_id % 7 = 0 AND d.source IS NOT NULL THEN upper(d.source) ELSE d.source END AS source,
+              d.n_chars FROM documents d WHERE lang = 'fr' OR lang = 'es'
+       UNION ALL SELECT doc_id, lang, source, n_chars FROM documents
+                 WHERE lang IS NULL OR lang NOT IN ('fr', 'es')
+       UNION ALL SELECT -1 - doc_id, lang, source, n_chars FROM documents WHERE lang = 'fr' AND doc_id % 5 = 0""",
+)
+def upsert_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes and new rows for two languages of a table partitioned by language and half."""
+    docs = I.table(spark, sf_dir, "documents").select("doc_id", "source", "n_chars", "lang")
+    docs = docs.withColumn("half", F.pmod("doc_id", F.lit(2)))
+    name = f"{_new_schema(spark)}.documents"
+    sinks.save(docs, name, mode="overwrite", partition_by=["lang", "half"], ts=_TS)
+    some = docs.where("lang IN ('fr', 'es')")
+    changes = some.where("doc_id % 7 = 0").withColumn("source", F.upper("source"))
+    fresh = some.where("lang = 'fr' AND doc_id % 5 = 0").withColumn("doc_id", -1 - F.col("doc_id"))
+    config = sinks.UpsertConfig(["doc_id", "lang", "half"], [sinks.TIMESTAMP_COLUMN])
+    sinks.save(changes.unionByName(fresh), name, mode="upsert", upsert_config=config, ts=_TS)
+    return spark.table(name).select("doc_id", "lang", "source", "n_chars")
+
+
 # --- keyed tables ----------------------------------------------------------------------
 
 
@@ -122,6 +144,26 @@ def keyed_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(name)
 
 
+@query(
+    "keyed_merge_partitioned",
+    """SELECT conv_id, turn, CASE WHEN conv_id % 10 = 0 AND role = 'user' THEN 'asker' ELSE role END AS role,
+              CASE WHEN conv_id % 10 = 0 THEN md5(text) ELSE text END AS text FROM conversations
+       UNION ALL SELECT conv_id, turn + 1000, 'later', text FROM conversations WHERE conv_id % 10 = 1""",
+)
+def keyed_merge_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Partitioned by a column that is no key: rows move to other partitions and new ones come."""
+    turns = I.table(spark, sf_dir, "conversations").select("conv_id", "turn", "text", "role")
+    name = f"{_new_schema(spark)}.turns"
+    keys = ["conv_id", "turn"]
+    sinks.write_keyed_table(turns, name, keys, partition_by="role")
+    moved = turns.where("conv_id % 10 = 0").withColumns(
+        {"text": F.md5("text"), "role": F.when(F.col("role") == "user", "asker").otherwise(F.col("role"))}
+    )
+    later = turns.where("conv_id % 10 = 1").withColumns({"turn": F.col("turn") + 1000, "role": F.lit("later")})
+    sinks.write_keyed_table(moved.unionByName(later), name, keys, mode="merge")
+    return spark.table(name)
+
+
 # --- plain tables ----------------------------------------------------------------------
 
 
@@ -145,14 +187,18 @@ def save_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "merged_schema",
-    """SELECT doc_id, quality, CASE WHEN doc_id % 2 = 0 THEN toxic END AS toxic FROM labels""",
+    """SELECT doc_id, quality, CASE WHEN doc_id % 2 = 0 THEN toxic END AS toxic FROM labels
+       UNION ALL SELECT doc_id + 1000000000, quality, NULL FROM labels WHERE doc_id % 3 = 0""",
 )
 def merged_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Half of the rows come first and lack a column the other half brings."""
-    labels = I.table(spark, sf_dir, "labels")
+    """Half of the rows come first, in a partitioned table, and lack a column the others bring;
+    rows that lack it again come last."""
+    labels = I.table(spark, sf_dir, "labels").select("doc_id", "toxic", "quality")
     name = f"{_new_schema(spark)}.labels"
-    sinks.save_table(labels.where("doc_id % 2 = 1").drop("toxic"), name)
+    sinks.save_table(labels.where("doc_id % 2 = 1").drop("toxic"), name, partition_by="quality")
     sinks.save_table(labels.where("doc_id % 2 = 0"), name, merge_schema=True)
+    last = labels.where("doc_id % 3 = 0").withColumn("doc_id", F.col("doc_id") + 1000000000)
+    sinks.save_table(last.drop("toxic"), name, merge_schema=True)
     return spark.table(name)
 
 
@@ -165,15 +211,31 @@ def compacted_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(name)
 
 
-def _landed_splits(spark: SparkSession, sf_dir: str) -> str:
-    """Documents with a summary, as one folder of files per split."""
-    docs = I.articles(spark, sf_dir).withColumns(
-        {"summary": I.first_long_sentence("article"), "split": I.split_name("doc_id")}
+@query("compacted_partitions", "SELECT event_id, user_id, value, event_type FROM events")
+def compacted_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Appended in three parts, of which the last one only brings files to some partitions."""
+    events = I.table(spark, sf_dir, "events").select("event_id", "user_id", "value", "event_type")
+    name = f"{_new_schema(spark)}.events"
+    third = F.pmod("event_id", F.lit(3))
+    for i in range(3):
+        sinks.save(events.where(third == i), name, partition_by="event_type", optimize=True, ts=_TS)
+    return spark.table(name).drop(sinks.TIMESTAMP_COLUMN)
+
+
+# One write lands all splits, each in a folder named like this.
+_FOLDER = "split={split}"
+
+
+def _landed_splits(spark: SparkSession, sf_dir: str, keep: Sequence[str] = ()) -> str:
+    """Documents with a summary, as one folder of files per split; ids only where asked for."""
+    docs = I.articles(spark, sf_dir).select(
+        *keep,
+        "article",
+        I.first_long_sentence("article").alias("summary"),
+        I.split_name("doc_id").alias("split"),
     )
     base = staging_path(spark, "landing")
-    for name in SPLITS:
-        part = docs.where(F.col("split") == name)
-        export_training_text(part, ["doc_id", "article", "summary"], f"{base}/{name}")
+    docs.write.partitionBy("split").parquet(base)
     return base
 
 
@@ -189,7 +251,8 @@ def _together(tables: dict[str, DataFrame]) -> DataFrame:
 def split_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed files to tables; a fourth table that does not exist is skipped."""
     schema = _new_schema(spark)
-    for name, df in read_splits(spark, _landed_splits(spark, sf_dir)).items():
+    base = _landed_splits(spark, sf_dir, ["doc_id"])
+    for name, df in read_splits(spark, base, folder=_FOLDER).items():
         sinks.save_table(df.drop("summary"), f"{schema}.{name}")
     return _together(read_tables(spark, schema, (*SPLITS, "extra"), missing="skip"))
 
@@ -199,7 +262,7 @@ def _feature_store(spark: SparkSession, sf_dir: str) -> str:
     base = _landed_splits(spark, sf_dir)
     bronze, gold = (stages.Layer(_new_schema(spark)) for _ in range(2))
     features = stages.Layer(_new_schema(spark), keyed=True)
-    stages.run_pipeline(lambda _: stages.source_to_bronze(spark, base), bronze, ts=_TS)
+    stages.run_pipeline(lambda _: stages.source_to_bronze(spark, base, folder=_FOLDER), bronze, ts=_TS)
     raw = read_tables(spark, bronze.schema_name)
     stages.run_pipeline(lambda _: stages.bronze_to_gold(raw), gold, ts=_TS)
     prompted = read_tables(spark, gold.schema_name)
@@ -212,25 +275,43 @@ _FIXED_LENGTH = len(f"<s>[INS] {GOLD_PROMPT}\nARTICLE:\n\nPlain Language Summary
 
 @query(
     "feature_store",
-    f"""SELECT c.doc_id, c.article_clean, {I.sql_split('c.doc_id')} AS split,
-        length(c.article_clean) + length(c.summary) + {_FIXED_LENGTH} AS n_prompt FROM ({I.CLEAN}) c""",
+    f"""SELECT md5(d.text) AS digest, c.article_clean, {I.sql_split('c.doc_id')} AS split,
+        length(c.article_clean) + length(c.summary) + {_FIXED_LENGTH} AS n_prompt,
+        md5('<s>[INS] {GOLD_PROMPT.replace("'", "''")}' || chr(10) || 'ARTICLE:' || chr(10) || c.article_clean || chr(10)
+            || 'Plain Language Summary:[INST]' || chr(10) || c.summary || '</s>') AS prompt_digest,
+        TRUE AS has_id FROM ({I.CLEAN}) c JOIN documents d ON d.doc_id = c.doc_id""",
 )
 def feature_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tables land without ids; the last stage gives each document one of its own."""
     tables = read_tables(spark, _feature_store(spark, sf_dir))
     rows = _together(tables)
     return rows.select(
-        "doc_id", "article_clean", "split", F.length("model_input").cast("long").alias("n_prompt")
+        F.md5("article").alias("digest"),
+        "article_clean",
+        "split",
+        F.length("model_input").cast("long").alias("n_prompt"),
+        F.md5("model_input").alias("prompt_digest"),
+        F.col("doc_id").isNotNull().alias("has_id"),
     )
 
 
 @query(
     "feature_store_snippets",
-    f"""SELECT doc_split_id, article_snippet, doc_id, snippet_len, split_id,
-        {I.sql_split('doc_id')} AS split FROM ({I.SNIPPETS})""",
+    f"""SELECT CASE WHEN c.doc_id IS NOT NULL THEN md5(d.text) END AS digest,
+        n.article_snippet, n.snippet_len, n.split_id, {I.sql_split('n.doc_id')} AS split, TRUE AS keyed
+        FROM ({I.SNIPPETS}) n JOIN documents d ON d.doc_id = n.doc_id
+        LEFT JOIN ({I.CLEAN}) c ON c.doc_id = n.doc_id""",
 )
 def feature_store_snippets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = read_tables(spark, _feature_store(spark, sf_dir), suffix="_snippets")
-    return _together(tables).drop(sinks.TIMESTAMP_COLUMN)
+    """Snippets beside the digest of the document that their generated id leads to, if any of its
+    snippets is long enough for the document table."""
+    schema = _feature_store(spark, sf_dir)
+    snippets = _together(read_tables(spark, schema, suffix="_snippets"))
+    docs = _together(read_tables(spark, schema)).select("split", "doc_id", F.md5("article").alias("digest"))
+    made = F.concat_ws("_", "doc_id", "split_id")
+    return snippets.join(docs, ["split", "doc_id"], "left").select(
+        "digest", "article_snippet", "snippet_len", "split_id", "split", (F.col("doc_split_id") == made).alias("keyed")
+    )
 
 
 # --- files -----------------------------------------------------------------------------

@@ -45,6 +45,60 @@ def test_doc_ids(spark):
         ids.with_doc_id(df, [])
 
 
+def checkpoints(df):
+    """Columns of each checkpoint that a plan reads."""
+    import re
+
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return [set(re.findall(r"(\w+)#\d+", m)) for m in re.findall(r"LogicalRDD \[(.*?)\]", plan)]
+
+
+def test_ids_of_files_need_no_checkpoint_of_rows(spark, tmp_path):
+    source = spark.range(500).selectExpr("id AS v", "sha2(string(id), 256) AS text", "id % 3 AS p")
+    source.repartition(7).write.partitionBy("p").parquet(str(tmp_path / "t"))
+    rows = spark.read.parquet(str(tmp_path / "t")).where("v >= 20").select("text", "v")
+    made = ids.with_doc_id(rows)
+    assert made.columns == ["text", "v", "doc_id"] and dict(made.dtypes)["doc_id"] == "bigint"
+    first = {r.v: r.doc_id for r in made.collect()}
+    assert len(set(first.values())) == 480
+    assert {r.v: r.doc_id for r in made.select("v", "doc_id").repartition(3).collect()} == first
+    assert {r.v: r.doc_id for r in ids.with_doc_id(rows.where("v > 100")).collect()}.items() <= first.items()
+    assert all("text" not in columns for columns in checkpoints(made))
+
+
+def test_ids_by_keys_checkpoint_digests_only(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(ids, "COPIES", 7)
+    copies = spark.range(50).selectExpr("'same' AS t", "1 AS n")
+    others = spark.range(100).selectExpr("concat('t', id % 40) AS t", "cast(id AS int) AS n")
+    nulls = spark.range(3).selectExpr("cast(null AS string) AS t", "2 AS n")
+    df = copies.unionByName(others).unionByName(nulls)
+    df.repartition(5).write.parquet(str(tmp_path / "t"))
+    rows = spark.read.parquet(str(tmp_path / "t"))
+    made = ids.with_doc_id(rows, ["t"])
+    got = made.select("doc_id", "t", "n").collect()
+    assert sorted(r.doc_id for r in got) == list(range(153))
+    assert sorted((r.t, r.n) for r in got if r.t) == sorted((r.t, r.n) for r in df.collect() if r.t)
+    spans = {}
+    for r in got:
+        spans.setdefault(r.t, []).append(r.doc_id)
+    assert all(max(s) - min(s) == len(s) - 1 for s in spans.values())  # a key's ids are neighbours
+    other = ids.with_doc_id(rows.repartition(3), ["t"]).select("doc_id", "t", "n").collect()
+    assert sorted(other) == sorted(got)
+    assert checkpoints(made) and all("t" not in columns and "n" not in columns for columns in checkpoints(made))
+
+
+def test_rows_that_change_between_readings_are_an_error(spark):
+    def fresh(batches):
+        import uuid
+
+        for batch in batches:
+            yield batch.assign(r=[str(uuid.uuid4()) for _ in range(len(batch))])[["r"]]
+
+    df = spark.range(50).mapInPandas(fresh, "r string")
+    with pytest.raises(Exception, match="changed between two readings"):
+        ids.with_doc_id(df, ["r"]).collect()
+
+
 def test_batches(spark):
     df = spark.range(23).repartition(4)
     sizes = ids.assign_batches(df, 5, ["id"]).groupBy("batch_id").count()

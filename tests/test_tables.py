@@ -121,6 +121,146 @@ def test_merge_schema(spark, schema):
     assert rows(spark, name, "a", "b") == [(1, None), (2, "x")]
 
 
+def files_of(spark, name, where="true"):
+    spark.catalog.refreshTable(name)
+    found = spark.table(name).where(where).select("_metadata.file_path").distinct().collect()
+    return {r[0] for r in found}
+
+
+def test_merge_schema_keeps_files_and_what_is_noted(spark, schema):
+    name = f"{schema}.t"
+    first = spark.createDataFrame([(1, "x"), (2, "y")], "a int, p string")
+    tables.save_table(first, name, partition_by="p")
+    spark.sql(f"COMMENT ON TABLE {name} IS 'it''s mine'")
+    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('steward' = 'me')")
+    before = files_of(spark, name)
+    wider = spark.createDataFrame([("x", 7, 3, [1.5])], "P string, b int, a long, c array<double>")
+    tables.save_table(wider, name, merge_schema=True)
+    tables.save_table(first.limit(1), name, merge_schema=True)
+    assert before < files_of(spark, name)
+    assert spark.table(name).columns == ["a", "b", "c", "p"]
+    assert rows(spark, name, "a", "b", "c", "p") == [
+        (1, None, None, "x"), (1, None, None, "x"), (2, None, None, "y"), (3, 7, [1.5], "x")
+    ]
+    assert [c.name for c in spark.catalog.listColumns(name) if c.isPartition] == ["p"]
+    assert tables._details(spark, name)["Comment"] == "it's mine"
+    assert tables._properties(spark, name)["steward"] == "me"
+
+
+def keyed_parts(spark, name, n=40):
+    df = spark.range(n).selectExpr("id AS k", "concat('v', id) AS v", "concat('p', id % 4) AS p")
+    tables.write_keyed_table(df, name, "k", partition_by="p")
+    return df
+
+
+def test_keyed_merge_rewrites_touched_partitions_only(spark, schema):
+    """Partitions are no keys: one row changes and stays in its partition."""
+    name = f"{schema}.t"
+    keyed_parts(spark, name)
+    others = files_of(spark, name, "p <> 'p3'")
+    tables.write_keyed_table(spark.createDataFrame([(7, "new", "p3")], "k long, v string, p string"), name, "k", "merge")
+    assert files_of(spark, name, "p <> 'p3'") == others
+    assert spark.table(name).where("k = 7").collect() == [(7, "new", "p3")]
+    assert spark.table(name).count() == 40
+
+
+def test_keyed_merge_moves_rows_between_partitions(spark, schema):
+    name = f"{schema}.t"
+    keyed_parts(spark, name)
+    quiet = files_of(spark, name, "p IN ('p0', 'p2')")
+    moved = spark.table(name).where("p = 'p1'").selectExpr("k", "v", "'p3' AS p")
+    fresh = spark.createDataFrame([(100, "n", None)], "k long, v string, p string")
+    tables.write_keyed_table(moved.unionByName(fresh), name, "k", "merge")
+    assert files_of(spark, name, "p IN ('p0', 'p2')") == quiet
+    counts = {r.p: r["count"] for r in spark.table(name).groupBy("p").count().collect()}
+    assert counts == {"p0": 10, "p2": 10, "p3": 20, None: 1}  # nothing is left of p1
+    assert spark.table(name).select("k").distinct().count() == 41
+    back = spark.createDataFrame([(100, "n", "p0")], "k long, v string, p string")
+    tables.write_keyed_table(back, name, "k", "merge")
+    assert spark.table(name).where("p IS NULL").count() == 0
+
+
+def test_merge_with_several_partition_columns_is_exact(spark, schema):
+    name = f"{schema}.t"
+    df = spark.range(80).selectExpr("id AS k", "0 AS v", "id % 2 AS p", "if(id % 4 < 2, null, id % 4) AS q")
+    tables.save_table(df, name, partition_by=["p", "q"])
+    before = files_of(spark, name)
+    source = spark.createDataFrame([(2, 9, 0, 2), (1, 9, 1, None)], "k long, v int, p long, q long")
+    tables.upsert_table(source, name, tables.UpsertConfig(["k"]))
+    touched = "(p = 0 AND q = 2) OR (p = 1 AND q IS NULL)"
+    kept = files_of(spark, name, f"NOT coalesce({touched}, false)")
+    assert kept and kept <= before
+    assert spark.table(name).where("v = 9").count() == 2
+    assert spark.table(name).count() == 80
+
+
+def test_failed_merge_changes_nothing(spark, schema):
+    name = f"{schema}.t"
+    keyed_parts(spark, name)
+    before = files_of(spark, name)
+    bad = spark.createDataFrame([(1, "x", "p1"), (1, "y", "p2")], "k long, v string, p string")
+    with pytest.raises(KeyViolation):
+        tables.write_keyed_table(bad, name, "k", "merge")
+    with pytest.raises(Exception, match="several source rows"):
+        tables.upsert_table(bad, name, tables.UpsertConfig(["k"]))
+    assert files_of(spark, name) == before
+
+
+def test_unchecked_rows_take_the_key_note_away(spark, schema):
+    name = f"{schema}.t"
+    df = keyed_parts(spark, name)
+    assert tables._properties(spark, name)[tables._KEYS] == "k"
+    one = spark.createDataFrame([(900, "x", "p1")], "k long, v string, p string")
+    tables.write_keyed_table(one, name, "k", "merge")
+    assert tables._properties(spark, name)[tables._KEYS] == "k"
+    tables.save_table(df.limit(1), name, partition_by="p")
+    assert tables._KEYS not in tables._properties(spark, name)
+    with pytest.raises(KeyViolation):  # found in the table, not in the new rows
+        tables.write_keyed_table(one, name, "k", "merge")
+
+
+def test_compaction_leaves_good_partitions_alone(spark, schema):
+    name = f"{schema}.t"
+    df = spark.range(300).selectExpr("id", "id % 3 AS p")
+    tables.save_table(df.repartition(1), name, partition_by="p")
+    tables.save_table(df.where("p = 1").repartition(8), name, partition_by="p")
+    spark.sql(f"COMMENT ON TABLE {name} IS 'kept'")
+    before = files_of(spark, name, "p <> 1")
+    assert {r.p: (r.n_files, r.n_small) for r in tables.file_sizes(spark, name).collect()} == {
+        0: (1, 1), 1: (9, 9), 2: (1, 1)
+    }
+    tables.compact_table(spark, name)
+    assert files_of(spark, name, "p <> 1") == before
+    assert len(files_of(spark, name, "p = 1")) == 1
+    assert tables._details(spark, name)["Comment"] == "kept"
+    again = files_of(spark, name)
+    tables.compact_table(spark, name)
+    assert files_of(spark, name) == again
+    assert spark.table(name).count() == 400
+
+
+def test_compaction_keeps_comment_and_properties(spark, schema):
+    name = f"{schema}.t"
+    spark.sql(f"CREATE TABLE {name} (id bigint COMMENT 'the id') USING parquet COMMENT 'c' TBLPROPERTIES ('a.b' = '1')")
+    spark.range(10).repartition(4).write.insertInto(name)
+    tables.compact_table(spark, name)
+    assert len(files_of(spark, name)) == 1
+    details = tables._details(spark, name)
+    assert details["Comment"] == "c" and tables._properties(spark, name)["a.b"] == "1"
+    assert spark.catalog.listColumns(name)[0].description == "the id"
+
+
+@pytest.mark.parametrize("mode", ["overwrite", "append"])
+def test_optimized_save_writes_once(spark, schema, mode, monkeypatch):
+    name = f"{schema}.t"
+    rewritten = []
+    monkeypatch.setattr(tables, "compact_table", lambda *a: rewritten.append(a))
+    tables.save(spark.range(100).repartition(12), name, mode=mode, optimize=True, ts=TS)
+    assert len(files_of(spark, name)) == 1 and not rewritten
+    tables.save(spark.range(100).repartition(12), name, mode="append", optimize=True, ts=TS)
+    assert len(rewritten) == 1
+
+
 @pytest.mark.parametrize("target", [None, 2])
 def test_compaction(spark, schema, target):
     name = f"{schema}.t"
