@@ -1,7 +1,10 @@
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import plan_of
+
 from corpusflow.errors import ColumnException
+from corpusflow.operators import joins
 from corpusflow.operators.joins import join_table
 
 
@@ -30,6 +33,37 @@ def test_same_rows_as_the_plain_join(sides, how):
     assert dropped.count() == plain.count()
 
 
+@pytest.mark.parametrize("how", ["left", "right", "full"])
+@pytest.mark.parametrize("heavy", [1, 3, 5])
+def test_dealt_keys_give_the_same_rows(spark, monkeypatch, how, heavy):
+    """Keys that are heavy on one side, on both or on none, with copies, strangers and nulls."""
+    monkeypatch.setattr(joins, "PARTS", 4)
+    left = [(k, f"l{i % 7}", {"m": 1}) for k, n in ((1, 9), (2, 4), (3, 1), (4, 6), (None, 8)) for i in range(n)]
+    right = [(k, f"r{i % 3}") for k, n in ((1, 7), (2, 1), (3, 6), (5, 5), (6, 1), (None, 5)) for i in range(n)]
+    a = spark.createDataFrame(left, "lk int, lv string, lm map<string,int>").repartition(3)
+    b = spark.createDataFrame(right, "rk int, rv string").repartition(2)
+    plain = a.join(b, F.col("lk") == F.col("rk"), how)
+    ours = join_table(a, b, ("lk", "rk"), how, drop_joined_column=False, heavy_rows=heavy)
+    assert sorted(map(repr, ours.collect())) == sorted(map(repr, plain.collect()))
+
+
+@pytest.mark.parametrize("how", ["left", "right", "full"])
+@pytest.mark.parametrize("heavy", [10, 10**9])
+def test_each_side_is_read_once(spark, tmp_path, how, heavy):
+    for name in ("a", "b"):
+        spark.range(200).selectExpr("id % 9 AS k", f"id AS {name}").write.parquet(str(tmp_path / name))
+    left, right = (spark.read.parquet(str(tmp_path / name)) for name in ("a", "b"))
+    joined = join_table(left, right, ("k", "k"), how, heavy_rows=heavy)
+    assert plan_of(joined).count("FileScan") == 2
+
+
+def test_heavy_keys_are_few(spark):
+    df = spark.range(20_000).selectExpr("if(id % 3 = 0, 7, id) AS k")
+    assert joins.heavy_keys(df, "k", 100) == [7]
+    assert joins.heavy_keys(df, "k", 10_000) == []
+    assert joins.heavy_keys(spark.range(0).selectExpr("id AS k"), "k", 1) == []
+
+
 def test_same_key_name_is_kept_once(spark):
     left = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
     right = spark.createDataFrame([(2, "x"), (3, "y")], "k int, w string")

@@ -45,7 +45,23 @@ def keys(spark, key, value):
     return spark.range(0, 60_000, 2).select(F.col("id").alias(key), (F.col("id") + 1).alias(value))
 
 
-@pytest.mark.parametrize("how", ["inner", "left", "right", "full", "left_semi", "left_anti"])
+def largest_share(df):
+    """Of the joined rows, the share in the fullest partition."""
+    sizes = [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+    return max(sizes) / sum(sizes)
+
+
+@pytest.fixture
+def many_partitions(spark):
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    for key, value in before.items():
+        spark.conf.set(key, value)
+
+
+@pytest.mark.parametrize("how", ["inner", "left_semi", "left_anti"])
 def test_hot_key_on_the_left(spark, tiny_limits, how):
     left, right = skewed(spark, "a", "v"), keys(spark, "b", "w").where("b <> 0")
     joined = join_table(left, right, ("a", "b"), how)
@@ -54,13 +70,26 @@ def test_hot_key_on_the_left(spark, tiny_limits, how):
     assert joined.count() == plain.count()
 
 
-@pytest.mark.parametrize("how", ["inner", "left", "right", "full"])
-def test_hot_key_on_the_right(spark, tiny_limits, how):
+def test_hot_key_on_the_right(spark, tiny_limits):
     left, right = keys(spark, "b", "w"), skewed(spark, "a", "v")
-    joined = join_table(left, right, ("b", "a"), how)
-    plain = left.join(right, F.col("a") == F.col("b"), how)
+    joined = join_table(left, right, ("b", "a"), "inner")
     assert "skew=true" in final_plan(joined)
+    assert joined.count() == left.join(right, F.col("a") == F.col("b"), "inner").count()
+
+
+@pytest.mark.parametrize("how", ["left", "right", "full"])
+@pytest.mark.parametrize("hot", ["left", "right"])
+def test_hot_key_of_an_outer_join_is_dealt_out(spark, tiny_limits, many_partitions, how, hot):
+    """Whichever side supplies nulls, no partition holds the third of all rows that one key has."""
+    sides = [skewed(spark, "a", "v"), keys(spark, "b", "w")]
+    if hot == "right":
+        sides = sides[::-1]
+    left, right = sides
+    pair = (left.columns[0], right.columns[0])
+    joined = join_table(left, right, pair, how, heavy_rows=1000)
+    plain = left.join(right, F.col("a") == F.col("b"), how)
     assert joined.count() == plain.count()
+    assert largest_share(joined) < 0.15
 
 
 def test_hot_key_in_the_target(spark, tiny_limits):
