@@ -9,8 +9,11 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
+from hashlib import md5
 from itertools import chain
+from math import exp
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -284,29 +287,38 @@ def rouge_bootstrap(
 ) -> DataFrame:
     """Low, middle and high F1 per metric over seeded resamples of the pairs.
 
-    Each resample takes a pair as often as a unit Poisson draw says. The draw is read off
-    a hash of the pair's key, so results do not depend on the layout, and each resample is
-    one running sum, combined before the shuffle.
+    Each resample takes a pair as often as a unit Poisson draw says. Draws are 32-bit numbers,
+    four to an MD5 digest of seed, number and the pair's key, so that results depend neither on
+    the layout nor on the engine. A task adds up its pairs for all resamples at once and hands on
+    one row a resample, however many pairs it has. A null score counts in no resample.
     """
-    number = F.explode(F.sequence(F.lit(0), F.lit(resamples - 1))).alias("resample")
-    values = [F.col(f"{m}.f1").alias(m) for m in metrics]
-    drawn = scored.select(*key_cols, *values).select("*", number)
-    digest = F.xxhash64(F.lit(seed), "resample", *key_cols)
-    uniform = F.shiftrightunsigned(digest, 11) / F.lit(float(1 << 53))
-    times = sum((uniform >= edge).cast("int") for edge in _poisson_edges())
-    sums = (
-        drawn.withColumn("__times", times)
-        .where("__times > 0")
-        .groupBy("resample")
-        .agg(
-            *[
-                (F.sum(F.col(m) * F.col("__times")) / F.sum(F.when(F.col(m).isNotNull(), F.col("__times")))).alias(m)
-                for m in metrics
-            ]
-        )
-    )
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("\x1e")) for c in key_cols]
+    key = F.concat_ws("\x1f", *parts).alias("key")
+    edges = np.array(poisson_edges(), np.int64)
+    sums, weights = ([f"{w}{i}" for i in range(len(metrics))] for w in ("sum", "weight"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros((2, resamples, len(metrics)))
+        for batch in batches:
+            for at in range(0, len(batch), _DRAWN):
+                some = batch.iloc[at : at + _DRAWN]
+                times = np.searchsorted(edges, _draws(some["key"], resamples, seed), side="right").T
+                values = some.iloc[:, 1:].to_numpy(np.float64)
+                known = ~np.isnan(values)
+                total += times @ np.where(known, values, 0.0), times @ known
+        made = pd.DataFrame(np.hstack(total), columns=sums + weights)
+        yield made.assign(resample=np.arange(resamples))[["resample", *sums, *weights]]
+
+    schema = ", ".join(["resample long", *[f"{c} double" for c in sums + weights]])
+    drawn = scored.select(key, *[F.col(f"{m}.f1").alias(f"v{i}") for i, m in enumerate(metrics)])
+    means = drawn.mapInPandas(run, schema).groupBy("resample").agg(
+        *[
+            (F.sum(s) / F.nullif(F.sum(w), F.lit(0.0))).alias(m)
+            for s, w, m in zip(sums, weights, metrics)
+        ]
+    )
     tail = (1 - confidence) / 2
-    long = sums.unpivot(["resample"], list(metrics), "metric", "f1")
+    long = means.unpivot(["resample"], list(metrics), "metric", "f1")
     return long.groupBy("metric").agg(
         F.percentile("f1", F.lit(tail)).alias("low"),
         F.percentile("f1", F.lit(0.5)).alias("mid"),
@@ -314,13 +326,24 @@ def rouge_bootstrap(
     )
 
 
-def _poisson_edges() -> list[float]:
-    """Cumulative unit Poisson probabilities until the rest is below double precision."""
-    edges, term, total = [], 2.718281828459045**-1, 0.0
-    k = 0
-    while term > 2**-53:
+_DRAWN = 512  # pairs whose draws are held at a time
+
+
+def _draws(keys: Sequence[str], resamples: int, seed: int) -> np.ndarray:
+    """32-bit numbers, pairs by resamples."""
+    digests = -(-resamples // 4)
+    data = b"".join(
+        md5(f"{seed}\x1f{i}\x1f{key}".encode()).digest() for key in keys for i in range(digests)
+    )
+    return np.frombuffer(data, ">u4").reshape(-1, 4 * digests)[:, :resamples].astype(np.int64)
+
+
+def poisson_edges() -> list[int]:
+    """A 32-bit number draws as many as it reaches of these: unit Poisson probabilities, summed."""
+    edges, term, total, k = [], exp(-1), 0.0, 0
+    while total + term < 1 - 2**-32:
         total += term
-        edges.append(total)
+        edges.append(int(total * 2**32))
         k += 1
         term /= k
     return edges

@@ -71,7 +71,6 @@ def rouge_2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # One row of the common-subsequence table per step; the running maximum closes the row.
 _ROUGE_L_SQL = f"""
-SELECT conv_id, turn, round(p, 6) AS precision, round(r, 6) AS recall, round(f, 6) AS f1 FROM (
 WITH RECURSIVE t AS (SELECT conv_id, turn, {_tokens("prediction")} AS a,
                             {_tokens("reference")} AS b FROM ({I.PAIRS})),
 dp AS (
@@ -84,11 +83,11 @@ dp AS (
                THEN cells[k - 1] + 1 ELSE x END) AS cand
         FROM dp WHERE i < len(a))
 )
-SELECT conv_id, turn, {_scores_sql("cells[-1]", "len(a)", "len(b)")} FROM dp WHERE i = len(a))
+SELECT conv_id, turn, {_scores_sql("cells[-1]", "len(a)", "len(b)")} FROM dp WHERE i = len(a)
 """
 
 
-@query("rouge_l", _ROUGE_L_SQL)
+@query("rouge_l", _per_pair_sql(_ROUGE_L_SQL))
 def rouge_l(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _per_pair(R.rouge_l(I.pairs(spark, sf_dir)), "rougeL")
 
@@ -96,7 +95,6 @@ def rouge_l(spark: SparkSession, sf_dir: str) -> DataFrame:
 # The same table for every two lines, walked back from its end; then per pair the tokens of
 # the reference that any walk meets, as far as the prediction holds them.
 _ROUGE_LSUM_SQL = f"""
-SELECT conv_id, turn, round(p, 6) AS precision, round(r, 6) AS recall, round(f, 6) AS f1 FROM (
 WITH RECURSIVE texts AS ({I.PAIRS}),
 ref_lines AS (SELECT conv_id, turn, unnest(l) AS line, unnest(range(len(l))) AS ref_no
               FROM (SELECT *, string_split(reference, chr(10)) AS l FROM texts)),
@@ -135,11 +133,11 @@ found AS (SELECT conv_id, turn, sum(least(c.n, h.n)) AS hits
 SELECT conv_id, turn, {_scores_sql("hits", "n_pred", "n_ref")} FROM (
   SELECT conv_id, turn, coalesce(hits, 0) AS hits, len({_tokens("prediction")}) AS n_pred,
          len({_tokens("reference")}) AS n_ref
-  FROM texts LEFT JOIN found USING (conv_id, turn)))
+  FROM texts LEFT JOIN found USING (conv_id, turn))
 """
 
 
-@query("rouge_lsum", _ROUGE_LSUM_SQL)
+@query("rouge_lsum", _per_pair_sql(_ROUGE_LSUM_SQL))
 def rouge_lsum(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _per_pair(R.rouge_lsum(I.pairs(spark, sf_dir)), "rougeLsum")
 
@@ -158,11 +156,52 @@ def rouge_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     return means.select("n_pairs", *[F.round(m, 6).alias(m) for m in metrics])
 
 
-@query("rouge_bootstrap")
+# The four metrics as a corpus score, each the mean of its pairs.
+_ALL_METRICS = {
+    "rouge1": _rouge_n_sql(I.PAIRS, "conv_id, turn", 1),
+    "rouge2": _rouge_n_sql(I.PAIRS, "conv_id, turn", 2),
+    "rougeL": _ROUGE_L_SQL,
+    "rougeLsum": _ROUGE_LSUM_SQL,
+}
+
+
+@query(
+    "rouge_corpus_all",
+    " UNION ALL ".join(
+        f"SELECT '{m}' AS metric, count(*) AS n_pairs, round(avg(f), 6) AS f1 FROM ({sql})"
+        for m, sql in _ALL_METRICS.items()
+    ),
+)
+def rouge_corpus_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    means = R.rouge_corpus(R.rouge(I.pairs(spark, sf_dir)))
+    long = means.unpivot(["n_pairs"], list(R.METRICS), "metric", "f1")
+    return long.select("metric", "n_pairs", F.round("f1", 6).alias("f1"))
+
+
+_RESAMPLES = 200
+# The draw of a pair in a resample: eight hexadecimal digits of a digest, against the edges.
+_DRAW = f"""
+SELECT conv_id, turn, r, len(list_filter({R.poisson_edges()}::BIGINT[], lambda e: e <= u)) AS times FROM (
+  SELECT conv_id, turn, r, ('0x' || substr(md5('0' || chr(31) || (r // 4)::VARCHAR || chr(31)
+         || conv_id::VARCHAR || chr(31) || turn::VARCHAR), 8 * (r % 4)::INT + 1, 8))::BIGINT AS u
+  FROM ({I.PAIRS}), (SELECT unnest(range({_RESAMPLES})) AS r))
+"""
+
+
+def _bootstrap_sql(metric: str) -> str:
+    return f"""
+    SELECT '{metric}' AS metric, round(quantile_cont(f1, 0.025), 6) AS low,
+           round(quantile_cont(f1, 0.5), 6) AS mid, round(quantile_cont(f1, 0.975), 6) AS high
+    FROM (SELECT d.r, sum(times * f) / sum(times) AS f1
+          FROM ({_DRAW}) d JOIN ({_ALL_METRICS[metric]}) s USING (conv_id, turn) GROUP BY d.r)"""
+
+
+@query("rouge_bootstrap", " UNION ALL ".join(map(_bootstrap_sql, ("rouge1", "rouge2"))))
 def rouge_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
     metrics = ("rouge1", "rouge2")
     scored = R.rouge(I.pairs(spark, sf_dir), metrics=metrics)
-    return R.rouge_bootstrap(scored, ["conv_id", "turn"], metrics, resamples=200)
+    drawn = R.rouge_bootstrap(scored, ["conv_id", "turn"], metrics, resamples=_RESAMPLES)
+    return drawn.select("metric", *[F.round(c, 6).alias(c) for c in ("low", "mid", "high")])
 
 
 def _run_sql(n: int) -> str:

@@ -52,6 +52,48 @@ def test_batches_and_parameters_reach_the_generator(requests):
     assert {r.predicted_summary.split("|")[0] for r in told} == {"0.25"}
 
 
+@pytest.fixture
+def tiny_batches(spark):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "5")
+    yield
+    spark.conf.set(key, before)
+
+
+def test_only_the_last_run_of_a_task_is_short(spark, tiny_batches):
+    """Runs of 7 over batches of 5 rows, some without a prompt."""
+
+    def counted():
+        return lambda prompts, params: [[str(len(prompts))] for _ in prompts]
+
+    df = spark.range(0, 100, 1, 2).selectExpr("id", "if(id % 10 = 3, null, string(id)) AS prompt")
+    made = I.generate_batches(df, counted, {"batch_size": 7}, keep=["id"])
+    answers = made.withColumn("task", F.spark_partition_id()).collect()
+    assert sorted(r.id for r in answers) == list(range(100))
+    for task in (0, 1):
+        runs = [r.sequences[0] for r in answers if r.task == task and r.sequences]
+        assert runs == ["7"] * 42 + ["3"] * 3  # 45 prompts in order
+    assert all((r.sequences is None) == (r.id % 10 == 3) for r in answers)
+
+
+def test_a_worker_loads_once_a_job(spark, tmp_path):
+    def counting():
+        import os
+        import uuid as u
+
+        (tmp_path / f"{os.getpid()}-{u.uuid4().hex}").touch()
+        return lambda prompts, params: [["x"] for _ in prompts]
+
+    df = spark.range(0, 64, 1, 64).select(F.col("id").cast("string").alias("prompt"))
+    assert I.generate_batches(df, counting, {"batch_size": 4}).count() == 64
+    I.generate_batches(df, counting, {"batch_size": 4}).collect()
+    loads = [p.name.split("-")[0] for p in tmp_path.iterdir()]
+    per_worker = {w: loads.count(w) for w in loads}
+    assert len(loads) < 40  # 64 tasks a job
+    assert max(per_worker.values()) <= 2  # one a job
+
+
 def test_sequences_keep_their_row(requests):
     found = modeling.predict(
         requests.where("i < 2"), load, "text", ["i"], {"num_return_sequences": 3}

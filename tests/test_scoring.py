@@ -1,9 +1,12 @@
+import re
 from collections import Counter
 
 import numpy as np
 import pytest
+from conftest import plan_of
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from corpusflow.operators import rouge as R
 from corpusflow.operators.bert_score import bert_score
@@ -161,3 +164,77 @@ def test_bert_score(spark):
         assert found.keys() == expected.keys()
         for pair, scores in expected.items():
             assert found[pair] == pytest.approx(scores)
+
+
+def test_bootstrap_rows_do_not_grow_with_pairs(spark):
+    """A task hands on one row a resample."""
+    scored = spark.range(0, 2000, 1, 3).select("id", F.struct((F.col("id") / 2000).alias("f1")).alias("rouge1"))
+    made = R.rouge_bootstrap(scored, ["id"], ("rouge1",), resamples=40)
+    plan = made._jdf.queryExecution().executedPlan()
+    assert abs(made.first().mid - 0.5) < 0.05
+    found = re.search(r"MapInPandas", plan.toString())
+    assert found and "Generate" not in plan.toString()
+    rows = spark.createDataFrame([(None,), (1,)], "k int").select(
+        F.struct(F.lit(None).cast("double").alias("f1")).alias("rouge1"), "k"
+    )
+    assert tuple(R.rouge_bootstrap(rows, ["k"], ("rouge1",), resamples=5).first()) == ("rouge1", None, None, None)
+    draws = R._draws([str(i) for i in range(3000)], 10, 0)
+    times = np.searchsorted(R.poisson_edges(), draws, side="right")
+    assert abs(times.mean() - 1) < 0.02 and abs(times.var() - 1) < 0.05 and times.max() < 12
+
+
+@pytest.mark.parametrize(
+    ("rows", "message"),
+    [
+        ([(1, "pred", 0, None), (1, "ref", 0, [1.0])], "no vector"),
+        ([(1, "pred", None, [1.0]), (1, "ref", 0, [1.0])], "no vector or no position"),
+        ([(1, "pred", 0, [1.0]), (1, "pred", 0, [2.0]), (1, "ref", 0, [1.0])], "position repeats"),
+        ([(1, "pred", 0, [1.0]), (1, "pred", 1, [2.0, 1.0]), (1, "ref", 0, [1.0])], "differ in length"),
+        ([(1, "pred", 0, [1.0]), (1, "ref", 0, [1.0, 2.0])], "components"),
+    ],
+)
+def test_bert_score_refuses_broken_tokens(spark, rows, message):
+    df = spark.createDataFrame(rows, "pair_id long, side string, pos long, vec array<double>")
+    with pytest.raises(Exception, match=message):
+        bert_score(df).collect()
+
+
+def test_bert_score_shuffles_three_times(spark):
+    df = spark.createDataFrame([], "pair_id string, side string, pos int, vec array<float>")
+    made = bert_score(df)
+    made.collect()
+    plan = plan_of(made).split("Initial Plan")[0]
+    assert len(re.findall(r"(?<!Reused)Exchange hashpartitioning", plan)) <= 3
+    assert made.collect() == []
+
+
+def test_bert_score_of_a_huge_pair_is_split(spark):
+    """A pair with most of the tokens: its block pairs go to several tasks, with the same result."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20000",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "10000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "30000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2.0",
+    }
+    rng = np.random.default_rng(1)
+    pred, ref = rng.normal(size=(700, 8)), rng.normal(size=(500, 8))
+    rows = [("hot", s, i, v.tolist()) for s, x in (("pred", pred), ("ref", ref)) for i, v in enumerate(x)]
+    for p in range(40):
+        rows += [(f"p{p}", s, 0, rng.normal(size=8).tolist()) for s in ("pred", "ref")]
+    df = spark.createDataFrame(rows, "pair_id string, side string, pos long, vec array<double>").repartition(6)
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        made = bert_score(df, 16)
+        found = {r.pair_id: r for r in made.collect()}
+        assert "skew=true" in plan_of(made)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    unit = [x / np.linalg.norm(x, axis=1, keepdims=True) for x in (pred, ref)]
+    cos = unit[0] @ unit[1].T
+    assert found["hot"].precision == pytest.approx(cos.max(axis=1).mean())
+    assert found["hot"].recall == pytest.approx(cos.max(axis=0).mean())
+    assert len(found) == 41
