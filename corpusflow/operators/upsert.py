@@ -28,8 +28,9 @@ def upsert(
     inserted with all its columns. Null keys match nothing. Several source rows for a
     matched key raise an error when the plan runs.
 
-    Updates and inserts are separate joins: the large target is always the left side,
-    where a hot key can be split, against one row per key on the right.
+    Updates and inserts are separate joins with one row per key on the right; the side that may
+    hold a hot key, or many rows without one, is on the left, where the engine can split it. The
+    target is read twice, the second time for its keys only, and the source twice.
     """
     excluded = set(exclude or ())
     on = list(on)
@@ -49,8 +50,7 @@ def upsert(
         F.first(F.struct(*source.columns)).alias("row"), F.count("*").alias("rows")
     )
     src = one_per_key.select("row.*", F.col("rows").alias("__rows")).alias("src")
-    tgt = target.where(keys_known).alias("tgt")
-    joined = tgt.join(src, condition, "left")
+    joined = target.alias("tgt").join(src, condition, "left")
 
     matched = F.col("src.__rows").isNotNull()
     ambiguous = F.when(
@@ -73,12 +73,8 @@ def upsert(
     )
 
     known = distinct_keys(target.where(keys_known), *on).alias("tgt")
-    new_rows = source_keyed.alias("src").join(known, condition, "left_anti")
-    untouched = target.where(~keys_known)
-    inserts = new_rows.unionByName(source.where(~keys_known))
-    return merged.unionByName(untouched).unionByName(
-        _as_target(inserts, target), allowMissingColumns=False
-    )
+    inserts = source.alias("src").join(known, condition, "left_anti")
+    return merged.unionByName(_as_target(inserts, target), allowMissingColumns=False)
 
 
 def _as_target(rows: DataFrame, target: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import datetime
@@ -68,7 +68,7 @@ def cache_scope() -> Iterator[CacheScope]:
 
 
 def run_pipeline(
-    transform: Callable[[CacheScope], Sequence[TableOutput]],
+    transform: Callable[[CacheScope], Iterable[TableOutput]],
     layer: Layer,
     optimize: bool = False,
     ts: datetime | None = None,

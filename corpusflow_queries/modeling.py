@@ -36,6 +36,33 @@ def training_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _together({name: spark.read.parquet(path) for name, path in paths.items()})
 
 
+@query(
+    "sampled_export",
+    f"""SELECT {I.sql_split('doc_id')} AS split, TRUE AS from_the_table, TRUE AS plausible_size
+        FROM documents GROUP BY ALL""",
+)
+def sampled_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A seeded share of each split's prompts as files: all come from the table, about as many as asked."""
+    schema = _new_schema(spark)
+    docs = I.documents(spark, sf_dir).select(I.split_name("doc_id").alias("split"), F.col("text").alias("model_input"))
+    for name in ("train", "validation", "test"):
+        sinks.save_table(docs.where(F.col("split") == name).drop("split"), f"{schema}.{name}")
+    drawn = modeling.sampled_inputs(spark, schema, fraction=0.4, seed=5)
+    paths = modeling.export_training_sets(drawn, staging_path(spark, "sampled"))
+    read = _together({name: spark.read.parquet(path) for name, path in paths.items()})
+    row = ["split", F.md5("model_input").alias("digest")]
+    drawn_counts = read.select(*row).groupBy("split", "digest").agg(F.count("*").alias("drawn"))
+    counts = docs.select(*row).groupBy("split", "digest").agg(F.count("*").alias("there"))
+    both = counts.join(drawn_counts, ["split", "digest"], "full").groupBy("split").agg(
+        F.sum("drawn").alias("n"),
+        F.sum("there").alias("n_all"),
+        F.bool_and(F.coalesce("drawn", F.lit(0)) <= F.coalesce("there", F.lit(0))).alias("from_the_table"),
+    )
+    spread = 6 * F.sqrt(F.col("n_all") * 0.4 * 0.6)
+    plausible = F.abs(F.coalesce("n", F.lit(0)) - 0.4 * F.col("n_all")) <= spread
+    return both.select("split", "from_the_table", plausible.alias("plausible_size"))
+
+
 def _load():
     return echo_with(extractive_generator(1))
 

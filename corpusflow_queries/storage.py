@@ -22,7 +22,7 @@ from corpusflow.functions.prompts import GOLD_PROMPT
 from corpusflow.operators.upsert import upsert
 from corpusflow.plans import stages
 from corpusflow.sinks import tables as sinks
-from corpusflow.sources.files import expand_archives, read_json_docs
+from corpusflow.sources.files import expand_archives, read_archives, read_json_docs
 from corpusflow.sources.tables import SPLITS, read_splits, read_tables
 from corpusflow.storage import staging_path
 from corpusflow_queries import inputs as I
@@ -314,6 +314,38 @@ def feature_store_snippets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "cached_stage",
+    f"""SELECT {I.sql_split('doc_id')} AS split, count(*) AS n_snippets, sum(snippet_len)::BIGINT AS n_words,
+        TRUE AS held_while_saving, TRUE AS released FROM ({I.SNIPPETS}) GROUP BY ALL""",
+)
+def cached_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage with its snippets in a cache scope: held while tables are saved, free after."""
+    base = _landed_splits(spark, sf_dir)
+    gold = {
+        name: df.withColumn("prompt", F.lit(GOLD_PROMPT))
+        for name, df in read_splits(spark, base, folder=_FOLDER).items()
+    }
+    features = stages.Layer(_new_schema(spark), keyed=True)
+    cached: list[DataFrame] = []
+    held: list[bool] = []
+
+    def transform(scope: stages.CacheScope) -> Iterator[stages.TableOutput]:
+        outputs = stages.gold_to_feature_store(gold, scope=scope)
+        cached.extend(o.df for o in outputs if o.table_name.endswith("_snippets"))
+        for output in outputs:
+            held.append(all(df.is_cached for df in cached))
+            yield output
+
+    stages.run_pipeline(transform, features, ts=_TS)
+    snippets = _together(read_tables(spark, features.schema_name, suffix="_snippets"))
+    return snippets.groupBy("split").agg(F.count("*").alias("n_snippets"), F.sum("snippet_len").alias("n_words")).select(
+        "*",
+        F.lit(len(cached) == 3 and all(held)).alias("held_while_saving"),
+        F.lit(not any(df.is_cached for df in cached)).alias("released"),
+    )
+
+
 # --- files -----------------------------------------------------------------------------
 
 
@@ -359,3 +391,46 @@ def archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = I.table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     zipped = docs.mapInPandas(pack, "path string, content binary")
     return expand_archives(zipped).select("archive", "member", F.md5("content").alias("digest"))
+
+
+@query(
+    "archive_folder",
+    """SELECT coalesce(source, 'none') AS archive, 'docs/' || doc_id || '.txt' AS member,
+       strlen(text) AS n_bytes, md5(text) AS digest FROM documents""",
+)
+def archive_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A folder of archives, one per packet of a source's documents, written by the tasks that have
+    them. Beside them lies a file that is none."""
+    docs = I.table(spark, sf_dir, "documents").select("doc_id", "text", F.coalesce("source", F.lit("none")).alias("source"))
+    folder = staging_path(spark, "archives")
+
+    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for source, rows in batch.groupby("source"):
+                name = f"{source}~{uuid.uuid4().hex}.zip"
+                with _new_file(f"{folder}/{name}") as file, zipfile.ZipFile(file, "w", zipfile.ZIP_DEFLATED) as archive:
+                    archive.writestr("docs/", "")
+                    for doc_id, text in zip(rows["doc_id"], rows["text"]):
+                        archive.writestr(f"docs/{doc_id}.txt", text)
+                yield pd.DataFrame({"name": [name]})
+
+    names = docs.mapInPandas(pack, "name string")
+    written = f"{folder}-names"
+    names.write.parquet(written)  # a task that is tried again leaves archives that are not listed
+    found = read_archives(spark, folder).withColumn("name", F.substring_index("archive", "/", -1))
+    kept = found.join(spark.read.parquet(written), "name", "left_semi")
+    return kept.select(
+        F.substring_index("name", "~", 1).alias("archive"),
+        "member",
+        F.octet_length("content").cast("long").alias("n_bytes"),
+        F.md5("content").alias("digest"),
+    )
+
+
+def _new_file(path: str):
+    """A file to write to, in any store that Arrow knows."""
+    from pyarrow import fs
+
+    store, place = fs.FileSystem.from_uri(path)
+    store.create_dir(place.rsplit("/", 1)[0])
+    return store.open_output_stream(place)

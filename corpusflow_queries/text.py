@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -124,3 +126,32 @@ def hash_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bernoulli_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = I.table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars")
     return sampling.sample(docs, 0.1, seed=7)
+
+
+@query(
+    "bernoulli_facts",
+    """SELECT count(*) AS n_rows, TRUE AS from_the_table, TRUE AS same_again, TRUE AS other_with_other_seed,
+       TRUE AS plausible_size FROM documents""",
+)
+def bernoulli_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What holds of any seeded sample: its rows are rows of the table, each at most once, the same
+    seed draws them again, and their number lies within six standard deviations."""
+    docs = I.table(spark, sf_dir, "documents").select("doc_id", "lang")
+    fraction, ids = 0.3, F.sum(F.xxhash64("doc_id").cast("decimal(38,0)"))
+    drawn = sampling.sample(docs, fraction, seed=7)
+    about = drawn.agg(F.count("*").alias("n"), F.count_distinct("doc_id").alias("n_ids"), ids.alias("sum"))
+    again = sampling.sample(docs, fraction, seed=7).agg(ids.alias("sum_again"))
+    other = sampling.sample(docs, fraction, seed=8).agg(ids.alias("sum_other"))
+    known = drawn.join(docs.distinct(), ["doc_id", "lang"], "left_semi").agg(F.count("*").alias("n_known"))
+    whole = docs.agg(F.count("*").alias("n_rows"))
+    parts = [whole, about, again, other, known]  # one row each
+    together = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    facts = together.agg(*[F.max(c).alias(c) for c in together.columns])
+    spread = 6 * F.sqrt(F.col("n_rows") * fraction * (1 - fraction))
+    return facts.select(
+        "n_rows",
+        ((F.col("n") == F.col("n_known")) & (F.col("n") == F.col("n_ids"))).alias("from_the_table"),
+        F.col("sum").eqNullSafe(F.col("sum_again")).alias("same_again"),
+        (~F.col("sum").eqNullSafe(F.col("sum_other"))).alias("other_with_other_seed"),
+        (F.abs(F.col("n") - F.col("n_rows") * fraction) <= spread).alias("plausible_size"),
+    )

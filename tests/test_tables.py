@@ -320,6 +320,45 @@ def test_archives(spark, tmp_path):
     assert sorted(p.name for p in tmp_path.iterdir()) == ["a.zip", "b.zip", "notes.txt"]
 
 
+@pytest.mark.parametrize("method", [zipfile.ZIP_STORED, zipfile.ZIP_DEFLATED, zipfile.ZIP_BZIP2, zipfile.ZIP_LZMA])
+def test_archive_methods(spark, tmp_path, method):
+    texts = {f"d/{i}ü.txt": bytes(range(256)) * i for i in range(5)}
+    with zipfile.ZipFile(tmp_path / "a.zip", "w", method) as archive:
+        archive.comment = b"about"
+        for name, content in texts.items():
+            archive.writestr(name, content)
+    found = read_archives(spark, str(tmp_path)).collect()
+    assert {r.member: bytes(r.content) for r in found} == texts
+
+
+def test_one_large_archive_is_unpacked_by_several_tasks(spark, tmp_path):
+    import random
+
+    r = random.Random(1)
+    with zipfile.ZipFile(tmp_path / "a.zip", "w", zipfile.ZIP_DEFLATED) as archive:
+        for i in range(40):
+            archive.writestr(f"{i}.bin", r.randbytes(30_000))
+    keys = ("advisoryPartitionSizeInBytes", "coalescePartitions.minPartitionSize")
+    before = {k: spark.conf.get(f"spark.sql.adaptive.{k}") for k in keys}
+    for k in keys:
+        spark.conf.set(f"spark.sql.adaptive.{k}", "100000")
+    try:
+        found = read_archives(spark, str(tmp_path)).withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(f"spark.sql.adaptive.{k}", v)
+    assert len(found) == 40 and len({row.task for row in found}) >= 4
+
+
+def test_damaged_member_raises(spark, tmp_path):
+    with zipfile.ZipFile(tmp_path / "a.zip", "w") as archive:
+        archive.writestr("x.txt", b"some content")
+    data = (tmp_path / "a.zip").read_bytes().replace(b"some content", b"sone content")
+    (tmp_path / "a.zip").write_bytes(data)
+    with pytest.raises(Exception, match="damaged"):
+        read_archives(spark, str(tmp_path)).collect()
+
+
 def test_broken_archive_raises(spark, tmp_path):
     (tmp_path / "bad.zip").write_bytes(io.BytesIO(b"not a zip").getvalue())
     with pytest.raises(Exception, match="not a zip file"):

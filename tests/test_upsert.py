@@ -1,4 +1,5 @@
 import pytest
+from conftest import plan_of
 
 from corpusflow.errors import ColumnException
 from corpusflow.operators.upsert import upsert
@@ -73,3 +74,12 @@ def test_faults(spark):
         upsert(target, source, ["nope"])
     with pytest.raises(ColumnException):
         upsert(target, source, ["k"], exclude=["nope"])
+
+
+def test_each_side_is_read_twice(spark, tmp_path):
+    for name in ("target", "source"):
+        spark.range(50).selectExpr("if(id % 7 = 0, null, id) AS k", f"'{name}' AS v").write.parquet(str(tmp_path / name))
+    target, source = (spark.read.parquet(str(tmp_path / name)) for name in ("target", "source"))
+    merged_rows = upsert(target, source, ["k"])
+    assert plan_of(merged_rows).count("FileScan") == 4
+    assert merged_rows.count() == 50 + 8  # the source's rows without a key are new
