@@ -47,7 +47,7 @@ from corpusflow.llm.rounds import (
     unpack_bits,
 )
 from corpusflow.llm.suffixes import repeats
-from corpusflow.llm.textarrays import span_hashes, utf8
+from corpusflow.llm.textarrays import mixed, span_hashes, utf8
 
 ANCHOR = 100
 MOST_CONTEXTS = 4096
@@ -58,6 +58,8 @@ SLICE_BYTES = 4_000_000
 
 # What a chunk learns of a context.
 _DONE, _SEND, _WAIT, _SPREAD = 0, 1, 2, 3
+# How a message begins that holds contexts of a shard, or digests of strings.
+_SHARD, _STRINGS = b"c", b"s"
 _CONTEXT = np.dtype(
     [("anchor", "<u8"), ("high", "<u8"), ("low", "<u8"), ("count", "<u4"), ("size", "<u4")]
 )
@@ -89,7 +91,8 @@ class _Contexts:
         self.begin = starts[at]
         self.end = starts[np.append(at[1:], len(starts)) - 1] + length
         found = np.zeros(len(at), _CONTEXT)
-        found["anchor"] = hashes[best[at]]
+        # The least of many hashes is small; mixed once more, anchors spread evenly over slices.
+        found["anchor"] = mixed(hashes[best[at]])
         found["high"], found["low"] = (self._span(self.begin, self.end, lane) for lane in (0, 1))
         found["size"] = self.end - self.begin
         order = np.lexsort((found["low"], found["high"], found["anchor"]))
@@ -263,10 +266,10 @@ def remove_repeats(
         kept["size"][~sends] = 0
         for number, a, b in by_slice(kept["anchor"], bits, 64):
             body = [found.bytes_of(i) for i in sharded[a:b][sends[a:b]]]
-            yield number, (b - a).to_bytes(4, "little") + kept[a:b].tobytes() + b"".join(body)
+            yield number, _SHARD + (b - a).to_bytes(4, "little") + kept[a:b].tobytes() + b"".join(body)
         high, low, times, _, _ = spread_strings(found, at[code == _SPREAD])
         for number, a, b in by_slice(high, bits, 64):
-            yield spread + number, np.stack([high[a:b], low[a:b], times[a:b]]).tobytes()
+            yield spread + number, _STRINGS + np.stack([high[a:b], low[a:b], times[a:b]]).tobytes()
 
     def spread_strings(found: _Contexts, at: np.ndarray) -> tuple[np.ndarray, ...]:
         """Distinct strings of these contexts with their counts; each string's place and context."""
@@ -345,10 +348,12 @@ def remove_repeats(
         .cogroup(both.groupBy("chunk"))
         .applyInArrow(lambda a, b: sending(a, b), schema)
     )
-    is_spread = F.col("slice") >= spread
-    three = reply(sent.where(~is_spread), lambda p: _settle(p, length)).unionByName(
-        reply(sent.where(is_spread), _settle_spread)
-    )
+
+    def settled(payloads: list[bytes]) -> list[bytes]:
+        bodies = [p[1:] for p in payloads]  # all of a slice are of one kind
+        return _settle(bodies, length) if payloads[0][:1] == _SHARD else _settle_spread(bodies)
+
+    three = reply(sent, settled)
     rows = (
         chunks.groupBy("chunk")
         .cogroup(both.unionByName(of_round(three, 2)).groupBy("chunk"))

@@ -360,3 +360,14 @@ def test_chunks_spread_rows_without_or_with_one_id(spark):
     assert len(got) == 1000
     assert most(lambda r: r.text.startswith("text")) < 20 and most(lambda r: r.id == 7) < 20
     assert most(lambda r: r.text == "same") < 200
+
+
+def test_anchors_spread_evenly_over_slices(texts):
+    """Anchors are least hashes, but no slice gets much more than its share of contexts."""
+    import numpy as np
+    import pyarrow as pa
+
+    chunk = pa.table({"text": pa.array(texts * 3, pa.string())})
+    anchors = byte_spans._Contexts(chunk, 200, 100).distinct["anchor"]
+    top = (anchors >> np.uint64(60)).astype(int)
+    assert len(anchors) > 1000 and np.bincount(top, minlength=16).max() < 2 * len(anchors) / 16
