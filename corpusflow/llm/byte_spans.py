@@ -82,8 +82,7 @@ class _Contexts:
             self.distinct, self.place = np.zeros(0, _CONTEXT), np.zeros(0, np.int64)
             return
         self._span = span_hashes(self.data)
-        every = np.arange(n - anchor + 1)
-        hashes = self._span(every, every + anchor, 0)
+        hashes = self._span(slice(0, n - anchor + 1), slice(anchor, n + 1), 0)
         best = _window_argmin(hashes, width)[starts]
         new = np.ones(len(starts), bool)
         new[1:] = (best[1:] != best[:-1]) | (np.diff(starts) != 1)
@@ -130,13 +129,13 @@ def _window_argmin(hashes: np.ndarray, width: int) -> np.ndarray:
     Places take the low half of the compared keys, so the hash's high half decides: the same
     way in every chunk, or equal strings could have different anchors.
     """
-    n = len(hashes)
     mask = np.uint64(2**32 - 1)
-    key = (hashes & ~mask) | np.arange(n, dtype=np.uint64)
-    blocks = np.concatenate([key, np.full(-n % width, 2**64 - 1, np.uint64)]).reshape(-1, width)
-    ahead = np.minimum.accumulate(blocks, axis=1).ravel()
-    behind = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
-    least = np.minimum(behind[: n - width + 1], ahead[width - 1 : n])
+    least = (hashes & ~mask) | np.arange(len(hashes), dtype=np.uint64)
+    reach = 1  # least[i] is the smallest of as many from i on
+    while reach < width:
+        step = min(reach, width - reach)
+        least = np.minimum(least[:-step], least[step:])
+        reach += step
     return (least & mask).astype(np.int64)
 
 

@@ -111,18 +111,29 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mixed((total[ends] - total[starts]) * down[starts] + length)
 
 
-def span_hashes(data: np.ndarray) -> Callable[[np.ndarray, np.ndarray, int], np.ndarray]:
-    """A function that hashes any spans of the bytes in constant time each; two lanes."""
+def span_hashes(data: np.ndarray) -> Callable[..., np.ndarray]:
+    """A function that hashes any spans of the bytes in constant time each; two lanes.
+
+    It takes places where spans begin and end, or two slices of them with spans of one length.
+    """
     up, down = _Powers.to(len(data) + 1)
     totals = []
-    for keys in (_BYTE_KEYS, mixed(_BYTE_KEYS)):
-        total = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(keys[data] * up[:-1], dtype=np.uint64, out=total[1:])
-        totals.append(total)
-
-    def spans(begin: np.ndarray, end: np.ndarray, lane: int) -> np.ndarray:
-        length = (end - begin).astype(np.uint64)
-        return mixed((totals[lane][end] - totals[lane][begin]) * down[begin] + length)
+
+    def lane_of(lane: int) -> np.ndarray:
+        while len(totals) <= lane:
+            keys = mixed(_BYTE_KEYS) if totals else _BYTE_KEYS
+            total = np.zeros(len(data) + 1, np.uint64)
+            np.cumsum(keys[data] * up[:-1], dtype=np.uint64, out=total[1:])
+            totals.append(total)
+        return totals[lane]
+
+    def spans(begin: np.ndarray | slice, end: np.ndarray | slice, lane: int) -> np.ndarray:
+        total = lane_of(lane)
+        length = np.uint64(end.start - begin.start) if isinstance(begin, slice) else (end - begin).astype(np.uint64)
+        found = total[end] - total[begin]
+        found *= down[begin]
+        found += length
+        return mixed(found)
 
     return spans
 
