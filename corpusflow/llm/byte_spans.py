@@ -287,28 +287,27 @@ def remove_repeats(
     def act(chunk: pa.Table, rounds: list[list[bytes]]) -> pa.Table:
         found = read(chunk)
         at, code = told(found, rounds)
-        marks: dict[int, np.ndarray] = {}
         many = found.distinct["size"].astype(np.int64) - length + 1
-        sharded = at[(code == _SEND) | (code == _WAIT)]
+        sharded, alone = at[(code == _SEND) | (code == _WAIT)], at[code == _SPREAD]
         later = iter(rounds[2])
+        bits_of = [np.zeros(0, bool)]
         for _, a, b in by_slice(found.distinct["anchor"][sharded], bits, 64):
-            some = sharded[a:b]
-            bits_of = unpack_bits(next(later), int(many[some].sum()))
-            for i, part in zip(some, np.split(bits_of, np.cumsum(many[some])[:-1])):
-                marks[i] = part
-        alone = at[code == _SPREAD]
-        high, _, _, place, of = spread_strings(found, alone)
+            bits_of.append(unpack_bits(next(later), int(many[sharded[a:b]].sum())))
+        high, _, _, place, _ = spread_strings(found, alone)
         often = [unpack_bits(next(later), b - a) for _, a, b in by_slice(high, bits, 64)]
         if often:
-            each = np.concatenate(often)[place]
-            for i, part in zip(alone, np.split(each, np.flatnonzero(np.diff(of)) + 1)):
-                marks[i] = part
-        edge = np.zeros(len(found.data) + 1, np.int32)
-        for begin, distinct in zip(found.begin, found.place):
-            if distinct in marks:
-                hit = begin + np.flatnonzero(marks[distinct])
-                edge[hit] += 1
-                edge[hit + length] -= 1
+            bits_of.append(np.concatenate(often)[place])
+        marks = np.concatenate(bits_of)  # of all starts of these contexts, one after another
+        told_of = np.concatenate([sharded, alone])
+        place_of = np.full(len(found.distinct), -1)
+        place_of[told_of] = np.cumsum(many[told_of]) - many[told_of]
+        here = np.flatnonzero(place_of[found.place] >= 0)
+        starts = many[found.place[here]]
+        step = np.arange(starts.sum()) - np.repeat(np.cumsum(starts) - starts, starts)
+        repeated = marks[np.repeat(place_of[found.place[here]], starts) + step]
+        hit = (np.repeat(found.begin[here], starts) + step)[repeated]
+        edge = np.bincount(hit, minlength=len(found.data) + 1)
+        edge -= np.bincount(hit + length, minlength=len(found.data) + 1)
         return _cut(chunk, found, np.cumsum(edge[:-1]) > 0)
 
     one = reply(ask(chunks, count), sketch.answer)
