@@ -12,12 +12,15 @@ Rows pass through one to one with their other columns, so repeated rows and ties
 and an empty table gives an empty result. A result column replaces one of the same name.
 
 The vocabulary file (a fixed, bounded table) is read on the driver and travels with the plan.
-Each task streams Arrow batches; its memo of pieces is bounded and only saves time.
+Each task streams Arrow batches; a worker's memo of pieces is bounded, goes over to its later
+tasks and only saves time.
 """
 
 from __future__ import annotations
 
 import base64
+import hashlib
+import sys
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
@@ -27,6 +30,7 @@ from pyspark.sql import types as T
 
 MEMO = 200_000
 _NEVER = 1 << 62
+_SHIFT = 32
 
 _KINDS = {
     "ids": (T.ArrayType(T.IntegerType()), pa.list_(pa.int32())),
@@ -47,7 +51,7 @@ class Vocabulary:
         self.ranks = {base64.b64decode(token): int(rank) for token, rank in lines}
         self.tokens = {rank: token for token, rank in self.ranks.items()}
         self.longest = max(map(len, self.ranks), default=1)
-        self._pairs: dict[tuple[int, int], bool] = {}
+        self._follows: dict[int, bool] = {}  # by the left token's number, shifted, and the right's
         self._reachable: dict[int, bool] = {}
         self._spines: dict[tuple[int, int], list[tuple[int, bytes]]] = {}
 
@@ -87,9 +91,6 @@ class Vocabulary:
         Follows the merges at the border in rank order. Both sides grow as they would alone;
         the pair is invalid once a merge across the border would come before the next of them.
         """
-        found = self._pairs.get((left, right))
-        if found is not None:
-            return found
         a, b = self._spine(left, 1), self._spine(right, 0)
         i = j = 0
         while True:
@@ -97,18 +98,20 @@ class Vocabulary:
             next_a = a[i + 1][0] if i + 1 < len(a) else _NEVER
             next_b = b[j + 1][0] if j + 1 < len(b) else _NEVER
             if across is not None and across < next_a and across <= next_b:
-                found = False
-                break
+                return False
             if next_a == next_b == _NEVER:
-                found = True
-                break
+                return True
             if next_a <= next_b:
                 i += 1
             else:
                 j += 1
-        if len(self._pairs) >= 2 * MEMO:
-            self._pairs.clear()
-        self._pairs[left, right] = found
+
+    def follows(self, left: int, right: int) -> bool:
+        """Whether ``right`` may come next; ``left`` is -1 where nothing lies before."""
+        found = self.reachable(right) and (left < 0 or self.valid_pair(left, right))
+        if len(self._follows) >= 2 * MEMO:
+            self._follows.clear()
+        self._follows[left << _SHIFT | right] = found
         return found
 
 
@@ -130,25 +133,27 @@ class PrefixEncoding:
         are as expected as the longest token has bytes, and return the next prefix.
         """
         v, data, last = self.vocabulary, self.data, self.last
-        ranks, longest, pairs, tokens, alike = v.ranks.get, v.longest, v._pairs.get, v.tokens, 0
+        ranks, longest, follows, tokens, alike = v.ranks.get, v.longest, v._follows.get, v.tokens, 0
         before = begin - 1 - len(tokens[last[begin - 1]]) if begin > 1 else 0
         for i in range(begin, end + 1):
             # Most often the token before grows by a byte; order is free, as only one fits.
-            for j in (before, *range(i - longest if i > longest else 0, i)):
-                token = ranks(data[j:i])
-                if token is None:
-                    continue
-                if j == 0:
-                    if v.reachable(token):
-                        break
-                    continue
-                ok = pairs((last[j], token))
+            j = before
+            token = ranks(data[j:i])
+            if token is not None:
+                ok = follows(last[j] << _SHIFT | token)
                 if ok is None:
-                    ok = v.reachable(token) and v.valid_pair(last[j], token)
-                if ok:
-                    break
-            else:
-                raise ValueError("a byte of the text is not in the vocabulary")
+                    ok = v.follows(last[j], token)
+            if token is None or not ok:
+                for j in range(i - longest if i > longest else 0, i):
+                    token = ranks(data[j:i])
+                    if token is not None:
+                        ok = follows(last[j] << _SHIFT | token)
+                        if ok is None:
+                            ok = v.follows(last[j], token)
+                        if ok:
+                            break
+                else:
+                    raise ValueError("a byte of the text is not in the vocabulary")
             last.append(token)
             before = j
             if agree:
@@ -246,6 +251,19 @@ def _added(df: DataFrame, drop: Sequence[str], add: dict[str, T.DataType]) -> T.
     return T.StructType(kept + [T.StructField(n, t) for n, t in add.items()])
 
 
+def _held(job: tuple, make: Callable[[], Encoder]) -> Encoder:
+    """The encoder of this process, with what its memo learned in earlier tasks.
+
+    Functions reach a worker anew with every task, so the interpreter itself keeps it; one at a
+    time, as memos are large.
+    """
+    place = sys.__dict__.setdefault("_corpusflow_encoder", {})
+    if job not in place:
+        place.clear()
+        place[job] = make()
+    return place[job]
+
+
 def encode(
     docs: DataFrame,
     path: str,
@@ -264,8 +282,11 @@ def encode(
     schema = _added(docs, [] if keep_text else [text_col], {o: _KINDS[o][0] for o in outputs})
     names = [n for n in schema.names if n not in outputs]
 
+    outputs = tuple(outputs)
+    job = (hashlib.md5(content).hexdigest(), pattern, outputs)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(content, pattern, outputs)
+        encoder = _held(job, lambda: Encoder(content, pattern, outputs))
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
