@@ -9,11 +9,11 @@ Two documents link when the Jaccard likeness of their sets of word shingles is a
 2. Documents with equal sets become one class. Each class is posted under the smallest hashes of
    its set, so many that two linked sets must meet under one of them (prefix filter), once for
    its size band and once for the next: sets that link lie in the same or neighbouring bands.
+   Posts of the same members, which near copies have by the hundred, become one with their number.
 3. In a few rounds each class is compared with the ``LEADERS`` classes, seeded choices of each
    post, that it meets in most posts. These links join large groups of near copies without
    looking at all pairs.
-4. Posts that still hold several components become tiles, one for all posts of the same members,
-   cut into blocks of ``BLOCK`` sets. In a tile, the bits in which two hashed bitmaps differ
+4. Posts that still hold several components become tiles, cut into blocks of ``BLOCK`` sets. In a tile, the bits in which two hashed bitmaps differ
    bound the overlap from above; pairs inside a component are passed over, and a pair is
    given out only under the least post it shares. The pairs that remain are settled by
    intersecting their sorted arrays.
@@ -180,9 +180,20 @@ def _link(classes: DataFrame, percent: int) -> DataFrame:
     posts = posted.select("key", "n", F.explode("heads").alias("head")).withColumn(
         "tile", F.explode(F.array(own, own + 1))
     )
-    # Posts with a single class lead nowhere.
-    several = posts.groupBy("head", "tile").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
-    posts = written(posts.join(several.drop("m"), ["head", "tile"]), "posts")
+    # Posts with a single class lead nowhere; of posts with the same members one stays, with their number.
+    several = (
+        posts.groupBy("head", "tile")
+        .agg(
+            F.count(F.lit(1)).alias("m"),
+            F.bit_xor(F.xxhash64("key")).alias("s1"),
+            F.bit_xor(F.xxhash64(F.lit(1), "key")).alias("s2"),
+        )
+        .where("m > 1")
+        .groupBy("m", "s1", "s2")
+        .agg(F.min(F.struct("tile", "head")).alias("least"), F.count(F.lit(1)).alias("same"))
+        .select("least.*", "same")
+    )
+    posts = written(posts.join(several, ["head", "tile"]), "posts")
     ids = classes.select("key", "id")
     edges: DataFrame | None = None
     labels: DataFrame | None = None
@@ -201,7 +212,7 @@ def _link(classes: DataFrame, percent: int) -> DataFrame:
             .withColumn("led", F.explode("led"))
             .where(F.col("led.label") != F.col("label"))
             .groupBy("key", "n", F.col("led.key").alias("leader"))
-            .agg(F.count(F.lit(1)).alias("posts"))
+            .agg(F.sum("same").alias("posts"))
             .where(3 * F.col("posts") >= posted_n)
             .withColumn("place", F.row_number().over(best))
             .where(F.col("place") <= LEADERS)
@@ -256,26 +267,17 @@ def _settled(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
 def _tiles(members: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Pairs ``x, y`` of different components that no bound rules out.
 
-    Posts with the same members are one; what is left is cut into blocks, and tiles of two
-    blocks go to tasks in buckets of about ``TILE_ROWS`` rows.
+    Posts are cut into blocks, and tiles of two blocks go to tasks in buckets of about
+    ``TILE_ROWS`` rows.
     """
     post = ["head", "tile"]
     sizes = members.groupBy(*post).agg(
         F.count(F.lit(1)).alias("m"),
         F.min("label").alias("low"),
         F.max("label").alias("high"),
-        F.sum(F.xxhash64("key").cast("decimal(38,0)")).alias("s1"),
-        F.bit_xor(F.xxhash64(F.lit(1), "key")).alias("s2"),
     )
     blocks = F.ceil(F.col("m") / BLOCK).cast("int")
-    same = ["tile", "m", "s1", "s2"]
-    open_ = written(
-        sizes.where("low <> high")
-        .groupBy(*same)
-        .agg(F.min("head").alias("head"))
-        .select(*post, blocks.alias("blocks")),
-        "open-posts",
-    )
+    open_ = written(sizes.where("low <> high").select(*post, blocks.alias("blocks")), "open-posts")
     rows = open_.agg(F.sum(F.col("blocks") * F.col("blocks"))).first()[0] or 0
     buckets = max(1, -(-rows * BLOCK // (8 * TILE_ROWS)))
     block = F.pmod(F.xxhash64(F.lit(9), "key"), F.col("blocks")).cast("int")
