@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from corpusflow.llm.storage import written
+from corpusflow.llm.storage import bucketed, written
 
 PERCENT = 75
 BUCKETS = 2**14
@@ -134,6 +134,31 @@ def _posts(lines: DataFrame, table: list[int], percent: int) -> DataFrame:
     return each.select("doc", "place", "n", "map", F.posexplode("ranked").alias("at", "word"))
 
 
+def _with_near(posts: DataFrame, percent: int) -> DataFrame:
+    """Adds ``later``, not a word's first post, and ``near``: which of the ``NEAR`` posts before and
+
+    the word's first one pass the filters. Conditions are spelt out per post, not in a lambda
+    over an array, as only so they are compiled.
+    """
+    order = Window.partitionBy("word").orderBy("doc", "place")
+    post = F.struct("doc", "place", "n", "map")
+    before = [F.lag(post, i).over(order).alias(f"o{i}") for i in range(1, NEAR + 1)]
+    first = F.first(post).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    told = [
+        F.expr(
+            f"if({o} is not null and ({o}.doc <> doc or {o}.place <> place)"
+            f" and {_may_match('n', f'{o}.n', f'map ^ {o}.map', percent)},"
+            f" struct({o}.doc, {o}.place), null)"
+        )
+        for o in (f"o{i}" for i in range(NEAR + 1))
+    ]
+    return posts.select("*", first.alias("o0"), *before).select(
+        *posts.columns,
+        F.expr("o1 is not null").alias("later"),
+        F.array_compact(F.array(*told)).alias("near"),
+    )
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """``doc, place`` of the first line of each pair whose whole sets are alike enough."""
     first = pairs.select("doc", "place")
@@ -198,23 +223,17 @@ def repeated_lines(
     first_lines = _lines(texts, (later, later.count()))
     table = rarity(texts)
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # Two uses of one exchange: the window, and the join of what it leaves open.
-    posts = _posts(first_lines, table, percent).repartition(parts, "word")
-
-    order = Window.partitionBy("word").orderBy("doc", "place")
-    post = F.struct("doc", "place", "n", "map")
-    near = [F.lag(post, i).over(order) for i in range(1, NEAR + 1)]
-    near.append(F.first(post).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    fits = _may_match("n", "o.n", "map ^ o.map", percent)
-    told = F.expr(
-        f"filter(near, o -> o is not null and (o.doc <> doc or o.place <> place) and {fits})"
+    # Posts are worked out and shuffled once; what follows reads this table by word.
+    posts, name = bucketed(
+        _with_near(_posts(first_lines, table, percent).repartition(parts, "word"), percent),
+        "line-posts",
+        "word",
+        parts,
     )
-    seen = posts.withColumn("near", F.array(*near)).where("near[0] is not null").withColumn("near", told)
-    close = (
-        seen.select("doc", "place", F.explode("near").alias("o"))
-        .select("doc", "place", F.col("o.doc").alias("doc2"), F.col("o.place").alias("place2"))
+    close = posts.select("doc", "place", F.explode("near").alias("o")).select(
+        "doc", "place", F.col("o.doc").alias("doc2"), F.col("o.place").alias("place2")
     )
-    rest = _joined(seen.where(F.size("near") == 0), posts, percent)
+    rest = _joined(posts.where("later and size(near) = 0"), posts, percent)
     pairs = written(
         close.withColumn("near", F.lit(True))
         .unionByName(rest.withColumn("near", F.lit(False)))
@@ -233,11 +252,12 @@ def repeated_lines(
     if (rows := open_.count()) > 0:
         asking = written(_posts(_some_lines(texts, open_, rows), table, percent), "open-posts")
         words = asking.select("word").distinct()
-        asked = _posts(first_lines, table, percent).join(_sent(words, words.count()), "word", "left_semi")
+        asked = posts.join(_sent(words, words.count()), "word", "left_semi")
         tried = pairs.drop("near")
         new = _joined(asking, asked, percent).distinct().join(tried, tried.columns, "left_anti")
         new = written(new, "line-pairs")
         gone = gone.unionByName(_verified(new, texts, percent))
+    docs.sparkSession.sql(f"DROP TABLE {name}")
     return gone.distinct()
 
 

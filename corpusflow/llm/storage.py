@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from corpusflow.storage import staging_path
@@ -17,3 +19,16 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     path = fresh_folder(df.sparkSession, purpose)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def bucketed(df: DataFrame, purpose: str, by: str, buckets: int) -> tuple[DataFrame, str]:
+    """The rows in the shared folder in buckets, and the table's name, for the caller to drop.
+
+    Windows and joins on the column ``by`` read such a table without a shuffle. The rows should come
+    in as many partitions by that column, so that a bucket is one file.
+    """
+    spark = df.sparkSession
+    name = f"{purpose.replace('-', '_')}_{uuid.uuid4().hex}"
+    path = fresh_folder(spark, purpose)
+    df.write.bucketBy(buckets, by).option("path", path).saveAsTable(name)
+    return spark.table(name), name
