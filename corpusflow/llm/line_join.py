@@ -9,7 +9,7 @@ on the input.
    words in the same one of ``BUCKETS`` hash buckets, a table of fixed size made from all texts. Each
    line is posted under its rarest words, so many that two matching lines must share one.
 3. In each word's posts, in line order, a line is first compared with the first line and the
-   ``NEAR`` lines before it. Length, and a 64-bit map of the set (bits that differ bound the
+   ``NEAR`` lines before it. Length, and a 128-bit map of the set (bits that differ bound the
    overlap from above), rule out most; the rest is verified on whole sets. That settles lines
    of large groups of near copies without looking at all their pairs.
 4. Posts without such a candidate, and lines none of whose candidates matched, join all lines
@@ -48,7 +48,12 @@ _WORDS = (
     r"array_distinct(transform(filter(split(line, '[\\x20\\x09-\\x0D]+'), w -> w <> ''),"
     r" w -> xxhash64(w)))"
 )
-_MAP = "aggregate(words, 0L, (m, w) -> m | shiftleft(1L, cast(pmod(w, 64) as int)))"
+# A map of 128 bits in two halves; each word turns one bit over. So the bits in which two maps differ
+# are at most the words that only one of the lines has, and words of both leave no mark.
+_LOW, _HIGH = (
+    f"aggregate(words, 0L, (m, w) -> if((w & 64) = {half}, m ^ shiftleft(1L, cast(w & 63 as int)), m))"
+    for half in (0, 64)
+)
 
 
 def _key(id_col: str) -> Column:
@@ -98,17 +103,18 @@ def rarity(texts: DataFrame) -> list[int]:
     return table
 
 
-def _may_match(n: str, other: str, differ: str, percent: int) -> str:
+def _may_match(n: str, other: str, low: str, high: str, percent: int) -> str:
     """Length filter, then the bound that the maps give."""
+    differ = f"(bit_count({low}) + bit_count({high}))"
     return (
         f"100 * least({n}, {other}) >= {percent} * greatest({n}, {other})"
-        f" and {100 + percent} * ({n} + {other} - bit_count({differ}))"
+        f" and {100 + percent} * ({n} + {other} - {differ})"
         f" >= {2 * percent} * ({n} + {other})"
     )
 
 
 def _posts(lines: DataFrame, table: list[int], percent: int) -> DataFrame:
-    """``word, at, doc, place, n, map``: each line under its rarest words.
+    """``word, at, doc, place, n, low, high``: each line under its rarest words.
 
     A word's number begins with its rarity, so that sorted numbers are in order of rarity.
     """
@@ -129,9 +135,14 @@ def _posts(lines: DataFrame, table: list[int], percent: int) -> DataFrame:
     ranked = F.slice(F.sort_array(F.transform("words", number)), F.lit(1), prefix)
     # In two steps: what is selected along with an explode is worked out for every row it makes.
     each = lines.select(
-        "doc", "place", n.alias("n"), F.expr(_MAP).alias("map"), ranked.alias("ranked")
+        "doc",
+        "place",
+        n.alias("n"),
+        F.expr(_LOW).alias("low"),
+        F.expr(_HIGH).alias("high"),
+        ranked.alias("ranked"),
     )
-    return each.select("doc", "place", "n", "map", F.posexplode("ranked").alias("at", "word"))
+    return each.select("doc", "place", "n", "low", "high", F.posexplode("ranked").alias("at", "word"))
 
 
 def _with_near(posts: DataFrame, percent: int) -> DataFrame:
@@ -141,13 +152,13 @@ def _with_near(posts: DataFrame, percent: int) -> DataFrame:
     over an array, as only so they are compiled.
     """
     order = Window.partitionBy("word").orderBy("doc", "place")
-    post = F.struct("doc", "place", "n", "map")
+    post = F.struct("doc", "place", "n", "low", "high")
     before = [F.lag(post, i).over(order).alias(f"o{i}") for i in range(1, NEAR + 1)]
     first = F.first(post).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     told = [
         F.expr(
             f"if({o} is not null and ({o}.doc <> doc or {o}.place <> place)"
-            f" and {_may_match('n', f'{o}.n', f'map ^ {o}.map', percent)},"
+            f" and {_may_match('n', f'{o}.n', f'low ^ {o}.low', f'high ^ {o}.high', percent)},"
             f" struct({o}.doc, {o}.place), null)"
         )
         for o in (f"o{i}" for i in range(NEAR + 1))
@@ -177,22 +188,15 @@ def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
 
 def _joined(left: DataFrame, right: DataFrame, percent: int) -> DataFrame:
     """``doc, place, doc2, place2``: posts of one word with those of earlier lines."""
-    one = left.select(
-        "word", "doc", "place", F.col("at").alias("at1"), F.col("n").alias("n1"), F.col("map").alias("map1")
-    )
+    one = left.select("word", "doc", "place", *(F.col(c).alias(f"{c}1") for c in ("at", "n", "low", "high")))
     two = right.select(
-        "word",
-        F.col("doc").alias("doc2"),
-        F.col("place").alias("place2"),
-        F.col("at").alias("at2"),
-        F.col("n").alias("n2"),
-        F.col("map").alias("map2"),
+        "word", *(F.col(c).alias(f"{c}2") for c in ("doc", "place", "at", "n", "low", "high"))
     )
     earlier = "(doc2 < doc or (doc2 = doc and place2 < place))"
     behind = (
         f"{100 + percent} * (least(n1 - at1, n2 - at2) + least(at1, at2)) >= {percent} * (n1 + n2)"
     )
-    fits = f"{earlier} and {_may_match('n1', 'n2', 'map1 ^ map2', percent)} and {behind}"
+    fits = f"{earlier} and {_may_match('n1', 'n2', 'low1 ^ low2', 'high1 ^ high2', percent)} and {behind}"
     return one.join(two, "word").where(fits).select("doc", "place", "doc2", "place2")
 
 
