@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from corpusflow.llm.names import clashing, restored
 from corpusflow.llm.textarrays import lowered, utf8
 
 ORDERS = 3
@@ -225,6 +226,8 @@ def identify(
     if model is None:
         none = {"lang_pred": F.lit("und"), "score": F.lit(0.0), "recognised": F.lit(False)}
         return docs.withColumns({c: none[c] for c in add})
+    if others := clashing(docs, "_letters", [text_col]):
+        return restored(identify(docs.withColumnsRenamed(others), model, text_col, recognised), others)
     kept = [f for f in docs.schema.fields if f.name not in add]
     names = [f.name for f in kept]
     schema = T.StructType(

@@ -20,8 +20,8 @@ on the input.
 Defined results: lines end at ``\\n``; a null text has no lines and stays null; lines without
 words are never removed and match nothing. Rows that share an id are copies of one document:
 their lines at the same place do not remove each other. Null ids count as one document, the
-last. An empty table gives an empty result. Other columns pass through; they must not begin with
-``_line_``.
+last. An empty table gives an empty result. Other columns pass through; ``n_lines`` and
+``n_removed`` are replaced.
 """
 
 from __future__ import annotations
@@ -32,6 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from corpusflow.llm.names import clashing, restored
 from corpusflow.llm.storage import bucketed, written
 
 PERCENT = 75
@@ -269,6 +270,9 @@ def remove_lines(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT
 ) -> DataFrame:
     """The documents with repeated lines cut out of the text, and ``n_lines, n_removed``."""
+    if others := clashing(docs, "_line_", [id_col, text_col]):
+        renamed = docs.withColumnsRenamed(others)
+        return restored(remove_lines(renamed, id_col, text_col, percent), others)
     gone = written(repeated_lines(docs, id_col, text_col, percent), "gone-lines")
     places = gone.groupBy(F.col("doc").alias("_line_doc")).agg(F.collect_set("place").alias("_line_gone"))
     lines = F.split(text_col, "\n")

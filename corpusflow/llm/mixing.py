@@ -16,8 +16,7 @@ however large the other sources are. Texts without words lie in shards apart.
 
 Defined results: a null or empty text has size 0 and is taken 0 times; a null source is a source
 of its own, last in order; repeated rows count each; an empty table gives an empty result.
-Other columns pass through, but one named like a result column is replaced; none may begin with
-``_mix_``.
+Other columns pass through, but one named like a result column is replaced.
 """
 
 from __future__ import annotations
@@ -32,6 +31,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from corpusflow.llm.names import clashing, restored
+
 # Fixed value: what a word is.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -104,6 +105,10 @@ def mix(
     (begin, end), in order, taken once more. ``weights`` repeat over the sources in code point
     order, null last. Whole texts are read once and not shuffled unless kept in the result.
     """
+    if others := clashing(docs, "_mix_", [id_col, text_col, source_col]):
+        renamed = docs.withColumnsRenamed(others)
+        columns = id_col, text_col, source_col
+        return restored(mix(renamed, weights, share, block_words, shard_docs, seed, *columns), others)
     spark = docs.sparkSession
     source = F.struct(
         F.col(source_col).isNull().alias("absent"),

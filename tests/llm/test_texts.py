@@ -11,7 +11,7 @@ import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
-from corpusflow.llm import bpe, byte_spans, mixing, suffixes
+from corpusflow.llm import bpe, byte_spans, lang_id, mixing, suffixes
 from corpusflow.llm.byte_spans import remove_repeats
 from corpusflow.llm.components import components
 from corpusflow.llm.line_join import remove_lines
@@ -371,3 +371,15 @@ def test_anchors_spread_evenly_over_slices(texts):
     anchors = byte_spans._Contexts(chunk, 200, 100).distinct["anchor"]
     top = (anchors >> np.uint64(60)).astype(int)
     assert len(anchors) > 1000 and np.bincount(top, minlength=16).max() < 2 * len(anchors) / 16
+
+
+def test_columns_named_like_inner_ones_stay(spark):
+    rows = [(i, "a", f"one two three {i}\nfour five", i) for i in range(3)]
+    table = spark.createDataFrame(rows, "doc_id long, source string, text string, value long")
+    mixed = mixing.mix(table.withColumnRenamed("value", "_mix_size"))
+    assert sorted(r._mix_size for r in mixed.collect()) == [0, 1, 2]
+    cut = remove_lines(table.withColumnRenamed("value", "_line_doc"))
+    assert sorted((r._line_doc, r.n_removed) for r in cut.collect()) == [(0, 0), (1, 1), (2, 1)]
+    model = lang_id.train(table.withColumnRenamed("source", "lang"), F.lit(True))
+    found = lang_id.identify(table.withColumnRenamed("value", "_letters"), model).collect()
+    assert sorted((r._letters, r.lang_pred) for r in found) == [(0, "a"), (1, "a"), (2, "a")]
