@@ -38,8 +38,9 @@ SHARE = 50
 FRONTIER = 500_000
 #: Rows up to which a table with a row for each language is broadcast.
 LANGUAGES = 10_000
-#: Bytes of text that are counted at once, if no single text is longer.
-PART_BYTES = 16_000_000
+#: Bytes of text that are counted at once, if no single text is longer. A worker's arrays take
+#: some 20 times as much.
+PART_BYTES = 4_000_000
 
 # The bytes that end a piece, and those that part words in one.
 _ENDS = (*b".,;:!?", 0x0A, 0x0B, 0x0C, 0x0D)

@@ -2,8 +2,10 @@
 
 import random
 import re
+import tracemalloc
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -99,6 +101,19 @@ def test_batches_are_cut_by_bytes(spark, monkeypatch):
     assert mined(spark, rows, top=50, least=3) == brute(rows, 50, 3)
 
 
+def test_a_large_batch_takes_little_memory():
+    line = " ".join(f"w{i * i % 9973}" for i in range(9000)) + "\n"
+    batch = pa.record_batch({"text": [line] * 400, "lang": ["en"] * 400})
+    tracemalloc.start()
+    for part in phrases._parts(batch):
+        for size in (0, 1, 2):
+            phrases.Words(part.column("text"), part.column("lang")).counted(size)
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert batch.nbytes > 16_000_000
+    assert peak < 140_000_000
+
+
 def test_exact_beyond_64_bits(spark):
     big = 3_000_000_007
     df = spark.createDataFrame([(big, big, 9_000_000_000_001), (2, 3, 2), (10, 10, 10)], "a long, l long, r long")
