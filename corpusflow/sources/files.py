@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import bz2
-import io
 import zipfile
 import zlib
 from collections.abc import Iterator
@@ -19,7 +18,7 @@ _PACKED = pa.schema(
     [("archive", pa.string()), ("member", pa.string()), ("method", pa.int32()), ("crc", pa.int64()),
      ("size", pa.int64()), ("data", pa.binary())]
 )
-_BATCH_BYTES = 16 << 20
+_BATCH_BYTES = 4 << 20
 _LOCAL_HEADER = 30  # fixed value: bytes before a member's name
 
 
@@ -55,9 +54,10 @@ def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The members of archives, still packed, in batches of a few megabytes."""
     rows, size = [], 0
     for batch in batches:
-        for path, content in zip(batch.column("path").to_pylist(), batch.column("content")):
+        for path, content in zip(batch.column("path"), batch.column("content")):
+            path = path.as_py()
             data = memoryview(content.as_buffer())
-            with zipfile.ZipFile(io.BytesIO(data)) as archive:
+            with zipfile.ZipFile(pa.BufferReader(content.as_buffer())) as archive:
                 for entry in archive.infolist():
                     if entry.is_dir():
                         continue

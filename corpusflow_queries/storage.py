@@ -14,6 +14,7 @@ from datetime import datetime
 from functools import reduce
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -375,21 +376,25 @@ def json_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One archive per document: a folder entry and two members."""
 
-    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        paths, packed, size = [], [], 0
         for batch in batches:
-            packed = []
-            for text, lang in zip(batch["text"], batch["lang"]):
+            for doc_id, text, lang in zip(*(batch.column(c) for c in ("doc_id", "text", "lang"))):
                 buffer = io.BytesIO()
                 with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
                     archive.writestr("text/", "")
-                    archive.writestr("text/body.txt", text)
-                    archive.writestr("lang.txt", lang)
+                    archive.writestr("text/body.txt", text.as_py())
+                    archive.writestr("lang.txt", lang.as_py())
+                paths.append(f"{doc_id.as_py()}.zip")
                 packed.append(buffer.getvalue())
-            paths = batch["doc_id"].astype(str) + ".zip"
-            yield pd.DataFrame({"path": paths, "content": packed})
+                size += len(packed[-1])
+                if size >= 1 << 20:  # a few hundred archives at a time
+                    yield pa.RecordBatch.from_pydict({"path": paths, "content": packed})
+                    paths, packed, size = [], [], 0
+        yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(packed, pa.binary())], ["path", "content"])
 
     docs = I.table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    zipped = docs.mapInPandas(pack, "path string, content binary")
+    zipped = docs.mapInArrow(pack, "path string, content binary")
     return expand_archives(zipped).select("archive", "member", F.md5("content").alias("digest"))
 
 

@@ -3,13 +3,14 @@ import json
 import zipfile
 from datetime import datetime
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from corpusflow.errors import KeyViolation
 from corpusflow.plans import stages
 from corpusflow.sinks import files, tables
-from corpusflow.sources.files import read_archives, read_json_docs
+from corpusflow.sources.files import _listed, _unpacked, read_archives, read_json_docs
 from corpusflow.sources.tables import read_splits, read_tables
 
 TS = datetime(2024, 5, 1, 12)
@@ -350,6 +351,21 @@ def test_one_large_archive_is_unpacked_by_several_tasks(spark, tmp_path):
     assert len(found) == 40 and len({row.task for row in found}) >= 4
 
 
+def test_members_are_handed_on_in_small_batches():
+    contents = [bytes([i]) * 500_000 for i in range(40)]
+    packed = []
+    for i, content in enumerate(contents):
+        buffer = io.BytesIO()
+        with zipfile.ZipFile(buffer, "w") as archive:
+            archive.writestr("x.bin", content)
+        packed.append(buffer.getvalue())
+    batch = pa.record_batch({"path": [f"{i}.zip" for i in range(40)], "content": packed})
+    listed = list(_listed(iter([batch])))
+    unpacked = list(_unpacked(iter(listed)))
+    assert [c for made in unpacked for c in made.column("content").to_pylist()] == contents
+    assert max(made.nbytes for made in listed + unpacked) < 6_000_000
+
+
 def test_damaged_member_raises(spark, tmp_path):
     with zipfile.ZipFile(tmp_path / "a.zip", "w") as archive:
         archive.writestr("x.txt", b"some content")
