@@ -10,7 +10,8 @@ on the input.
    line is posted under its rarest words, so many that two matching lines must share one.
 3. In each word's posts, in line order, a line is first compared with the first line and the
    ``NEAR`` lines before it. Length, and a 128-bit map of the set (bits that differ bound the
-   overlap from above), rule out most; the rest is verified on whole sets. That settles lines
+   overlap from above), rule out most; the rest meets a map of 512 bits, then is verified on whole
+   sets, a line's nearest candidate first. That settles lines
    of large groups of near copies without looking at all their pairs.
 4. Posts without such a candidate, and lines none of whose candidates matched, join all lines
    before them under the same words, with the same filters and the positional one (how many
@@ -55,6 +56,15 @@ _LOW, _HIGH = (
     f"aggregate(words, 0L, (m, w) -> if((w & 64) = {half}, m ^ shiftleft(1L, cast(w & 63 as int)), m))"
     for half in (0, 64)
 )
+# The same in 512 bits, by other bits of the hashes, for lines that are compared with candidates.
+_WIDE = "array({})".format(
+    ", ".join(
+        f"aggregate(words, 0L, (m, w) -> if((shiftright(w, 20) & 7) = {part},"
+        " m ^ shiftleft(1L, cast(shiftright(w, 24) & 63 as int)), m))"
+        for part in range(8)
+    )
+)
+_DIFFER = " + ".join(f"bit_count(map[{part}] ^ map2[{part}])" for part in range(8))
 
 
 def _key(id_col: str) -> Column:
@@ -109,15 +119,20 @@ def _may_match(n: str, other: str, low: str, high: str, percent: int) -> str:
     differ = f"(bit_count({low}) + bit_count({high}))"
     return (
         f"100 * least({n}, {other}) >= {percent} * greatest({n}, {other})"
-        f" and {100 + percent} * ({n} + {other} - {differ})"
-        f" >= {2 * percent} * ({n} + {other})"
+        f" and {_overlaps(n, other, differ, percent)}"
     )
 
 
+def _overlaps(n: str, other: str, differ: str, percent: int) -> str:
+    """Whether sets, ``differ`` of whose words at least are in one of them only, may share enough."""
+    return f"{100 + percent} * ({n} + {other} - {differ}) >= {2 * percent} * ({n} + {other})"
+
+
 def _posts(lines: DataFrame, table: list[int], percent: int) -> DataFrame:
     """``word, at, doc, place, n, low, high``: each line under its rarest words.
 
-    A word's number begins with its rarity, so that sorted numbers are in order of rarity.
+    A word's number begins with its rarity, so that sorted numbers are in order of rarity; 40 bits
+    of its hash follow, as words that share a number only make more candidates.
     """
     # Eight numbers in each constant, so that the table stays a short one.
     eights = [table[i : i + 8] for i in range(0, BUCKETS, 8)]
@@ -129,7 +144,7 @@ def _posts(lines: DataFrame, table: list[int], percent: int) -> DataFrame:
         held = F.get(rare, F.shiftright(bucket, 3))
         first = F.call_function("shiftright", held, bucket.bitwiseAND(F.lit(7)) * 8)
         first = first.bitwiseAND(F.lit(127).cast("long"))
-        return F.shiftleft(first, 56).bitwiseOR(w.bitwiseAND(F.lit(2**56 - 1)))
+        return F.shiftleft(first, 40).bitwiseOR(w.bitwiseAND(F.lit(2**40 - 1)))
 
     n = F.size("words")
     prefix = n - F.ceil(n * percent / 100).cast("int") + 1
@@ -150,7 +165,7 @@ def _with_near(posts: DataFrame, percent: int) -> DataFrame:
     """Adds ``later``, not a word's first post, and ``near``: which of the ``NEAR`` posts before and
 
     the word's first one pass the filters. Conditions are spelt out per post, not in a lambda
-    over an array, as only so they are compiled.
+    over an array, as only so they are compiled. The only post of a word meets none and goes.
     """
     order = Window.partitionBy("word").orderBy("doc", "place")
     post = F.struct("doc", "place", "n", "low", "high")
@@ -164,7 +179,8 @@ def _with_near(posts: DataFrame, percent: int) -> DataFrame:
         )
         for o in (f"o{i}" for i in range(NEAR + 1))
     ]
-    return posts.select("*", first.alias("o0"), *before).select(
+    after = F.lead("word").over(order).alias("after")
+    return posts.select("*", first.alias("o0"), *before, after).where("o1 is not null or after is not null").select(
         *posts.columns,
         F.expr("o1 is not null").alias("later"),
         F.array_compact(F.array(*told)).alias("near"),
@@ -172,13 +188,34 @@ def _with_near(posts: DataFrame, percent: int) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """``doc, place`` of the first line of each pair whose whole sets are alike enough."""
-    first = pairs.select("doc", "place")
+    """``doc, place`` of the first line of each pair whose whole sets are alike enough.
+
+    Wide maps of the named lines rule most pairs out before any set is sent to a pair. One match
+    settles a line, so each is first compared with the line its map is nearest to; only lines
+    that are not alike go on to their other pairs.
+    """
+    line = ["doc", "place"]
+    first = pairs.select(*line)
     second = pairs.select(F.col("doc2").alias("doc"), F.col("place2").alias("place"))
     named = first.unionByName(second).distinct()
-    found = _some_lines(texts, named, named.count())
-    sets = written(found.dropDuplicates(["doc", "place"]), "line-sets")
-    other = sets.select(
+    found = _some_lines(texts, named, named.count()).dropDuplicates(line)
+    sets = written(found.select("*", F.size("words").alias("n"), F.expr(_WIDE).alias("map")), "line-sets")
+    maps = sets.select(*line, "n", "map")
+    others = maps.select(*(F.col(c).alias(f"{c}2") for c in maps.columns))
+    close = pairs.join(maps, line).join(others, ["doc2", "place2"]).withColumn("differ", F.expr(_DIFFER))
+    close = close.where(_overlaps("n", "n2", "differ", percent))
+    close = written(close.select(*line, "doc2", "place2", "differ"), "close-pairs")
+    best = close.groupBy(*line).agg(F.min(F.struct("differ", "doc2", "place2")).alias("other"))
+    best = best.select(*line, "other.doc2", "other.place2")
+    settled = written(_alike(best, sets, percent), "alike-lines")
+    rest = close.select(*best.columns).join(settled, line, "left_anti").join(best, best.columns, "left_anti")
+    return settled.unionByName(_alike(rest, sets, percent))
+
+
+def _alike(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``doc, place`` of the first line of each pair whose sets are alike enough."""
+    wanted = pairs.select(F.col("doc2").alias("doc"), F.col("place2").alias("place")).distinct()
+    other = sets.join(wanted, ["doc", "place"], "left_semi").select(
         F.col("doc").alias("doc2"), F.col("place").alias("place2"), F.col("words").alias("words2")
     )
     both = pairs.join(sets, ["doc", "place"]).join(other, ["doc2", "place2"])

@@ -11,7 +11,7 @@ import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
-from corpusflow.llm import bpe, byte_spans, lang_id, mixing, suffixes
+from corpusflow.llm import bpe, byte_spans, lang_id, line_join, mixing, suffixes
 from corpusflow.llm.byte_spans import remove_repeats
 from corpusflow.llm.components import components
 from corpusflow.llm.line_join import remove_lines
@@ -224,6 +224,33 @@ def test_line_join_of_a_large_group(spark):
     assert got == {i for i, _ in gone_lines(lines)}
 
 
+def test_line_join_keeps_no_lone_posts(spark):
+    lines = [" ".join(f"w{i}x{j}" for j in range(20)) for i in range(50)]
+    texts = spark.createDataFrame(list(enumerate([*lines, lines[0] + " more"])), "doc long, text string")
+    posts = line_join._posts(line_join._lines(texts), [0] * line_join.BUCKETS, 75)
+    kept = line_join._with_near(posts, 75)
+    assert posts.count() == 51 * 6
+    assert {r.doc for r in kept.select("doc").distinct().collect()} == {0, 50}
+
+
+def test_line_join_compares_few_whole_sets(spark, monkeypatch):
+    r = random.Random(4)
+    word = [f"w{i}" for i in range(200)]
+    lines = []
+    for i in range(60):
+        w = list(word[:60])
+        for j in r.sample(range(60), 3):
+            w[j] = f"own{i}x{j}"
+        lines.append(" ".join(w))
+    df = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    compared = []
+    join = line_join._alike
+    monkeypatch.setattr(line_join, "_alike", lambda pairs, *a: compared.append(pairs.count()) or join(pairs, *a))
+    got = {row.doc_id for row in remove_lines(df).collect() if row.n_removed}
+    assert got == {i for i, _ in gone_lines(lines)}
+    assert len(got) == 59 and sum(compared) <= 60
+
+
 def test_line_join_stays_native(docs):
     plan = remove_lines(docs)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
