@@ -13,7 +13,7 @@ and an empty table gives an empty result. A result column replaces one of the sa
 
 The vocabulary file (a fixed, bounded table) is read on the driver and travels with the plan.
 Each task streams Arrow batches; a worker's memo of pieces is bounded, goes over to its later
-tasks and only saves time.
+tasks and only saves time. It keeps pieces that came in two batches or more, as packed ids.
 """
 
 from __future__ import annotations
@@ -23,12 +23,16 @@ import hashlib
 import sys
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from corpusflow.llm.textarrays import handed_back
+
 MEMO = 200_000
+_SEEN = 1 << 20  # marks of pieces that came before, by their hashes
 _NEVER = 1 << 62
 _SHIFT = 32
 
@@ -191,58 +195,72 @@ class PrefixEncoding:
 
 
 class Encoder:
-    """Encodes batches of texts; a memo of pieces, bounded, saves most of the work."""
+    """Encodes batches of texts; a memo of pieces, bounded, saves most of the work.
+
+    Most pieces never come again: only those whose mark is set, or that share one, are kept.
+    """
 
     def __init__(self, content: bytes, pattern: str, outputs: Sequence[str]):
         self.vocabulary, self.split = Vocabulary(content), regex.compile(pattern).findall
         self.outputs = outputs
-        self.memo: dict[str, tuple] = {}
-        self.older: dict[str, tuple] = {}
+        self.memo: dict[str, bytes] = {}  # ids of a piece, four bytes each
+        self.older: dict[str, bytes] = {}
+        self.seen, self.marks = bytearray(_SEEN), 0
+        self.names = {i: str(i) for i in self.vocabulary.tokens} if "ids_text" in outputs else {}
 
-    def _coded(self, data: bytes, scratch: PrefixEncoding) -> tuple:
+    def _coded(self, data: bytes, scratch: PrefixEncoding) -> bytes:
         whole = self.vocabulary.ranks.get(data)
         if whole is not None:
-            ids = [whole]
-        else:
-            scratch.become(data)
-            ids = scratch.ids()
-        return tuple(_OF_PIECE[name](ids, self.vocabulary) for name in self.outputs)
-
-    def _learn(self, pieces: set[str]) -> None:
-        """Sorted, so that each piece shares a long prefix with the one before."""
-        scratch = PrefixEncoding(self.vocabulary)
+            return whole.to_bytes(4, "little")
+        scratch.become(data)
+        return np.array(scratch.ids(), "<i4").tobytes()
+
+    def _learn(self, pieces: set[str]) -> list[str]:
+        """Sorted, so that each piece shares a long prefix with the one before; those new here."""
+        scratch, new = PrefixEncoding(self.vocabulary), []
+        if self.marks > _SEEN // 2:
+            self.seen, self.marks = bytearray(_SEEN), 0
         for piece in sorted(pieces):
             known = self.older.get(piece)
-            self.memo[piece] = self._coded(piece.encode(), scratch) if known is None else known
-
-    def encode(self, texts: Sequence[str | None]) -> list[list]:
-        """For each output, its value for each text."""
+            if known is None:
+                known = self._coded(piece.encode(), scratch)
+                mark = hash(piece) % _SEEN
+                if not self.seen[mark]:
+                    self.seen[mark] = 1
+                    self.marks += 1
+                    new.append(piece)
+            self.memo[piece] = known
+        return new
+
+    def packed(self, texts: Sequence[str | None]) -> list[bytes]:
+        """The ids of each text, four bytes each."""
         split = [self.split(text) if text else [] for text in texts]
         pieces = set().union(*split)
         if len(self.memo) > MEMO:
             self.memo, self.older = {}, self.memo
-        self._learn(pieces - self.memo.keys())
+        new = self._learn(pieces - self.memo.keys())
         get = self.memo.__getitem__
-        out: list[list] = [[] for _ in self.outputs]
-        for text_pieces in split:
-            columns = zip(*map(get, text_pieces)) if text_pieces else [()] * len(self.outputs)
-            for into, name, values in zip(out, self.outputs, columns):
-                into.append(_OF_TEXT[name](values))
-        return out
-
-
-# What is kept of each piece's ids, and how a text's value is made of its pieces' values.
-_OF_PIECE: dict[str, Callable] = {
-    "ids": lambda ids, vocabulary: ids,
-    "n_tokens": lambda ids, vocabulary: len(ids),
-    "ids_text": lambda ids, vocabulary: ",".join(map(str, ids)),
-    "decoded": lambda ids, vocabulary: b"".join([vocabulary.tokens[i] for i in ids]),
-}
-_OF_TEXT: dict[str, Callable] = {
-    "ids": lambda found: [i for ids in found for i in ids],
-    "n_tokens": sum,
-    "ids_text": ",".join,
-    "decoded": b"".join,
+        found = [b"".join(map(get, text_pieces)) for text_pieces in split]
+        for piece in new:
+            del self.memo[piece]
+        return found
+
+    def columns(self, texts: Sequence[str | None]) -> list[pa.Array]:
+        """For each output, its values for all texts."""
+        rows = [np.frombuffer(ids, "<i4") for ids in self.packed(texts)]
+        return [pa.array([_OF_IDS[o](ids, self) for ids in rows], _KINDS[o][1]) for o in self.outputs]
+
+    def encode(self, texts: Sequence[str | None]) -> list[list]:
+        """The same as Python's values."""
+        return [column.to_pylist() for column in self.columns(texts)]
+
+
+# What is made of a text's ids.
+_OF_IDS: dict[str, Callable] = {
+    "ids": lambda ids, encoder: ids,
+    "n_tokens": lambda ids, encoder: len(ids),
+    "ids_text": lambda ids, encoder: ",".join(map(encoder.names.__getitem__, ids.tolist())),
+    "decoded": lambda ids, encoder: b"".join(map(encoder.vocabulary.tokens.__getitem__, ids.tolist())),
 }
 
 
@@ -287,11 +305,10 @@ def encode(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _held(job, lambda: Encoder(content, pattern, outputs))
-        for batch in batches:
+        for batch in handed_back(batches):
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                rows = encoder.encode(part.column(text_col).to_pylist())
-                made = [pa.array(r, _KINDS[o][1]) for r, o in zip(rows, outputs)]
+                made = encoder.columns(part.column(text_col).to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [part.column(n) for n in names] + made, names=[*names, *outputs]
                 )

@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from corpusflow.llm.names import clashing, restored
-from corpusflow.llm.textarrays import lowered, utf8
+from corpusflow.llm.textarrays import handed_back, lowered, utf8
 
 ORDERS = 3
 # Codes of the n-grams of each length lie one range after another.
@@ -237,7 +237,7 @@ def identify(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         presence = Presence()
-        for batch in batches:
+        for batch in handed_back(batches):
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 best, score, like = scores(model, part.column(text_col), presence)

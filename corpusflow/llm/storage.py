@@ -3,21 +3,40 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 from corpusflow.storage import staging_path
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def fresh_folder(spark: SparkSession, purpose: str) -> str:
     """An unused path below the folder that the cluster names in ``spark.checkpoint.dir``."""
     return staging_path(spark, purpose)
 
 
+@contextmanager
+def leaving_no_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Queries that end in the block take their shuffle files along.
+
+    Otherwise these lie beside the written rows until the driver happens to collect its garbage.
+    """
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_CLEANUP, before) if before is not None else spark.conf.unset(_CLEANUP)
+
+
 def written(df: DataFrame, purpose: str) -> DataFrame:
     """The rows as a Parquet table in the shared folder, read back."""
     path = fresh_folder(df.sparkSession, purpose)
-    df.write.parquet(path)
+    with leaving_no_shuffles(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -30,5 +49,6 @@ def bucketed(df: DataFrame, purpose: str, by: str, buckets: int) -> tuple[DataFr
     spark = df.sparkSession
     name = f"{purpose.replace('-', '_')}_{uuid.uuid4().hex}"
     path = fresh_folder(spark, purpose)
-    df.write.bucketBy(buckets, by).option("path", path).saveAsTable(name)
+    with leaving_no_shuffles(spark):
+        df.write.bucketBy(buckets, by).option("path", path).saveAsTable(name)
     return spark.table(name), name

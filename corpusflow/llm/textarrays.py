@@ -6,7 +6,7 @@ over the whole batch at once. A null text counts as an empty one. Nothing here k
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -51,6 +51,15 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def handed_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches; after the last, what Arrow keeps of their memory goes back to the system.
+
+    A worker lives on after its task, beside those of the next stage.
+    """
+    yield from batches
+    pa.default_memory_pool().release_unused()
+
+
 def utf8(texts: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of the texts and where each text begins (one offset more than texts)."""
     if isinstance(texts, pa.ChunkedArray):

@@ -4,7 +4,9 @@ import hashlib
 import itertools
 import random
 import re
+import time
 from collections import Counter
+from pathlib import Path
 
 import public_tokenizers
 import pytest
@@ -17,6 +19,7 @@ from corpusflow.llm.components import components
 from corpusflow.llm.line_join import remove_lines
 from corpusflow.llm.rounds import chunked
 from corpusflow.llm.set_join import link_classes
+from corpusflow.llm.storage import written
 from corpusflow.llm.substrings import deduplicate
 
 PATH = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -331,6 +334,33 @@ def test_encoding_of_random_text(reference_encoding):
     assert encoder.encode(texts)[0] == [reference_encoding.encode_ordinary(t) for t in texts]
 
 
+def test_encoder_keeps_only_pieces_that_come_again(reference_encoding):
+    with open(PATH, "rb") as file:
+        encoder = bpe.Encoder(file.read(), public_tokenizers.PATTERN, ("ids", "n_tokens", "ids_text", "decoded"))
+    often = "a phrase that every batch has"
+    for i in range(3):
+        texts = [f"{often} {''.join(random.Random(i * 500 + j).choices('bcdfg', k=9))}" for j in range(500)]
+        ids, sizes, listed, decoded = encoder.encode(texts)
+        assert ids == [reference_encoding.encode_ordinary(t) for t in texts]
+        assert sizes == list(map(len, ids)) and decoded == [t.encode() for t in texts]
+        assert listed == [",".join(map(str, x)) for x in ids]
+    assert {" phrase", " every", " batch"} <= encoder.memo.keys() and len(encoder.memo) < 50
+    assert all(isinstance(x, bytes) for x in encoder.memo.values())
+
+
+def test_written_rows_leave_no_shuffle_files(spark, tmp_path):
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, blocks = spark.conf.get(key, None), spark.sparkContext._jsc.sc().env().blockManager()
+    made = written(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "counts")
+    assert made.count() == 7 and spark.conf.get(key, None) == before
+    # What is left belongs to queries that did not write.
+    folder = Path(blocks.diskBlockManager().localDirs()[0].getPath())
+    old = {f.name for f in folder.rglob("shuffle_*")}
+    written(spark.range(1000).repartition(5, "id").groupBy((F.col("id") % 9).alias("k")).count(), "counts")
+    time.sleep(1)
+    assert not {f.name for f in folder.rglob("shuffle_*")} - old
+
+
 def test_prefix_encoding_appends_and_edits():
     with open(PATH, "rb") as file:
         vocabulary = bpe.Vocabulary(file.read())
