@@ -2,8 +2,9 @@
 
 Rows travel packed, in chunks of a few megabytes as they were read, whatever their ids. A chunk
 sends each slice of the key space one message with its distinct keys; a slice, met by the
-table's rows of the same slice, answers with their values. So a key that every row has counts
+table's row of the same slice, answers with their values. So a key that every row has counts
 once a chunk, no task holds more than a slice of the table, and nothing reaches the driver.
+The table holds a slice in one row, its sorted keys and their values packed, as it is read often.
 """
 
 from __future__ import annotations
@@ -16,14 +17,14 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusflow.llm.rounds import ask, by_slice, finish, slice_bits, text_bytes
+from corpusflow.llm.rounds import ask, by_slice, finish
 
 CHUNK_BYTES = 8_000_000
 # On average a key that a chunk asks for comes with at least this many bytes of text.
-_BYTES_A_KEY = 10
+BYTES_A_KEY = 10
+_PACKED_ROWS = 400_000  # rows of a task that are packed at once
 
 Keys = Callable[[pa.Table], np.ndarray]
 Act = Callable[[pa.Table, np.ndarray], pa.Table]
@@ -68,20 +69,82 @@ def _values(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view(np.int64).ravel()
 
 
+def _summed(key: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct keys and their values (columns x keys), those of one key added up."""
+    order = np.argsort(key)
+    key, values = key[order], values[:, order]
+    at = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
+    return key[at], np.add.reduceat(values, at, axis=1) if len(at) else values
+
+
+def _packed_slice(key: np.ndarray, values: np.ndarray) -> tuple[bytes, bytes]:
+    return _planes(np.diff(key, prepend=np.uint64(0))), _planes(values)
+
+
+def _unpacked_slice(keys: bytes, values: bytes) -> tuple[np.ndarray, np.ndarray]:
+    key = np.cumsum(_values(keys).view(np.uint64), dtype=np.uint64)
+    return key, _values(values).reshape(-1, len(key)) if len(key) else np.zeros((0, 0), np.int64)
+
+
+def sliced(rows: DataFrame, bits: int) -> DataFrame:
+    """``slice, keys, values``: a ``key`` and columns of longs, packed by task and slice."""
+    columns = [c for c in rows.columns if c != "key"]
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+
+        def made() -> pa.RecordBatch:
+            table = pa.Table.from_batches(held)
+            values = np.stack([table.column(c).to_numpy() for c in columns])
+            key, values = _summed(table.column("key").to_numpy().view(np.uint64), values)
+            found = [(s, *_packed_slice(key[a:b], values[:, a:b])) for s, a, b in by_slice(key, bits, 64)]
+            return pa.RecordBatch.from_arrays(
+                [pa.array([x[i] for x in found], f.type) for i, f in enumerate(_SLICE)], schema=_SLICE
+            )
+
+        for batch in batches:
+            held.append(batch)
+            n += batch.num_rows
+            if n >= _PACKED_ROWS:
+                yield made()
+                held, n = [], 0
+        if n:
+            yield made()
+
+    return rows.mapInArrow(pack, "slice int, keys binary, values binary")
+
+
+def merged(parts: DataFrame, tell: Callable[[np.ndarray], list[int]], told: list[str]) -> DataFrame:
+    """One row a slice, and what ``tell`` says of its values (keys x columns): longs named ``told``."""
+
+    def merge(part: pa.Table) -> pa.Table:
+        found = [
+            _unpacked_slice(k.as_py(), v.as_py()) for k, v in zip(part.column("keys"), part.column("values"))
+        ]
+        key, values = _summed(*(np.concatenate(x, axis=-1) for x in zip(*found)))
+        row = [part.column("slice")[0].as_py(), *_packed_slice(key, values)]
+        made = [pa.array([x], f.type) for x, f in zip(row, _SLICE)]
+        made += [pa.array([x], pa.int64()) for x in tell(values.T)]
+        return pa.Table.from_arrays(made, names=[*_SLICE.names, *told])
+
+    longs = "".join(f", `{c}` long" for c in told)
+    return parts.groupBy("slice").applyInArrow(merge, f"slice int, keys binary, values binary{longs}")
+
+
 def with_values(
     docs: DataFrame,
     text_col: str,
     table: DataFrame,
+    columns: int,
+    bits: int,
     keys: Keys,
     act: Act,
     schema: str | T.StructType,
 ) -> DataFrame:
     """``act`` on each chunk's rows and the values (keys x columns) of its sorted distinct keys.
 
-    ``table`` has a ``key``, once, and columns of longs; a key that it lacks has zeros.
+    ``table`` is a ``merged`` one of slices by ``bits``; a key that it lacks has zeros.
     """
-    columns = [c for c in table.columns if c != "key"]
-    bits = slice_bits(text_bytes(docs, text_col) // _BYTES_A_KEY + table.count())
     chunks = packed(docs, text_col)
 
     def question(chunk: pa.Table, _: list[bytes]) -> Iterator[tuple[int, bytes]]:
@@ -90,12 +153,10 @@ def with_values(
             yield number, _planes(np.diff(wanted[a:b], prepend=np.uint64(0)))
 
     def respond(messages: pa.Table, known: pa.Table) -> pa.Table:
-        key = known.column("key").to_numpy().view(np.uint64)
-        order = np.argsort(key)
-        key = np.append(key[order], np.uint64(0))
-        values = np.zeros((len(key), len(columns)), np.int64)
-        for i, c in enumerate(columns):
-            values[:-1, i] = known.column(c).to_numpy()[order]
+        key, values = np.zeros(1, np.uint64), np.zeros((1, columns), np.int64)
+        if known.num_rows and messages.num_rows:
+            held = _unpacked_slice(known.column("keys")[0].as_py(), known.column("values")[0].as_py())
+            key, values = np.append(held[0], key), np.concatenate([held[1].T, values])
         found = []
         for data in messages.column("payload"):
             wanted = np.cumsum(_values(data.as_py()).view(np.uint64), dtype=np.uint64)
@@ -112,15 +173,17 @@ def with_values(
         )
 
     def finished(chunk: pa.Table, answers: list[bytes]) -> pa.Table:
-        parts = [_values(x).reshape(len(columns), -1) for x in answers]
-        values = np.concatenate([np.zeros((len(columns), 0), np.int64), *parts], axis=1)
+        parts = [_values(x).reshape(columns, -1) for x in answers]
+        values = np.concatenate([np.zeros((columns, 0), np.int64), *parts], axis=1)
         return act(_rows(chunk), values.T)
 
-    place = F.shiftrightunsigned("key", 64 - bits).cast("int") if bits else F.lit(0)
     answers = (
         ask(chunks, question)
         .groupBy("slice")
-        .cogroup(table.withColumn("slice", place).groupBy("slice"))
+        .cogroup(table.select(*_SLICE.names).groupBy("slice"))
         .applyInArrow(respond, "slice int, chunk int, payload binary")
     )
     return finish(chunks, answers, finished, schema)
+
+
+_SLICE = pa.schema([("slice", pa.int32()), ("keys", pa.binary()), ("values", pa.binary())])

@@ -72,7 +72,7 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = _table(spark, sf_dir, "labels").select("doc_id", "toxic")
     model = toxicity.train(docs.where(~held_out("doc_id")), labels)
     texts = docs.select("doc_id", held_out("doc_id").alias("held_out"), "text")
-    return toxicity.score(texts, model).select("doc_id", "held_out", "score", "predicted")
+    return toxicity.score(texts, model, keep_text=False).select("doc_id", "held_out", "score", "predicted")
 
 
 @_query
@@ -235,7 +235,8 @@ ORACLE["op11_conversation_trie"] = rf"""
 WITH t AS (SELECT conv_id, coalesce(text, '') AS text, turn,
                   md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS token
            FROM conversations WHERE conv_id IS NOT NULL),
-     own AS (SELECT conv_id, list({{'token': token, 'words': len(regexp_extract_all(text, '[^ 	-]+'))}}
+     own AS (SELECT conv_id, list({{'token': token, 'words': len(regexp_extract_all(text, '[^ 	-
+]+'))}}
                                   ORDER BY turn NULLS FIRST, token) AS ts FROM t GROUP BY conv_id),
      h AS (SELECT conv_id, ts, {_CRC32.format("conv_id::VARCHAR")} % 4 AS h FROM own),
      c AS (SELECT h.conv_id AS c, list_concat(coalesce(list_slice(b.ts, 1, h.h), []), list_slice(h.ts, h.h + 1, len(h.ts))) AS ts

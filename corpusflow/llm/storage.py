@@ -40,15 +40,23 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def kept(df: DataFrame, purpose: str) -> tuple[DataFrame, str]:
+    """The rows as a table of the warehouse, and its name, for the caller to drop with its files."""
+    spark = df.sparkSession
+    name = f"{purpose.replace('-', '_')}_{uuid.uuid4().hex}"
+    with leaving_no_shuffles(spark):
+        df.write.saveAsTable(name, format="parquet")
+    return spark.table(name), name
+
+
 def bucketed(df: DataFrame, purpose: str, by: str, buckets: int) -> tuple[DataFrame, str]:
-    """The rows in the shared folder in buckets, and the table's name, for the caller to drop.
+    """The rows as a table of the warehouse in buckets, and its name, for the caller to drop.
 
     Windows and joins on the column ``by`` read such a table without a shuffle. The rows should come
     in as many partitions by that column, so that a bucket is one file.
     """
     spark = df.sparkSession
     name = f"{purpose.replace('-', '_')}_{uuid.uuid4().hex}"
-    path = fresh_folder(spark, purpose)
     with leaving_no_shuffles(spark):
-        df.write.bucketBy(buckets, by).option("path", path).saveAsTable(name)
+        df.write.bucketBy(buckets, by).saveAsTable(name, format="parquet")
     return spark.table(name), name

@@ -11,8 +11,9 @@ words alone; as a long text may be toxic in one passage only, its best stretches
 
 The counts come from every labelled training row. They are summed by Spark over pairs of
 neighbouring words; keys are 64-bit hashes, and the grown model is a table of one row a word and
-one a pair, of which a chunk of texts gets the rows that it asks for (``lookups.py``). Only its
-totals reach the driver. The curve is fitted on a bounded sample, at most ``SAMPLE`` training rows of
+one a pair, of which a chunk of texts gets the rows that it asks for (``lookups.py``). Words are
+counted in ``PARTS`` and texts are scored in ``WAVES``, one after another, by hashes of either, so that
+only a part of what is shuffled lies on disk at a time. Only the table's totals reach the driver. The curve is fitted on a bounded sample, at most ``SAMPLE`` training rows of
 each class (lowest id digests), each judged with its own words taken out of the counts.
 
 Defined results: a text without words (null, empty) has no evidence and gets the score of no
@@ -26,6 +27,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -34,8 +36,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusflow.llm.lang_id import sampled
-from corpusflow.llm.lookups import with_values
-from corpusflow.llm.storage import written
+from corpusflow.llm.lookups import BYTES_A_KEY, merged, sliced, with_values
+from corpusflow.llm.rounds import SLICE_KEYS, slice_bits, text_bytes
+from corpusflow.llm.storage import kept, leaving_no_shuffles, written
 from corpusflow.llm.textarrays import lowered, utf8, word_hashes, words
 
 COLUMNS = ["ordinary", "toxic", "before", "next_ordinary", "next_toxic", "kinds_ordinary", "kinds_toxic"]
@@ -43,6 +46,8 @@ STRETCHES = (4, 32)
 SAMPLE = 3000
 # Up to so many labels (some 100 MB as a hash table) go to the texts; beyond, both are shuffled.
 BROADCAST_LABELS = 2_000_000
+# Parts of the words that are counted, and of the texts that are scored, at a time.
+PARTS, WAVES = 2, 4
 _EMPTY_WORD = np.uint64(0x9E3779B97F4A7C15)  # stands before a text's first word
 _TURN = 23  # bits by which the word before is turned in a pair's key
 _ROWS = 512  # texts hashed at once
@@ -71,15 +76,29 @@ def before_each(word: np.ndarray, first: np.ndarray) -> np.ndarray:
     return prior
 
 
+def pairs_of(word: np.ndarray, prior: np.ndarray) -> np.ndarray:
+    """Keys of words after the words before them."""
+    return word ^ (prior << np.uint64(_TURN) | prior >> np.uint64(64 - _TURN))
+
+
+def distinct_keys(texts: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """The same keys as ``Words`` has, without their places."""
+    word, first = numbered(texts)
+    keys = np.sort(np.concatenate([word, pairs_of(word, before_each(word, first)), [_EMPTY_WORD]]))
+    return keys[np.append(True, keys[1:] != keys[:-1])]
+
+
 class Words:
     """Words, words before and pairs of all texts in a row, as indices of their distinct keys."""
 
     def __init__(self, texts: pa.Array | pa.ChunkedArray) -> None:
         word, self.first = numbered(texts)
-        prior = before_each(word, self.first)
-        pair = word ^ (prior << np.uint64(_TURN) | prior >> np.uint64(64 - _TURN))
-        self.keys, at = np.unique(np.concatenate([word, prior, pair]), return_inverse=True)
-        self.word, self.prior, self.pair = at.reshape(3, -1)
+        pair = pairs_of(word, before_each(word, self.first))
+        self.keys, at = np.unique(np.concatenate([word, pair, [_EMPTY_WORD]]), return_inverse=True)
+        self.word, self.pair = at[:-1].reshape(2, -1)
+        # The words before are the same ones, so they need no search of their own.
+        self.prior = np.append(at[-1], self.word[:-1]) if len(word) else self.word
+        self.prior[self.first[:-1][np.diff(self.first) > 0]] = at[-1]
 
 
 @dataclass
@@ -226,9 +245,10 @@ def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e
 
 @dataclass
 class ToxicityModel:
-    table: DataFrame | None  # a row a word or pair; without both classes there is none
+    table: DataFrame | None  # words and pairs in slices; without both classes there is none
     totals: Totals | None
     curve: np.ndarray
+    bits: int = 0  # which name a slice
 
     def score(self, x: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(x @ self.curve[:-1] + self.curve[-1], -30, 30)))
@@ -245,12 +265,13 @@ def _labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, la
     return texts.join(F.broadcast(marks) if few else marks, "id")
 
 
-def count_words(labelled: DataFrame) -> DataFrame:
+def count_words(labelled: DataFrame, part: int | None = None) -> DataFrame:
     """``key`` of a word or pair and its ``COLUMNS``, which are numbers of
 
     its ordinary and toxic occurrences, the distinct words before it, the words after it in
     ordinary and in toxic rows, and the distinct ones among them. A pair has the first two only.
-    Tasks sum pairs within each batch before the shuffle.
+    Tasks sum pairs within each batch before the shuffle. ``part`` counts one of ``PARTS`` of the
+    words with the words before them, so parts share keys: what follows a word is summed over all.
     """
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -260,6 +281,9 @@ def count_words(labelled: DataFrame) -> DataFrame:
             length = np.diff(first)
             prior = before_each(word, first)
             toxic = np.repeat(label, length)
+            if part is not None:
+                mine = word % np.uint64(PARTS) == part
+                word, prior, toxic = word[mine], prior[mine], toxic[mine]
             order = np.lexsort((prior, word))
             word, prior, toxic = word[order], prior[order], toxic[order]
             new = (np.diff(word) != 0) | (np.diff(prior) != 0)
@@ -290,18 +314,32 @@ def count_words(labelled: DataFrame) -> DataFrame:
     return both.select("key", "ordinary", "toxic", *[none.alias(c) for c in COLUMNS[2:]]).unionByName(alone)
 
 
-def _tallies(table: DataFrame, columns: list[str]) -> tuple[int, list[Tally]]:
-    """Rows of a table and the tally of each column, as one row."""
-    sums = []
-    for c in columns:
-        marks = [F.col(c) > 0, F.col(c) == 1, F.col(c) == 2]
-        sums += [F.coalesce(F.sum(c), F.lit(0)), *(F.count_if(m) for m in marks)]
-    found = table.agg(F.count(F.lit(1)), *sums).first()
-    return found[0], [Tally(*found[i : i + 4]) for i in range(1, len(found), 4)]
+def _tallied(values: np.ndarray) -> list[int]:
+    """Of a slice: its words, the tallies of their first three columns, and of its pairs' first two."""
+    words = values[:, 2] > 0
+    pairs = ~words & (values[:, 3:5].sum(axis=1) == 0)
+    found = [int(np.count_nonzero(words))]
+    for of, columns in ((words, 3), (pairs, 2)):
+        for c in values[of, :columns].T:
+            found += [int(c.sum()), *(int(np.count_nonzero(x)) for x in (c, c == 1, c == 2))]
+    return found
+
+
+def _model_table(labelled: DataFrame, bits: int) -> tuple[DataFrame, Totals]:
+    """The counts in slices, and their totals."""
+    parts = [kept(sliced(count_words(labelled, p), bits), "toxicity-parts") for p in range(PARTS)]
+    told = [f"t{i}" for i in range(21)]
+    rows = reduce(DataFrame.unionByName, [df for df, _ in parts])
+    table = written(merged(rows, _tallied, told), "toxicity-counts")
+    for _, name in parts:
+        labelled.sparkSession.sql(f"DROP TABLE {name}")
+    size, *sums = table.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in told]).first()
+    ordinary, toxic, before, *pairs = [Tally(*sums[i : i + 4]) for i in range(0, 20, 4)]
+    return table, Totals(size + 1, [ordinary, toxic], before, pairs)  # and a word never seen
 
 
 def _keys(text_col: str) -> Callable[[pa.Table], np.ndarray]:
-    return lambda rows: Words(rows.column(text_col)).keys
+    return lambda rows: distinct_keys(rows.column(text_col))
 
 
 def train(
@@ -319,10 +357,8 @@ def train(
         rate = share.get(1, 0) / total if total else 0.0
         bias = np.log(max(rate, 1e-13) / max(1 - rate, 1e-13))
         return ToxicityModel(None, None, np.array([bias]))
-    table = written(count_words(labelled), "toxicity-counts")
-    size, (ordinary, toxic, before) = _tallies(table.where("before > 0"), COLUMNS[:3])
-    _, pairs = _tallies(table.where("before = 0 AND next_ordinary + next_toxic = 0"), COLUMNS[:2])
-    totals = Totals(size + 1, [ordinary, toxic], before, pairs)  # and a word never seen
+    bits = slice_bits(text_bytes(docs, text_col) // BYTES_A_KEY)
+    table, totals = _model_table(labelled, bits)
     sample = sampled(labelled, SAMPLE)
 
     def judge(rows: pa.Table, values: np.ndarray) -> pa.Table:
@@ -330,28 +366,58 @@ def train(
         x = features(Words(rows.column("text")), values, totals, label)
         return pa.table({"label": pa.array(label, pa.int32()), "x": pa.array(list(x), pa.list_(pa.float64()))})
 
-    seen = with_values(
-        sample.select("label", "text"), "text", table, _keys("text"), judge, "label int, x array<double>"
-    ).collect()
+    found = with_values(
+        sample.select("label", "text"),
+        "text",
+        table,
+        len(COLUMNS),
+        bits,
+        _keys("text"),
+        judge,
+        "label int, x array<double>",
+    )
+    with leaving_no_shuffles(docs.sparkSession):
+        seen = found.collect()
     seen.sort(key=lambda r: (r.label, r.x))
     y = np.array([r.label for r in seen], float)
     weight = np.where(y == 1, share[1] / total / y.sum(), share[0] / total / (1 - y).sum()) * len(y)
-    return ToxicityModel(table, totals, logistic(np.array([r.x for r in seen]), y, weight))
+    return ToxicityModel(table, totals, logistic(np.array([r.x for r in seen]), y, weight), bits)
 
 
-def score(docs: DataFrame, model: ToxicityModel, text_col: str = "text", threshold: float = 0.3) -> DataFrame:
-    """Add ``score`` and ``predicted`` to every row; whole texts, shuffled once in packed chunks."""
-    kept = [f for f in docs.schema.fields if f.name not in {"score", "predicted"}]
-    names = [f.name for f in kept]
-    schema = T.StructType([*kept, T.StructField("score", T.DoubleType())])
+def score(
+    docs: DataFrame,
+    model: ToxicityModel,
+    text_col: str = "text",
+    threshold: float = 0.3,
+    keep_text: bool = True,
+) -> DataFrame:
+    """Add ``score`` and ``predicted`` to every row; whole texts, shuffled once in packed chunks.
+
+    The texts go wave by wave, each one's rows being written before the next; by a hash of the text
+    alone, which is the same whenever the rows are read.
+    """
+    fields = [f for f in docs.schema.fields if f.name not in {"score", "predicted"}]
+    names = [f.name for f in fields]
+    fields = [f for f in fields if keep_text or f.name != text_col]
+    schema = T.StructType([*fields, T.StructField("score", T.DoubleType())])
     if model.table is None:
-        found = docs.select(*names).withColumn("score", F.lit(float(model.score(np.zeros((1, 0)))[0])))
+        found = docs.select(*[f.name for f in fields]).withColumn("score", F.lit(float(model.score(np.zeros((1, 0)))[0])))
         return found.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
     totals, curve = model.totals, ToxicityModel(None, None, model.curve)  # no table goes to the tasks
 
     def run(rows: pa.Table, values: np.ndarray) -> pa.Table:
         made = curve.score(features(Words(rows.column(text_col)), values, totals))
+        rows = rows.select([f.name for f in fields])
         return rows.append_column("score", pa.array(made, pa.float64()))
 
-    found = with_values(docs.select(*names), text_col, model.table, _keys(text_col), run, schema)
+    asked = text_bytes(docs, text_col) // BYTES_A_KEY
+    waves = max(WAVES, -(-asked // (SLICE_KEYS << model.bits)))
+    done = []
+    for wave in range(waves):
+        some = docs.select(*names).where(F.pmod(F.xxhash64(text_col), F.lit(waves)) == wave)
+        scored = with_values(
+            some, text_col, model.table, len(COLUMNS), model.bits, _keys(text_col), run, schema
+        )
+        done.append(written(scored, "toxicity-scores"))
+    found = reduce(DataFrame.unionByName, done)
     return found.withColumn("predicted", (F.col("score") >= threshold).cast("int"))

@@ -9,7 +9,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from corpusflow.llm import fingerprints, graph_search, lang_id, toxicity
+from corpusflow.llm import fingerprints, graph_search, lang_id, lookups, storage, toxicity
 
 SF_DIR = "/root/testdata/sf0.01"
 
@@ -167,6 +167,54 @@ def test_toxicity_of_ordinary_words_in_a_toxic_order(spark):
     assert len(got) > 200 and len(wrong) <= 0.05 * len(got)
 
 
+def test_slices_sum_what_tasks_and_parts_counted(spark):
+    r = random.Random(3)
+    rows = [(r.randrange(-(2**63), 2**63), r.randrange(5), r.randrange(3)) for _ in range(300)]
+    rows += [(k, 1, 0) for k, _, _ in rows[:100]]
+    want = {}
+    for key, a, b in rows:
+        x, y = want.get(key % 2**64, (0, 0))
+        want[key % 2**64] = x + a, y + b
+    df = spark.createDataFrame(rows, "key long, a long, b long").repartition(4)
+    parts = lookups.sliced(df, 2)
+    table = lookups.merged(parts, lambda v: [len(v), int(v[:, 0].sum())], ["keys_", "a_"]).collect()
+    got = {}
+    for row in table:
+        key, values = lookups._unpacked_slice(row["keys"], row["values"])
+        assert row["keys_"] == len(key) and row["a_"] == values[0].sum()
+        assert all(int(k) >> 62 == row["slice"] for k in key)
+        got.update(zip(map(int, key), map(tuple, values.T.tolist())))
+    assert got == want and len(table) == 4
+
+
+def test_toxicity_scores_in_waves_are_those_of_one(spark, monkeypatch):
+    r = random.Random(6)
+    rows = [(i, made_up(r, i % 4 == 0, 40)) for i in range(400)] + [(900, None), (901, None), (902, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = docs.select("doc_id", (F.col("doc_id") % 4 == 0).cast("int").alias("toxic"))
+    steps = []
+
+    def noted(df, purpose):
+        steps.append(purpose)
+        return storage.written(df, purpose)
+
+    monkeypatch.setattr(toxicity, "written", noted)
+    found = []
+    for waves in (1, toxicity.WAVES):
+        monkeypatch.setattr(toxicity, "WAVES", waves)
+        model = toxicity.train(docs, labels)
+        steps.clear()
+        got = toxicity.score(docs, model, keep_text=False)
+        assert got.columns == ["doc_id", "score", "predicted"] and len(steps) == waves
+        found.append({x.doc_id: x.score for x in got.collect()})
+        assert len(found[-1]) == len(rows)
+    assert found[0] == pytest.approx(found[1], abs=1e-9)
+    left = spark.sql("SHOW TABLES").where("tableName LIKE 'toxicity_parts%'")
+    assert left.count() == 0
+    texts = pa.array([t for _, t in rows])
+    assert (toxicity.distinct_keys(texts) == toxicity.Words(texts).keys).all()
+
+
 def test_words_after_a_word_are_a_distribution():
     alone = np.array([0.5, 0.25, 0.125, 0.125])
     n = np.array([3, 1, 0, 0])
