@@ -20,7 +20,6 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import sys
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -29,7 +28,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from corpusflow.llm.textarrays import handed_back
+from corpusflow.llm.textarrays import handed_back, kept_things
 
 MEMO = 200_000
 _SEEN = 1 << 20  # marks of pieces that came before, by their hashes
@@ -270,12 +269,11 @@ def _added(df: DataFrame, drop: Sequence[str], add: dict[str, T.DataType]) -> T.
 
 
 def _held(job: tuple, make: Callable[[], Encoder]) -> Encoder:
-    """The encoder of this process, with what its memo learned in earlier tasks.
+    """The encoder of this process, with what its memo learned in earlier tasks; one at a time,
 
-    Functions reach a worker anew with every task, so the interpreter itself keeps it; one at a
-    time, as memos are large.
+    as memos are large.
     """
-    place = sys.__dict__.setdefault("_corpusflow_encoder", {})
+    place = kept_things()
     if job not in place:
         place.clear()
         place[job] = make()

@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from corpusflow.llm.names import clashing, restored
-from corpusflow.llm.textarrays import handed_back, lowered, utf8
+from corpusflow.llm.textarrays import handed_back, kept_things, lowered, utf8
 
 ORDERS = 3
 # Codes of the n-grams of each length lie one range after another.
@@ -236,6 +236,7 @@ def identify(
     letters = docs.select(*names, F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)).alias("_letters"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept_things().clear()
         presence = Presence()
         for batch in handed_back(batches):
             for at in range(0, batch.num_rows, 256):

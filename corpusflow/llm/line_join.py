@@ -9,13 +9,15 @@ on the input.
    words in the same one of ``BUCKETS`` hash buckets, a table of fixed size made from all texts. Each
    line is posted under its rarest words, so many that two matching lines must share one.
 3. In each word's posts, in line order, a line is first compared with the first line and the
-   ``NEAR`` lines before it. Length, and a 128-bit map of the set (bits that differ bound the
-   overlap from above), rule out most; the rest meets a map of 512 bits, then is verified on whole
+   ``NEAR`` lines before it. Length, and a map of the set (bits that differ bound the overlap from
+   above; 128 bits, for long lines 256 or 512, as more words make more bits differ by chance), rule
+   out most; the rest meets a map of 512 bits, then is verified on whole
    sets, a line's nearest candidate first. That settles lines
    of large groups of near copies without looking at all their pairs.
-4. Posts without such a candidate, and lines none of whose candidates matched, join all lines
-   before them under the same words, with the same filters and the positional one (how many
-   words can still be shared behind this one), and are verified. So no match is lost.
+4. Posts without such a candidate that have more posts before them, and lines none of whose
+   candidates matched, join all lines before them under the same words, with the same filters and
+   the positional one (enough words must be left to share if this is the first shared one), and
+   are verified. So no match is lost: a pair that matches meets under its first shared word.
 5. Documents are rebuilt without the removed lines.
 
 Defined results: lines end at ``\\n``; a null text has no lines and stays null; lines without
@@ -40,6 +42,8 @@ PERCENT = 75
 BUCKETS = 2**14
 # Up to so many lines (ids and places, some 100 MB) go to the texts instead of the texts to them.
 BROADCAST_LINES = 2_000_000
+# Up to so many posts of lines that are still open (some 50 MB) go to the table of posts.
+BROADCAST_POSTS = 200_000
 NEAR = 4
 _LAST = 2**63 - 1
 
@@ -56,6 +60,26 @@ _LOW, _HIGH = (
     f"aggregate(words, 0L, (m, w) -> if((w & 64) = {half}, m ^ shiftleft(1L, cast(w & 63 as int)), m))"
     for half in (0, 64)
 )
+# Lines of so many words are mapped in 256 and 512 bits, or unlike lines would look alike.
+LONG, LONGER = 112, 256
+# Halves of the 256 bits, then quarters of the 512, that the 128 bits hold folded into one; the other
+# halves and quarters come from the folded ones, so that posts need not carry them.
+_MORE = (
+    "case when size(words) >= {LONGER} then array({long}, {longer})"
+    " when size(words) >= {LONG} then array({long}) end"
+).format(
+    LONG=LONG,
+    LONGER=LONGER,
+    **{
+        name: ", ".join(
+            f"aggregate(words, 0L, (m, w) -> if((w & {mask}) = {part + half},"
+            " m ^ shiftleft(1L, cast(w & 63 as int)), m))"
+            for part in parts
+            for half in (0, 64)
+        )
+        for name, mask, parts in (("long", 64 + 128, (128,)), ("longer", 64 + 128 + 256, (256, 128 + 256)))
+    },
+)
 # The same in 512 bits, by other bits of the hashes, for lines that are compared with candidates.
 _WIDE = "array({})".format(
     ", ".join(
@@ -114,12 +138,26 @@ def rarity(texts: DataFrame) -> list[int]:
     return table
 
 
-def _may_match(n: str, other: str, low: str, high: str, percent: int) -> str:
-    """Length filter, then the bound that the maps give."""
-    differ = f"(bit_count({low}) + bit_count({high}))"
+def _may_match(one: str, two: str, more: str, more2: str, percent: int) -> str:
+    """Length filter, then the bound that the maps give.
+
+    Columns are named ``one.format(column)``, the maps of long lines ``more.format(number)``.
+    """
+
+    def differ(*maps: str) -> str:
+        return f"({' + '.join(f'bit_count({m})' for m in maps)})"
+
+    n, other = one.format("n"), two.format("n")
+    folded = [f"{one.format(c)} ^ {two.format(c)}" for c in ("low", "high")]
+    part = [f"{more.format(i)} ^ {more2.format(i)}" for i in range(6)]
+    halves = [*part[:2], *(f"{a} ^ {b}" for a, b in zip(folded, part[:2]))]
+    # Quarters of the first half (what is folded without the second) and of the second.
+    quarters = [*part[2:], *(f"{a} ^ {b}" for a, b in zip(halves[2:] + halves[:2], part[2:]))]
     return (
         f"100 * least({n}, {other}) >= {percent} * greatest({n}, {other})"
-        f" and {_overlaps(n, other, differ, percent)}"
+        f" and {_overlaps(n, other, differ(*folded), percent)}"
+        f" and (least({n}, {other}) < {LONG} or {_overlaps(n, other, differ(*halves), percent)})"
+        f" and (least({n}, {other}) < {LONGER} or {_overlaps(n, other, differ(*quarters), percent)})"
     )
 
 
@@ -129,26 +167,17 @@ def _overlaps(n: str, other: str, differ: str, percent: int) -> str:
 
 
 def _posts(lines: DataFrame, table: list[int], percent: int) -> DataFrame:
-    """``word, at, doc, place, n, low, high``: each line under its rarest words.
+    """``word, at, doc, place, n, low, high, more``: each line under its rarest words.
 
     A word's number begins with its rarity, so that sorted numbers are in order of rarity; 40 bits
     of its hash follow, as words that share a number only make more candidates.
     """
-    # Eight numbers in each constant, so that the table stays a short one.
-    eights = [table[i : i + 8] for i in range(0, BUCKETS, 8)]
-    packed = (sum(r << 8 * i for i, r in enumerate(some)) for some in eights)
-    rare = F.expr(f"array({', '.join(f'{p}L' for p in packed)})")
-
-    def number(w: Column) -> Column:
-        bucket = F.pmod(w, F.lit(BUCKETS)).cast("int")
-        held = F.get(rare, F.shiftright(bucket, 3))
-        first = F.call_function("shiftright", held, bucket.bitwiseAND(F.lit(7)) * 8)
-        first = first.bitwiseAND(F.lit(127).cast("long"))
-        return F.shiftleft(first, 40).bitwiseOR(w.bitwiseAND(F.lit(2**40 - 1)))
-
+    # The cast of a constant is worked out once, an array of constants for every word.
+    rare = f"cast(split('{','.join(map(str, table))}', ',') as array<bigint>)"
+    number = f"shiftleft(get({rare}, cast(w & {BUCKETS - 1} as int)), 40) | (w & {2**40 - 1})"
     n = F.size("words")
     prefix = n - F.ceil(n * percent / 100).cast("int") + 1
-    ranked = F.slice(F.sort_array(F.transform("words", number)), F.lit(1), prefix)
+    ranked = F.slice(F.sort_array(F.expr(f"transform(words, w -> {number})")), F.lit(1), prefix)
     # In two steps: what is selected along with an explode is worked out for every row it makes.
     each = lines.select(
         "doc",
@@ -156,33 +185,40 @@ def _posts(lines: DataFrame, table: list[int], percent: int) -> DataFrame:
         n.alias("n"),
         F.expr(_LOW).alias("low"),
         F.expr(_HIGH).alias("high"),
+        F.expr(_MORE).alias("more"),
         ranked.alias("ranked"),
     )
-    return each.select("doc", "place", "n", "low", "high", F.posexplode("ranked").alias("at", "word"))
+    return each.select(
+        "doc", "place", "n", "low", "high", "more", F.posexplode("ranked").alias("at", "word")
+    )
 
 
 def _with_near(posts: DataFrame, percent: int) -> DataFrame:
-    """Adds ``later``, not a word's first post, and ``near``: which of the ``NEAR`` posts before and
+    """Adds ``near``, which of the ``NEAR`` posts before and the word's first one pass the filters,
 
-    the word's first one pass the filters. Conditions are spelt out per post, not in a lambda
-    over an array, as only so they are compiled. The only post of a word meets none and goes.
+    ``later``, whether the word has yet more posts before, and ``many``, whether any of its posts
+    has. Conditions are spelt out per post, not in a lambda over an array, as only so they are
+    compiled. The only post of a word meets none and goes.
     """
     order = Window.partitionBy("word").orderBy("doc", "place")
-    post = F.struct("doc", "place", "n", "low", "high")
+    all_ = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    post = F.struct("doc", "place", "n", "low", "high", "more")
     before = [F.lag(post, i).over(order).alias(f"o{i}") for i in range(1, NEAR + 1)]
     first = F.first(post).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     told = [
         F.expr(
             f"if({o} is not null and ({o}.doc <> doc or {o}.place <> place)"
-            f" and {_may_match('n', f'{o}.n', f'low ^ {o}.low', f'high ^ {o}.high', percent)},"
+            f" and {_may_match('{}', f'{o}.{{}}', 'get(more, {})', f'get({o}.more, {{}})', percent)},"
             f" struct({o}.doc, {o}.place), null)"
         )
         for o in (f"o{i}" for i in range(NEAR + 1))
     ]
-    after = F.lead("word").over(order).alias("after")
-    return posts.select("*", first.alias("o0"), *before, after).where("o1 is not null or after is not null").select(
+    compared = NEAR + 2  # of the first so many posts, each has met all before
+    numbers = [F.row_number().over(order).alias("number"), F.count(F.lit(1)).over(all_).alias("posts")]
+    return posts.select("*", first.alias("o0"), *before, *numbers).where("posts > 1").select(
         *posts.columns,
-        F.expr("o1 is not null").alias("later"),
+        (F.col("number") > compared).alias("later"),
+        (F.col("posts") > compared).alias("many"),
         F.array_compact(F.array(*told)).alias("near"),
     )
 
@@ -226,15 +262,17 @@ def _alike(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def _joined(left: DataFrame, right: DataFrame, percent: int) -> DataFrame:
     """``doc, place, doc2, place2``: posts of one word with those of earlier lines."""
-    one = left.select("word", "doc", "place", *(F.col(c).alias(f"{c}1") for c in ("at", "n", "low", "high")))
-    two = right.select(
-        "word", *(F.col(c).alias(f"{c}2") for c in ("doc", "place", "at", "n", "low", "high"))
-    )
+
+    def named(side: int) -> list[Column]:
+        """Plain columns, as an array would be looked up for every pair."""
+        more = [F.coalesce(F.get("more", F.lit(i)), F.lit(0)).alias(f"more{i}_{side}") for i in range(6)]
+        return [*(F.col(x).alias(f"{x}{side}") for x in ("at", "n", "low", "high")), *more]
+
+    one = left.select("word", "doc", "place", *named(1))
+    two = right.select("word", F.col("doc").alias("doc2"), F.col("place").alias("place2"), *named(2))
     earlier = "(doc2 < doc or (doc2 = doc and place2 < place))"
-    behind = (
-        f"{100 + percent} * (least(n1 - at1, n2 - at2) + least(at1, at2)) >= {percent} * (n1 + n2)"
-    )
-    fits = f"{earlier} and {_may_match('n1', 'n2', 'low1 ^ low2', 'high1 ^ high2', percent)} and {behind}"
+    behind = f"{100 + percent} * least(n1 - at1, n2 - at2) >= {percent} * (n1 + n2)"
+    fits = f"{earlier} and {behind} and {_may_match('{}1', '{}2', 'more{}_1', 'more{}_2', percent)}"
     return one.join(two, "word").where(fits).select("doc", "place", "doc2", "place2")
 
 
@@ -266,8 +304,11 @@ def repeated_lines(
     table = rarity(texts)
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # Posts are worked out and shuffled once; what follows reads this table by word.
+    # Posts of words that have few have all met, and are done with if they found no candidate.
     posts, name = bucketed(
-        _with_near(_posts(first_lines, table, percent).repartition(parts, "word"), percent),
+        _with_near(_posts(first_lines, table, percent).repartition(parts, "word"), percent).where(
+            "many or size(near) > 0"
+        ),
         "line-posts",
         "word",
         parts,
@@ -293,10 +334,10 @@ def repeated_lines(
     )
     if (rows := open_.count()) > 0:
         asking = written(_posts(_some_lines(texts, open_, rows), table, percent), "open-posts")
-        words = asking.select("word").distinct()
-        asked = posts.join(_sent(words, words.count()), "word", "left_semi")
+        if asking.count() <= BROADCAST_POSTS:
+            asking = F.broadcast(asking)  # the table of posts streams by, neither shuffled nor sorted
         tried = pairs.drop("near")
-        new = _joined(asking, asked, percent).distinct().join(tried, tried.columns, "left_anti")
+        new = _joined(asking, posts, percent).distinct().join(tried, tried.columns, "left_anti")
         new = written(new, "line-pairs")
         gone = gone.unionByName(_verified(new, texts, percent))
     docs.sparkSession.sql(f"DROP TABLE {name}")

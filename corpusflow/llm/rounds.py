@@ -23,6 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpusflow.llm.textarrays import kept_things
+
 CHUNK_BYTES = 4_000_000
 SLICE_KEYS = 1_000_000
 # Stands for a null id: larger than any other.
@@ -74,6 +76,7 @@ def ask(chunks: DataFrame, question: Question, answers: DataFrame | None = None)
     """
 
     def send(chunk: pa.Table, earlier: pa.Table | None = None) -> pa.Table:
+        kept_things().clear()
         if not chunk.num_rows:
             return _MESSAGE.empty_table()
         number = chunk.column("chunk")[0].as_py()

@@ -51,19 +51,32 @@ BLOCK = 512
 TILE_ROWS = 20_000
 ROUNDS = 3
 LEADERS = 4
+# A chunk's texts are cut into shingles so many bytes at a time, or one text if it is longer.
+RUN_BYTES = 500_000
 # On average a word and the blank after it take at least this many bytes.
 _BYTES_A_WORD = 4
 
 
 def _sets(chunk: pa.Table, words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sorted distinct shingles of a chunk's documents: owners, hashes, and where each begins."""
+    """Sorted distinct shingles of a chunk's documents: owners, hashes, and where each begins.
+
+    Worked out for some documents after others, as what a byte needs on the way is many times it.
+    """
     data, offsets = utf8(chunk.column("text"))
-    owner, value = shingles(lowered(data), offsets, words)
-    order = np.lexsort((value, owner))
-    owner, value = owner[order], value[order]
-    new = np.ones(len(owner), bool)
-    new[1:] = (owner[1:] != owner[:-1]) | (value[1:] != value[:-1])
-    owner, value = owner[new], value[new]
+    owners, values = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+    begin, rows = 0, len(offsets) - 1
+    while begin < rows:
+        end = max(begin + 1, int(np.searchsorted(offsets, offsets[begin] + RUN_BYTES, "right")) - 1)
+        some = lowered(data[offsets[begin] : offsets[end]])
+        owner, value = shingles(some, offsets[begin : end + 1] - offsets[begin], words)
+        order = np.lexsort((value, owner))
+        owner, value = owner[order], value[order]
+        new = np.ones(len(owner), bool)
+        new[1:] = (owner[1:] != owner[:-1]) | (value[1:] != value[:-1])
+        owners.append(owner[new] + begin)
+        values.append(value[new])
+        begin = end
+    owner, value = np.concatenate(owners), np.concatenate(values)
     return owner, value, np.searchsorted(owner, np.arange(chunk.num_rows + 1))
 
 

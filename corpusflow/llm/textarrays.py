@@ -6,6 +6,7 @@ over the whole batch at once. A null text counts as an empty one. Nothing here k
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -51,6 +52,15 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def kept_things() -> dict:
+    """What this process keeps from task to task.
+
+    Functions reach a worker anew with every task, so the interpreter itself holds it. Tasks of
+    other operators clear it, as the worker's memory is then theirs.
+    """
+    return sys.__dict__.setdefault("_corpusflow_kept", {})
+
+
 def handed_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The batches; after the last, what Arrow keeps of their memory goes back to the system.
 

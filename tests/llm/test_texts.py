@@ -5,22 +5,25 @@ import itertools
 import random
 import re
 import time
+import tracemalloc
 from collections import Counter
 from pathlib import Path
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
-from corpusflow.llm import bpe, byte_spans, lang_id, line_join, mixing, suffixes
+from corpusflow.llm import bpe, byte_spans, lang_id, line_join, mixing, set_join, suffixes
 from corpusflow.llm.byte_spans import remove_repeats
 from corpusflow.llm.components import components
 from corpusflow.llm.line_join import remove_lines
-from corpusflow.llm.rounds import chunked
+from corpusflow.llm.rounds import ask, chunked
 from corpusflow.llm.set_join import link_classes
 from corpusflow.llm.storage import written
 from corpusflow.llm.substrings import deduplicate
+from corpusflow.llm.textarrays import kept_things
 
 PATH = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 SPLIT = re.compile(r"[^\x20\x09-\x0D]+")
@@ -254,6 +257,70 @@ def test_line_join_compares_few_whole_sets(spark, monkeypatch):
     assert len(got) == 59 and sum(compared) <= 60
 
 
+def test_line_join_compares_few_long_lines(spark, monkeypatch):
+    """Long lines that share a few words only do not become pairs; near copies of them do."""
+    r = random.Random(5)
+    lines = []
+    for i in range(40):
+        own = [f"w{i}x{j}" for j in range(330 if i % 2 else 170)]
+        lines.append(own + [f"all{j}" for j in range(8)])
+    for i in (3, 10):
+        near = list(lines[i])
+        for j in r.sample(range(len(near)), len(near) // 10):
+            near[j] = f"new{i}x{j}"
+        lines.append(near)
+    lines = [" ".join(words) for words in lines]
+    df = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    met = []
+    verify = line_join._verified
+    monkeypatch.setattr(line_join, "_verified", lambda pairs, *a: met.append(pairs.count()) or verify(pairs, *a))
+    # One rarity for all words: those that all lines share are posted too.
+    monkeypatch.setattr(line_join, "rarity", lambda texts: [0] * line_join.BUCKETS)
+    got = {row.doc_id for row in remove_lines(df).collect() if row.n_removed}
+    assert got == {i for i, _ in gone_lines(lines)} == {40, 41}
+    assert sum(met) <= 4
+
+
+def test_other_operators_let_the_encoder_go():
+    """A worker's memo does not stay beside the memory of the stages after it."""
+
+    class Chunks:
+        def groupBy(self, *_):
+            return self
+
+        def applyInArrow(self, function, schema):
+            return function
+
+    content = Path(PATH).read_bytes()
+    bpe._held(("job",), lambda: bpe.Encoder(content, public_tokenizers.PATTERN, ("ids",)))
+    assert kept_things()
+    ask(Chunks(), lambda chunk, known: iter([]))(pa.table({"chunk": [0]}))
+    assert not kept_things()
+
+
+def test_sets_of_a_chunk_need_little_memory():
+    """Texts are cut into shingles some after others; the sets are those of each text alone."""
+    r = random.Random(7)
+    texts = [sentence(r, r.randrange(0, 9000), 5000) for _ in range(150)] + [None, "", "one"]
+    chunk = pa.table({"text": pa.array(texts, pa.string())})
+    tracemalloc.start()
+    _, value, first = set_join._sets(chunk, 5)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    for i in (0, 77, 149, 150, 151, 152):
+        assert value[first[i] : first[i + 1]].tolist() == set_join._sets(chunk.slice(i, 1), 5)[1].tolist()
+    assert peak < 15 * chunk.nbytes
+
+
+def test_line_join_drops_posts_that_have_met(spark):
+    """A word with few posts needs no second join; one with many keeps them all."""
+    rows = [(i, " ".join(f"own{i}x{j}" for j in range(7)) + " few" * (i < 3) + " many") for i in range(12)]
+    texts = spark.createDataFrame(rows, "doc long, text string")
+    near = line_join._with_near(line_join._posts(line_join._lines(texts), [0] * line_join.BUCKETS, 1), 75)
+    posts = sorted((r.many, r.later) for r in near.collect())
+    assert posts == [(False, False)] * 3 + [(True, False)] * 6 + [(True, True)] * 6
+
+
 def test_line_join_stays_native(docs):
     plan = remove_lines(docs)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
