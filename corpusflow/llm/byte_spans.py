@@ -47,7 +47,7 @@ from corpusflow.llm.rounds import (
     unpack_bits,
 )
 from corpusflow.llm.suffixes import repeats
-from corpusflow.llm.textarrays import mixed, span_hashes, utf8
+from corpusflow.llm.textarrays import BLOCK, mixed, span_hashes, utf8
 
 ANCHOR = 100
 MOST_CONTEXTS = 4096
@@ -130,13 +130,17 @@ def _window_argmin(hashes: np.ndarray, width: int) -> np.ndarray:
     way in every chunk, or equal strings could have different anchors.
     """
     mask = np.uint64(2**32 - 1)
-    least = (hashes & ~mask) | np.arange(len(hashes), dtype=np.uint64)
-    reach = 1  # least[i] is the smallest of as many from i on
-    while reach < width:
-        step = min(reach, width - reach)
-        least = np.minimum(least[:-step], least[step:])
-        reach += step
-    return (least & mask).astype(np.int64)
+    out = np.empty(max(0, len(hashes) - width + 1), np.int64)
+    for at in range(0, len(out), BLOCK):
+        part = hashes[at : at + BLOCK + width - 1]
+        least = (part & ~mask) | np.arange(at, at + len(part), dtype=np.uint64)
+        reach = 1  # least[i] is the smallest of as many from i on
+        while reach < width:
+            step = min(reach, width - reach)
+            least = np.minimum(least[:-step], least[step:])
+            reach += step
+        out[at : at + BLOCK] = least & mask
+    return out
 
 
 def _sort_out(payloads: list[bytes]) -> list[bytes]:

@@ -25,10 +25,9 @@ def suffix_order(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     """
     n = len(text)
     padded = np.concatenate([text, np.full(_SEED, END, np.uint8)])
-    key = np.zeros(n, np.uint64)
-    for j in range(_SEED):
-        key = key << np.uint64(8) | padded[j : j + n]
-    order = np.argsort(key, kind="stable")
+    # Every eight neighbouring bytes as a number.
+    key = np.ndarray(n, ">u8", padded, strides=(1,)).astype(np.uint64)
+    order = np.argsort(key)
     key = key[order]
     new = np.ones(n, bool)
     new[1:] = key[1:] != key[:-1]
@@ -45,9 +44,8 @@ def suffix_order(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
             break
         at = order[tied]
         follow = rank[np.minimum(at + reach, n)] + 1
-        pair = (rank[at].astype(np.uint64) << np.uint64(32)) | follow.astype(np.uint64)
-        inner = np.argsort(pair, kind="stable")
-        pair, at = pair[inner], at[inner]
+        pair, inner = _sorted_pairs(rank[at].astype(np.uint64), follow.astype(np.uint64), n)
+        at = at[inner]
         order[tied] = at
         fresh = np.ones(len(tied), bool)
         fresh[1:] = pair[1:] != pair[:-1]
@@ -57,6 +55,19 @@ def suffix_order(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     return order, seeds
 
 
+def _sorted_pairs(first: np.ndarray, second: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """At most ``most`` pairs of numbers up to it as sorted numbers, and where each comes from."""
+    bits = np.uint64(most.bit_length())
+    pair = first << bits | second
+    if 3 * int(bits) > 64:
+        inner = np.argsort(pair)
+        return pair[inner], inner
+    # Numbers that hold their places sort much faster than places do.
+    pair = pair << bits | np.arange(len(pair), dtype=np.uint64)
+    pair.sort()
+    return pair >> bits, (pair & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+
+
 def parted(text: np.ndarray, order: np.ndarray, seeds: np.ndarray, depth: int) -> np.ndarray:
     """Marks the suffixes that share fewer than ``depth`` bytes with the one before."""
     n = len(text)

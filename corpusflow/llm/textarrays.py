@@ -22,6 +22,10 @@ _WORD_KEYS = _SEED.integers(1, 2**63, (2, 64), dtype=np.uint64) * np.uint64(2) +
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 2**64)
 
+# Long arrays are worked on so many values at a time where steps follow each other: a block stays
+# in the processor's cache, and no step takes new memory as large as the array.
+BLOCK = 2**15
+
 
 def _powers(base: int, n: int) -> np.ndarray:
     out = np.full(n, base, np.uint64)
@@ -44,11 +48,23 @@ class _Powers:
 
 def mixed(x: np.ndarray) -> np.ndarray:
     """Spread 64-bit values, so that any of their bits can serve as a bucket."""
-    x = x ^ (x >> np.uint64(30))
-    x = x * np.uint64(0xBF58476D1CE4E5B9)
-    x ^= x >> np.uint64(27)
-    x *= np.uint64(0x94D049BB133111EB)
-    x ^= x >> np.uint64(31)
+    x = np.array(x, np.uint64)
+    if x.ndim != 1 or not x.flags.c_contiguous:
+        return _mix(x, np.empty_like(x))
+    spare = np.empty(min(BLOCK, len(x)), np.uint64)
+    for at in range(0, len(x), BLOCK):
+        part = x[at : at + BLOCK]
+        _mix(part, spare[: len(part)])
+    return x
+
+
+def _mix(x: np.ndarray, spare: np.ndarray) -> np.ndarray:
+    """``mixed`` in place."""
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB), (31, None)):
+        np.right_shift(x, np.uint64(shift), out=spare)
+        np.bitwise_xor(x, spare, out=x)
+        if factor is not None:
+            np.multiply(x, np.uint64(factor), out=x)
     return x
 
 
@@ -141,8 +157,13 @@ def span_hashes(data: np.ndarray) -> Callable[..., np.ndarray]:
     def lane_of(lane: int) -> np.ndarray:
         while len(totals) <= lane:
             keys = mixed(_BYTE_KEYS) if totals else _BYTE_KEYS
-            total = np.zeros(len(data) + 1, np.uint64)
-            np.cumsum(keys[data] * up[:-1], dtype=np.uint64, out=total[1:])
+            total = np.empty(len(data) + 1, np.uint64)
+            total[0] = 0
+            for at in range(0, len(data), BLOCK):
+                part = keys[data[at : at + BLOCK]]
+                part *= up[at : at + len(part)]
+                part[:1] += total[at]
+                np.cumsum(part, out=total[at + 1 : at + 1 + len(part)])
             totals.append(total)
         return totals[lane]
 

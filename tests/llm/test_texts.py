@@ -9,13 +9,14 @@ import tracemalloc
 from collections import Counter
 from pathlib import Path
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
-from corpusflow.llm import bpe, byte_spans, lang_id, line_join, mixing, set_join, suffixes
+from corpusflow.llm import bpe, byte_spans, lang_id, line_join, mixing, set_join, suffixes, textarrays
 from corpusflow.llm.byte_spans import remove_repeats
 from corpusflow.llm.components import components
 from corpusflow.llm.line_join import remove_lines
@@ -312,6 +313,34 @@ def test_sets_of_a_chunk_need_little_memory():
     assert peak < 15 * chunk.nbytes
 
 
+@pytest.mark.parametrize("most", [1000, 2**22])
+def test_pairs_of_ranks_are_sorted(most):
+    r = random.Random(8)
+    pairs = [(r.randrange(40), r.choice([r.randrange(5), most])) for _ in range(1000)]
+    first, second = (np.array(x, np.uint64) for x in zip(*pairs))
+    got, inner = suffixes._sorted_pairs(first, second, most)
+    assert [pairs[i] for i in inner] == sorted(pairs)
+    assert [(int(x) >> most.bit_length(), int(x) % 2 ** most.bit_length()) for x in got] == sorted(pairs)
+
+
+def test_long_arrays_are_mixed_and_hashed_in_blocks():
+    """Blocks that end anywhere give what one step over the whole gives, with less memory."""
+    data = np.random.default_rng(1).integers(0, 250, 5 * textarrays.BLOCK // 2, dtype=np.uint8)
+    span = textarrays.span_hashes(data)
+    begin, end = np.array([0, 7, textarrays.BLOCK - 9]), np.array([90, 97, textarrays.BLOCK + 81])
+    alone = [textarrays.span_hashes(data[a:b])(np.array([0]), np.array([b - a]), 1)[0] for a, b in zip(begin, end)]
+    assert span(begin, end, 1).tolist() == alone
+    hashes = span(slice(0, len(data) - 99), slice(100, len(data) + 1), 0)
+    tracemalloc.start()
+    best = byte_spans._window_argmin(hashes, 101)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    high = hashes >> np.uint64(32)
+    some = [0, 5, textarrays.BLOCK - 50, textarrays.BLOCK, 2 * textarrays.BLOCK - 1, len(best) - 1]
+    assert [best[i] for i in some] == [i + int(high[i : i + 101].argmin()) for i in some]
+    assert len(best) == len(hashes) - 100 and peak < 2.5 * hashes.nbytes
+
+
 def test_line_join_drops_posts_that_have_met(spark):
     """A word with few posts needs no second join; one with many keeps them all."""
     rows = [(i, " ".join(f"own{i}x{j}" for j in range(7)) + " few" * (i < 3) + " many") for i in range(12)]
