@@ -4,10 +4,12 @@ A line is the set of its distinct words. It is removed if a line before it, in t
 one of a smaller id, has a Jaccard likeness of at least ``percent`` / 100; all lines are judged
 on the input.
 
-1. Lines with equal sets: every one after the first is removed. Only digests are shuffled.
+1. Equal lines: every one after the first is removed. Only digests are shuffled. Equal sets in other
+   strings meet in the steps below.
 2. The first lines order their words by rarity. Rarity is the number of occurrences of the
    words in the same one of ``BUCKETS`` hash buckets, a table of fixed size made from all texts. Each
-   line is posted under its rarest words, so many that two matching lines must share one.
+   line is posted under its rarest words, so many that two matching lines must share one; posts are
+   shuffled in ``WAVES`` parts.
 3. In each word's posts, in line order, a line is first compared with the first line and the
    ``NEAR`` lines before it. Length, and a map of the set (bits that differ bound the overlap from
    above; 128 bits, for long lines 256 or 512, as more words make more bits differ by chance), rule
@@ -39,16 +41,19 @@ from corpusflow.llm.names import clashing, restored
 from corpusflow.llm.storage import bucketed, written
 
 PERCENT = 75
-BUCKETS = 2**14
+BUCKETS = 2**17
 # Up to so many lines (ids and places, some 100 MB) go to the texts instead of the texts to them.
 BROADCAST_LINES = 2_000_000
 # Up to so many posts of lines that are still open (some 50 MB) go to the table of posts.
 BROADCAST_POSTS = 200_000
 NEAR = 4
+# Posts are shuffled in so many parts, one after the other.
+WAVES = 4
 _LAST = 2**63 - 1
 
 # Fixed value: what a word is made of.
 _WORD = r"[^\x20\x09-\x0D]"
+_KEYS = "struct(xxhash64(line) as k1, xxhash64(1, line) as k2)"
 # Hashes of the distinct words of a line.
 _WORDS = (
     r"array_distinct(transform(filter(split(line, '[\\x20\\x09-\\x0D]+'), w -> w <> ''),"
@@ -100,7 +105,7 @@ def _sent(small: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(small) if rows <= BROADCAST_LINES else small
 
 
-def _lines(texts: DataFrame, but: tuple[DataFrame, int] | None = None) -> DataFrame:
+def _lines(texts: DataFrame, but: tuple[DataFrame, int] | None = None, words: str = _WORDS) -> DataFrame:
     """``doc, place, words``: the lines of ``doc, text`` that have words, without some."""
     columns = ["doc", F.posexplode(F.split("text", "\n")).alias("place", "line")]
     if but is not None:
@@ -110,7 +115,7 @@ def _lines(texts: DataFrame, but: tuple[DataFrame, int] | None = None) -> DataFr
         each = texts.select("but", *columns).where(~kept)
     else:
         each = texts.select(*columns)
-    return each.where(F.col("line").rlike(_WORD)).select("doc", "place", F.expr(_WORDS).alias("words"))
+    return each.where(F.col("line").rlike(_WORD)).select("doc", "place", F.expr(words).alias("words"))
 
 
 def _some_lines(texts: DataFrame, wanted: DataFrame, rows: int) -> DataFrame:
@@ -166,8 +171,8 @@ def _overlaps(n: str, other: str, differ: str, percent: int) -> str:
     return f"{100 + percent} * ({n} + {other} - {differ}) >= {2 * percent} * ({n} + {other})"
 
 
-def _posts(lines: DataFrame, table: list[int], percent: int) -> DataFrame:
-    """``word, at, doc, place, n, low, high, more``: each line under its rarest words.
+def _ranked(lines: DataFrame, table: list[int], percent: int) -> DataFrame:
+    """``doc, place, n, low, high, more, ranked``: each line with its rarest words, rarest first.
 
     A word's number begins with its rarity, so that sorted numbers are in order of rarity; 40 bits
     of its hash follow, as words that share a number only make more candidates.
@@ -178,8 +183,7 @@ def _posts(lines: DataFrame, table: list[int], percent: int) -> DataFrame:
     n = F.size("words")
     prefix = n - F.ceil(n * percent / 100).cast("int") + 1
     ranked = F.slice(F.sort_array(F.expr(f"transform(words, w -> {number})")), F.lit(1), prefix)
-    # In two steps: what is selected along with an explode is worked out for every row it makes.
-    each = lines.select(
+    return lines.select(
         "doc",
         "place",
         n.alias("n"),
@@ -188,9 +192,19 @@ def _posts(lines: DataFrame, table: list[int], percent: int) -> DataFrame:
         F.expr(_MORE).alias("more"),
         ranked.alias("ranked"),
     )
-    return each.select(
-        "doc", "place", "n", "low", "high", "more", F.posexplode("ranked").alias("at", "word")
-    )
+
+
+def _by_word(ranked: DataFrame) -> DataFrame:
+    """``word, at, doc, place, n, low, high, more``: a post for each of a line's rarest words."""
+    # Of a plain column Spark first filters the size, below the steps that make it, which works the
+    # column out twice; a slice is left alone.
+    words = F.slice("ranked", F.lit(1), F.size("ranked"))
+    return ranked.select("doc", "place", "n", "low", "high", "more", F.posexplode(words).alias("at", "word"))
+
+
+def _posts(lines: DataFrame, table: list[int], percent: int) -> DataFrame:
+    """The posts of lines, in two steps: what stands beside an explode is worked out for every row."""
+    return _by_word(_ranked(lines, table, percent))
 
 
 def _with_near(posts: DataFrame, percent: int) -> DataFrame:
@@ -201,25 +215,28 @@ def _with_near(posts: DataFrame, percent: int) -> DataFrame:
     compiled. The only post of a word meets none and goes.
     """
     order = Window.partitionBy("word").orderBy("doc", "place")
+    so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     all_ = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    post = F.struct("doc", "place", "n", "low", "high", "more")
-    before = [F.lag(post, i).over(order).alias(f"o{i}") for i in range(1, NEAR + 1)]
-    first = F.first(post).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    compared = NEAR + 2  # of the first so many posts, each has met all before
+    # Plain columns and places in the window: structs and counts would be made anew for every post.
+    each = ["doc", "place", "n", "low", "high", "more"]
+    first = [F.nth_value(c, 1).over(so_far).alias(f"o0_{c}") for c in each]
+    before = [F.lag(c, i).over(order).alias(f"o{i}_{c}") for i in range(1, NEAR + 1) for c in each]
+    numbers = [
+        F.nth_value("doc", 2).over(all_).isNotNull().alias("shared"),
+        F.nth_value("doc", compared + 1).over(so_far).isNotNull().alias("later"),
+        F.nth_value("doc", compared + 1).over(all_).isNotNull().alias("many"),
+    ]
     told = [
         F.expr(
-            f"if({o} is not null and ({o}.doc <> doc or {o}.place <> place)"
-            f" and {_may_match('{}', f'{o}.{{}}', 'get(more, {})', f'get({o}.more, {{}})', percent)},"
-            f" struct({o}.doc, {o}.place), null)"
+            f"if({o}_doc is not null and ({o}_doc <> doc or {o}_place <> place)"
+            f" and {_may_match('{}', f'{o}_{{}}', 'get(more, {})', f'get({o}_more, {{}})', percent)},"
+            f" struct({o}_doc as doc, {o}_place as place), null)"
         )
         for o in (f"o{i}" for i in range(NEAR + 1))
     ]
-    compared = NEAR + 2  # of the first so many posts, each has met all before
-    numbers = [F.row_number().over(order).alias("number"), F.count(F.lit(1)).over(all_).alias("posts")]
-    return posts.select("*", first.alias("o0"), *before, *numbers).where("posts > 1").select(
-        *posts.columns,
-        (F.col("number") > compared).alias("later"),
-        (F.col("posts") > compared).alias("many"),
-        F.array_compact(F.array(*told)).alias("near"),
+    return posts.select("*", *first, *before, *numbers).where("shared").select(
+        *posts.columns, "later", "many", F.array_compact(F.array(*told)).alias("near")
     )
 
 
@@ -264,15 +281,13 @@ def _joined(left: DataFrame, right: DataFrame, percent: int) -> DataFrame:
     """``doc, place, doc2, place2``: posts of one word with those of earlier lines."""
 
     def named(side: int) -> list[Column]:
-        """Plain columns, as an array would be looked up for every pair."""
-        more = [F.coalesce(F.get("more", F.lit(i)), F.lit(0)).alias(f"more{i}_{side}") for i in range(6)]
-        return [*(F.col(x).alias(f"{x}{side}") for x in ("at", "n", "low", "high")), *more]
+        return [F.col(x).alias(f"{x}{side}") for x in ("at", "n", "low", "high", "more")]
 
     one = left.select("word", "doc", "place", *named(1))
     two = right.select("word", F.col("doc").alias("doc2"), F.col("place").alias("place2"), *named(2))
     earlier = "(doc2 < doc or (doc2 = doc and place2 < place))"
     behind = f"{100 + percent} * least(n1 - at1, n2 - at2) >= {percent} * (n1 + n2)"
-    fits = f"{earlier} and {behind} and {_may_match('{}1', '{}2', 'more{}_1', 'more{}_2', percent)}"
+    fits = f"{earlier} and {behind} and {_may_match('{}1', '{}2', 'get(more1, {})', 'get(more2, {})', percent)}"
     return one.join(two, "word").where(fits).select("doc", "place", "doc2", "place2")
 
 
@@ -281,16 +296,7 @@ def repeated_lines(
 ) -> DataFrame:
     """``doc, place`` (from 0) of every line to remove; null ids are given as the largest."""
     texts = docs.select(_key(id_col), F.col(text_col).alias("text"))
-    sorted_words = F.sort_array("words")
-    keyed = written(
-        _lines(texts).select(
-            "doc",
-            "place",
-            F.xxhash64(sorted_words).alias("k1"),
-            F.xxhash64(F.lit(1), sorted_words).alias("k2"),
-        ),
-        "line-keys",
-    )
+    keyed = written(_lines(texts, words=_KEYS).select("doc", "place", "words.*"), "line-keys")
     line = F.struct("doc", "place")
     sets = keyed.groupBy("k1", "k2").agg(F.min(line).alias("first"), F.count(F.lit(1)).alias("lines"))
     later = written(
@@ -303,20 +309,23 @@ def repeated_lines(
     first_lines = _lines(texts, (later, later.count()))
     table = rarity(texts)
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # Posts are worked out and shuffled once; what follows reads this table by word.
-    # Posts of words that have few have all met, and are done with if they found no candidate.
-    posts, name = bucketed(
-        _with_near(_posts(first_lines, table, percent).repartition(parts, "word"), percent).where(
-            "many or size(near) > 0"
-        ),
-        "line-posts",
-        "word",
-        parts,
-    )
+    # Words are ranked once, posts shuffled once, in waves that leave no shuffle files, as these would
+    # lie beside the posts' table; what follows reads that by word.
+    ranked = written(_ranked(first_lines, table, percent), "line-words")
+    name = None
+    for wave in range(WAVES):
+        some = _by_word(ranked).where(f"pmod(word, {WAVES}) = {wave}").repartition(parts, "word")
+        # Posts of words that have few have all met, and are done with if they found no candidate.
+        # A row's partition is not known beforehand, so the filter stays behind the step that finds
+        # what is near; before it, Spark would work that out once more.
+        near = _with_near(some, percent).withColumn("part", F.spark_partition_id())
+        near = near.where("(many or size(near) > 0) and part >= 0").drop("part")
+        posts, name = bucketed(near, "line-posts", "word", parts, name)
     close = posts.select("doc", "place", F.explode("near").alias("o")).select(
         "doc", "place", F.col("o.doc").alias("doc2"), F.col("o.place").alias("place2")
     )
-    rest = _joined(posts.where("later and size(near) = 0"), posts, percent)
+    crowded = posts.where("many")  # in words of few posts, all have met
+    rest = _joined(posts.where("later and size(near) = 0"), crowded, percent)
     pairs = written(
         close.withColumn("near", F.lit(True))
         .unionByName(rest.withColumn("near", F.lit(False)))
@@ -337,7 +346,7 @@ def repeated_lines(
         if asking.count() <= BROADCAST_POSTS:
             asking = F.broadcast(asking)  # the table of posts streams by, neither shuffled nor sorted
         tried = pairs.drop("near")
-        new = _joined(asking, posts, percent).distinct().join(tried, tried.columns, "left_anti")
+        new = _joined(asking, crowded, percent).distinct().join(tried, tried.columns, "left_anti")
         new = written(new, "line-pairs")
         gone = gone.unionByName(_verified(new, texts, percent))
     docs.sparkSession.sql(f"DROP TABLE {name}")

@@ -49,14 +49,17 @@ def kept(df: DataFrame, purpose: str) -> tuple[DataFrame, str]:
     return spark.table(name), name
 
 
-def bucketed(df: DataFrame, purpose: str, by: str, buckets: int) -> tuple[DataFrame, str]:
+def bucketed(
+    df: DataFrame, purpose: str, by: str, buckets: int, to: str | None = None
+) -> tuple[DataFrame, str]:
     """The rows as a table of the warehouse in buckets, and its name, for the caller to drop.
 
     Windows and joins on the column ``by`` read such a table without a shuffle. The rows should come
-    in as many partitions by that column, so that a bucket is one file.
+    in as many partitions by that column, so that a bucket is one file. With ``to``, the rows are
+    added to that table, which was made alike.
     """
     spark = df.sparkSession
-    name = f"{purpose.replace('-', '_')}_{uuid.uuid4().hex}"
+    name = to or f"{purpose.replace('-', '_')}_{uuid.uuid4().hex}"
     with leaving_no_shuffles(spark):
-        df.write.bucketBy(buckets, by).saveAsTable(name, format="parquet")
+        df.write.mode("append").bucketBy(buckets, by).saveAsTable(name, format="parquet")
     return spark.table(name), name

@@ -350,6 +350,34 @@ def test_line_join_drops_posts_that_have_met(spark):
     assert posts == [(False, False)] * 3 + [(True, False)] * 6 + [(True, True)] * 6
 
 
+def test_line_join_works_words_out_once(spark):
+    """Spark's filter on what is exploded does not repeat the steps that make it."""
+    texts = spark.createDataFrame([(0, "a b c d e")], "doc long, text string")
+    plan = line_join._posts(line_join._lines(texts), [0] * line_join.BUCKETS, 75)
+    text = plan._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("split(line") == 1
+
+
+def test_line_join_shuffles_posts_in_parts(spark, monkeypatch):
+    """No shuffle holds more than a part of the posts, and lines alike by any word are found."""
+    lines = [" ".join(f"w{i // 2}x{j}" for j in range(20)) + f" own{i}" for i in range(80)]
+    df = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    parts = []
+    keep = line_join.bucketed
+    monkeypatch.setattr(line_join, "bucketed", lambda df, *a: parts.append(df.count()) or keep(df, *a))
+    got = {r.doc_id for r in remove_lines(df).collect() if r.n_removed}
+    assert got == {i for i, _ in gone_lines(lines)} == set(range(1, 80, 2))
+    assert len(parts) > 1 and max(parts) < sum(parts) / 2
+
+
+def test_line_join_of_equal_words_in_other_strings(spark):
+    """Only equal strings are settled by their hashes; equal sets of words meet as posts do."""
+    lines = ["b a", "a b", "a\tb ", "one", " one", "one\r", "one two", "", " "]
+    df = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    got = {r.doc_id for r in remove_lines(df).collect() if r.n_removed}
+    assert got == {i for i, _ in gone_lines(lines)} == {1, 2, 4, 5}
+
+
 def test_line_join_stays_native(docs):
     plan = remove_lines(docs)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
