@@ -28,9 +28,9 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from corpusflow.llm.textarrays import handed_back, kept_things
+from corpusflow.llm.textarrays import handed_back, kept_things, trimmed
 
-MEMO = 200_000
+MEMO = 100_000
 _SEEN = 1 << 20  # marks of pieces that came before, by their hashes
 _NEVER = 1 << 62
 _SHIFT = 32
@@ -276,6 +276,7 @@ def _held(job: tuple, make: Callable[[], Encoder]) -> Encoder:
     place = kept_things()
     if job not in place:
         place.clear()
+        trimmed()
         place[job] = make()
     return place[job]
 
@@ -310,6 +311,7 @@ def encode(
                 yield pa.RecordBatch.from_arrays(
                     [part.column(n) for n in names] + made, names=[*names, *outputs]
                 )
+            batch = part = made = None  # not beside the next batch, which is read first
 
     return docs.mapInArrow(run, schema)
 

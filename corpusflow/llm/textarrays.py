@@ -6,6 +6,8 @@ over the whole batch at once. A null text counts as an empty one. Nothing here k
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import sys
 from collections.abc import Callable, Iterator
 
@@ -86,6 +88,19 @@ def handed_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     pa.default_memory_pool().release_unused()
 
 
+def trimmed() -> None:
+    """Gives memory that this process has freed back to the system, where the C library can.
+
+    A worker keeps what the tasks of earlier operators freed, as nothing else asks for it.
+    """
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError, TypeError):
+        pass
+
+
 def utf8(texts: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of the texts and where each text begins (one offset more than texts)."""
     if isinstance(texts, pa.ChunkedArray):

@@ -299,6 +299,18 @@ def test_other_operators_let_the_encoder_go():
     assert not kept_things()
 
 
+def test_encoder_begins_with_freed_memory_given_back(monkeypatch):
+    """What earlier operators' tasks freed goes back once, before the vocabulary is read."""
+    kept_things().clear()
+    given = []
+    monkeypatch.setattr(bpe, "trimmed", lambda: given.append(len(kept_things())))
+    for job in ("one", "one", "two"):
+        bpe._held((job,), lambda: object())
+    assert given == [0, 0]
+    kept_things().clear()
+    textarrays.trimmed()
+
+
 def test_sets_of_a_chunk_need_little_memory():
     """Texts are cut into shingles some after others; the sets are those of each text alone."""
     r = random.Random(7)
