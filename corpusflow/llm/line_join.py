@@ -9,17 +9,18 @@ on the input.
 2. The first lines order their words by rarity. Rarity is the number of occurrences of the
    words in the same one of ``BUCKETS`` hash buckets, a table of fixed size made from all texts. Each
    line is posted under its rarest words, so many that two matching lines must share one; posts are
-   shuffled in ``WAVES`` parts.
-3. In each word's posts, in line order, a line is first compared with the first line and the
-   ``NEAR`` lines before it. Length, and a map of the set (bits that differ bound the overlap from
-   above; 128 bits, for long lines 256 or 512, as more words make more bits differ by chance), rule
-   out most; the rest meets a map of 512 bits, then is verified on whole
-   sets, a line's nearest candidate first. That settles lines
-   of large groups of near copies without looking at all their pairs.
-4. Posts without such a candidate that have more posts before them, and lines none of whose
-   candidates matched, join all lines before them under the same words, with the same filters and
-   the positional one (enough words must be left to share if this is the first shared one), and
-   are verified. So no match is lost: a pair that matches meets under its first shared word.
+   shuffled in ``WAVES`` parts of the documents into a table in buckets.
+3. In the posts of words that may have ``CROWD`` posts or more, in line order, a line is first
+   compared with the first line and the ``NEAR`` lines before it. Length, and a map of the set (bits
+   that differ bound the overlap from above; 128 bits, for long lines 256 or 512, as more words make
+   more bits differ by chance), rule out most; the rest meets a map of 512 bits, then is verified on
+   whole sets, a line's nearest candidate first. That settles lines of large groups of near copies
+   without looking at all their pairs.
+4. All lines join all lines under the same words, with the same filters and the positional one
+   (enough words must be left to share if this is the first shared one), but for pairs whose later
+   line is settled, and are verified. Of the line with fewer words, still fewer posts take part: its
+   first shared word lies further in front. So no match is lost: a pair that matches meets under
+   its first shared word.
 5. Documents are rebuilt without the removed lines.
 
 Defined results: lines end at ``\\n``; a null text has no lines and stays null; lines without
@@ -41,23 +42,26 @@ from corpusflow.llm.names import clashing, restored
 from corpusflow.llm.storage import bucketed, written
 
 PERCENT = 75
-BUCKETS = 2**17
+BUCKETS = 2**20
 # Up to so many lines (ids and places, some 100 MB) go to the texts instead of the texts to them.
 BROADCAST_LINES = 2_000_000
-# Up to so many posts of lines that are still open (some 50 MB) go to the table of posts.
-BROADCAST_POSTS = 200_000
 NEAR = 4
+# Words of fewer occurrences do without the step that settles large groups.
+CROWD = 512
+# Numbers of such words begin here: a number begins with what ``rarity`` gives the word.
+_CROWDED = int(3 * math.log2(CROWD)) << 40
 # Posts are shuffled in so many parts, one after the other.
-WAVES = 4
+WAVES = 3
 _LAST = 2**63 - 1
 
 # Fixed value: what a word is made of.
 _WORD = r"[^\x20\x09-\x0D]"
 _KEYS = "struct(xxhash64(line) as k1, xxhash64(1, line) as k2)"
-# Hashes of the distinct words of a line.
+# Hashes of the distinct words of a line. Blanks alone need no regular expression to split at, and
+# the empty string's hash goes from the hashes, as functions of a lambda are not compiled.
 _WORDS = (
-    r"array_distinct(transform(filter(split(line, '[\\x20\\x09-\\x0D]+'), w -> w <> ''),"
-    r" w -> xxhash64(w)))"
+    r"array_remove(array_distinct(transform(split(line, if(line rlike '[\\x09-\\x0D]',"
+    r" '[\\x20\\x09-\\x0D]+', ' ')), w -> xxhash64(w))), xxhash64(''))"
 )
 # A map of 128 bits in two halves; each word turns one bit over. So the bits in which two maps differ
 # are at most the words that only one of the lines has, and words of both leave no mark.
@@ -128,19 +132,22 @@ def _some_lines(texts: DataFrame, wanted: DataFrame, rows: int) -> DataFrame:
     return named.where(F.col("line").rlike(_WORD)).select("doc", "place", F.expr(_WORDS).alias("words"))
 
 
-def rarity(texts: DataFrame) -> list[int]:
-    """For each bucket a number below 128 that grows with the occurrences of its words."""
-    word = F.explode(F.split("text", r"[\x20\x09-\x0D]+"))
-    counts = (
-        texts.select(word.alias("w"))
-        .groupBy(F.pmod(F.xxhash64("w"), F.lit(BUCKETS)).alias("bucket"))
-        .count()
-        .collect()
+def rarity(texts: DataFrame) -> DataFrame:
+    """One row, ``rare``: for each bucket a number below 128 that grows with the occurrences of its words."""
+    blank = F.expr(r"if(text rlike '[\\x09\\x0B-\\x0D]', '[\\x20\\x09-\\x0D]+', ' ')")
+    words = texts.select(F.explode(F.split(F.replace("text", F.lit("\n"), F.lit(" ")), blank)).alias("w"))
+    counts = words.groupBy(F.expr(f"xxhash64(w) & {BUCKETS - 1}").alias("bucket")).count()
+    number = F.least(F.lit(127), F.floor(3 * F.log2(F.col("count") + 1))).cast("byte")
+    none = texts.sparkSession.range(BUCKETS).select(F.col("id").alias("bucket"), F.lit(0).cast("byte").alias("rare"))
+    numbers = counts.select("bucket", number.alias("rare")).unionByName(none)
+    # Blocks of buckets first, so that no task sorts single numbers of all.
+    blocks = numbers.groupBy(F.shiftright("bucket", 10).alias("block")).agg(
+        F.sort_array(F.collect_list(F.struct("bucket", "rare"))).alias("numbers")
     )
-    table = [0] * BUCKETS
-    for row in counts:
-        table[row.bucket] = min(127, int(3 * math.log2(1 + row["count"])))
-    return table
+    last = F.filter("numbers", lambda x, i: F.coalesce(F.get("numbers", i + 1)["bucket"] > x["bucket"], F.lit(True)))
+    block = F.struct("block", F.transform(last, lambda x: x["rare"]).alias("rare"))
+    all_ = F.flatten(F.transform(F.sort_array(F.collect_list(block)), lambda x: x["rare"]))
+    return written(blocks.agg(all_.alias("rare")), "line-rarity")
 
 
 def _may_match(one: str, two: str, more: str, more2: str, percent: int) -> str:
@@ -148,6 +155,11 @@ def _may_match(one: str, two: str, more: str, more2: str, percent: int) -> str:
 
     Columns are named ``one.format(column)``, the maps of long lines ``more.format(number)``.
     """
+    return " and ".join(_alike_maps(one, two, more, more2, percent))
+
+
+def _alike_maps(one: str, two: str, more: str, more2: str, percent: int) -> tuple[str, str]:
+    """Length and 128 bits, which most pairs fail, and the maps of long lines."""
 
     def differ(*maps: str) -> str:
         return f"({' + '.join(f'bit_count({m})' for m in maps)})"
@@ -160,9 +172,9 @@ def _may_match(one: str, two: str, more: str, more2: str, percent: int) -> str:
     quarters = [*part[2:], *(f"{a} ^ {b}" for a, b in zip(halves[2:] + halves[:2], part[2:]))]
     return (
         f"100 * least({n}, {other}) >= {percent} * greatest({n}, {other})"
-        f" and {_overlaps(n, other, differ(*folded), percent)}"
-        f" and (least({n}, {other}) < {LONG} or {_overlaps(n, other, differ(*halves), percent)})"
-        f" and (least({n}, {other}) < {LONGER} or {_overlaps(n, other, differ(*quarters), percent)})"
+        f" and {_overlaps(n, other, differ(*folded), percent)}",
+        f"(least({n}, {other}) < {LONG} or {_overlaps(n, other, differ(*halves), percent)})"
+        f" and (least({n}, {other}) < {LONGER} or {_overlaps(n, other, differ(*quarters), percent)})",
     )
 
 
@@ -171,18 +183,26 @@ def _overlaps(n: str, other: str, differ: str, percent: int) -> str:
     return f"{100 + percent} * ({n} + {other} - {differ}) >= {2 * percent} * ({n} + {other})"
 
 
-def _ranked(lines: DataFrame, table: list[int], percent: int) -> DataFrame:
+def _ranked(lines: DataFrame, table: DataFrame | list[int], percent: int) -> DataFrame:
     """``doc, place, n, low, high, more, ranked``: each line with its rarest words, rarest first.
 
-    A word's number begins with its rarity, so that sorted numbers are in order of rarity; 40 bits
-    of its hash follow, as words that share a number only make more candidates.
+    ``table`` is what ``rarity`` gives, or its numbers. A word's number begins with its rarity, so
+    that sorted numbers are in order of rarity; 40 bits of its hash follow, as words that share a
+    number only make more candidates.
     """
-    # The cast of a constant is worked out once, an array of constants for every word.
-    rare = f"cast(split('{','.join(map(str, table))}', ',') as array<bigint>)"
-    number = f"shiftleft(get({rare}, cast(w & {BUCKETS - 1} as int)), 40) | (w & {2**40 - 1})"
+    if isinstance(table, list):
+        rare = F.expr(f"cast(split('{','.join(map(str, table))}', ',') as array<byte>)")
+    else:
+        rare = table.scalar()
+    # Without nulls numbers are sorted as such, not as objects. They keep all the bits that maps are
+    # made of and take the place of the words, so that Spark need not hold the table beside a row.
+    known = f"cast(coalesce(get(rare, cast(w & {BUCKETS - 1} as int)), 0Y) as bigint)"
+    number = f"shiftleft({known}, 40) | (w & {2**40 - 1})"
+    lines = lines.select("doc", "place", "words", rare.alias("rare")).select(
+        "doc", "place", F.expr(f"transform(words, w -> {number})").alias("words")
+    )
     n = F.size("words")
     prefix = n - F.ceil(n * percent / 100).cast("int") + 1
-    ranked = F.slice(F.sort_array(F.expr(f"transform(words, w -> {number})")), F.lit(1), prefix)
     return lines.select(
         "doc",
         "place",
@@ -190,7 +210,7 @@ def _ranked(lines: DataFrame, table: list[int], percent: int) -> DataFrame:
         F.expr(_LOW).alias("low"),
         F.expr(_HIGH).alias("high"),
         F.expr(_MORE).alias("more"),
-        ranked.alias("ranked"),
+        F.slice(F.sort_array("words"), F.lit(1), prefix).alias("ranked"),
     )
 
 
@@ -277,18 +297,31 @@ def _alike(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(alike).select("doc", "place").distinct()
 
 
-def _joined(left: DataFrame, right: DataFrame, percent: int) -> DataFrame:
-    """``doc, place, doc2, place2``: posts of one word with those of earlier lines."""
+def _joined(posts: DataFrame, others: DataFrame, percent: int) -> DataFrame:
+    """``doc, place, doc2, place2``: lines of ``posts`` and those of ``others`` under one word, later first.
+
+    Side 1 is the line with more words. Side 2, of ``others``, has fewer and must share so many of
+    them that the first shared one is among its very first; of lines with as many, 2 is the earlier.
+    """
 
-    def named(side: int) -> list[Column]:
-        return [F.col(x).alias(f"{x}{side}") for x in ("at", "n", "low", "high", "more")]
+    def side(number: int, some: DataFrame) -> DataFrame:
+        return some.select("word", *(F.col(c).alias(f"{c}{number}") for c in some.columns if c != "word"))
 
-    one = left.select("word", "doc", "place", *named(1))
-    two = right.select("word", F.col("doc").alias("doc2"), F.col("place").alias("place2"), *named(2))
-    earlier = "(doc2 < doc or (doc2 = doc and place2 < place))"
+    front = others.where(f"{100 + percent} * (n - at) >= {2 * percent} * n")
+    earlier = "(doc2 < doc1 or (doc2 = doc1 and place2 < place1))"
+    later = "(doc2 > doc1 or (doc2 = doc1 and place2 > place1))"
     behind = f"{100 + percent} * least(n1 - at1, n2 - at2) >= {percent} * (n1 + n2)"
-    fits = f"{earlier} and {behind} and {_may_match('{}1', '{}2', 'get(more1, {})', 'get(more2, {})', percent)}"
-    return one.join(two, "word").where(fits).select("doc", "place", "doc2", "place2")
+    short, long = _alike_maps("{}1", "{}2", "get(more1, {})", "get(more2, {})", percent)
+    # All pairs under a word meet these few conditions; in one method with the others, they are slow.
+    met = side(1, posts).join(side(2, front), "word").where(f"n2 <= n1 and {behind} and {short}")
+    # A row's partition is not known beforehand, so the others stay behind the join.
+    then = f"spark_partition_id() >= 0 and {long} and ({earlier} or n2 < n1 and {later})"
+    ends = [
+        F.expr(f"if({earlier}, {c}{a}, {c}{b})").alias(f"{c}{name}")
+        for name, a, b in (("", 1, 2), ("2", 2, 1))
+        for c in ("doc", "place")
+    ]
+    return met.where(f"if({then}, true, false)").select(*ends)
 
 
 def repeated_lines(
@@ -306,51 +339,40 @@ def repeated_lines(
         .distinct(),
         "equal-lines",
     )
-    first_lines = _lines(texts, (later, later.count()))
+    n_later = later.count()
     table = rarity(texts)
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # Words are ranked once, posts shuffled once, in waves that leave no shuffle files, as these would
-    # lie beside the posts' table; what follows reads that by word.
-    ranked = written(_ranked(first_lines, table, percent), "line-words")
+    # Posts are shuffled once, in waves of documents that leave no shuffle files, as these would lie
+    # beside the posts' table; what follows reads that by word.
     name = None
     for wave in range(WAVES):
-        some = _by_word(ranked).where(f"pmod(word, {WAVES}) = {wave}").repartition(parts, "word")
-        # Posts of words that have few have all met, and are done with if they found no candidate.
-        # A row's partition is not known beforehand, so the filter stays behind the step that finds
-        # what is near; before it, Spark would work that out once more.
-        near = _with_near(some, percent).withColumn("part", F.spark_partition_id())
-        near = near.where("(many or size(near) > 0) and part >= 0").drop("part")
-        posts, name = bucketed(near, "line-posts", "word", parts, name)
-    close = posts.select("doc", "place", F.explode("near").alias("o")).select(
-        "doc", "place", F.col("o.doc").alias("doc2"), F.col("o.place").alias("place2")
-    )
-    crowded = posts.where("many")  # in words of few posts, all have met
-    rest = _joined(posts.where("later and size(near) = 0"), crowded, percent)
-    pairs = written(
-        close.withColumn("near", F.lit(True))
-        .unionByName(rest.withColumn("near", F.lit(False)))
-        .groupBy("doc", "place", "doc2", "place2")
-        .agg(F.max("near").alias("near")),
-        "line-pairs",
-    )
-    settled = written(_verified(pairs.drop("near"), texts, percent), "settled-lines")
-    gone = later.unionByName(settled)
-
-    # Lines that have near candidates, none of which matched, still meet all lines before.
-    open_ = written(
-        pairs.where("near").select("doc", "place").distinct().join(settled, ["doc", "place"], "left_anti"),
-        "open-lines",
+        some = texts.where(f"pmod(xxhash64(doc, octet_length(text)), {WAVES}) = {wave}")
+        made = _posts(_lines(some, (later, n_later)), table, percent).repartition(parts, "word")
+        posts, name = bucketed(made, "line-posts", "word", parts, name)
+    near = _with_near(posts.where(f"word >= {_CROWDED}"), percent)
+    # One candidate a post, not always the first: a line's posts name different ones.
+    close = near.where("size(near) > 0").select("doc", "place", F.expr("near[at % size(near)]").alias("o"))
+    tried = written(
+        close.select("doc", "place", F.col("o.doc").alias("doc2"), F.col("o.place").alias("place2")).distinct(),
+        "near-pairs",
     )
-    if (rows := open_.count()) > 0:
-        asking = written(_posts(_some_lines(texts, open_, rows), table, percent), "open-posts")
-        if asking.count() <= BROADCAST_POSTS:
-            asking = F.broadcast(asking)  # the table of posts streams by, neither shuffled nor sorted
-        tried = pairs.drop("near")
-        new = _joined(asking, crowded, percent).distinct().join(tried, tried.columns, "left_anti")
-        new = written(new, "line-pairs")
-        gone = gone.unionByName(_verified(new, texts, percent))
+    gone, pairs = later, _joined(posts, posts, percent)
+    if tried.count() > 0:
+        settled = written(_verified(tried, texts, percent).distinct(), "settled-lines")
+        gone = gone.unionByName(settled)
+        # Settled lines of a crowded word meet open ones only: they may be most of it. What pairs
+        # they still are the later line of goes.
+        done = _sent(settled, settled.count())
+        few, many = posts.where(f"word < {_CROWDED}"), posts.where(f"word >= {_CROWDED}")
+        open_, closed = (many.join(done, ["doc", "place"], f"left_{kind}") for kind in ("anti", "semi"))
+        pairs = _joined(few, few, percent)
+        for one, other in ((open_, many), (closed, open_)):
+            pairs = pairs.unionByName(_joined(one, other, percent))
+        pairs = pairs.join(done, ["doc", "place"], "left_anti")
+    pairs = pairs.distinct().join(tried, tried.columns, "left_anti")
+    pairs = written(pairs, "line-pairs")
     docs.sparkSession.sql(f"DROP TABLE {name}")
-    return gone.distinct()
+    return gone.unionByName(_verified(pairs, texts, percent)).distinct()
 
 
 def remove_lines(

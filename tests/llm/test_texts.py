@@ -390,6 +390,41 @@ def test_line_join_of_equal_words_in_other_strings(spark):
     assert got == {i for i, _ in gone_lines(lines)} == {1, 2, 4, 5}
 
 
+def test_line_join_ranks_words_by_all_occurrences(spark):
+    """The table of rarity stays in Spark: a number for each bucket, of all words of all texts."""
+    texts = ["often " * 40 + "twice\trare\nseldom", "twice seldom\n often", None, ""]
+    table = line_join.rarity(spark.createDataFrame(list(enumerate(texts)), "doc long, text string"))
+    (row,) = table.collect()
+    place = f"cast(xxhash64(w) & {line_join.BUCKETS - 1} as int)"
+    words = spark.createDataFrame([(w,) for w in ("often", "twice", "seldom", "rare", "none")], "w string")
+    at = dict(words.selectExpr("w", place).collect())
+    assert len(row.rare) == line_join.BUCKETS
+    assert {w: row.rare[i] for w, i in at.items()} == {"often": 16, "twice": 4, "seldom": 4, "rare": 3, "none": 0}
+
+
+def test_line_join_of_crowded_words(spark, monkeypatch):
+    """Only crowded words go through windows; settled lines of theirs do not meet each other."""
+    r = random.Random(9)
+    base = [f"w{i}" for i in range(20)]
+    lines = [" ".join(f"own{i // 2}x{j}" for j in range(9 + i % 2)) for i in range(40)]
+    for _ in range(120):
+        w = list(base)
+        for k in r.sample(range(20), r.randrange(3)):
+            w[k] = f"x{r.randrange(9)}"
+        lines.append(" ".join(w))
+    df = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    windows, met = [], []
+    near, join = line_join._with_near, line_join._joined
+    monkeypatch.setattr(line_join, "_CROWDED", 15 << 40)  # 32 occurrences
+    monkeypatch.setattr(line_join, "_with_near", lambda posts, p: windows.append(posts) or near(posts, p))
+    monkeypatch.setattr(line_join, "_joined", lambda *a: met.append(join(*a).localCheckpoint()) or met[-1])
+    got = {row.doc_id for row in remove_lines(df).collect() if row.n_removed}
+    assert got == {i for i, _ in gone_lines(lines)}
+    assert len(got) > 100 and len(windows) == 1 and len(met) == 4
+    # Without settled lines left out, then words that are not crowded, and open with all crowded posts.
+    assert sum(pairs.count() for pairs in met[1:]) < met[0].count() / 2
+
+
 def test_line_join_stays_native(docs):
     plan = remove_lines(docs)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
